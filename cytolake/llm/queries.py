@@ -30,6 +30,48 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise_order(documents(spark, sf_dir), vocabulary())
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document; fitted on at most 6000 labelled ones."""
+    from .toxicity import judge
+
+    return judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a benchmark item in a document."""
+    from .decontamination import find_leaks
+
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a document near a licence template."""
+    from .licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir))
+
+
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model of six in seven of them."""
+    from .language_model import score_corpus
+
+    return score_corpus(documents(spark, sf_dir))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that a document shares with one of a smaller id."""
+    from .substring_dedup import repeated_passages
+
+    return repeated_passages(documents(spark, sf_dir))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
+
+
 #: The contract's rules (fixed values): verdict, host and path prefix.
 URL_RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 BLOCKED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
@@ -42,6 +84,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES, BLOCKED_NAMES)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line labels and base rules for every document; fitted on at most 3000 labelled ones."""
+    from .quality import judge_quality, train_field
+
+    docs = documents(spark, sf_dir)
+    return judge_quality(docs, train_field(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def _op8_sql() -> str:
     rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)
     names = ", ".join(f"'{n}'" for n in BLOCKED_NAMES)
