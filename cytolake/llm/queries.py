@@ -31,7 +31,7 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Severity of every document; fitted on at most 6000 labelled ones."""
+    """Severity of every document; fitted on at most 4000 labelled ones."""
     from .toxicity import judge
 
     return judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LETTERS = re.compile(r"[^\W\d_]+")
-PREFIXES = (3, 4, 6)
+PREFIXES = (4, 6)
 BITS = 18
 #: Words that a worker keeps with their features or weight.
 CACHE = 400_000
@@ -46,8 +46,8 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(x[:, None] - self.thresholds, -40, 40)))
 
 
-def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Features of at most `limit` labelled documents, those with the smallest hash of their id.
+def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features, their values, how many each has, and grades of at most `limit` labelled documents, those with the smallest hash of their id.
 
     This bounded sample is all that goes to the driver.
     """
@@ -65,42 +65,45 @@ def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[lis
                 n = max(1, total.total())
                 ids.append(list(share))
                 values.append([100 * v / n for v in share.values()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["grade", "ids", "values"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:1], batch.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["doc_id", "grade", "ids", "values"])
 
-    texts = docs.join(F.broadcast(chosen), "doc_id").select(F.col("grade").cast("int"), "text")
-    rows = texts.mapInArrow(sparse, "grade int, ids array<int>, values array<float>").toArrow()
-    order = np.argsort(rows["grade"].to_numpy(), kind="stable")
-    columns = [[np.array(x.as_py()) for x in rows[c]] for c in ("ids", "values")]
-    keys = sorted(range(len(order)), key=lambda i: (rows["grade"][i].as_py(), len(columns[0][i]), columns[0][i].sum() if len(columns[0][i]) else 0))
-    return [columns[0][i] for i in keys], [columns[1][i] for i in keys], rows["grade"].to_numpy()[keys]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("grade").cast("int"))
+    rows = texts.mapInArrow(sparse, f"doc_id {kind}, grade int, ids array<int>, values array<float>").toArrow().sort_by("doc_id")
+    lengths = pa.compute.list_value_length(rows["ids"]).to_numpy().astype(np.int64)
+    return pa.compute.list_flatten(rows["ids"]).to_numpy(), pa.compute.list_flatten(rows["values"]).to_numpy(), lengths, rows["grade"].to_numpy()
 
 
-def fit(ids: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, n_grades: int, steps: int = 150, penalty: float = 2e-4, rate: float = 0.1) -> OrdinalModel:
+def fit(ids: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.ndarray, n_grades: int, steps: int = 80, penalty: float = 2e-4, rate: float = 0.15, least_docs: int = 3) -> OrdinalModel:
     """Maximum likelihood with an L2 penalty, by Adam over the whole sample; rare grades weigh more.
 
-    Without examples of two grades, all weights are 0 and severity is 0.
+    Features of fewer than `least_docs` documents have no weight. Without
+    examples of two grades, all weights are 0 and so is severity.
     """
     if len(set(grades.tolist())) < 2:
         return OrdinalModel(np.zeros(1 << BITS, np.float32), np.full(n_grades - 1, 40.0))
-    used, flat = np.unique(np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64), return_inverse=True)
-    x = np.minimum(np.concatenate([*values, np.zeros(0)]), 5.0)
-    row = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+    n = len(lengths)
+    frequent = np.bincount(ids, minlength=1 << BITS) >= least_docs
+    chosen = frequent[ids]
+    place = np.cumsum(frequent) - 1
+    flat, x, row = place[ids[chosen]].astype(np.int32), np.minimum(values[chosen], 5.0).astype(np.float32), np.repeat(np.arange(n, dtype=np.int32), lengths)[chosen]
+    size = int(frequent.sum())
     above = (grades[:, None] > np.arange(n_grades - 1)).astype(float)
-    weight = np.where(grades > 0, np.sqrt((grades == 0).sum() / max(1, (grades > 0).sum())), 1.0)[:, None] / len(ids)
-    params = np.concatenate([np.zeros(len(used)), [1.0], np.zeros(n_grades - 2)])  # weights, first threshold, log steps between thresholds
+    weight = np.where(grades > 0, np.sqrt((grades == 0).sum() / max(1, (grades > 0).sum())), 1.0)[:, None] / n
+    params = np.concatenate([np.zeros(size), [1.0], np.zeros(n_grades - 2)])  # weights, first threshold, log steps between thresholds
     m, v = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, steps + 1):
-        w, gaps = params[: len(used)], np.exp(params[len(used) + 1 :])
-        t = params[len(used)] + np.concatenate([[0.0], np.cumsum(gaps)])
-        z = np.bincount(row, w[flat] * x, len(ids))
+        w, gaps = params[:size], np.exp(params[size + 1 :])
+        t = params[size] + np.concatenate([[0.0], np.cumsum(gaps)])
+        z = np.bincount(row, w.astype(np.float32)[flat] * x, n)
         error = (1 / (1 + np.exp(-np.clip(z[:, None] - t, -40, 40))) - above) * weight
         back = -error.sum(0)
-        grad = np.concatenate([np.bincount(flat, error.sum(1)[row] * x, len(used)) + penalty * w, [back.sum()], [back[j + 1 :].sum() * g for j, g in enumerate(gaps)]])
+        grad = np.concatenate([np.bincount(flat, error.sum(1).astype(np.float32)[row] * x, size) + penalty * w, [back.sum()], [back[j + 1 :].sum() * g for j, g in enumerate(gaps)]])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         params = params - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     weights = np.zeros(1 << BITS, np.float32)
-    weights[used] = params[: len(used)]
-    return OrdinalModel(weights, params[len(used)] + np.concatenate([[0.0], np.cumsum(np.exp(params[len(used) + 1 :]))]))
+    weights[frequent] = params[:size]
+    return OrdinalModel(weights, params[size] + np.concatenate([[0.0], np.cumsum(np.exp(params[size + 1 :]))]))
 
 
 def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,10 +120,10 @@ def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, doc_id: str =
             sums, counts = [], []
             for text in batch.column(1).to_pylist():
                 total = word_counts(text)
-                if new := total.keys() - known.keys():
+                if new := [w for w in total if w not in known]:
                     if len(known) > CACHE:
                         known.clear()
-                        new = total.keys()
+                        new = list(total)
                     weights = model.weights
                     known.update((w, float(sum(weights[f] for f in features(w)))) for w in new)
                 n = total.total()
@@ -140,7 +143,7 @@ def grades_of(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", (F.col("toxic") * (2 - F.coalesce("quality", F.lit(1)))).cast("int").alias("grade"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, limit: int = 6000, cut: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, limit: int = 4000, cut: float = 0.5) -> DataFrame:
     """Fits on at most `limit` labelled documents and scores all of `docs` (doc_id, text)."""
     own = docs.select("doc_id", "text")
     return score(own, fit(*sample_features(own, grades_of(labels), limit), n_grades=3), cut)
