@@ -112,7 +112,7 @@ def build_segments(counted: DataFrame, n_buckets: int, bits_per_key: int, max_by
         for level in range(1, int(levels.max(initial=0)) + 1):
             place, mask = probe_places(every[levels >= level], level, len(words))
             np.bitwise_or.at(words, place, mask)
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "tokens": totals[1].sum(), "types": len(keys[1]), "keys": [keys[1].tobytes()], "counts": [totals[1].astype("<i8").tobytes()], "segment": [words.tobytes()]})
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "tokens": totals[1].sum(), "types": len(keys[1]), "keys": [keys[1].tobytes()], "counts": [totals[1].astype("<u4" if totals[1].max(initial=0) < 2**32 else "<i8").tobytes()], "segment": [words.tobytes()]})
 
     return counted.groupBy("bucket").applyInPandas(build, "bucket int, tokens long, types long, keys binary, counts binary, segment binary")
 
@@ -150,13 +150,14 @@ def train(docs: DataFrame, bits_per_key: int = 10, max_filter_bytes: int = 64 <<
     """
     n_buckets = 1 << min(16, max(4, (docs.count() // 1000).bit_length()))
     table = materialise(build_segments(count_ngrams(docs, n_buckets), n_buckets, bits_per_key, max_filter_bytes), "ngrams")
-    rows = table.select("bucket", "tokens", "types", "segment").collect()
-    first, sizes, parts, at = np.zeros(n_buckets, np.int64), np.zeros(n_buckets, np.int64), [], 0
+    rows = table.select("bucket", "tokens", "types", (F.length("segment") / 8).cast("long").alias("size")).collect()
+    first, sizes = np.zeros(n_buckets, np.int64), np.zeros(n_buckets, np.int64)
     for r in rows:
-        parts.append(np.frombuffer(r["segment"], U64))
-        first[r["bucket"]], sizes[r["bucket"]] = at, len(parts[-1])
-        at += len(parts[-1])
-    words = np.concatenate([*parts, np.zeros(1, U64)])
+        sizes[r["bucket"]] = r["size"]
+    first[1:] = np.cumsum(sizes)[:-1]
+    words = np.zeros(int(sizes.sum()) + 1, U64)
+    for r in table.select("bucket", "segment").toLocalIterator():
+        words[first[r["bucket"]] :][: sizes[r["bucket"]]] = np.frombuffer(r["segment"], U64)
     return Filter(n_buckets, words, first, sizes, sum(r["tokens"] for r in rows), sum(r["types"] for r in rows)), table.select("bucket", "types", "keys", "counts")
 
 
@@ -171,28 +172,37 @@ def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float =
     """
     context = docs.sparkSession.sparkContext
     blocks: list[list[int]] = [[]]
-    held = 0
+    types, held = {}, 0
     for r in vocabulary.select("bucket", "types").orderBy("bucket").collect():
         if blocks[-1] and held + r["types"] > max_words:
             blocks.append([])
             held = 0
         blocks[-1].append(r["bucket"])
+        types[r["bucket"]] = r["types"]
         held += r["types"]
     if len(blocks) > 1:
         docs = materialise(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "rows")
     else:
         docs = docs.select("doc_id", "text", F.lit(0).cast("long").alias("row"))
     shared = context.broadcast(model)
+    del model
     out = None
     for number, block in enumerate(blocks):
-        rows = vocabulary.filter(F.col("bucket").isin(block)).orderBy("bucket").select("keys", "counts").collect()
-        keys = np.frombuffer(b"".join(r["keys"] for r in rows), U64)
-        counts = np.frombuffer(b"".join(r["counts"] for r in rows), "<i8")
-        exact = context.broadcast((keys, np.minimum(counts, 2**32 - 1).astype(np.uint32), keys[counts >= 2**32], counts[counts >= 2**32]))
+        begin = dict(zip(block, np.cumsum([0, *(types[b] for b in block[:-1])]).tolist(), strict=True)) if block else {}
+        keys = np.zeros(sum(types[b] for b in block), U64)
+        counts, large = np.zeros(len(keys), np.uint32), []
+        for r in vocabulary.filter(F.col("bucket").between(block[0], block[-1]) if block else F.lit(False)).select("bucket", "keys", "counts").toLocalIterator():
+            at, n = begin[r["bucket"]], types[r["bucket"]]
+            exact = np.frombuffer(r["counts"], "<u4" if len(r["counts"]) == 4 * n else "<i8")
+            keys[at : at + n] = np.frombuffer(r["keys"], U64)
+            counts[at : at + n] = np.minimum(exact, 2**32 - 1)
+            large += [(at + i, int(exact[i])) for i in np.flatnonzero(exact >= 2**32 - 1)]
+        exact = context.broadcast((keys, counts, large))
+        del keys, counts
 
         def rate(batches: Iterator[pa.RecordBatch], exact=exact, main=number == 0) -> Iterator[pa.RecordBatch]:
             model = shared.value
-            keys, counts, big, big_counts = exact.value
+            keys, counts, large = exact.value
             total = np.log10(model.tokens + model.types + 1)
             for batch in batches:
                 for a, b, data, offsets in text_blocks(batch.column(1)):
@@ -201,8 +211,8 @@ def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float =
                     distinct, back = np.unique(one, return_inverse=True)
                     at = np.minimum(np.searchsorted(keys, distinct), max(0, len(keys) - 1))
                     c = np.where(keys[at] == distinct, counts[at], 0).astype(np.int64) if len(keys) else np.zeros(len(distinct), np.int64)
-                    for k, v in zip(big, big_counts, strict=True):
-                        c[distinct == k] = v
+                    for k, v in large:
+                        c[distinct == keys[k]] = v
                     tokens = np.bincount(row, minlength=n)
                     known = np.bincount(row, (c > 0)[back], n).astype(np.int64)
                     base = np.bincount(row, np.log10(c + 1.0)[back], n) - (total * tokens if main else 0)
@@ -234,5 +244,6 @@ def score_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     """Trains on the documents that are not held out and scores all of them."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     model, vocabulary = train(own.filter(~held_out("doc_id")), **options)
+    tokens = model.tokens
     rows = score(own, model, vocabulary)
-    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
