@@ -61,7 +61,8 @@ def restricted(patterns: DataFrame, positions: DataFrame) -> DataFrame:
     both = patterns.join(positions, WINDOW)
     places = F.filter(F.sequence(F.lit(1), F.size("positions")), lambda i: F.array_contains("keep", F.element_at("positions", i)))
     cut = F.array_join(F.transform(places, lambda i: F.substring(F.col("pattern"), i, F.lit(1))), "")
-    return both.groupBy(*WINDOW, F.col("keep").alias("positions"), cut.alias("pattern")).agg(F.sum("n").alias("n"), F.first("total").alias("total"))
+    both = both.select(*WINDOW, F.col("keep").alias("kept"), cut.alias("part"), "n", "total")
+    return both.groupBy(*WINDOW, "kept", "part").agg(F.sum("n").alias("n"), F.max("total").alias("total")).withColumnsRenamed({"kept": "positions", "part": "pattern"})
 
 
 def relative_entropy(a: DataFrame, b: DataFrame) -> DataFrame:

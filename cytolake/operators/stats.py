@@ -7,7 +7,6 @@ tests run as Arrow-backed kernels over rows that Spark deals out.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -131,32 +130,24 @@ def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(special.chi2_upper(x.to_numpy(float), df.to_numpy(float)))
 
 
-def log_choose(n: Column, k: Column) -> Column:
-    return _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
-
-
-def _log_factorial(n: Column) -> Column:
-    """ln n! by Stirling's series after raising the argument to 10 or more; about 1e-13 off."""
-    x = n.cast("double") + 1
-    steps = [F.when(x + i < 10, F.log(x + i)).otherwise(F.lit(0.0)) for i in range(9)]
-    y = F.greatest(x, F.lit(10.0) + (x - F.floor(x)))
-    series = (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
-    return series - reduce(lambda a, b: a + b, steps)
-
-
-def fisher_p(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Two-sided p of a 2x2 table: tables with these margins that are as likely or less; null without reads on a side."""
-    row1, col1, total = a + b, a + c, a + b + c + d
-    row2 = c + d
-    base = log_choose(total, col1)
+@F.pandas_udf("double")
+def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+    """Two-sided p of 2x2 tables: tables with the same margins that are as likely or less; null without reads on a side."""
+    a, b, c, d = (x.to_numpy(np.int64) for x in (a, b, c, d))
+    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, (a + b + c + d).max(initial=0) + 1)))])
+    low, high = np.maximum(0, a - d), np.minimum(a + b, a + c)
+    size = high - low + 1
+    row = np.repeat(np.arange(len(a)), size)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + low[row]
+    one, two, first = (a + b)[row], (c + d)[row], (a + c)[row]
 
-    def chance(k: Column) -> Column:
-        return log_choose(row1, k) + log_choose(row2, col1 - k) - base
+    def choose(n: np.ndarray, k: np.ndarray) -> np.ndarray:
+        return log_factorial[n] - log_factorial[k] - log_factorial[n - k]
 
-    low, high = F.greatest(F.lit(0).cast("long"), col1 - row2), F.least(row1, col1)
-    own = chance(a)
-    p = F.aggregate(F.sequence(low, high), F.lit(0.0), lambda s, k: s + F.when(chance(k) <= own + 1e-7, F.exp(chance(k))).otherwise(0.0))
-    return F.when((row1 > 0) & (row2 > 0), F.least(F.lit(1.0), p))
+    chance = choose(one, k) + choose(two, first - k) - choose(one + two, first)
+    own = chance[np.cumsum(size) - size + a - low]
+    p = np.bincount(row, np.where(chance <= own[row] + 1e-7, np.exp(chance), 0.0), len(a))
+    return pd.Series(np.where((a + b > 0) & (c + d > 0), np.minimum(1.0, p), np.nan))
 
 
 def fisher_pairs(sites: DataFrame, a: str, b: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -192,8 +183,8 @@ def contingency(cells: DataFrame, keys: list[str], row: str, col: str, n: str =
     rows, cols = W.partitionBy(*keys, row), W.partitionBy(*keys, col)
     every = W.partitionBy(*keys)
     full = cells.withColumns({"r": F.sum(n).over(rows), "c": F.sum(n).over(cols), "t": F.sum(n).over(every)})
-    o, e = F.col(n), F.col("r") * F.col("c") / F.col("t")
-    out = full.groupBy(*keys).agg((F.sum(o * o / e) - F.first("t")).alias("chi2"), (2 * F.sum(F.when(o > 0, o * F.log(o / e)).otherwise(0.0))).alias("g2"), ((F.count_distinct(row) - 1) * (F.count_distinct(col) - 1)).alias("df"))
+    o, e = F.col(n), F.try_divide(F.col("r") * F.col("c"), F.col("t"))
+    out = full.groupBy(*keys).agg((F.sum(F.try_divide(o * o, e)) - F.first("t")).alias("chi2"), (2 * F.sum(F.when(o > 0, o * F.log(F.try_divide(o, e))).otherwise(0.0))).alias("g2"), ((F.count_distinct(row) - 1) * (F.count_distinct(col) - 1)).alias("df"))
     return out.withColumn("p", chi2_p(F.col("chi2"), F.col("df").cast("double"))) if with_p else out
 
 

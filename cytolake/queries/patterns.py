@@ -1 +1,88 @@
-"""Queries."""
+"""Queries on read patterns."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import patterns as pt
+from ..plans.fixtures import calls, sites
+from .registry import query, r6
+
+#: Patterns of reads per window of 200, as SQL over `calls`.
+PATTERNS = """
+    wc AS (SELECT ref, (pos - 1) // 200 * 200 + 1 AS w_start, read_id, pos, max(meth) AS meth FROM calls WHERE pos >= 1 GROUP BY 1, 2, 3, 4),
+    ps AS (SELECT ref, w_start, list_sort(list(DISTINCT pos)) AS positions FROM wc GROUP BY 1, 2),
+    rp AS (SELECT wc.ref, wc.w_start, read_id, positions, array_to_string(list_transform(positions, lambda p: coalesce(cast(list_extract(map_extract(map_from_entries(list(struct_pack(k := pos, v := meth))), p), 1) as varchar), '-')), '') AS pattern
+           FROM wc JOIN ps ON wc.ref = ps.ref AND wc.w_start = ps.w_start GROUP BY 1, 2, 3, 4),
+    pat AS (SELECT ref, w_start, positions, pattern, count(*) AS n FROM rp GROUP BY 1, 2, 3, 4)"""
+
+
+def patterns(spark, sf):
+    return pt.read_patterns(calls(spark, sf), 200)
+
+
+@query("w3_e2_read_patterns", f"WITH {PATTERNS} SELECT ref, w_start, len(positions) AS n_sites, pattern, n FROM pat")
+def e2(spark, sf):
+    return patterns(spark, sf).select("ref", "w_start", F.size("positions").cast("long").alias("n_sites"), "pattern", "n")
+
+
+@query("e1_methylation_entropy", f"""
+    WITH {PATTERNS}, t AS (SELECT *, sum(n) OVER (PARTITION BY ref, w_start) AS total FROM pat)
+    SELECT ref, w_start, len(positions) AS n_sites, cast(max(total) as bigint) AS n_reads, count(*) AS n_patterns,
+           round(-sum(n / total * ln(n / total)) / len(positions) / ln(2), 6) AS entropy,
+           round(cast(sum(n * length(regexp_replace(pattern, '[^1]', '', 'g'))) as double) / sum(n * length(replace(pattern, '-', ''))), 6) AS mean_level
+    FROM t WHERE len(positions) >= 3 AND total >= 10 GROUP BY 1, 2, 3, positions""")
+def e1(spark, sf):
+    out = pt.entropy(patterns(spark, sf), 3, 10)
+    return out.select("ref", "w_start", F.col("n_sites").cast("long").alias("n_sites"), "n_reads", "n_patterns", r6("entropy"), r6("mean_level"))
+
+
+@query("e3_e4_joint_entropy")
+def e3(spark, sf):
+    return pt.joint_entropy(calls(spark, sf).withColumn("type", (F.col("pos") / 20 % 2).cast("int")), 200, 1, 5)
+
+
+@query("e5_e6_relative_entropy")
+def e5(spark, sf):
+    c = calls(spark, sf)
+    return pt.relative_entropy(pt.read_patterns(c.filter("read_id % 80 < 40"), 200), pt.read_patterns(c.filter("read_id % 80 >= 40"), 200))
+
+
+@query("w4_e7_spanning_intervals", """
+    WITH e AS (SELECT ref, read_id, min(pos) AS lo, max(pos) AS hi FROM calls GROUP BY 1, 2), b AS (SELECT DISTINCT ref, lo FROM e), q AS (SELECT DISTINCT ref, hi FROM e)
+    SELECT b.ref, b.lo AS start_pos, q.hi AS end_pos, count(*) AS n_reads FROM b JOIN q ON b.ref = q.ref AND b.lo < q.hi AND q.hi <= b.lo + 100 JOIN e ON e.ref = b.ref AND e.lo <= b.lo AND q.hi <= e.hi GROUP BY 1, 2, 3""")
+def w4(spark, sf):
+    return pt.spanning_intervals(calls(spark, sf), 100)
+
+
+@query("a9_read_levels", "SELECT read_id, ref, min(pos) AS start_pos, max(pos) AS end_pos, count(*) AS n_sites, cast(sum(meth) as bigint) AS m, round(cast(sum(meth) as double) / count(*), 6) AS level FROM calls GROUP BY 1, 2")
+def a9(spark, sf):
+    return pt.read_levels(calls(spark, sf)).withColumn("level", r6("level"))
+
+
+@query("a10_calls_per_read", "SELECT read_id, ref, pos, meth, baseq FROM calls")
+def a10(spark, sf):
+    return calls(spark, sf)
+
+
+@query("a11_read_states", """
+    WITH l AS (SELECT read_id, ref, min(pos) AS s, cast(sum(meth) as double) / count(*) AS v FROM calls GROUP BY 1, 2),
+    c AS (SELECT ref, (s - 1) // 500 * 500 + 1 AS w_start, CASE WHEN v < 0.2 THEN 'L' WHEN v > 0.8 THEN 'H' ELSE 'M' END AS state, count(*) AS n FROM l WHERE s >= 1 GROUP BY 1, 2, 3),
+    t AS (SELECT *, sum(n) OVER (PARTITION BY ref, w_start) AS total FROM c)
+    SELECT ref, w_start, cast(max(total) as bigint) AS n_reads, count(*) AS n_states, round(-sum(n / total * ln(n / total)), 6) AS entropy,
+           cast(coalesce(sum(CASE WHEN state = 'L' THEN n END), 0) as bigint) AS n_l, cast(coalesce(sum(CASE WHEN state = 'M' THEN n END), 0) as bigint) AS n_m, cast(coalesce(sum(CASE WHEN state = 'H' THEN n END), 0) as bigint) AS n_h
+    FROM t GROUP BY 1, 2""")
+def a11(spark, sf):
+    return pt.read_states(pt.read_levels(calls(spark, sf)), 500).withColumn("entropy", r6("entropy"))
+
+
+@query("e8_clones")
+def e8(spark, sf):
+    return pt.clones(patterns(spark, sf))
+
+
+@query("m8_smoothed_levels", """
+    SELECT a.sample, a.ref, a.start_pos, round(sum(pow(1 - pow(abs(b.start_pos - a.start_pos) / 1000.0, 3), 3) * b.m) / sum(pow(1 - pow(abs(b.start_pos - a.start_pos) / 1000.0, 3), 3) * b.cov), 6) AS smoothed, count(*) AS n_near
+    FROM sites a JOIN sites b ON a.sample = b.sample AND a.ref = b.ref AND abs(b.start_pos - a.start_pos) < 1000 WHERE a.cov > 0 GROUP BY 1, 2, 3""")
+def m8(spark, sf):
+    return pt.smooth(sites(spark, sf), 1000).withColumn("smoothed", r6("smoothed"))

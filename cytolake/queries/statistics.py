@@ -1 +1,174 @@
-"""Queries."""
+"""Queries on tests between groups."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import matrix as mx
+from ..operators import sites as st
+from ..operators import stats as ts
+from ..plans.fixtures import sites
+from .registry import query, r6
+from .sites import PCT
+
+
+def levels(spark, sf):
+    return sites(spark, sf).filter("cov >= 3").withColumn("pct", st.level())
+
+
+TWO = f"""SELECT ref, start_pos, count(CASE WHEN grp = 'F' THEN 1 END) AS n1, count(CASE WHEN grp = 'O' THEN 1 END) AS n2, avg(CASE WHEN grp = 'F' THEN {PCT} END) AS mean1, avg(CASE WHEN grp = 'O' THEN {PCT} END) AS mean2,
+          var_samp(CASE WHEN grp = 'F' THEN {PCT} END) AS v1, var_samp(CASE WHEN grp = 'O' THEN {PCT} END) AS v2 FROM sites WHERE cov >= 3 GROUP BY 1, 2"""
+
+
+@query("a28_group_mean_sd", f"SELECT ref, start_pos, grp, count(*) AS n, round(avg({PCT}), 6) AS mean, round(stddev_samp({PCT}), 6) AS sd FROM sites WHERE cov >= 3 GROUP BY 1, 2, 3")
+def a28(spark, sf):
+    return ts.mean_sd(levels(spark, sf)).withColumns({"mean": r6("mean"), "sd": r6("sd")})
+
+
+@query("t1_welch", f"SELECT ref, start_pos, round(mean1 - mean2, 6) AS diff, round((mean1 - mean2) / sqrt(v1 / n1 + v2 / n2), 5) AS t, round(pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)), 5) AS df FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 AND v1 + v2 > 1e-9")
+def t1(spark, sf):
+    out = ts.welch(levels(spark, sf), "F", "O", with_p=False).filter("var1 + var2 > 1e-9")
+    return out.select("ref", "start_pos", r6("diff"), F.round("t", 5).alias("t"), F.round("df", 5).alias("df"))
+
+
+@query("t1_t15_welch_p")
+def t1p(spark, sf):
+    return ts.welch(levels(spark, sf), "F", "O")
+
+
+@query("t8_variance_ratio", f"SELECT ref, start_pos, round(v1 / v2, 4) AS f, n1 - 1 AS df1, n2 - 1 AS df2 FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 AND v2 > 1e-6")
+def t8(spark, sf):
+    out = ts.variance_ratio(levels(spark, sf), "F", "O").filter("var2 > 1e-6")
+    return out.select("ref", "start_pos", F.round("f", 4).alias("f"), "df1", "df2")
+
+
+@query("t7_anova", f"""
+    WITH r AS (SELECT ref, start_pos, substr(sample, 1, 1) AS g, {PCT} AS x FROM sites WHERE cov >= 3), g AS (SELECT ref, start_pos, g, count(*) AS n, avg(x) AS mean, var_pop(x) AS v FROM r GROUP BY 1, 2, 3),
+    t AS (SELECT ref, start_pos, count(*) AS k, sum(n) AS n, sum(n * mean) / sum(n) AS grand, sum(n * v) AS ssw FROM g GROUP BY 1, 2)
+    SELECT t.ref, t.start_pos, cast(max(k) - 1 as bigint) AS df1, cast(max(t.n) - max(k) as bigint) AS df2, round(sum(g.n * pow(mean - grand, 2)), 6) AS ss_between, round(max(ssw), 6) AS ss_within
+    FROM t JOIN g ON t.ref = g.ref AND t.start_pos = g.start_pos WHERE k > 1 AND t.n > k GROUP BY 1, 2""")
+def t7(spark, sf):
+    rows = levels(spark, sf).withColumn("grp", F.substring("sample", 1, 1))
+    return ts.anova(rows).select("ref", "start_pos", "df1", "df2", r6("ss_between"), r6("ss_within"))
+
+
+@query("t7_t17_tukey")
+def t7t(spark, sf):
+    return ts.tukey(levels(spark, sf).withColumn("grp", F.substring("sample", 1, 1)))
+
+
+for _test in ("wilcoxon", "ks", "ansari", "cucconi", "lepage"):
+
+    def _rank(spark, sf, name=_test):
+        rows = levels(spark, sf)
+        few = ("cucconi", "lepage")  # permuted; complete sites alone, as the format's dispersion mode has them
+        return ts.rank_test(mx.complete(rows, 6) if name in few else rows, "F", "O", name)
+
+    query({"wilcoxon": "t2_wilcoxon", "ks": "t3_kolmogorov_smirnov", "ansari": "t9_ansari_bradley", "cucconi": "t10_cucconi", "lepage": "t11_t14_lepage"}[_test])(_rank)
+
+
+@query("w10_pooled_ranks", f"SELECT ref, start_pos, sample, rank() OVER w + (count(*) OVER (PARTITION BY ref, start_pos, {PCT}) - 1) / 2.0 AS place FROM sites WHERE cov >= 3 WINDOW w AS (PARTITION BY ref, start_pos ORDER BY {PCT})")
+def w10(spark, sf):
+    from pyspark.sql import Window as W
+
+    key = W.partitionBy("ref", "start_pos")
+    rank = F.rank().over(key.orderBy("pct")) + (F.count("*").over(W.partitionBy("ref", "start_pos", "pct")) - 1) / 2
+    return levels(spark, sf).select("ref", "start_pos", "sample", rank.alias("place"))
+
+
+#: Fisher's test in SQL: a table of log factorials, and the sum over tables with the same margins.
+FISHER = """
+    lf AS (SELECT n, sum(CASE WHEN n > 0 THEN ln(greatest(n, 1)) ELSE 0 END) OVER (ORDER BY n) AS v FROM (SELECT unnest(generate_series(0, 4000)) AS n)),
+    pr AS (SELECT x.ref, x.start_pos, x.sample AS s1, y.sample AS s2, x.m AS a, x.cov - x.m AS b, y.m AS c, y.cov - y.m AS d, cast(x.m as double) / x.cov - cast(y.m as double) / y.cov AS diff
+           FROM sites x JOIN sites y ON x.ref = y.ref AND x.start_pos = y.start_pos WHERE x.grp = 'F' AND y.grp = 'O' AND x.cov >= 3 AND y.cov >= 3),
+    ks AS (SELECT *, unnest(generate_series(greatest(0, a - d), least(a + b, a + c))) AS k FROM pr),
+    lp AS (SELECT ks.*, f1.v - f2.v - f3.v + g1.v - g2.v - g3.v AS p FROM ks
+           JOIN lf f1 ON f1.n = a + b JOIN lf f2 ON f2.n = k JOIN lf f3 ON f3.n = a + b - k JOIN lf g1 ON g1.n = c + d JOIN lf g2 ON g2.n = a + c - k JOIN lf g3 ON g3.n = c + d - (a + c - k)),
+    own AS (SELECT ref, start_pos, s1, s2, p FROM lp WHERE k = a),
+    fisher AS (SELECT lp.ref, lp.start_pos, lp.s1, lp.s2, max(diff) AS diff, least(1.0, sum(CASE WHEN lp.p <= own.p + 1e-7 THEN exp(lp.p) ELSE 0 END) / sum(exp(lp.p))) AS p
+               FROM lp JOIN own ON lp.ref = own.ref AND lp.start_pos = own.start_pos AND lp.s1 = own.s1 AND lp.s2 = own.s2 GROUP BY 1, 2, 3, 4)"""
+
+
+def fisher(spark, sf):
+    return ts.fisher_pairs(sites(spark, sf).filter("cov >= 3"), "F", "O")
+
+
+@query("t5_j18_fisher_pairs", f"WITH {FISHER} SELECT ref, start_pos, s1, s2, round(p, 5) AS p, round(diff, 6) AS diff FROM fisher")
+def t5(spark, sf):
+    return fisher(spark, sf).select("ref", "start_pos", "s1", "s2", F.round("p", 5).alias("p"), r6("diff"))
+
+
+@query("t6_u5_fisher_groups")
+def t6(spark, sf):
+    return ts.fisher_groups(ts.bh_by(fisher(spark, sf), ["s1", "s2"]), 0.2, 0.1, "union")
+
+
+CHI = f"SELECT ref, start_pos, sample, 'm' AS kind, m AS n FROM sites WHERE cov >= 3 UNION ALL SELECT ref, start_pos, sample, 'u', cov - m FROM sites WHERE cov >= 3"
+
+
+def cells(spark, sf):
+    s = sites(spark, sf).filter("cov >= 3")
+    return s.select("ref", "start_pos", "sample", F.lit("m").alias("kind"), F.col("m").alias("n")).union(s.select("ref", "start_pos", "sample", F.lit("u"), F.col("cov") - F.col("m")))
+
+
+@query("t12_t13_contingency", f"""
+    WITH x AS ({CHI}), f AS (SELECT *, sum(n) OVER (PARTITION BY ref, start_pos, sample) AS r, sum(n) OVER (PARTITION BY ref, start_pos, kind) AS c, sum(n) OVER (PARTITION BY ref, start_pos) AS t FROM x)
+    SELECT ref, start_pos, round(sum(CASE WHEN r * c > 0 THEN cast(n as double) * n * t / (r * c) END) - max(t), 4) AS chi2, round(2 * sum(CASE WHEN n > 0 THEN n * ln(cast(n as double) * t / (r * c)) ELSE 0 END), 4) AS g2, (count(DISTINCT sample) - 1) AS df
+    FROM f GROUP BY 1, 2 HAVING count(DISTINCT sample) > 1""")
+def t12(spark, sf):
+    out = ts.contingency(cells(spark, sf), ["ref", "start_pos"], "sample", "kind", with_p=False).filter("df > 0")
+    return out.select("ref", "start_pos", F.round("chi2", 4).alias("chi2"), F.round("g2", 4).alias("g2"), "df")
+
+
+@query("t13_multinomial_density")
+def t13(spark, sf):
+    out = ts.contingency(cells(spark, sf), ["ref", "start_pos"], "sample", "kind")
+    return out.select("ref", "start_pos", "g2", ts.deviance_density(F.col("g2")).alias("density"), "p")
+
+
+@query("t4_rao_scott")
+def t4(spark, sf):
+    out = ts.rao_scott(sites(spark, sf).filter("cov >= 3"), "F", "O", with_p=False)
+    return out.select("ref", "start_pos", "pooled", "x2", "df")
+
+
+BH = """
+    d AS (SELECT ref, start_pos, cast(sum(m) % 997 as double) / 997 AS p FROM sites GROUP BY 1, 2),
+    r AS (SELECT *, p * count(*) OVER () / rank() OVER (ORDER BY p DESC) AS z, p * count(*) OVER () / (count(*) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING)) AS raw FROM d)"""
+
+
+@query("w6_benjamini_hochberg", f"WITH {BH} SELECT ref, start_pos, round(p, 6) AS p, round(least(1.0, min(raw) OVER (ORDER BY p RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS q FROM r")
+def w6(spark, sf):
+    rows = sites(spark, sf).groupBy("ref", "start_pos").agg(((F.sum("m") % 997).cast("double") / 997).alias("p"))
+    return ts.bh_adjust(rows).select("ref", "start_pos", r6("p"), r6("q"))
+
+
+@query("f10_g3_significant", f"WITH {FISHER} SELECT ref, start_pos, s1, s2, round(p, 5) AS p, round(diff, 6) AS diff FROM fisher WHERE p < 0.01 AND abs(diff) > 0.25 AND abs(p - 0.01) > 1e-7")
+def f10(spark, sf):
+    return ts.significant(fisher(spark, sf), 0.01, 0.25).filter("abs(p - 0.01) > 1e-7").select("ref", "start_pos", "s1", "s2", F.round("p", 5).alias("p"), r6("diff"))
+
+
+@query("g3_volcano_counts", f"""
+    WITH {FISHER} SELECT count(*) FILTER (diff < -0.25) AS below, count(*) FILTER (diff > 0.25) AS above, count(*) FILTER (diff < 0 AND p < 0.05) AS down_q, count(*) FILTER (diff > 0 AND p < 0.05) AS up_q,
+           count(*) FILTER (diff < -0.25 AND p < 0.05) AS below_q, count(*) FILTER (diff > 0.25 AND p < 0.05) AS above_q FROM fisher""")
+def g3(spark, sf):
+    return ts.volcano(fisher(spark, sf).withColumn("q", F.col("p")), 0.25, 0.05)
+
+
+@query("g1_p_histogram", f"WITH {FISHER} SELECT cast(least(floor(round(p, 9) * 100), 99) as bigint) AS bin, count(*) AS n FROM fisher GROUP BY 1")
+def g1(spark, sf):
+    return fisher(spark, sf).groupBy(F.least(F.floor(F.round("p", 9) * 100), F.lit(99)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query("g2_difference_histogram", f"SELECT cast(floor(round((mean1 - mean2) / 0.05, 6)) as bigint) AS bin, count(*) AS n FROM ({TWO}) WHERE n1 > 0 AND n2 > 0 GROUP BY 1")
+def g2(spark, sf):
+    both = ts.two_groups(levels(spark, sf), "F", "O").filter("n1 > 0 AND n2 > 0")
+    return both.groupBy(F.floor(F.round((F.col("mean1") - F.col("mean2")) / 0.05, 6)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query("g4_mean_sd_scatter", f"SELECT ref, start_pos, round(mean1 - mean2, 6) AS d_mean, round(sqrt(v1) - sqrt(v2), 6) AS d_sd FROM ({TWO}) WHERE n1 > 1 AND n2 > 1")
+def g4(spark, sf):
+    both = ts.two_groups(levels(spark, sf), "F", "O").filter("n1 > 1 AND n2 > 1")
+    return both.select("ref", "start_pos", F.round(F.col("mean1") - F.col("mean2"), 6).alias("d_mean"), F.round(F.sqrt("var1") - F.sqrt("var2"), 6).alias("d_sd"))
+
+
