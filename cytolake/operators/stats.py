@@ -244,3 +244,18 @@ def volcano(tests: DataFrame, least: float, cut: float) -> DataFrame:
     d, q = F.col("diff"), F.col("q") < cut
     counts = {"below": d < -least, "above": d > least, "down_q": (d < 0) & q, "up_q": (d > 0) & q, "below_q": (d < -least) & q, "above_q": (d > least) & q}
     return tests.agg(*[F.count_if(c).alias(k) for k, c in counts.items()])
+
+
+@F.pandas_udf("double")
+def upper_hypergeometric(k: pd.Series, good: pd.Series, drawn: pd.Series, total: pd.Series) -> pd.Series:
+    """P(at least k good ones among those drawn)."""
+    lf = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, int(total.max()) + 1)))]) if len(total) else np.zeros(1)
+
+    def choose(n: int, r: np.ndarray) -> np.ndarray:
+        return lf[n] - lf[r] - lf[n - r]
+
+    out = []
+    for x, g, d, n in zip(k, good, drawn, total, strict=True):
+        r = np.arange(max(x, d - (n - g), 0), min(g, d) + 1)
+        out.append(float(min(1.0, np.exp(choose(g, r) + choose(n - g, d - r) - choose(n, d)).sum())) if len(r) else 0.0)
+    return pd.Series(out, dtype=float)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import annotation, multivariate, patterns, reads, sites, statistics, windows
+from . import annotation, multivariate, patterns, reads, sites, statistics, streams, windows
 from .registry import QUERIES, SQL
 
 
@@ -20,4 +20,4 @@ def relational_sql() -> dict[str, str]:
     return dict(SQL)
 
 
-__all__ = ["annotation", "entry_query", "multivariate", "patterns", "reads", "relational_queries", "relational_sql", "sites", "statistics", "windows"]
+__all__ = ["annotation", "entry_query", "multivariate", "patterns", "reads", "relational_queries", "relational_sql", "sites", "statistics", "streams", "windows"]

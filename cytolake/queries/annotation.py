@@ -1 +1,143 @@
-"""Queries."""
+"""Queries on annotation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import annotation as an
+from ..operators import intervals as iv
+from ..plans.fixtures import features, sites
+from .registry import query, r6
+
+KEYS = ["ref", "start_pos"]
+PLACES = "(SELECT ref, start_pos, max(end_pos) AS end_pos, cast(sum(cov) as bigint) AS score FROM sites GROUP BY 1, 2)"
+CLASS = """CASE WHEN strand <> '-' THEN CASE WHEN start_pos >= f_end + 100 THEN 'fardown' WHEN end_pos <= f_start - 300 THEN 'farup' WHEN start_pos < f_end - i3 AND end_pos > f_start + i5 THEN 'body' WHEN start_pos <= f_start + i5 AND end_pos > f_start - 300 THEN 'upstream' ELSE 'downstream' END
+           ELSE CASE WHEN end_pos <= f_start - 100 THEN 'fardown' WHEN start_pos >= f_end + 300 THEN 'farup' WHEN end_pos > f_start + i3 AND start_pos < f_end - i5 THEN 'body' WHEN end_pos >= f_end - i5 AND start_pos < f_end + 300 THEN 'upstream' ELSE 'downstream' END END"""
+HITS = f"""hits AS (SELECT *, {CLASS} AS label FROM (SELECT p.ref, p.start_pos, p.end_pos, p.score, f.feature_id, f.f_start, f.f_end, f.strand, f.gene,
+           CASE WHEN f_end - f_start - 40 > 20 THEN 20 ELSE (f_end - f_start) // 3 END AS i5, CASE WHEN f_end - f_start - 40 > 20 THEN 20 ELSE (f_end - f_start) // 3 END AS i3
+           FROM {PLACES} p JOIN features f ON p.ref = f.ref AND p.start_pos < f.f_end + 400 AND f.f_start - 400 < p.end_pos))"""
+LABELS = ["upstream", "body", "downstream"]
+
+
+def hits(spark, sf):
+    places = sites(spark, sf).groupBy("ref", "start_pos").agg(F.max("end_pos").alias("end_pos"), F.sum("cov").alias("score"))
+    wide = features(spark, sf).withColumns({"b": F.col("f_start"), "e": F.col("f_end"), "f_start": F.col("f_start") - 400, "f_end": F.col("f_end") + 400})
+    near = iv.overlap_join(places, wide).withColumns({"f_start": F.col("b"), "f_end": F.col("e")}).drop("b", "e")
+    return near.withColumns({"label": an.location_class(300, 20, 100, 20), "dist": iv.distance()})
+
+
+@query("n2_n5_location_class", f"WITH {HITS} SELECT ref, start_pos, feature_id, label FROM hits")
+def n2(spark, sf):
+    return hits(spark, sf).select("ref", "start_pos", "feature_id", "label")
+
+
+@query("n2_near_only", f"WITH {HITS} SELECT ref, start_pos, feature_id, label FROM (SELECT *, max(CASE WHEN label NOT LIKE 'far%' THEN 1 ELSE 0 END) OVER (PARTITION BY ref, start_pos) AS near FROM hits) WHERE near = 0 OR label NOT LIKE 'far%'")
+def n2_near(spark, sf):
+    return an.near_only(hits(spark, sf), KEYS).select("ref", "start_pos", "feature_id", "label")
+
+
+RANK = "CASE label WHEN 'upstream' THEN 0 WHEN 'downstream' THEN 3 WHEN 'body' THEN 7 WHEN 'farup' THEN 8 WHEN 'fardown' THEN 9 ELSE 12 END"
+TSS = "CASE WHEN strand = '-' THEN f_end - (start_pos + end_pos) // 2 ELSE (start_pos + end_pos) // 2 - f_start END"
+
+
+@query("w7_n3_n6_best_gene", f"WITH {HITS} SELECT ref, start_pos, feature_id, label, tss_dist FROM (SELECT *, {TSS} AS tss_dist, row_number() OVER (PARTITION BY ref, start_pos ORDER BY {RANK}, abs({TSS}), feature_id) AS k FROM hits) WHERE k = 1")
+def w7(spark, sf):
+    return an.best_hit(hits(spark, sf), KEYS).select("ref", "start_pos", "feature_id", "label", "tss_dist")
+
+
+COMBINED = f"""WITH {HITS}, b AS (SELECT ref, start_pos, strand, arg_min(label, {RANK}) AS label, min({RANK}) AS k FROM hits GROUP BY 1, 2, 3),
+    s AS (SELECT ref, start_pos, max(CASE WHEN strand = '+' THEN CASE WHEN label LIKE 'far%' THEN 'intergenic' ELSE label END END) AS top, max(CASE WHEN strand = '-' THEN CASE WHEN label LIKE 'far%' THEN 'intergenic' ELSE label END END) AS bot, max(CASE WHEN strand = '+' THEN k END) AS tk, max(CASE WHEN strand = '-' THEN k END) AS bk FROM b GROUP BY 1, 2),
+    c AS (SELECT ref, start_pos, coalesce(top, 'intergenic') AS top, coalesce(bot, 'intergenic') AS bot, coalesce(tk, 99) AS tk, coalesce(bk, 99) AS bk FROM s),
+    combined AS (SELECT ref, start_pos, CASE WHEN top = bot THEN CASE WHEN top = 'intergenic' THEN top WHEN top IN ('upstream', 'downstream') THEN 'bi_' || top || '*' ELSE top || '*' END WHEN bk < tk THEN bot || '-' ELSE top || '+' END AS label FROM c)"""
+
+
+@query("n4_combined_strands", f"{COMBINED} SELECT * FROM combined")
+def n4(spark, sf):
+    return an.combine_strands(hits(spark, sf), KEYS).select("ref", "start_pos", "label")
+
+
+@query("a25_o7_combined_totals", f"{COMBINED} SELECT label, count(*) AS n FROM combined GROUP BY 1 ORDER BY n DESC, label")
+def a25(spark, sf):
+    return n4(spark, sf).groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
+
+
+@query("a26_g11_figure_table", f"""{COMBINED}, f AS (SELECT CASE rtrim(label, '+-*') WHEN 'upstream' THEN 'promoter' WHEN 'bi_upstream' THEN 'promoter' WHEN 'body' THEN 'intron' WHEN 'downstream' THEN 'downstream' WHEN 'bi_downstream' THEN 'downstream' WHEN 'intergenic' THEN 'intergenic' ELSE 'other' END AS part FROM combined)
+    SELECT part, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM f GROUP BY 1""")
+def a26(spark, sf):
+    return an.figure_table(a25(spark, sf)).withColumn("percent", r6("percent"))
+
+
+@query("a8_gene_lists", f"""WITH {HITS}, c AS (SELECT label AS category, gene, score FROM hits WHERE label NOT LIKE 'far%' UNION ALL SELECT 'all', gene, score FROM hits WHERE label NOT LIKE 'far%')
+    SELECT category, gene, count(*) AS n, min(score) AS min, round(avg(score), 6) AS avg, max(score) AS max FROM c GROUP BY 1, 2""")
+def a8(spark, sf):
+    return an.gene_lists(hits(spark, sf)).withColumn("avg", r6("avg"))
+
+
+@query("a21_a24_class_statistics", f"WITH {HITS}, n AS (SELECT *, count(*) OVER (PARTITION BY ref, start_pos) AS k FROM hits) SELECT label, count(*) AS n, round(sum(1.0 / k), 4) AS weight, count(DISTINCT ref || ':' || start_pos) AS n_sites FROM n GROUP BY 1")
+def a21(spark, sf):
+    return an.class_statistics(hits(spark, sf), KEYS).withColumn("weight", F.round("weight", 4))
+
+
+@query("a22_feature_summary", f"WITH {HITS} SELECT feature_id, count(*) AS n, " + ", ".join(f"count(*) FILTER (label = '{x}') AS {x}" for x in LABELS) + " FROM hits GROUP BY 1")
+def a22(spark, sf):
+    return an.feature_summary(hits(spark, sf), LABELS)
+
+
+@query("a23_gene_matrix", f"WITH {HITS} SELECT gene, " + ", ".join(f"coalesce((SELECT string_agg(t, '|' ORDER BY s, e) FROM (SELECT DISTINCT start_pos AS s, end_pos AS e, start_pos || '-' || end_pos AS t FROM hits h WHERE h.gene = g.gene AND h.label = '{x}')), '') AS {x}" for x in LABELS) + " FROM (SELECT DISTINCT gene FROM hits) g")
+def a23(spark, sf):
+    return an.gene_matrix(hits(spark, sf), LABELS)
+
+
+PARTS = """(SELECT s.ref, s.start_pos, f.feature_id, f.strand, f.f_start AS b, f.f_start + (f.f_end - f.f_start) // 3 AS b1, f.f_start + 2 * ((f.f_end - f.f_start) // 3) AS b2, f.f_end AS e, s.end_pos FROM (SELECT DISTINCT ref, start_pos, end_pos FROM sites) s
+           JOIN features f ON s.ref = f.ref AND s.start_pos < f.f_end AND f.f_start < s.end_pos)"""
+
+
+@query("j9_exon_parts", f"""
+    SELECT ref, start_pos, feature_id, part, count(*) AS n FROM (
+        SELECT ref, start_pos, feature_id, 'exon' AS part FROM {PARTS} WHERE start_pos < b1 AND b < end_pos AND b < b1 UNION ALL SELECT ref, start_pos, feature_id, 'exon' FROM {PARTS} WHERE start_pos < e AND b2 < end_pos AND b2 < e
+        UNION ALL SELECT ref, start_pos, feature_id, 'intron' FROM {PARTS} WHERE start_pos < b2 AND b1 < end_pos AND b1 < b2) GROUP BY 1, 2, 3, 4""")
+def j9(spark, sf):
+    third = F.floor((F.col("f_end") - F.col("f_start")) / 3)
+    parts = F.array(F.struct(F.col("f_start").alias("s"), (F.col("f_start") + third).alias("e")), F.struct((F.col("f_start") + 2 * third).alias("s"), F.col("f_end").alias("e")))
+    model = features(spark, sf).withColumns({"exons": parts, "cds_start": F.lit(0), "cds_end": F.lit(0)})
+    held = iv.overlap_join(sites(spark, sf).select("ref", "start_pos", "end_pos").distinct(), model)
+    return an.exon_parts(held).groupBy("ref", "start_pos", "feature_id", "part").agg(F.count("*").alias("n"))
+
+
+@query("j10_j11_id_lookup", "SELECT p.start_pos, p.ref, string_agg(DISTINCT f.gene, '|' ORDER BY f.gene) AS symbols FROM (SELECT DISTINCT ref, start_pos FROM sites) p JOIN features f ON p.ref = f.ref AND p.start_pos >= f.f_start AND p.start_pos <= f.f_end GROUP BY 1, 2")
+def j10(spark, sf):
+    f = features(spark, sf)
+    held = iv.interval_join(sites(spark, sf).select("ref", "start_pos").distinct(), f)
+    ids = held.groupBy("ref", "start_pos").agg(F.array_join(F.sort_array(F.collect_set(F.concat(F.col("feature_id").cast("string"), F.lit(".2(x,y)")))), "|").alias("ids"))
+    return an.lookup_ids(ids, f.select(F.col("feature_id").cast("string").alias("id"), F.col("gene").alias("symbol")), ["ref", "start_pos"])
+
+
+@query("a29_g14_feature_levels", f"WITH {HITS} SELECT label, quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.25) AS q1, cast(min(score) as double) AS low, cast(max(score) as double) AS high FROM hits GROUP BY 1")
+def a29(spark, sf):
+    q = F.percentile("score", F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 1.0)]))
+    return hits(spark, sf).groupBy("label").agg(q.alias("q")).select("label", F.col("q")[2].alias("median"), F.col("q")[1].alias("q1"), F.col("q")[0].alias("low"), F.col("q")[3].alias("high"))
+
+
+@query("n7_enrichment")
+def n7(spark, sf):
+    h, f = hits(spark, sf), features(spark, sf)
+    sets = f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene"))
+    return an.enrichment(h.filter("label = 'body' AND score > 60").select(F.col("feature_id").alias("gene")), f.select(F.col("feature_id").alias("gene")), sets)
+
+
+@query("n8_running_enrichment")
+def n8(spark, sf):
+    h, f = hits(spark, sf), features(spark, sf)
+    ranked = h.groupBy(F.col("feature_id").alias("gene")).agg((F.sum("score") - 500).cast("double").alias("score"))
+    return an.running_enrichment(ranked, f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene")))
+
+
+@query("o5_o6_top_genes", f"WITH {HITS} SELECT gene, cast(sum(score) as bigint) AS total FROM hits GROUP BY 1 ORDER BY total DESC, gene LIMIT 20")
+def o5(spark, sf):
+    return hits(spark, sf).groupBy("gene").agg(F.sum("score").alias("total")).orderBy(F.desc("total"), "gene").limit(20)
+
+
+@query("f13_same_sign_genes", "SELECT gene, min(d) AS lo, max(d) AS hi FROM (SELECT gene, feature_id % 7 - 2 AS d FROM features WHERE feature_id % 3 = 0) GROUP BY 1 HAVING (min(d) < 0 AND max(d) < 0) OR (min(d) > 0 AND max(d) > 0)")
+def f13(spark, sf):
+    rows = features(spark, sf).filter("feature_id % 3 = 0").select("gene", (F.col("feature_id") % 7 - 2).alias("d"))
+    return rows.groupBy("gene").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("(lo < 0 AND hi < 0) OR (lo > 0 AND hi > 0)")

@@ -1 +1,168 @@
-"""Queries."""
+"""Queries on sequences, reads and QC tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import sequence as sq
+from ..operators import alignment as al
+from ..plans.fixtures import calls, dna, reads, sites
+from .registry import query, r6
+from .sites import PCT
+
+
+@query("p1_convert_reads", "SELECT doc_id, md5(translate(seq, 'Tt', 'Cc')) AS c_mode, md5(translate(seq, 'Aa', 'Gg')) AS g_mode, length(seq) AS n FROM dna")
+def p1(spark, sf):
+    d = dna(spark, sf)
+    return d.select("doc_id", F.md5(sq.convert(F.col("seq"), "C")).alias("c_mode"), F.md5(sq.convert(F.col("seq"), "G")).alias("g_mode"), F.length("seq").cast("long").alias("n"))
+
+
+@query("p5_reverse_complement", "SELECT doc_id, md5(translate(reverse(seq), 'ACGT', 'TGCA')) AS digest FROM dna")
+def p5(spark, sf):
+    return dna(spark, sf).select("doc_id", F.md5(sq.reverse_complement(F.col("seq"))).alias("digest"))
+
+
+@query("p3_trim", "SELECT doc_id, md5(regexp_replace(regexp_replace(substr(s, 6, greatest(length(s) - 8, 0)), '^N+', ''), 'N+$', '')) AS digest FROM (SELECT doc_id, translate(seq, 'A', 'N') AS s FROM dna)")
+def p3(spark, sf):
+    return dna(spark, sf).select("doc_id", F.md5(sq.trim(F.translate("seq", "A", "N"), 5, 3)).alias("digest"))
+
+
+@query("p4_phred_offset", "SELECT lang, CASE WHEN min(lo) < 59 THEN 33 WHEN max(hi) > 74 THEN 64 ELSE 33 END AS phred FROM (SELECT lang, CASE WHEN contains(seq, 'A') THEN 65 ELSE 67 END AS lo, CASE WHEN contains(seq, 'T') THEN 84 ELSE 71 END AS hi FROM dna) GROUP BY 1")
+def p4(spark, sf):
+    codes = dna(spark, sf).select("lang", F.array_min(F.transform(F.array_distinct(F.split("seq", "")), lambda c: F.ascii(c))).alias("lo"), F.array_max(F.transform(F.array_distinct(F.split("seq", "")), lambda c: F.ascii(c))).alias("hi"))
+    codes = codes.withColumn("lo", F.when(F.col("lo") < 65, 67).otherwise(F.col("lo"))).withColumn("hi", F.greatest("hi", F.lit(71)))
+    return codes.groupBy("lang").agg(sq.phred_offset(F.min("lo"), F.max("hi")).alias("phred"))
+
+
+@query("s5_sequence_lengths", "SELECT source AS ref, cast(sum(length(seq)) as bigint) AS len FROM dna GROUP BY 1")
+def s5(spark, sf):
+    return dna(spark, sf).groupBy(F.col("source").alias("ref")).agg(F.sum(F.length("seq")).alias("len"))
+
+
+SITES = "(SELECT doc_id AS ref, unnest(regexp_extract_all(seq, 'CCGG')) AS x FROM dna)"
+
+
+@query("p15_motif_counts", f"SELECT ref, count(*) AS n FROM {SITES} GROUP BY 1")
+def p15(spark, sf):
+    return al.motif_sites(dna(spark, sf).withColumnRenamed("doc_id", "ref"), "CCGG", 1).groupBy("ref").agg(F.count("*").alias("n"))
+
+
+@query("p16_digest", "SELECT doc_id AS ref, count(*) AS n, max(length(f)) AS longest FROM (SELECT doc_id, unnest(string_split(replace(seq, 'CCGG', 'C|CGG'), '|')) AS f FROM dna) WHERE length(f) > 0 GROUP BY 1")
+def p16(spark, sf):
+    out = al.digest(dna(spark, sf).withColumnRenamed("doc_id", "ref"), "CCGG", 1)
+    return out.groupBy("ref").agg(F.count("*").alias("n"), F.max(F.length("seq")).cast("long").alias("longest"))
+
+
+@query("p17_p18_cg_fragments", "SELECT doc_id AS ref, length(f) AS n, count(*) AS times FROM (SELECT doc_id, unnest(string_split(replace(seq, 'CCGG', 'C|CGG'), '|')) AS f FROM dna) WHERE starts_with(f, 'CG') GROUP BY 1, 2")
+def p17(spark, sf):
+    out = al.digest(dna(spark, sf).withColumnRenamed("doc_id", "ref"), "CCGG", 1).filter("upper(seq) like 'CG%'")
+    return out.groupBy("ref", F.length("seq").cast("long").alias("n")).agg(F.count("*").alias("times"))
+
+
+@query("p6_context_kmers")
+def p6(spark, sf):
+    rows = [(c, w, o) for c in ("CG", "CHG", "CHH", "GCH", "HCG") for w, o in sq.expand_context(c)]
+    return spark.createDataFrame(rows, "context string, kmer string, c_offset int")
+
+
+CIGAR = "concat(soft, 'S', len - soft - ins, 'M', ins, 'I', del, 'D')"
+
+
+@query("p8_cigar_sums", "SELECT qname, mate, ref, pos, cast(soft as bigint) AS clipped, cast(ins + del as bigint) AS gaps, cast(len as bigint) AS query_len, count(*) AS n FROM reads GROUP BY ALL")
+def p8(spark, sf):
+    r = reads(spark, sf).withColumn("cigar", F.expr(CIGAR))
+    cigar = F.col("cigar")
+    out = r.select("qname", "mate", "ref", "pos", sq.cigar_sum(cigar, "SH").alias("clipped"), sq.cigar_sum(cigar, "ID").alias("gaps"), sq.cigar_sum(cigar, "MIS").alias("query_len"))
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
+@query("p9_md_counts", "SELECT qname, mate, mism AS mismatches, del AS deleted, count(*) AS n FROM reads GROUP BY ALL")
+def p9(spark, sf):
+    md = F.concat(F.lit("10"), F.repeat(F.lit("A0"), F.col("mism")), F.when(F.col("del") > 0, F.concat(F.lit("^"), F.repeat(F.lit("C"), F.col("del").cast("int")), F.lit("5"))).otherwise(""))
+    out = reads(spark, sf).select("qname", "mate", sq.md_mismatches(md).alias("mismatches"), sq.md_deletions(md).alias("deleted"))
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
+@query("p11_sam_tags", "SELECT qname, 'C' AS mode, len AS n_meth, count(*) AS n FROM reads GROUP BY 1, 3")
+def p11(spark, sf):
+    tags = F.concat(F.lit("NM:i:1\tZT:Z:C\tZM:i:"), F.col("len").cast("string"))
+    out = reads(spark, sf).select("qname", sq.sam_tag(tags, "ZT").alias("mode"), sq.sam_tag(tags, "ZM").cast("int").alias("n_meth"))
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
+MAPPED = "SELECT *, count(*) OVER (PARTITION BY qname, mate) AS places FROM reads WHERE (flag & 1540) = 0"
+
+
+@query("f3_w9_read_filter", f"SELECT qname, mate, ref, pos, mapq, count(*) AS n FROM ({MAPPED}) WHERE places = 1 AND mapq > 3 AND soft <= floor(0.2 * len + 0.5) AND mism + ins + del <= floor(0.15 * len + 0.5) AND ins + del <= 4 GROUP BY ALL")
+def f3(spark, sf):
+    out = al.filter_reads(reads(spark, sf), 3, "0.2", "0.15", gaps="4").select("qname", "mate", "ref", "pos", "mapq")
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
+@query("w8_best_alignment", "SELECT qname, mate, ref, pos, cost, count(*) AS n FROM (SELECT *, mism + ins + del + soft AS cost, rank() OVER (PARTITION BY qname, mate ORDER BY mism + ins + del + soft) AS k FROM reads) WHERE k = 1 GROUP BY ALL")
+def w8(spark, sf):
+    hits = reads(spark, sf).withColumn("cost", (F.col("mism") + F.col("ins") + F.col("del") + F.col("soft")).cast("int"))
+    out = al.best_alignments(hits).select("qname", "mate", "ref", "pos", "cost")
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
+@query("a13_mapping_summary", """
+    WITH p AS (SELECT qname, mate, count(*) AS places, max(mapq) AS mapq, max(len) AS len, min(flag & 4) AS un, min(flag & 16) AS rev, min(mism + ins + del) AS err FROM reads GROUP BY 1, 2),
+    c AS (SELECT 'total' AS section, 'reads' AS key FROM p UNION ALL SELECT 'status', CASE WHEN un > 0 THEN 'unmapped' WHEN places > 1 THEN 'multi' ELSE 'unique' END FROM p UNION ALL SELECT 'direction', CASE WHEN rev > 0 THEN 'reverse' ELSE 'forward' END FROM p
+          UNION ALL SELECT 'low quality', CASE WHEN mapq < 10 THEN 'true' ELSE 'false' END FROM p UNION ALL SELECT 'places', cast(least(places, 20) as varchar) FROM p UNION ALL SELECT 'length', cast(len as varchar) FROM p UNION ALL SELECT 'errors', cast(err as varchar) FROM p)
+    SELECT section, key, count(*) AS n FROM c GROUP BY 1, 2""")
+def a13(spark, sf):
+    return al.mapping_summary(reads(spark, sf))
+
+
+@query("a14_a15_merged_summary", """
+    WITH c AS (SELECT 'length' AS section, cast(len as varchar) AS key, count(*) AS n FROM (SELECT qname, mate, ref, max(len) AS len FROM reads GROUP BY 1, 2, 3) GROUP BY 2)
+    SELECT section, key, n, round(100.0 * n / sum(n) OVER (), 6) AS percent FROM c""")
+def a14(spark, sf):
+    one = al.mapping_summary(reads(spark, sf).withColumn("qname", F.concat_ws(":", "qname", "ref")))
+    return al.merge_summaries(one.filter("section = 'length'")).withColumn("percent", r6("percent"))
+
+
+@query("a16_g9_methylation_bias", """
+    WITH c AS (SELECT (pos // 20) % 8 AS offs, CASE WHEN read_id % 2 = 0 THEN 'forward' ELSE 'reverse' END AS strand, meth FROM calls)
+    SELECT offs, coalesce(strand, 'both') AS strand, cast(sum(meth) as bigint) AS m, cast(sum(1 - meth) as bigint) AS u, round(cast(sum(meth) as double) / count(*), 6) AS level FROM c GROUP BY GROUPING SETS ((offs, strand), (offs))""")
+def a16(spark, sf):
+    c = calls(spark, sf).withColumns({"offs": (F.floor(F.col("pos") / 20) % 8).cast("long"), "strand": F.when(F.col("read_id") % 2 == 0, "forward").otherwise("reverse")})
+    return al.methylation_bias(c, "offs").withColumn("level", r6("level"))
+
+
+@query("a18_g10_level_by_coverage", f"""
+    WITH c AS (SELECT CASE WHEN cov <= 1 THEN '0-1' WHEN cov <= 5 THEN '1-5' WHEN cov <= 10 THEN '5-10' WHEN cov <= 20 THEN '10-20' ELSE '>20' END AS coverage, cast(least(floor({PCT} * 10 + 1e-9), 9) as bigint) AS decile, count(*) AS n FROM sites WHERE cov > 0 GROUP BY 1, 2)
+    SELECT coverage, decile, n, round(sum(n) OVER (PARTITION BY coverage ORDER BY decile DESC) / sum(n) OVER (PARTITION BY coverage), 6) AS share_above FROM c""")
+def a18(spark, sf):
+    return al.level_by_coverage(sites(spark, sf)).withColumn("share_above", r6("share_above"))
+
+
+@query("a19_level_histogram", f"SELECT sample, cast(floor({PCT} / 0.01 + 1e-9) as bigint) AS bin, count(*) AS n FROM sites WHERE cov > 0 GROUP BY 1, 2")
+def a19(spark, sf):
+    return al.histogram(sites(spark, sf).filter("cov > 0"), F.col("m").cast("double") / F.col("cov"), 0.01, ("sample",))
+
+
+@query("f5_f6_call_filters", "SELECT read_id, ref, pos, meth, baseq FROM calls WHERE baseq >= 20 AND (ref, pos) NOT IN (SELECT ref, pos FROM calls WHERE read_id % 97 = 0)")
+def f5(spark, sf):
+    c = calls(spark, sf)
+    return c.filter("baseq >= 20").join(c.filter("read_id % 97 = 0").select("ref", "pos").distinct(), ["ref", "pos"], "left_anti").select("read_id", "ref", "pos", "meth", "baseq")
+
+
+@query("p14_a27_filled_ends", "SELECT read_id, ref, pos, meth FROM calls WHERE (ref, pos) NOT IN (SELECT ref, start_pos + 1 FROM sites UNION SELECT ref, start_pos + 2 FROM sites)")
+def p14(spark, sf):
+    return al.drop_filled_ends(calls(spark, sf), sites(spark, sf)).select("read_id", "ref", "pos", "meth")
+
+
+@query("s18_bedgraph", f"SELECT sample, ref, start_pos, start_pos + 1 AS end_pos, round({PCT} + 0.1, 6) AS value FROM sites WHERE cov >= 5")
+def s18(spark, sf):
+    from ..sources.writers import bedgraph
+
+    return bedgraph(sites(spark, sf), shift=0.1, min_cov=5).withColumn("value", r6("value"))
+
+
+@query("s20_s21_coloured_bed", f"SELECT sample, ref, start_pos, end_pos, cast(cast(trunc(least(greatest({PCT}, 0), 1) * 255) as int) as varchar) || ',' || cast(255 - cast(trunc(least(greatest({PCT}, 0), 1) * 255) as int) as varchar) || ',0' AS rgb FROM sites WHERE cov >= 5")
+def s20(spark, sf):
+    from ..sources.writers import coloured_bed
+
+    return coloured_bed(sites(spark, sf).filter("cov >= 5")).select("sample", "ref", "start_pos", "end_pos", "rgb")
