@@ -24,7 +24,7 @@ END = U64(0xA0761D6478BD642F)
 GROWTH = 1.5
 LEVELS = 64
 #: Tokens that a task counts before it sends them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 #: Count that stands for each level: the mean of the counts that have it.
 _bounds = np.ceil(GROWTH ** np.arange(LEVELS + 1) - 1e-9)
@@ -71,7 +71,7 @@ def count_ngrams(docs: DataFrame, n_buckets: int) -> DataFrame:
 
         size = 0
         for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
+            for _, _, data, offsets in text_blocks(batch.column(0), 1 << 20):
                 one, two, _ = tokens_of(data, offsets)
                 held[0].append(one)
                 held[1].append(two)
@@ -161,7 +161,7 @@ def train(docs: DataFrame, bits_per_key: int = 10, max_filter_bytes: int = 64 <<
     return Filter(n_buckets, words, first, sizes, sum(r["tokens"] for r in rows), sum(r["types"] for r in rows)), table.select("bucket", "types", "keys", "counts")
 
 
-def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float = 10.0, max_words: int = 6_000_000) -> DataFrame:
+def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float = 10.0, max_words: int = 4_000_000) -> DataFrame:
     """Per row of docs (doc_id, text): n_tokens, n_known, base_score and score.
 
     score is the sum of log10 ((c(vw) + weight * p(w)) / (c(v) + weight)), with
@@ -205,7 +205,7 @@ def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float =
             keys, counts, large = exact.value
             total = np.log10(model.tokens + model.types + 1)
             for batch in batches:
-                for a, b, data, offsets in text_blocks(batch.column(1)):
+                for a, b, data, offsets in text_blocks(batch.column(1), 1 << 20):
                     one, two, row = tokens_of(data, offsets)
                     n = b - a
                     distinct, back = np.unique(one, return_inverse=True)
