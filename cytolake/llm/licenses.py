@@ -89,7 +89,11 @@ def scan_block(data: np.ndarray, offsets: np.ndarray, templates: Templates) -> l
     hits = np.add.reduceat(np.concatenate([hit & inner, [False]]).astype(np.int64), first)
     sizes = n_words - 1
     close = (hits >= templates.low * sizes - 1e-9) & (sizes > 0)
-    near = (3 * hits >= sizes) & (sizes > 0)
+    joint = np.concatenate([hit & (rows[:-1] == rows[1:]), [False]])  # also with the next line's first word
+    before = np.concatenate([[False], joint[:-1]])[first]
+    edges = 2 - np.isin(first, np.searchsorted(rows, rows[first])) - np.isin(first + n_words, np.searchsorted(rows, rows[first], "right"))
+    wide = np.add.reduceat(joint.astype(np.int64), first) + before
+    near = (3 * wide >= sizes + edges) & (wide > 0)
     number = line[first]
     out = []
 
@@ -101,7 +105,7 @@ def scan_block(data: np.ndarray, offsets: np.ndarray, templates: Templates) -> l
         before = int(np.searchsorted(breaks, offsets[row])) + row
         out.append((row, int(number[k]) - before, int(number[last]) - before, *found))
 
-    # passages: runs of lines, a third of whose bigrams occur in templates
+    # passages: runs of lines, a third of whose bigrams, those across line ends too, occur in templates
     k, candidates = 0, np.flatnonzero(near).tolist()
     while k < len(candidates):
         end = k
@@ -123,7 +127,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     """doc_id, first_line, last_line (from 0), license, dice, n_bigrams for each passage near a template.
 
     A passage is a maximal run of lines with words, a third of whose bigrams
-    each occur in some template; where the run as a whole is near none, its
+    each, those across line ends too, occur in some template; where the run as a whole is near none, its
     lines count one by one. Templates whose size rules out `least` are not
     compared. Texts without licences, null and empty ones give no row; whole
     texts are read. Templates are a parameter and go with the tasks.
