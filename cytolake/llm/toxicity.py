@@ -3,7 +3,7 @@
 P(grade > j) = sigmoid(w . x - t_j) for rising thresholds t: one weight vector
 is shared by all of them, and the expected severity is the sum over j. A
 feature is a word or a word's first letters, hashed; its value is how many of a
-hundred words have it.
+hundred words have it, where a word counts as MOST of a hundred at most.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 6)
 BITS = 18
+MOST = 5.0
 #: Words that a worker keeps with their features or weight.
 CACHE = 400_000
 
@@ -59,12 +60,12 @@ def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.
             ids, values = [], []
             for text in batch.column(1).to_pylist():
                 total, share = word_counts(text), Counter()
-                for word, n in total.items():
+                n = total.total()
+                for word, c in total.items():
                     for f in features(word):
-                        share[f] += n
-                n = max(1, total.total())
+                        share[f] += min(100 * c / n, MOST)
                 ids.append(list(share))
-                values.append([100 * v / n for v in share.values()])
+                values.append(list(share.values()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:1], batch.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["doc_id", "grade", "ids", "values"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -74,7 +75,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.
     return pa.compute.list_flatten(rows["ids"]).to_numpy(), pa.compute.list_flatten(rows["values"]).to_numpy(), lengths, rows["grade"].to_numpy()
 
 
-def fit(ids: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.ndarray, n_grades: int, steps: int = 80, penalty: float = 2e-4, rate: float = 0.15, least_docs: int = 3) -> OrdinalModel:
+def fit(ids: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.ndarray, n_grades: int, steps: int = 150, penalty: float = 3e-3, rate: float = 0.05, least_docs: int = 3) -> OrdinalModel:
     """Maximum likelihood with an L2 penalty, by Adam over the whole sample; rare grades weigh more.
 
     Features of fewer than `least_docs` documents have no weight. Without
@@ -86,7 +87,7 @@ def fit(ids: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.nda
     frequent = np.bincount(ids, minlength=1 << BITS) >= least_docs
     chosen = frequent[ids]
     place = np.cumsum(frequent) - 1
-    flat, x, row = place[ids[chosen]].astype(np.int32), np.minimum(values[chosen], 5.0).astype(np.float32), np.repeat(np.arange(n, dtype=np.int32), lengths)[chosen]
+    flat, x, row = place[ids[chosen]].astype(np.int32), values[chosen].astype(np.float32), np.repeat(np.arange(n, dtype=np.int32), lengths)[chosen]
     size = int(frequent.sum())
     above = (grades[:, None] > np.arange(n_grades - 1)).astype(float)
     weight = np.where(grades > 0, np.sqrt((grades == 0).sum() / max(1, (grades > 0).sum())), 1.0)[:, None] / n
@@ -128,7 +129,7 @@ def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, doc_id: str =
                     known.update((w, float(sum(weights[f] for f in features(w)))) for w in new)
                 n = total.total()
                 counts.append(n)
-                sums.append(100 * sum([c * known[w] for w, c in total.items()]) / max(n, 1))
+                sums.append(sum([min(100 * c / n, MOST) * known[w] for w, c in total.items()]))
             words = np.array(counts, np.int64)
             chance = model.chances(np.array(sums, float)) * (words > 0)[:, None]
             grade = (chance >= cut).sum(1).astype(np.int32)
