@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import special
 
@@ -108,29 +109,29 @@ def tukey(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) ->
     both = both.withColumns({"diff": F.col("m2") - F.col("m1"), "spread": F.sqrt(F.col("ss_within") / F.col("df2") / 2 * (1 / F.col("n1") + 1 / F.col("n2")))})
     both = both.filter("spread > 0").withColumn("range", F.abs("diff") / F.col("spread"))
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def upper(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
         return pd.Series([special.tukey_upper(*x) for x in zip(q, k, df, strict=True)])
 
     return both.withColumn("p", upper(F.col("range"), F.col("k"), F.col("df2").cast("double"))).select(*keys, "g1", "g2", "diff", "range", "p")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(special.t_two_sided(t.to_numpy(float), df.to_numpy(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series(special.f_upper(f.to_numpy(float), d1.to_numpy(float), d2.to_numpy(float))).where(f.notna())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(special.chi2_upper(x.to_numpy(float), df.to_numpy(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     """Two-sided p of 2x2 tables: tables with the same margins that are as likely or less; null without reads on a side."""
     a, b, c, d = (x.to_numpy(np.int64) for x in (a, b, c, d))
@@ -246,7 +247,7 @@ def volcano(tests: DataFrame, least: float, cut: float) -> DataFrame:
     return tests.agg(*[F.count_if(c).alias(k) for k, c in counts.items()])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def upper_hypergeometric(k: pd.Series, good: pd.Series, drawn: pd.Series, total: pd.Series) -> pd.Series:
     """P(at least k good ones among those drawn)."""
     lf = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, int(total.max()) + 1)))]) if len(total) else np.zeros(1)

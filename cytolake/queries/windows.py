@@ -105,8 +105,8 @@ def j12(spark, sf):
 
 
 @query("a12_depth_islands", """
-    WITH e AS (SELECT ref, at, sum(step) AS step FROM (SELECT ref, f_start AS at, 1 AS step FROM features UNION ALL SELECT ref, f_end, -1 FROM features) GROUP BY 1, 2 HAVING sum(step) <> 0)
-    SELECT ref, start_pos, end_pos, depth FROM (SELECT ref, at AS start_pos, lead(at) OVER w AS end_pos, cast(sum(step) OVER w as bigint) AS depth FROM e WINDOW w AS (PARTITION BY ref ORDER BY at)) WHERE depth > 0""")
+    WITH e AS (SELECT ref, place, sum(step) AS step FROM (SELECT ref, f_start AS place, 1 AS step FROM features UNION ALL SELECT ref, f_end, -1 FROM features) GROUP BY 1, 2 HAVING sum(step) <> 0)
+    SELECT ref, start_pos, end_pos, depth FROM (SELECT ref, place AS start_pos, lead(place) OVER w AS end_pos, cast(sum(step) OVER w as bigint) AS depth FROM e WINDOW w AS (PARTITION BY ref ORDER BY place)) WHERE depth > 0""")
 def a12(spark, sf):
     return iv.depth_islands(features(spark, sf).select("ref", F.col("f_start").alias("start_pos"), F.col("f_end").alias("end_pos")))
 
