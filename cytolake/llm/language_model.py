@@ -4,7 +4,9 @@ Counts of words and word pairs are quantised to levels 1 + floor(log_b count);
 the filter holds (n-gram, 1) to (n-gram, level). A worker finds a level by
 probing for 1, 2, ... until one is missing, and smooths the probabilities.
 The filter is cut into segments by the n-gram's hash, so each is built where
-its counts meet and no one merges whole filters.
+its counts meet and no one merges whole filters. A corpus is scored in chunks:
+a chunk's n-grams meet their segment where it is built, and only their levels
+and exact counts go back to the chunk, so nothing but totals is held whole.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,8 @@ GROWTH = 1.5
 LEVELS = 64
 #: Tokens that a task counts before it sends them on.
 FLUSH = 1_000_000
+#: Bytes of text in a chunk, at least, but for the last of a task.
+CHUNK = 4 << 20
 
 #: Count that stands for each level: the mean of the counts that have it.
 _bounds = np.ceil(GROWTH ** np.arange(LEVELS + 1) - 1e-9)
@@ -94,25 +99,40 @@ def probe_places(keys: np.ndarray, level: int | np.ndarray, n_words: int | np.nd
     return ((h >> U64(24)) % np.asarray(n_words, U64)).astype(np.int64), mask
 
 
-def build_segments(counted: DataFrame, n_buckets: int, bits_per_key: int, max_bytes: int) -> DataFrame:
+def summed(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of several lists, their summed counts, and which of them each key in the lists is."""
+    every = np.frombuffer(b"".join(keys), U64)
+    distinct, which = np.unique(every, return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, which, np.frombuffer(b"".join(counts), "<u4").astype(np.int64))
+    return distinct, total, which
+
+
+def segment(keys: np.ndarray, counts: np.ndarray, bits_per_key: int) -> np.ndarray:
+    """The filter's words for n-grams and their counts; it grows with them."""
+    levels = level_of(counts)
+    words = np.zeros(int(levels.sum()) * bits_per_key // 64 + 1, U64)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        place, mask = probe_places(keys[levels >= level], level, len(words))
+        np.bitwise_or.at(words, place, mask)
+    return words
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Exact counts in 4 bytes each, or in 8 if one needs them."""
+    return counts.astype("<u4" if counts.max(initial=0) < 2**32 else "<i8").tobytes()
+
+
+def build_segments(counted: DataFrame, bits_per_key: int) -> DataFrame:
     """Per bucket: number of tokens and of distinct ones, their hashes and exact counts, and the filter's segment."""
-    most = max(1, max_bytes // 8 // n_buckets)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, totals = {}, {}
         for n in (1, 2):
             part = pdf[pdf["n"] == n]
-            all_keys = np.frombuffer(b"".join(part["keys"]), U64)
-            order = np.argsort(all_keys, kind="stable")
-            all_keys, counts = all_keys[order], np.frombuffer(b"".join(part["counts"]), "<u4")[order].astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]])) if len(all_keys) else np.zeros(0, np.int64)
-            keys[n], totals[n] = all_keys[first], np.add.reduceat(counts, first) if len(first) else counts
-        every, levels = np.concatenate([keys[1], keys[2]]), level_of(np.concatenate([totals[1], totals[2]]))
-        words = np.zeros(min(most, max(1, int(levels.sum()) * bits_per_key // 64 + 1)), U64)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            place, mask = probe_places(every[levels >= level], level, len(words))
-            np.bitwise_or.at(words, place, mask)
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "tokens": totals[1].sum(), "types": len(keys[1]), "keys": [keys[1].tobytes()], "counts": [totals[1].astype("<u4" if totals[1].max(initial=0) < 2**32 else "<i8").tobytes()], "segment": [words.tobytes()]})
+            keys[n], totals[n], _ = summed(part["keys"].tolist(), part["counts"].tolist())
+        words = segment(np.concatenate([keys[1], keys[2]]), np.concatenate([totals[1], totals[2]]), bits_per_key)
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "tokens": totals[1].sum(), "types": len(keys[1]), "keys": [keys[1].tobytes()], "counts": [packed(totals[1])], "segment": [words.tobytes()]})
 
     return counted.groupBy("bucket").applyInPandas(build, "bucket int, tokens long, types long, keys binary, counts binary, segment binary")
 
@@ -141,15 +161,19 @@ class Filter:
         return out
 
 
-def train(docs: DataFrame, bits_per_key: int = 10, max_filter_bytes: int = 64 << 20) -> tuple[Filter, DataFrame]:
+def buckets(docs: DataFrame) -> int:
+    return 1 << min(16, max(4, (docs.count() // 1000).bit_length()))
+
+
+def train(docs: DataFrame, bits_per_key: int = 10) -> tuple[Filter, DataFrame]:
     """The filter, and the exact counts of words as a table (bucket, keys, counts).
 
-    Buckets follow the number of documents. The filter never goes over
-    `max_filter_bytes`; beyond bits_per_key * n-grams that size, all n-grams are
-    still inserted and false positives become more frequent.
+    Buckets follow the number of documents. The filter is held whole, here and
+    in the tasks of `score`, and grows with the n-grams; for a corpus of any
+    size, score_corpus holds none.
     """
-    n_buckets = 1 << min(16, max(4, (docs.count() // 1000).bit_length()))
-    table = materialise(build_segments(count_ngrams(docs, n_buckets), n_buckets, bits_per_key, max_filter_bytes), "ngrams")
+    n_buckets = buckets(docs)
+    table = materialise(build_segments(count_ngrams(docs, n_buckets), bits_per_key), "ngrams")
     rows = table.select("bucket", "tokens", "types", (F.length("segment") / 8).cast("long").alias("size")).collect()
     first, sizes = np.zeros(n_buckets, np.int64), np.zeros(n_buckets, np.int64)
     for r in rows:
@@ -240,10 +264,122 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
 
 
-def score_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def chunks(docs: DataFrame) -> DataFrame:
+    """chunk, and lists of the columns of docs (doc_id, text, trained), one row per chunk."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size, held = TaskContext.get().partitionId() << 32, 0, []
+
+        def whole() -> pa.RecordBatch:
+            lists = [pa.concat_arrays(c) for c in zip(*[p.columns for p in held], strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in lists]], ["chunk", "doc_id", "text", "trained"])
+
+        for batch in batches:
+            for a, b, data, _ in text_blocks(batch.column(1), CHUNK):
+                held.append(batch.slice(a, b - a))
+                size += len(data)
+                if size >= CHUNK:
+                    yield whole()
+                    number, size = number + 1, 0
+        if held:
+            yield whole()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", "trained").mapInArrow(gather, f"chunk long, doc_id array<{kind}>, text array<string>, trained array<boolean>")
+
+
+def chunk_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """tokens_of all texts of a chunk."""
+    parts = [(one, two, row + a) for a, _, data, offsets in text_blocks(texts, 1 << 20) for one, two, row in [tokens_of(data, offsets)]]
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def count_chunks(table: DataFrame, n_buckets: int) -> DataFrame:
+    """bucket, chunk, n (1 or 2), keys (sorted hashes of all the chunk's n-grams in the bucket) and counts (in texts to train on; 32-bit)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.arange(1, n_buckets, dtype=U64) << U64(64 - n_buckets.bit_length() + 1)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one, two, row = chunk_tokens(batch.column(1)[i].values)
+                mine = batch.column(2)[i].values.to_numpy(zero_copy_only=False).astype(bool)[row]
+                bucket, order, keys, counts = [], [], [], []
+                for n, tokens in enumerate((one, two), 1):
+                    distinct = np.unique(tokens)
+                    known, times = np.unique(tokens[mine], return_counts=True)
+                    all_times = np.zeros(len(distinct), "<u4")
+                    all_times[np.searchsorted(distinct, known)] = times
+                    cut = np.searchsorted(distinct, edges)
+                    for b, (k, c) in enumerate(zip(np.split(distinct, cut), np.split(all_times, cut), strict=True)):
+                        if len(k):
+                            bucket.append(b)
+                            order.append(n)
+                            keys.append(k.tobytes())
+                            counts.append(c.tobytes())
+                chunk = pa.array([batch.column(0)[i].as_py()] * len(bucket), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), chunk, pa.array(order, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "chunk", "n", "keys", "counts"])
+
+    return table.select("chunk", "text", "trained").mapInArrow(count, "bucket int, chunk long, n int, keys binary, counts binary")
+
+
+def answer_chunks(counted: DataFrame, bits_per_key: int) -> DataFrame:
+    """Per row of counted: chunk, bucket, n, the keys' levels in the filter (a byte each), exact counts of words, and the bucket's tokens and types."""
+
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, found = [], {}
+        for n in (1, 2):
+            found[n] = summed(pdf["keys"][pdf["n"] == n].tolist(), pdf["counts"][pdf["n"] == n].tolist())
+        every, totals = (np.concatenate([found[1][k], found[2][k]]) for k in (0, 1))
+        words = segment(every[totals > 0], totals[totals > 0], bits_per_key)
+        model = Filter(1, words, np.array([0]), np.array([len(words)]), 0, 0)
+        for n, (keys, totals, which) in found.items():
+            rows = pdf.loc[pdf["n"] == n, ["chunk", "bucket", "n"]]
+            sizes = pdf["keys"][pdf["n"] == n].str.len().to_numpy(np.int64) // 8
+            ends = np.cumsum(sizes)
+            levels = model.levels(keys).astype(np.uint8)[which]
+            exact = totals[which]
+            out.append(rows.assign(levels=[levels[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)], counts=[packed(exact[e - s : e]) if n == 1 else b"" for s, e in zip(sizes, ends, strict=True)]))
+        totals = found[1][1]
+        return pd.concat(out).assign(tokens=totals.sum(), types=(totals > 0).sum())
+
+    return counted.groupBy("bucket").applyInPandas(answer, "chunk long, bucket int, n int, levels binary, counts binary, tokens long, types long")
+
+
+def score_chunks(table: DataFrame, answers: DataFrame, tokens: int, types: int, weight: float) -> DataFrame:
+    """Per text of the chunks what `score` gives."""
+    total = np.log10(tokens + types + 1)
+
+    def rate(texts: pa.Table, found: pa.Table) -> pa.Table:
+        ids, column = (texts.column(c).combine_chunks()[0].values for c in ("doc_id", "text"))
+        one, two, row = chunk_tokens(column)
+        n = len(column)
+        rows = found.sort_by("bucket").select(["n", "levels", "counts"]).to_pylist()  # buckets are in the order of the hashes
+        single, pair = (ESTIMATE[np.frombuffer(b"".join(r["levels"] for r in rows if r["n"] == k), np.uint8)] for k in (1, 2))
+        exact = np.concatenate([np.frombuffer(r["counts"], "<u4" if len(r["counts"]) == 4 * len(r["levels"]) else "<i8").astype(np.int64) for r in rows if r["n"] == 1])
+        distinct, pairs = np.unique(one), np.unique(two)
+        back = np.searchsorted(distinct, one)
+        c, now = exact[back], single[back]
+        before = np.concatenate([[single[np.searchsorted(distinct, END)]], now[:-1]])
+        both = np.minimum(pair[np.searchsorted(pairs, two)], np.minimum(before, now))
+        chance = (now + 1) / (tokens + types + 1)
+        mine = np.bincount(row, np.log10((both + weight * chance) / (before + weight)), n)
+        length = np.bincount(row, minlength=n)
+        known = np.bincount(row[c > 0], minlength=n)
+        base = np.bincount(row, np.log10(c + 1.0), n) - total * length
+        return pa.table([ids, *map(pa.array, (length, known, base, mine))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    kind = table.schema["doc_id"].dataType.elementType.simpleString()
+    asked = table.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(answers.select("chunk", "bucket", "n", "levels", "counts").groupBy("chunk"))
+    return asked.applyInArrow(rate, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+
+
+def score_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits_per_key: int = 10, weight: float = 10.0) -> DataFrame:
     """Trains on the documents that are not held out and scores all of them."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    model, vocabulary = train(own.filter(~held_out("doc_id")), **options)
-    tokens = model.tokens
-    rows = score(own, model, vocabulary)
+    table = materialise(chunks(own.withColumn("trained", ~held_out("doc_id"))), "chunks")
+    answers = materialise(answer_chunks(count_chunks(table, buckets(own)), bits_per_key), "levels")
+    sums = answers.groupBy("bucket").agg(F.first("tokens").alias("tokens"), F.first("types").alias("types")).agg(F.sum("tokens"), F.sum("types")).first()
+    tokens, types = (int(x or 0) for x in sums)
+    rows = score_chunks(table, answers, tokens, types, weight)
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -187,6 +187,26 @@ def test_language_model_base_and_score(spark):
     assert whole.keys() == parts.keys() and all(math.isclose(whole[k], parts[k], rel_tol=1e-9) for k in whole)
 
 
+def test_language_model_filter_grows(spark):
+    """A segment has its bits for each n-gram and level however many there are, and scores follow exact levels."""
+    keys = language_model.mix(np.arange(5_000_000, dtype=np.uint64))
+    words = language_model.segment(keys, np.ones(len(keys), np.int64), 10)
+    model = language_model.Filter(1, words, np.array([0]), np.array([len(words)]), 1, 1)
+    assert (model.levels(language_model.mix(np.arange(10**8, 10**8 + 20000, dtype=np.uint64))) > 0).mean() < 0.05
+    rows = [(i, prose(80, i % 90)) for i in range(200)] + [(300, None), (None, prose(30, 5))]
+    split = lambda t: [*(t or "").split(), None]
+    trained = [split(t) for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    one, two = Counter(w for t in trained for w in t), Counter(p for t in trained for p in pairwise([None, *t]))
+    about = lambda c: float(language_model.ESTIMATE[language_model.level_of(np.array([c]))[0]]) if c else 0.0
+    size, texts = one.total() + len(one) + 1, dict(rows)
+    for r in language_model.score_corpus(frame(spark, rows).repartition(3), bits_per_key=60).collect():
+        expected = 0.0
+        for v, w in pairwise([None, *split(texts[r["doc_id"]])]):
+            a, b = about(one[v]), about(one[w])
+            expected += math.log10((min(about(two[v, w]), a, b) + 10 * (b + 1) / size) / (a + 10))
+        assert math.isclose(r["score"], expected, rel_tol=2e-2, abs_tol=1e-9)
+
+
 def test_filter_has_no_false_negatives():
     keys = language_model.mix(np.arange(5000, dtype=np.uint64))
     words = np.zeros(2000, np.uint64)
