@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import U64, find_words, hash_words, mix, shingle, text_blocks
+from .common import _BASE, U64, find_words, hash_words, mix, shingle, text_blocks
 
 WORDS, PASSAGE, HASHES = 5, 50, 3
 RUN = PASSAGE - WORDS + 1  # shingles of the shortest passage
@@ -223,12 +223,61 @@ def link_pairs(records: np.ndarray, words: np.ndarray, a: np.ndarray, b: np.ndar
     return np.concatenate(out), np.concatenate(left), np.concatenate(right)
 
 
+def link_exact(records: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of records (in the order of key and document) for each run of PASSAGE same words around c that a smaller document has too, whose they are, and which records they cover whole.
+
+    For each distance of the first word from c, records that agree in key and
+    words are a group, linked with its smallest document; a record stays with
+    the partner it has while that is in its group.
+    """
+    n = len(records)
+    last = U64(pow(_BASE, PASSAGE - 1, 1 << 64))
+    partner, since, covered = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    total, links, whose = np.zeros(n, U64), [np.zeros(0, LINK)], [np.zeros(0, np.int64)]
+    for t in range(PASSAGE):
+        total = total * U64(_BASE) + words[:, BEFORE + PASSAGE - 1 - t]
+
+    def close(i: np.ndarray, o: int) -> None:
+        i = i[partner[i] >= 0]
+        j = partner[i]
+        link = np.zeros(len(i), LINK)
+        link["doc"], link["kept"] = records["doc"][i], records["doc"][j]
+        link["start"], link["kept_start"] = records["at"][i] - (o - 1), records["at"][j] - (o - 1)
+        link["end"] = records["at"][i] - since[i] + PASSAGE
+        links.append(link)
+        whose.append(i)
+
+    for o in range(RUN):
+        if o:
+            total = (total - words[:, BEFORE + PASSAGE - o] * last) * U64(_BASE) + words[:, BEFORE - o]
+        fits = (records["left"] >= o) & (records["right"] >= RUN - 1 - o)
+        hashes = mix(records["key"] ^ mix(total + U64(o + 1)))
+        rows = np.flatnonzero(fits)
+        rows = rows[np.argsort(hashes[rows], kind="stable")]
+        begin, size = runs_of(hashes[rows])
+        found = np.full(n, -1)
+        first = np.repeat(rows[begin], size)
+        found[rows] = np.where(records["doc"][first] != records["doc"][rows], first, -1)
+        held = np.maximum(partner, 0)
+        stays = (partner >= 0) & (found >= 0) & fits[held] & (hashes[held] == hashes)
+        found[stays] = partner[stays]
+        covered += found >= 0
+        change = np.flatnonzero(found != partner)
+        close(change, o)
+        partner[change], since[change] = found[change], o
+    close(np.arange(n), RUN)
+    places = records["left"].astype(np.int64) + records["right"] - RUN + 2
+    return np.concatenate(links), np.concatenate(whose), (covered >= places) & (records["more"] == 0)
+
+
 def join_windows(records: np.ndarray, least: float) -> np.ndarray:
-    """Links between windows with the same key and one same part that share a passage.
+    """Links between windows with the same key that share a passage.
 
-    In each set the first window (by document and place) is compared with all;
-    then the first that has no link yet is compared with all, until all have
-    one or have been first. Like windows of one document go through this once
+    Passages of the same words are found whole by link_exact. For near ones,
+    in each set with one same part the first window (by document and place) that
+    isn't covered from end to end is compared with all; then the first that has
+    no such link yet is compared with all, until all have one or have been
+    first. Like windows of one document go through this once
     and share their links.
     """
     records = records[np.lexsort((records["at"], records["doc"], records["key"]))]
@@ -246,9 +295,9 @@ def join_windows(records: np.ndarray, least: float) -> np.ndarray:
     chiefs = np.flatnonzero(~twin)
     del chief, content, order
 
-    linked = np.zeros(len(records), bool)
-    links, dups = [np.zeros(0, LINK)], [np.zeros(0, np.int64)]
     words = unpack(records)
+    exact, whose, linked = link_exact(records, words)
+    links, dups = [exact], [whose]
     for part in range(6):
         rows, keys = part_keys(records, words, part)
         order = np.argsort(keys, kind="stable")
@@ -263,10 +312,10 @@ def join_windows(records: np.ndarray, least: float) -> np.ndarray:
             here = np.flatnonzero((leader < len(rows))[group])
             lead = leader[group[here]]
             other = records["doc"][rows[here]] != records["doc"][rows[lead]]
-            found, i, j = link_pairs(records, words, rows[here[other]], rows[lead[other]], least)
+            found, i, _ = link_pairs(records, words, rows[here[other]], rows[lead[other]], least)
             links.append(found)
             dups.append(i)
-            linked[i] = linked[j] = True
+            linked[i] = True
             waiting[leader[leader < len(rows)]] = False
             waiting &= ~linked[rows]
             keep = np.repeat(np.bitwise_or.reduceat(waiting, begin), size)

@@ -240,6 +240,16 @@ def test_substring_dedup_covers_exact_repeats(spark):
     assert substring_dedup.repeated_passages(frame(spark, []).limit(0)).count() == 0
 
 
+def test_substring_dedup_covers_what_a_later_partner_shares(spark):
+    rows = []
+    for k, (short, long) in enumerate([(60, 65), (60, 70), (60, 80), (60, 90), (200, 210)] * 6):
+        words = prose(long, 2000 + k).split()
+        rows += [(100 * k + j, f"{prose(80, 9000 + 10 * k + j)} {' '.join(words[:n])} {prose(80, 9500 + 10 * k + j)}") for j, n in enumerate((short, long, long), 1)]
+    found = substring_dedup.repeated_passages(frame(spark, rows)).collect()
+    covered = {(r["doc_id"], w) for r in found for w in range(r["start_word"], r["end_word"])}
+    assert passages_by_brute_force(rows) <= covered
+
+
 def test_cut_repeats(spark):
     shared = prose(80, 1)
     rows = [(1, f"first {shared} end"), (2, f"second\n{shared}\nlast"), (3, shared), (4, None), (5, ""), (6, "short text")]
