@@ -211,6 +211,22 @@ def open_sets(bands: DataFrame, waiting: DataFrame, labels: DataFrame, signature
     return rows.join(several, ["sketch", "value"], "left_semi").join(signatures, "node")
 
 
+def parted_sets(bands: DataFrame, labels: DataFrame, table: DataFrame) -> DataFrame:
+    """Bands of the sets of several classes of texts in `table`, with labels, sketches and wide signatures.
+
+    All wait but those of a set's largest class, so of two texts of different
+    classes in a set one waits.
+    """
+    rows = bands.join(table.select("node"), "node", "left_semi").join(labels, "node", "left")
+    rows = materialise(rows.select("node", F.coalesce("label", "node").alias("label"), "sketch", "value"), "open")
+    sizes = rows.groupBy("sketch", "value", "label").agg(F.count("*").alias("n"))
+    several = sizes.groupBy("sketch", "value").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("classes")).filter("classes > 1")
+    rows = materialise(rows.join(several, ["sketch", "value"]).select("node", "label", "sketch", "value", (F.col("label") != F.col("largest")).alias("waiting")), "parted")
+    signatures = wide_signatures(table.join(rows.select("node").distinct(), "node", "left_semi"))
+    lists = bands.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sketch", "value")))["value"].alias("sketches"))
+    return rows.join(signatures.join(lists, "node"), "node")
+
+
 def candidates(bands: DataFrame, n_buckets: int, least: float, mode: str) -> DataFrame:
     """Pairs (node, leader, sketch, value, alike) of bands (node, label, sketch, value, signature, waiting) with the same sketch.
 
@@ -279,8 +295,9 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id",
     those one stands for all. Candidates are verified by alignment, first the
     most alike one for each text. A text that is then not in the class of one it
     is a candidate with is compared with those of its sets that are in other
-    classes: in one more round with the most alike, in the end with all that a
-    wide signature does not rule out, so links between classes are not lost. Classes are the connected components. A text without
+    classes: in one more round with the most alike. In the end all texts of
+    sets of several classes meet all of other classes that a wide signature does
+    not rule out, so links between classes are not lost. Classes are the connected components. A text without
     words, null or empty, and a row without id are classes of their own. Rows
     with the same id count as one document.
     """
@@ -303,13 +320,12 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id",
         asked = materialise(candidates(open_sets(bands, waiting, labels, copies.select("node", "signature")), n_buckets, least, "best"), "asked")
         if asked.isEmpty():
             break
-    else:
-        asked = materialise(candidates(open_sets(bands, waiting, labels, wide_signatures(table).join(copies.select("node", "sketches"), "node")), n_buckets, least, "all"), "asked")
-        pairs = asked.groupBy(F.greatest("node", "leader").alias("node"), F.least("node", "leader").alias("leader")).agg(F.max("alike").alias("alike"))
-        pairs = materialise(pairs, "pairs")
-        for low, most in ((least, 2.0), (0.0, least)):
-            some = materialise(apart(pairs.filter((F.col("alike") >= low) & (F.col("alike") < most)), labels), "some")
-            labels = linked(labels, verify(some.select("node", "leader"), table, least))
+    asked = materialise(candidates(parted_sets(bands.select("node", "sketch", "value"), labels, table), n_buckets, least, "all"), "asked")
+    pairs = asked.groupBy(F.greatest("node", "leader").alias("node"), F.least("node", "leader").alias("leader")).agg(F.max("alike").alias("alike"))
+    pairs = materialise(pairs, "pairs")
+    for low, most in ((least, 2.0), (0.0, least)):
+        some = materialise(apart(pairs.filter((F.col("alike") >= low) & (F.col("alike") < most)), labels), "some")
+        labels = linked(labels, verify(some.select("node", "leader"), table, least))
     result = rows.join(copies.select("k1", "k2", "n_words", "node"), ["k1", "k2", "n_words"], "left")
     real_row = F.expr("n_words > 0 AND doc_id IS NOT NULL")
     result = result.join(labels, "node", "left")

@@ -298,6 +298,28 @@ def test_near_dedup_equals_brute_force(spark):
     assert near_dedup.near_duplicates(frame(spark, []).limit(0)).count() == 0
 
 
+def test_near_dedup_links_a_family_of_chains(spark):
+    rng = random.Random(8)
+    texts = [prose(200, 8).split()]
+    for k in range(1, 240):
+        words = list(rng.choice(texts))
+        for x in range(4):
+            words[rng.randrange(200)] = f"new{k}x{x}"
+        texts.append(words)
+    ids = random.Random(1).sample(range(240), 240)
+    rows = [(i, " ".join(words)) for i, words in zip(ids, texts, strict=True)]
+    shingles = [{tuple(w[k : k + 5]) for k in range(196)} for w in texts]
+    label = {i: i for i in ids}
+    for a in range(240):
+        for b in range(a):
+            both = len(shingles[a] & shingles[b])
+            if 5 * both >= 4 * (392 - both) and label[ids[a]] != label[ids[b]]:
+                old, new = max(label[ids[a]], label[ids[b]]), min(label[ids[a]], label[ids[b]])
+                label = {k: new if v == old else v for k, v in label.items()}
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == label
+
+
 def test_alignment_counts_order():
     a = np.arange(100, dtype=np.uint32)
     assert near_dedup.aligned(a, a, 0.8) and near_dedup.aligned(a, a[:90], 0.8)
