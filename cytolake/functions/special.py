@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 
@@ -135,7 +137,7 @@ def ks_distance(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def ansari_bradley(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """AB statistic of x and the two-sided p of its normal limit with ties."""
+    """AB statistic of x and its two-sided p: exact below 50 values a side without ties, else the normal limit with ties."""
     n, m = len(x), len(y)
     if not n or not m:
         return math.nan, math.nan
@@ -143,10 +145,38 @@ def ansari_bradley(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     ranks = average_ranks(np.concatenate([x, y]))
     scores = np.minimum(ranks, total - ranks + 1)
     ab = float(scores[:n].sum())
+    if n < 50 and m < 50 and len(np.unique(ranks)) == total:
+        ways = np.zeros((n + 1, int(scores.sum()) + 1))  # ways[k]: k of the scores so far, by their sum
+        ways[0, 0] = 1
+        for s in scores.astype(int):
+            ways[1:, s:] += ways[:-1, : ways.shape[1] - s].copy()
+        chance = ways[n] / ways[n].sum()
+        low, high = chance[: int(ab) + 1].sum(), chance[int(ab) :].sum()
+        return ab, min(1.0, 2 * float(min(low, high)))
     sigma = math.sqrt(n * m * scores.var() / (total - 1)) if total > 1 else 0.0
     return ab, float(normal_two_sided((ab - n * scores.mean()) / sigma)) if sigma else math.nan
 
 
+def signed_rank(d: np.ndarray) -> tuple[float, float]:
+    """V, the sum of the ranks of positive differences, and its two-sided p: exact below 50 without ties or zeros, else normal with a continuity correction."""
+    own = d[d != 0]
+    n = len(own)
+    if not n:
+        return math.nan, math.nan
+    ranks = average_ranks(np.abs(own))
+    v = float(ranks[own > 0].sum())
+    if n < 50 and n == len(d) and len(np.unique(ranks)) == n:
+        ways = np.zeros(n * (n + 1) // 2 + 1)
+        ways[0] = 1
+        for r in range(1, n + 1):
+            ways[r:] = ways[r:] + ways[:-r]
+        chance = ways / ways.sum()
+        return v, min(1.0, 2 * float(min(chance[: int(v) + 1].sum(), chance[int(v) :].sum())))
+    _, counts = np.unique(ranks, return_counts=True)
+    z, sigma = v - n * (n + 1) / 4, math.sqrt(n * (n + 1) * (2 * n + 1) / 24 - (counts**3 - counts).sum() / 48)
+    return v, float(normal_two_sided((z - math.copysign(0.5, z) * (z != 0)) / sigma)) if sigma else math.nan
+
+
 def cucconi_statistic(ranks: np.ndarray, n: int) -> float:
     total = len(ranks)
     m, r = total - n, ranks[:n]
@@ -158,8 +188,13 @@ def cucconi_statistic(ranks: np.ndarray, n: int) -> float:
 
 
 def permuted(statistic, ranks: np.ndarray, n: int, draws: int, seed: int) -> float:
-    """Share of random draws whose statistic is as large or larger."""
-    rng, own = np.random.default_rng(seed), statistic(ranks, n)
+    """Share of splits whose statistic is as large or larger: of all splits if they are no more than `draws`, else of random ones."""
+    own = statistic(ranks, n)
+    if math.comb(len(ranks), n) <= draws:
+        every = np.arange(len(ranks))
+        splits = (np.concatenate([ranks[list(c)], ranks[np.setdiff1d(every, c)]]) for c in combinations(range(len(ranks)), n))
+        return float(np.mean([statistic(x, n) >= own - 1e-12 for x in splits]))
+    rng = np.random.default_rng(seed)
     return sum(statistic(rng.permutation(ranks), n) >= own - 1e-12 for _ in range(draws)) / draws
 
 
@@ -187,15 +222,29 @@ def lepage(x: np.ndarray, y: np.ndarray, draws: int = 2000, seed: int = 1) -> tu
     return lepage_statistic(ranks, len(x)), permuted(lepage_statistic, ranks, len(x), draws, seed)
 
 
-def tukey_upper(q: float, groups: int, df: float) -> float:
-    """Upper tail of the studentised range, by numerical integration over the spread and the normal range."""
-    if not q > 0 or not df > 0:
-        return math.nan if q != q else 1.0
-    z = np.linspace(-8, 8, 801)
-    phi = np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
-    cdf = 1 - 0.5 * _erfc(z / math.sqrt(2))
-    s = np.exp(np.linspace(math.log(1e-3), math.log(6), 400))
-    log_density = df / 2 * math.log(df / 2) - math.lgamma(df / 2) + math.log(2) + (df - 1) * np.log(s) - df * s * s / 2
-    shifted = 1 - 0.5 * _erfc((z[None, :] - q * s[:, None]) / math.sqrt(2))
-    inner = groups * np.trapezoid(phi * np.maximum(cdf - shifted, 0) ** (groups - 1), z, axis=1)
-    return float(min(1.0, max(0.0, 1 - np.trapezoid(inner * np.exp(log_density), s))))
+@lru_cache(32)
+def _normal_range(groups: int, step: float = 0.01, reach: int = 1600) -> np.ndarray:
+    """P(range of `groups` normal values <= r) for r on a lattice of `step`; the lattice of the integral is the same, so one table of the normal distribution serves all."""
+    z = np.arange(-800, 801)
+    cdf = 1 - 0.5 * _erfc(np.arange(-800 - reach, 801) * step / math.sqrt(2))
+    density = np.exp(-((z * step) ** 2) / 2) / math.sqrt(2 * math.pi)
+    own = cdf[z + 800 + reach]
+    return np.array([groups * np.trapezoid(density * np.maximum(own - cdf[z + 800 + reach - r], 0) ** (groups - 1), dx=step) for r in range(reach + 1)])
+
+
+def tukey_upper(q: np.ndarray, groups: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """Upper tail of the studentised range: the range's distribution, tabulated once for each number of groups, averaged over the spread."""
+    q, groups, df = np.broadcast_arrays(np.asarray(q, float), np.asarray(groups), np.asarray(df, float))
+    nodes, weights = np.polynomial.legendre.leggauss(200)
+    out = np.where(np.isnan(q), np.nan, 1.0)
+    for k, d in {(int(k), float(d)) for k, d in zip(groups, df, strict=True) if d > 0}:
+        rows = np.flatnonzero((groups == k) & (df == d) & (q > 0))
+        low, high = max(1e-6, 1 - 9 / math.sqrt(2 * d)), 1 + 9 / math.sqrt(2 * d)
+        s = low + (nodes + 1) * (high - low) / 2
+        density = np.exp(d / 2 * math.log(d / 2) - math.lgamma(d / 2) + math.log(2) + (d - 1) * np.log(s) - d * s * s / 2) * weights * (high - low) / 2
+        table = _normal_range(k)
+        for at in range(0, len(rows), 10_000):
+            part = rows[at : at + 10_000]
+            below = np.interp(q[part, None] * s * 100, np.arange(len(table)), table)
+            out[part] = np.clip(1 - below @ density, 0, 1)
+    return out

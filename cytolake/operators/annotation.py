@@ -26,16 +26,20 @@ def priority(label: Column, letters: str = "U53DEI") -> Column:
 def location_class(up5: int = 1000, down5: int = 0, up3: int = 0, down3: int = 0) -> Column:
     """One label for a site (start_pos, end_pos) and a feature (f_start, f_end, strand).
 
-    On the minus strand upstream lies behind the feature. The inner margins are
-    a third of the feature where they would meet.
+    Two lengths along the gene's own direction say it all: how far the site
+    reaches in from the gene's start (`entered`, negative before it), and how
+    much gene lies ahead of the site's near end (`ahead`, negative past it). The
+    strand only swaps them. The inner margins are a third of the feature where
+    they would meet.
     """
-    s, t, b, e = (F.col(c) for c in ("start_pos", "end_pos", "f_start", "f_end"))
-    size = e - b
-    room = size - down5 - down3 > max(down5, down3)
-    in5, in3 = F.when(room, down5).otherwise(F.floor(size / 3)), F.when(room, down3).otherwise(F.floor(size / 3))
-    plus = F.when(s >= e + up3, "fardown").when(t <= b - up5, "farup").when((s < e - in3) & (t > b + in5), "body").when((s <= b + in5) & (t > b - up5), "upstream").otherwise("downstream")
-    minus = F.when(t <= b - up3, "fardown").when(s >= e + up5, "farup").when((t > b + in3) & (s < e - in5), "body").when((t >= e - in5) & (s < e + up5), "upstream").otherwise("downstream")
-    return F.when(F.col("strand") == "-", minus).otherwise(plus)
+    from_left, from_right = F.col("end_pos") - F.col("f_start"), F.col("f_end") - F.col("start_pos")
+    minus = F.col("strand") == "-"
+    entered, ahead = F.when(minus, from_right).otherwise(from_left), F.when(minus, from_left).otherwise(from_right)
+    size = F.col("f_end") - F.col("f_start")
+    meet = size <= down5 + down3 + max(down5, down3)
+    margin5, margin3 = (F.when(meet, F.floor(size / 3)).otherwise(m) for m in (down5, down3))
+    inside = F.when((entered > margin5) & (ahead > margin3), "body").when(size - ahead <= margin5, "upstream").otherwise("downstream")
+    return F.when(ahead <= -up3, "fardown").when(entered <= -up5, "farup").otherwise(inside)
 
 
 def exon_parts(sites: DataFrame) -> DataFrame:
@@ -154,19 +158,41 @@ def lookup_ids(rows: DataFrame, names: DataFrame, keys: list[str], column: str =
 
 
 def enrichment(hits: DataFrame, background: DataFrame, sets: DataFrame) -> DataFrame:
-    """Hypergeometric tail of each set (set_name, gene) among hit genes, within the background (gene): overlap, sizes and p."""
-    from .stats import upper_hypergeometric
+    """Tests of each set (set_name, gene) among hit genes, within the background (gene).
+
+    n_set, n_overlap, fold; p is the hypergeometric tail, ease the same with one
+    hit less (a gentler score that single genes can't carry), bonferroni and q
+    (Benjamini and Hochberg) adjust ease over all sets. Sets are as many as a
+    table of annotations has, so they may be ranked together.
+    """
+    from .stats import bh_adjust, upper_hypergeometric
 
     universe = background.select("gene").distinct()
     inside, chosen = sets.select("set_name", "gene").distinct().join(universe, "gene"), hits.select("gene").distinct().join(universe, "gene")
     n_all, n_hit = universe.count(), chosen.count()
     counts = inside.join(chosen.withColumn("hit", F.lit(1)), "gene", "left").groupBy("set_name").agg(F.count("*").alias("n_set"), F.count("hit").alias("n_overlap"))
-    return counts.withColumn("p", upper_hypergeometric(F.col("n_overlap"), F.col("n_set"), F.lit(n_hit), F.lit(n_all)))
+    tail = lambda k: upper_hypergeometric(k, F.col("n_set"), F.lit(n_hit), F.lit(n_all))
+    fold = F.expr(f"try_divide(n_overlap * cast({n_all} as double), n_set * {n_hit})")
+    tested = counts.withColumns({"fold": fold, "p": tail(F.col("n_overlap")), "ease": tail(F.greatest(F.col("n_overlap") - 1, F.lit(0)))})
+    tested = tested.withColumn("bonferroni", F.least(F.lit(1.0), F.col("ease") * F.count("*").over(W.partitionBy())))
+    return bh_adjust(tested, "ease")
+
+
+def top_terms(terms: DataFrame, n: int, value: str = "p", label: str = "set_name", width: int = 50) -> DataFrame:
+    """The n terms of the least `value`: the label cut to `width` letters, and -log10 of the value (300 for 0)."""
+    score = F.when(F.col(value) > 0, -F.log10(value)).otherwise(300.0)
+    return terms.filter(F.col(value).isNotNull()).orderBy(value, label).limit(n).select(F.substring(label, 1, width).alias("term"), score.alias("score"))
 
 
 def running_enrichment(ranked: DataFrame, sets: DataFrame) -> DataFrame:
-    """Largest deviation of the running sum of each set along ranked genes (gene, score), weighted by |score|: set_name, n, es."""
-    place = ranked.select("gene", "score", F.row_number().over(W.orderBy(F.desc("score"), "gene")).alias("at"))
+    """Largest deviation of the running sum of each set along ranked genes (gene, score), weighted by |score|: set_name, n, es.
+
+    Genes are ranked in ranges of their score: a count per range, then order within it.
+    """
+    from .stats import ranges
+
+    parts, sizes = ranges(ranked.select("gene", "score"), "score", "gene", descending=True)
+    place = parts.join(F.broadcast(sizes), "part").select("gene", "score", (F.col("before") + F.row_number().over(W.partitionBy("part").orderBy(F.desc("score"), "gene"))).alias("at"))
     total = ranked.count()
     members = sets.join(place, "gene")
     by = W.partitionBy("set_name")

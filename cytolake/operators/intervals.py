@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BIN = 10_000
+#: Positions of a reference that are put in order together.
+BLOCK = 1 << 20
 
 
 def grid(low: Column, high: Column) -> Column:
@@ -50,40 +52,61 @@ def distance(start: str = "start_pos", end: str = "end_pos") -> Column:
     return F.when((s < F.col("f_end")) & (F.col("f_start") < e), 0).when(F.col("f_end") <= s, s - F.col("f_end") + 1).otherwise(e - F.col("f_start") - 1)
 
 
+def _blocks(rows: DataFrame, by: list[str], at: str, size: int) -> DataFrame:
+    """rows with the block of `size` positions that holds `at`, the unit in which ordered work is dealt out."""
+    return rows.withColumn("block", F.floor(F.col(at) / size))
+
+
+def nearest_bounds(queries: DataFrame, features: DataFrame, by: list[str], size: int = BLOCK) -> DataFrame:
+    """queries (by, start_pos, end_pos) with left_end, the largest f_end up to start_pos, and right_start, the least f_start from end_pos on.
+
+    Ordered within blocks of positions; of other blocks only the last end before
+    and the first start behind are carried, a row per block.
+    """
+    none = F.lit(None).cast("long")
+    ends = features.select(*by, F.col("f_end").cast("long").alias("at"), F.col("f_end").cast("long").alias("mark"), none.alias("other"), F.lit(0).alias("kind"))
+    starts = features.select(*by, F.col("f_start").cast("long").alias("at"), F.col("f_start").cast("long").alias("mark"), none.alias("other"), F.lit(2).alias("kind"))
+    left = queries.select(*by, F.col("start_pos").cast("long").alias("at"), none.alias("mark"), F.col("end_pos").cast("long").alias("other"), F.lit(1).alias("kind"))
+    right = queries.select(*by, F.col("end_pos").cast("long").alias("at"), none.alias("mark"), F.col("start_pos").cast("long").alias("other"), F.lit(1).alias("kind"))
+
+    def nearest(line: DataFrame, agg, frame: tuple[int, int], order: list[Column], name: str) -> DataFrame:
+        rows = _blocks(line, by, "at", size)
+        carried = rows.groupBy(*by, "block").agg(agg("mark").alias("own"))
+        whole = W.partitionBy(*by).orderBy("block").rowsBetween(*frame)
+        carried = carried.withColumn("carried", agg("own").over(whole)).drop("own")
+        inside = agg("mark").over(W.partitionBy(*by, "block").orderBy(*order).rowsBetween(*frame))
+        return rows.withColumn("inside", inside).filter("kind = 1").join(carried, [*by, "block"]).select(*by, "at", "other", F.coalesce("inside", "carried").alias(name))
+
+    before, after = (W.unboundedPreceding, -1), (1, W.unboundedFollowing)
+    lefts = nearest(left.unionByName(ends), F.max, before, [F.col("at"), F.col("kind")], "left_end").withColumnsRenamed({"at": "start_pos", "other": "end_pos"})
+    rights = nearest(right.unionByName(starts), F.min, after, [F.col("at"), F.col("kind")], "right_start").withColumnsRenamed({"at": "end_pos", "other": "start_pos"})
+    return lefts.join(rights, [*by, "start_pos", "end_pos"])
+
+
 def nearest_join(queries: DataFrame, features: DataFrame, allow: int = 0, stranded: bool = False, size: int = BIN) -> DataFrame:
     """queries (ref, start_pos, end_pos) with their nearest features (ref, f_start, f_end, strand, ...) and `dist`, all ties and all within `allow`.
 
-    The least distance comes from running bounds over the sorted union of both
-    tables (largest end so far, least start to come); a join over bins of that
-    reach then finds every feature at it. `stranded` treats strands apart.
+    Features within `allow` (0: those that overlap) come from a join over bins.
+    A query without one takes the features that end at its nearest end on the
+    left or start at its nearest start on the right: two equi-joins, however
+    far away they are. `stranded` treats strands apart. Repeated queries count once.
     """
     by = ["ref", "strand"] if stranded else ["ref"]
-    sides = features.select("strand").distinct() if stranded else None
-    base = queries.select("ref", "start_pos", "end_pos").distinct()
-    asked = base.crossJoin(F.broadcast(sides)) if stranded else base
-    marks = asked.select(*by, F.col("start_pos").alias("at"), "end_pos", F.lit(None).cast("long").alias("f_end"), F.lit(None).cast("long").alias("f_start"), F.lit(1).alias("kind"))
-    ends = features.select(*by, F.col("f_end").alias("at"), F.lit(None).cast("long").alias("end_pos"), F.col("f_end").cast("long"), F.lit(None).cast("long").alias("f_start"), F.lit(0).alias("kind"))
-    starts = features.select(*by, F.col("f_start").alias("at"), F.lit(None).cast("long").alias("end_pos"), F.lit(None).cast("long").alias("f_end"), F.col("f_start").cast("long"), F.lit(2).alias("kind"))
-    line = marks.unionByName(ends).unionByName(starts)
-    before = W.partitionBy(*by).orderBy("at", "kind").rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy(*by).orderBy(F.col("at"), F.col("kind")).rowsBetween(1, W.unboundedFollowing)
-    bounds = line.withColumns({"left_end": F.max("f_end").over(before), "right_start": F.min("f_start").over(after)}).filter("kind = 1")
-    touching = overlap_join(asked, features.select(*by, "f_start", "f_end") if not stranded else features.select("ref", F.col("strand").alias("f_strand"), "f_start", "f_end"), size)
+    asked = queries.select("ref", "start_pos", "end_pos").distinct()
+    key = [*by, "start_pos", "end_pos"]
+    wide = asked.select("ref", F.col("start_pos").alias("q_start"), F.col("end_pos").alias("q_end"), (F.col("start_pos") - allow - int(allow > 0)).alias("start_pos"), (F.col("end_pos") + allow + int(allow > 0)).alias("end_pos"))
+    near = overlap_join(wide, features, size).drop("start_pos", "end_pos").withColumnsRenamed({"q_start": "start_pos", "q_end": "end_pos"})
+    near = near.withColumn("dist", distance().cast("long")).filter(F.abs("dist") <= allow)
     if stranded:
-        touching = touching.filter("strand = f_strand")
-    hits = touching.select(*by, "start_pos", "end_pos").distinct().withColumn("hit", F.lit(True))
-    reach = bounds.select(*by, F.col("at").alias("start_pos"), "end_pos", F.least(F.col("at") - F.col("left_end") + 1, F.abs(F.col("end_pos") - F.col("right_start") - 1)).alias("reach"))
-    reach = reach.join(hits, [*by, "start_pos", "end_pos"], "left").withColumn("reach", F.when(F.col("hit"), F.lit(0)).otherwise(F.col("reach"))).drop("hit").filter("reach IS NOT NULL")
-    # a feature within reach r of [s, e) overlaps [s - r - 1, e + r + 1)
-    wide = reach.withColumns({"q_start": F.col("start_pos"), "q_end": F.col("end_pos"), "within": F.greatest("reach", F.lit(allow))})
-    wide = wide.withColumns({"start_pos": F.col("q_start") - F.col("within") - 1, "end_pos": F.col("q_end") + F.col("within") + 1})
-    if stranded:
-        wide = wide.withColumnRenamed("strand", "q_strand")
-    near = overlap_join(wide, features, size)
-    if stranded:
-        near = near.filter(F.col("q_strand") == F.col("strand")).drop("q_strand")
-    near = near.drop("start_pos", "end_pos").withColumnsRenamed({"q_start": "start_pos", "q_end": "end_pos"}).withColumn("dist", distance())
-    return near.filter((F.abs("dist") == F.col("reach")) | (F.abs("dist") <= allow)).drop("reach", "within")
+        asked = asked.crossJoin(F.broadcast(features.select("strand").distinct()))  # two or three rows
+    bounds = nearest_bounds(asked, features, by).join(near.select(*key).distinct(), key, "left_anti")
+    to_left, to_right = F.col("start_pos") - F.col("left_end") + 1, F.col("right_start") - F.col("end_pos") + 1
+    bounds = bounds.withColumn("reach", F.least(to_left, to_right))
+    left = bounds.filter(to_left == F.col("reach")).select(*key, F.col("left_end").alias("f_end")).join(features, [*by, "f_end"])
+    right = bounds.filter(to_right == F.col("reach")).select(*key, F.col("right_start").alias("f_start")).join(features, [*by, "f_start"])
+    names = [c for c in near.columns if c != "dist"]
+    far = left.select(*names).unionByName(right.filter("f_start >= end_pos").select(*names)).withColumn("dist", distance().cast("long"))
+    return near.unionByName(far)
 
 
 def sliding_windows(sites: DataFrame, width: int, step: int) -> DataFrame:
@@ -120,18 +143,31 @@ def feature_windows(features: DataFrame, width: int, step: int, part: str = "bod
     return rows.withColumns({"f_start": F.col("left") + F.col("i") * step, "f_end": F.col("left") + F.col("i") * step + width}).drop("left", "last", "i")
 
 
-def depth_islands(spans: DataFrame, by: tuple[str, ...] = ("ref",)) -> DataFrame:
-    """Runs of equal depth above 0 under (start_pos, end_pos): changes at the ends, a running sum, and runs between changes."""
+def depth_islands(spans: DataFrame, by: tuple[str, ...] = ("ref",), size: int = BLOCK) -> DataFrame:
+    """Runs of equal depth above 0 under (start_pos, end_pos): changes at the ends, a running sum, and runs between changes.
+
+    Sums run within blocks of positions and go on from what the blocks before add up to.
+    """
     changes = spans.select(*by, F.col("start_pos").alias("at"), F.lit(1).alias("step")).unionByName(spans.select(*by, F.col("end_pos").alias("at"), F.lit(-1).alias("step")))
-    steps = changes.groupBy(*by, "at").agg(F.sum("step").alias("step")).filter("step <> 0")
-    order = W.partitionBy(*by).orderBy("at")
-    runs = steps.withColumns({"depth": F.sum("step").over(order), "end_pos": F.lead("at").over(order)})
+    steps = _blocks(changes.groupBy(*by, "at").agg(F.sum("step").alias("step")).filter("step <> 0"), list(by), "at", size)
+    line, order = W.partitionBy(*by).orderBy("block"), W.partitionBy(*by, "block").orderBy("at")
+    sums = steps.groupBy(*by, "block").agg(F.sum("step").alias("sum"), F.min("at").alias("first"))
+    sums = sums.select(*by, "block", F.coalesce(F.sum("sum").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.lead("first").over(line).alias("next"))
+    runs = steps.withColumns({"inside": F.sum("step").over(order), "end_pos": F.lead("at").over(order)}).join(sums, [*by, "block"])
+    runs = runs.withColumns({"depth": F.col("before") + F.col("inside"), "end_pos": F.coalesce("end_pos", "next")})
     return runs.filter("depth > 0").select(*by, F.col("at").alias("start_pos"), "end_pos", "depth")
 
 
-def site_islands(sites: DataFrame, gap: int, by: tuple[str, ...] = ("ref",)) -> DataFrame:
-    """Runs of sites no more than `gap` apart: start, end and number of sites."""
-    order = W.partitionBy(*by).orderBy("start_pos")
-    new = F.coalesce((F.col("start_pos") - F.lag("start_pos").over(order) > gap).cast("int"), F.lit(0))
-    rows = sites.select(*by, "start_pos", "end_pos").distinct().withColumn("new", new).withColumn("island", F.sum("new").over(order))
-    return rows.groupBy(*by, "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n_sites")).drop("island")
+def site_islands(sites: DataFrame, gap: int, by: tuple[str, ...] = ("ref",), size: int = BLOCK) -> DataFrame:
+    """Runs of sites no more than `gap` apart: start, end and number of sites.
+
+    As in depth_islands, blocks hand on their last site and how many runs began in them.
+    """
+    rows = _blocks(sites.select(*by, "start_pos", "end_pos").distinct(), list(by), "start_pos", size)
+    line, order = W.partitionBy(*by).orderBy("block"), W.partitionBy(*by, "block").orderBy("start_pos", "end_pos")
+    last = rows.groupBy(*by, "block").agg(F.max("start_pos").alias("last")).select(*by, "block", F.lag("last").over(line).alias("before"))
+    rows = rows.withColumn("lag", F.lag("start_pos").over(order)).join(last, [*by, "block"])
+    rows = rows.withColumn("new", F.coalesce((F.col("start_pos") - F.coalesce("lag", "before") > gap).cast("int"), F.lit(0)))
+    began = rows.groupBy(*by, "block").agg(F.sum("new").alias("new")).select(*by, "block", F.coalesce(F.sum("new").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("began"))
+    runs = rows.withColumn("inside", F.sum("new").over(order)).join(began, [*by, "block"]).withColumn("island", F.col("began") + F.col("inside"))
+    return runs.groupBy(*by, "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n_sites")).drop("island")

@@ -21,41 +21,43 @@ KEYS = ("ref", "start_pos")
 TINY = 1e-10
 
 
-def bh_adjust(tests: DataFrame, p: str = "p", missing: str = "one") -> DataFrame:
-    """Adds q, Benjamini and Hochberg's adjusted p.
+def ranges(rows: DataFrame, value: str, *ties: str, by: tuple[str, ...] = (), descending: bool = False, n: int = 64) -> tuple[DataFrame, DataFrame]:
+    """rows with `part`, a range of `value` (in order over the parts), and per part and `by` its size and the rows before it.
+
+    Bounds of the ranges are approximate quantiles, so a part is the same for a
+    row wherever the plan computes it; equal values share a part.
+    """
+    cuts = rows.agg(F.percentile_approx(value, F.array(*[F.lit(k / n) for k in range(1, n)]), F.lit(10_000)).alias("cuts")).first()["cuts"] or []
+    part = F.lit(0)
+    for cut in sorted(set(cuts)):
+        part = part + ((F.col(value) < cut) if descending else (F.col(value) > cut)).cast("int")
+    parts = rows.withColumn("part", part)
+    line = W.partitionBy(*by).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = parts.groupBy(*by, "part").agg(F.count("*").alias("size"))
+    return parts, sizes.withColumns({"before": F.coalesce(F.sum("size").over(line), F.lit(0)), "total": F.sum("size").over(W.partitionBy(*by))})
+
+
+def bh_adjust(tests: DataFrame, p: str = "p", missing: str = "one", by: tuple[str, ...] = ()) -> DataFrame:
+    """Adds q, Benjamini and Hochberg's adjusted p, within each family `by`.
 
     missing: "one" sets null p to 1 and counts it, "skip" leaves it null and out
-    of the count. Ranks are taken over distinct p in ranges: counts within each
-    range, those of the ranges before it, and the least of the ranges behind;
-    only a row per range meets in one place.
+    of the count. Ranks are taken in ranges of p: counts within each range, those
+    of the ranges before it, and the least of the ranges behind; only a row per
+    range and family meets in one place.
     """
     rows = tests.withColumn(p, F.coalesce(F.col(p), F.lit(1.0))) if missing == "one" else tests
-    counts = rows.filter(F.col(p).isNotNull()).groupBy(F.col(p).alias("bh_p")).agg(F.count("*").alias("n"))
-    ranged = counts.repartitionByRange("bh_p").withColumn("part", F.spark_partition_id())
-    within = W.partitionBy("part").orderBy("bh_p")
-    ranged = ranged.withColumn("upto", F.sum("n").over(within))
-    sums = ranged.groupBy("part").agg(F.sum("n").alias("size"))
-    line = W.orderBy("part")
-    sums = sums.withColumns({"before": F.coalesce(F.sum("size").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "total": F.sum("size").over(W.partitionBy())})
-    ranked = ranged.join(F.broadcast(sums), "part").withColumn("raw", F.col("bh_p") * F.col("total") / (F.col("before") + F.col("upto")))
-    least = ranked.groupBy("part").agg(F.min("raw").alias("least")).withColumn("behind", F.min("least").over(line.rowsBetween(1, W.unboundedFollowing)))
-    back = W.partitionBy("part").orderBy("bh_p").rowsBetween(0, W.unboundedFollowing)
-    adjusted = ranked.withColumn("inside", F.min("raw").over(back)).join(F.broadcast(least.select("part", "behind")), "part")
-    adjusted = adjusted.select("bh_p", F.least(F.lit(1.0), "inside", F.coalesce("behind", F.lit(1.0))).alias("q"))
-    return rows.join(adjusted, F.col(p) == F.col("bh_p"), "left").drop("bh_p")
-
-
-def bh_by(tests: DataFrame, by: list[str], p: str = "p") -> DataFrame:
-    """q within each of a few families (group pairs), null p left out."""
-    known = tests.filter(F.col(p).isNotNull())
-    order = W.partitionBy(*by).orderBy(p)
-    n = known.groupBy(*by).agg(F.count("*").alias("bh_n"))
-    raw = known.withColumn("bh_rank", F.row_number().over(order)).join(F.broadcast(n), by)
-    last = W.partitionBy(*by, p)
-    raw = raw.withColumn("bh_raw", F.col(p) * F.col("bh_n") / F.max("bh_rank").over(last))
-    back = W.partitionBy(*by).orderBy(p).rangeBetween(0, W.unboundedFollowing)
-    adjusted = raw.withColumn("q", F.least(F.lit(1.0), F.min("bh_raw").over(back))).drop("bh_rank", "bh_n", "bh_raw")
-    return adjusted.unionByName(tests.filter(F.col(p).isNull()).withColumn("q", F.lit(None).cast("double")))
+    known, sizes = ranges(rows.filter(F.col(p).isNotNull()), p, by=by)
+    counts = known.groupBy(*by, "part", F.col(p).alias("bh_p")).agg(F.count("*").alias("n"))
+    key = [*by, "part"]
+    within = W.partitionBy(*key).orderBy("bh_p")
+    ranked = counts.withColumn("upto", F.sum("n").over(within)).join(F.broadcast(sizes), key)
+    ranked = ranked.withColumn("raw", F.col("bh_p") * F.col("total") / (F.col("before") + F.col("upto")))
+    behind = F.min("least").over(W.partitionBy(*by).orderBy("part").rowsBetween(1, W.unboundedFollowing))
+    least = ranked.groupBy(*key).agg(F.min("raw").alias("least")).withColumn("behind", behind)
+    inside = F.min("raw").over(within.rowsBetween(0, W.unboundedFollowing))
+    adjusted = ranked.withColumn("inside", inside).join(F.broadcast(least.select(*key, "behind")), key)
+    adjusted = adjusted.select(*by, F.col("bh_p").alias(p), F.least(F.lit(1.0), "inside", F.coalesce("behind", F.lit(1.0))).alias("q"))
+    return rows.join(adjusted, [*by, p], "left").select(*rows.columns, "q")
 
 
 def mean_sd(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -94,9 +96,11 @@ def variance_ratio(rows: DataFrame, a: str, b: str, value: str = "pct", keys: tu
 def anova(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """One-way analysis of variance over grp: F, degrees of freedom and p, from sums per group."""
     groups = rows.filter(F.col(value).isNotNull()).groupBy(*keys, "grp").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var"))
-    totals = groups.groupBy(*keys).agg(F.count("*").alias("k"), F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"), F.sum(F.col("n") * F.col("mean") ** 2).alias("sq"), F.sum(F.col("n") * F.col("var")).alias("ss_within"))
-    out = totals.filter("k > 1 AND n > k").withColumns({"df1": F.col("k") - 1, "df2": F.col("n") - F.col("k"), "ss_between": F.greatest(F.col("sq") - F.col("n") * F.col("grand") ** 2, F.lit(0.0))})
-    out = out.withColumn("f", F.expr("try_divide(ss_between / df1, ss_within / df2)")).drop("sq", "grand", "k", "n")
+    every = W.partitionBy(*keys)
+    groups = groups.withColumn("grand", F.sum(F.col("n") * F.col("mean")).over(every) / F.sum("n").over(every))
+    totals = groups.groupBy(*keys).agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("mean") - F.col("grand")) ** 2).alias("ss_between"), F.sum(F.col("n") * F.col("var")).alias("ss_within"))
+    out = totals.filter("k > 1 AND n > k").withColumns({"df1": F.col("k") - 1, "df2": F.col("n") - F.col("k")})
+    out = out.withColumn("f", F.expr("try_divide(ss_between / df1, ss_within / df2)")).drop("k", "n")
     return out.withColumn("p", f_p(F.col("f"), F.col("df1"), F.col("df2")))
 
 
@@ -111,7 +115,7 @@ def tukey(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) ->
 
     @F.pandas_udf(DoubleType())
     def upper(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
-        return pd.Series([special.tukey_upper(*x) for x in zip(q, k, df, strict=True)])
+        return pd.Series(special.tukey_upper(q.to_numpy(float), k.to_numpy(int), df.to_numpy(float)))
 
     return both.withColumn("p", upper(F.col("range"), F.col("k"), F.col("df2").cast("double"))).select(*keys, "g1", "g2", "diff", "range", "p")
 
@@ -185,7 +189,7 @@ def contingency(cells: DataFrame, keys: list[str], row: str, col: str, n: str =
     every = W.partitionBy(*keys)
     full = cells.withColumns({"r": F.sum(n).over(rows), "c": F.sum(n).over(cols), "t": F.sum(n).over(every)})
     o, e = F.col(n), F.try_divide(F.col("r") * F.col("c"), F.col("t"))
-    out = full.groupBy(*keys).agg((F.sum(F.try_divide(o * o, e)) - F.first("t")).alias("chi2"), (2 * F.sum(F.when(o > 0, o * F.log(F.try_divide(o, e))).otherwise(0.0))).alias("g2"), ((F.count_distinct(row) - 1) * (F.count_distinct(col) - 1)).alias("df"))
+    out = full.groupBy(*keys).agg(F.sum(F.try_divide((o - e) ** 2, e)).alias("chi2"), (2 * F.sum(F.when(o > 0, o * F.log(F.try_divide(o, e))).otherwise(0.0))).alias("g2"), ((F.count_distinct(row) - 1) * (F.count_distinct(col) - 1)).alias("df"))
     return out.withColumn("p", chi2_p(F.col("chi2"), F.col("df").cast("double"))) if with_p else out
 
 
@@ -230,11 +234,46 @@ def rank_test(rows: DataFrame, a: str, b: str, name: str, value: str = "pct", ke
 
     @F.pandas_udf("statistic double, p double")
     def both(x: pd.Series, y: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([test(np.asarray(p, float), np.asarray(q, float)) for p, q in zip(x, y, strict=True)], columns=["statistic", "p"])
+        # the tests see ranks alone, and few samples have few orders: each order is tested once
+        known: dict[tuple, tuple[float, float]] = {}
+        out = []
+        for p, q in zip(x, y, strict=True):
+            ranks = tuple(special.average_ranks(np.concatenate([p, q])).tolist())
+            if (order := (len(p), ranks)) not in known:
+                known[order] = test(np.array(ranks[: len(p)]), np.array(ranks[len(p) :]))
+            out.append(known[order])
+        return pd.DataFrame(out, columns=["statistic", "p"])
 
     return lists.filter("size(x) > 0 AND size(y) > 0").withColumn("r", both("x", "y")).select(*keys, "r.statistic", "r.p")
 
 
+def paired_differences(rows: DataFrame, pairs: list[tuple[str, str]], value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """keys and d: first less second value of each pair of samples that both have one (a sample has one value a key)."""
+    one = F.create_map(*[F.lit(x) for i, (a, b) in enumerate(pairs) for x in (a, i, b, i)])
+    sign = F.create_map(*[F.lit(x) for a, b in pairs for x in (a, 1, b, -1)])
+    known = rows.filter(F.col("sample").isin([s for p in pairs for s in p]) & F.col(value).isNotNull())
+    both = known.groupBy(*keys, F.element_at(one, F.col("sample")).alias("pair")).agg(F.count("*").alias("n"), F.sum(F.element_at(sign, F.col("sample")) * F.col(value)).alias("d"))
+    return both.filter("n = 2").drop("n", "pair")
+
+
+def paired_t(rows: DataFrame, pairs: list[tuple[str, str]], value: str = "pct", keys: tuple[str, ...] = KEYS, with_p: bool = True) -> DataFrame:
+    """Student's t on the differences of paired samples: n, diff, t, df and p; pairs that never differ have no t."""
+    sums = paired_differences(rows, pairs, value, keys).groupBy(*keys).agg(F.count("*").alias("n"), F.avg("d").alias("diff"), F.var_samp("d").alias("var")).filter("n > 1")
+    out = sums.withColumns({"t": F.expr("try_divide(diff, sqrt(var / n))"), "df": F.col("n") - 1}).drop("var")
+    return out.withColumn("p", t_p(F.col("t"), F.col("df").cast("double"))) if with_p else out
+
+
+def signed_rank(rows: DataFrame, pairs: list[tuple[str, str]], value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Wilcoxon's signed-rank V and p on the differences of paired samples; equal pairs don't count."""
+
+    @F.pandas_udf("statistic double, p double")
+    def test(d: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([special.signed_rank(np.asarray(x, float)) for x in d], columns=["statistic", "p"])
+
+    lists = paired_differences(rows, pairs, value, keys).groupBy(*keys).agg(F.sort_array(F.collect_list("d")).alias("d"))
+    return lists.withColumn("r", test("d")).select(*keys, "r.statistic", "r.p")
+
+
 def significant(tests: DataFrame, cut: float, least: float, by: str = "p") -> DataFrame:
     """Tests below the cut whose groups differ by more than `least`; a null p counts as 1, a null diff as 0."""
     return tests.filter((F.coalesce(F.col(by), F.lit(1.0)) < cut) & (F.abs(F.coalesce("diff", F.lit(0.0))) > least))

@@ -11,11 +11,12 @@ from .registry import query, r6
 
 KEYS = ["ref", "start_pos"]
 PLACES = "(SELECT ref, start_pos, max(end_pos) AS end_pos, cast(sum(cov) as bigint) AS score FROM sites GROUP BY 1, 2)"
-CLASS = """CASE WHEN strand <> '-' THEN CASE WHEN start_pos >= f_end + 100 THEN 'fardown' WHEN end_pos <= f_start - 300 THEN 'farup' WHEN start_pos < f_end - i3 AND end_pos > f_start + i5 THEN 'body' WHEN start_pos <= f_start + i5 AND end_pos > f_start - 300 THEN 'upstream' ELSE 'downstream' END
-           ELSE CASE WHEN end_pos <= f_start - 100 THEN 'fardown' WHEN start_pos >= f_end + 300 THEN 'farup' WHEN end_pos > f_start + i3 AND start_pos < f_end - i5 THEN 'body' WHEN end_pos >= f_end - i5 AND start_pos < f_end + 300 THEN 'upstream' ELSE 'downstream' END END"""
-HITS = f"""hits AS (SELECT *, {CLASS} AS label FROM (SELECT p.ref, p.start_pos, p.end_pos, p.score, f.feature_id, f.f_start, f.f_end, f.strand, f.gene,
-           CASE WHEN f_end - f_start - 40 > 20 THEN 20 ELSE (f_end - f_start) // 3 END AS i5, CASE WHEN f_end - f_start - 40 > 20 THEN 20 ELSE (f_end - f_start) // 3 END AS i3
-           FROM {PLACES} p JOIN features f ON p.ref = f.ref AND p.start_pos < f.f_end + 400 AND f.f_start - 400 < p.end_pos))"""
+#: The site as [x0, x1) from the gene's start along its strand, the gene as [0, size), with 300 before and 100 behind it near, and inner margins of 20.
+ALONG = "CASE strand WHEN '-' THEN f_end - end_pos ELSE start_pos - f_start END"
+CLASS = """CASE WHEN x0 - size >= 100 THEN 'fardown' WHEN x1 <= -300 THEN 'farup' WHEN x1 <= margin OR x0 >= size - margin THEN CASE WHEN x0 <= margin THEN 'upstream' ELSE 'downstream' END ELSE 'body' END"""
+HITS = f"""hits AS (SELECT ref, start_pos, end_pos, score, feature_id, f_start, f_end, strand, gene, {CLASS} AS label FROM (SELECT *, x0 + end_pos - start_pos AS x1 FROM (SELECT p.*, f.feature_id, f.f_start, f.f_end, f.strand, f.gene, {ALONG} AS x0, f_end - f_start AS size,
+           CASE WHEN f_end - f_start > 60 THEN 20 ELSE (f_end - f_start) // 3 END AS margin
+           FROM {PLACES} p JOIN features f ON p.ref = f.ref AND p.start_pos < f.f_end + 400 AND f.f_start - 400 < p.end_pos)))"""
 LABELS = ["upstream", "body", "downstream"]
 
 
@@ -118,18 +119,43 @@ def a29(spark, sf):
     return hits(spark, sf).groupBy("label").agg(q.alias("q")).select("label", F.col("q")[2].alias("median"), F.col("q")[1].alias("q1"), F.col("q")[0].alias("low"), F.col("q")[3].alias("high"))
 
 
-@query("n7_enrichment")
-def n7(spark, sf):
+#: Sets of features by kind, hit ones being those with a well covered site in their body; log factorials give the tail.
+ENRICHED = """
+    b AS (SELECT kind AS set_name, feature_id FROM features), h AS (SELECT DISTINCT feature_id FROM hits WHERE label = 'body' AND score > 60),
+    n AS (SELECT set_name, count(*) AS n_set, count(h.feature_id) AS n_overlap FROM b LEFT JOIN h USING (feature_id) GROUP BY 1), t AS (SELECT (SELECT count(*) FROM b) AS a, (SELECT count(*) FROM h) AS d),
+    lf AS (SELECT n, sum(CASE WHEN n > 0 THEN ln(greatest(n, 1)) ELSE 0 END) OVER (ORDER BY n) AS v FROM (SELECT unnest(generate_series(0, (SELECT count(*) FROM b))) AS n)),
+    r AS (SELECT set_name, n_set, n_overlap, a, d, unnest(generate_series(greatest(0, d + n_set - a), least(n_set, d))) AS k FROM n, t),
+    lp AS (SELECT r.*, exp(f1.v - f2.v - f3.v + g1.v - g2.v - g3.v - c1.v + c2.v + c3.v) AS p FROM r JOIN lf f1 ON f1.n = n_set JOIN lf f2 ON f2.n = k JOIN lf f3 ON f3.n = n_set - k
+           JOIN lf g1 ON g1.n = a - n_set JOIN lf g2 ON g2.n = d - k JOIN lf g3 ON g3.n = a - n_set - d + k JOIN lf c1 ON c1.n = a JOIN lf c2 ON c2.n = d JOIN lf c3 ON c3.n = a - d),
+    e AS (SELECT set_name, n_set, n_overlap, max(n_overlap * cast(a as double) / (n_set * d)) AS fold, least(1.0, coalesce(sum(p) FILTER (k >= n_overlap), 0)) AS p, least(1.0, coalesce(sum(p) FILTER (k >= n_overlap - 1), 0)) AS ease FROM lp GROUP BY 1, 2, 3)"""
+
+
+def enriched(spark, sf):
     h, f = hits(spark, sf), features(spark, sf)
     sets = f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene"))
     return an.enrichment(h.filter("label = 'body' AND score > 60").select(F.col("feature_id").alias("gene")), f.select(F.col("feature_id").alias("gene")), sets)
 
 
-@query("n8_running_enrichment")
+@query("n7_enrichment", f"""WITH {HITS}, {ENRICHED}, a AS (SELECT *, least(1.0, ease * count(*) OVER ()) AS bonferroni, ease * count(*) OVER () / count(*) OVER (ORDER BY ease RANGE UNBOUNDED PRECEDING) AS raw FROM e)
+    SELECT set_name, n_set, n_overlap, round(fold, 6) AS fold, round(p, 6) AS p, round(ease, 6) AS ease, round(bonferroni, 6) AS bonferroni, round(least(1.0, min(raw) OVER (ORDER BY ease RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS q FROM a""")
+def n7(spark, sf):
+    return enriched(spark, sf).select("set_name", "n_set", "n_overlap", *[r6(c) for c in ("fold", "p", "ease", "bonferroni", "q")])
+
+
+@query("o6_g12_top_terms", f"WITH {HITS}, {ENRICHED} SELECT substr(set_name, 1, 10) AS term, round(-log10(p), 5) AS score FROM (SELECT * FROM e ORDER BY round(p, 9), set_name LIMIT 10)")
+def o6(spark, sf):
+    return an.top_terms(enriched(spark, sf).withColumn("p", F.round("p", 9)), 10, width=10).withColumn("score", F.round("score", 5))
+
+
+@query("n8_running_enrichment", f"""
+    WITH {HITS}, g AS (SELECT feature_id, cast(sum(score) - 500 as double) AS score FROM hits GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY score DESC, feature_id) AS place, count(*) OVER () AS total FROM g),
+    m AS (SELECT kind AS set_name, r.*, count(*) OVER s AS n, sum(abs(score)) OVER s AS weight, row_number() OVER o AS k, sum(abs(score)) OVER o AS upto FROM r JOIN features USING (feature_id) WINDOW s AS (PARTITION BY kind), o AS (PARTITION BY kind ORDER BY place)),
+    d AS (SELECT set_name, n, max(upto / weight - (place - k) / cast(total - n as double)) AS hi, min((upto - abs(score)) / weight - (place - k) / cast(total - n as double)) AS lo FROM m GROUP BY 1, 2)
+    SELECT set_name, n, round(CASE WHEN hi >= -lo THEN hi ELSE lo END, 6) AS es FROM d""")
 def n8(spark, sf):
     h, f = hits(spark, sf), features(spark, sf)
     ranked = h.groupBy(F.col("feature_id").alias("gene")).agg((F.sum("score") - 500).cast("double").alias("score"))
-    return an.running_enrichment(ranked, f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene")))
+    return an.running_enrichment(ranked, f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene"))).withColumn("es", r6("es"))
 
 
 @query("o5_o6_top_genes", f"WITH {HITS} SELECT gene, cast(sum(score) as bigint) AS total FROM hits GROUP BY 1 ORDER BY total DESC, gene LIMIT 20")
@@ -137,7 +163,7 @@ def o5(spark, sf):
     return hits(spark, sf).groupBy("gene").agg(F.sum("score").alias("total")).orderBy(F.desc("total"), "gene").limit(20)
 
 
-@query("f13_same_sign_genes", "SELECT gene, min(d) AS lo, max(d) AS hi FROM (SELECT gene, feature_id % 7 - 2 AS d FROM features WHERE feature_id % 3 = 0) GROUP BY 1 HAVING (min(d) < 0 AND max(d) < 0) OR (min(d) > 0 AND max(d) > 0)")
+@query("f13_same_sign_genes", "SELECT gene, min(d) AS lo, max(d) AS hi FROM (SELECT gene || kind AS gene, f_end - f_start - 500 AS d FROM features) GROUP BY 1 HAVING (min(d) < 0 AND max(d) < 0) OR (min(d) > 0 AND max(d) > 0)")
 def f13(spark, sf):
-    rows = features(spark, sf).filter("feature_id % 3 = 0").select("gene", (F.col("feature_id") % 7 - 2).alias("d"))
+    rows = features(spark, sf).select(F.concat("gene", "kind").alias("gene"), (F.col("f_end") - F.col("f_start") - 500).alias("d"))
     return rows.groupBy("gene").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("(lo < 0 AND hi < 0) OR (lo > 0 AND hi > 0)")

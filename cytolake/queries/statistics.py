@@ -12,6 +12,16 @@ from .registry import query, r6
 from .sites import PCT
 
 
+def signif_sql(x: str, places: int = 5) -> str:
+    return f"round(({x}) / pow(10.0, floor(log10({x}))), {places}) * pow(10.0, floor(log10({x})))"
+
+
+def signif(x, places: int = 5):
+    """A positive value to places + 1 figures, so large and small ones are compared alike."""
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(x)))
+    return F.round(x / scale, places) * scale
+
+
 def levels(spark, sf):
     return sites(spark, sf).filter("cov >= 3").withColumn("pct", st.level())
 
@@ -25,10 +35,15 @@ def a28(spark, sf):
     return ts.mean_sd(levels(spark, sf)).withColumns({"mean": r6("mean"), "sd": r6("sd")})
 
 
-@query("t1_welch", f"SELECT ref, start_pos, round(mean1 - mean2, 6) AS diff, round((mean1 - mean2) / sqrt(v1 / n1 + v2 / n2), 5) AS t, round(pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)), 5) AS df FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 AND v1 + v2 > 1e-9")
+#: Both variances 0: 1e-10 on the first value of one group.
+FLAT = f"(SELECT ref, start_pos, n1, n2, mean1 - mean2 AS diff, CASE WHEN v1 = 0 AND v2 = 0 THEN mean1 + 1e-10 / n1 - mean2 ELSE mean1 - mean2 END AS d, CASE WHEN v1 = 0 AND v2 = 0 THEN 1e-20 / n1 ELSE v1 END / n1 AS a, v2 / n2 AS b FROM ({TWO}) WHERE n1 > 1 AND n2 > 1)"
+
+
+@query("t1_welch", f"SELECT ref, start_pos, round(diff, 6) AS diff, CASE WHEN d = 0 THEN 0 ELSE sign(d) * {signif_sql('abs(d) / sqrt(a + b)', 4)} END AS t, round(pow(a + b, 2) / (pow(a, 2) / (n1 - 1) + pow(b, 2) / (n2 - 1)), 5) AS df FROM {FLAT}")
 def t1(spark, sf):
-    out = ts.welch(levels(spark, sf), "F", "O", with_p=False).filter("var1 + var2 > 1e-9")
-    return out.select("ref", "start_pos", r6("diff"), F.round("t", 5).alias("t"), F.round("df", 5).alias("df"))
+    out = ts.welch(levels(spark, sf), "F", "O", with_p=False)
+    size = F.abs("t")
+    return out.select("ref", "start_pos", r6("diff"), F.when(size == 0, 0.0).otherwise(F.signum("t") * signif(size, 4)).alias("t"), F.round("df", 5).alias("df"))
 
 
 @query("t1_t15_welch_p")
@@ -36,25 +51,61 @@ def t1p(spark, sf):
     return ts.welch(levels(spark, sf), "F", "O")
 
 
-@query("t8_variance_ratio", f"SELECT ref, start_pos, round(v1 / v2, 4) AS f, n1 - 1 AS df1, n2 - 1 AS df2 FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 AND v2 > 1e-6")
+#: Samples of the same ship mode letter as pairs across groups.
+PAIRS = [("af", "ao"), ("nf", "no"), ("rf", "ro")]
+
+
+@query("t1_paired", f"""
+    WITH d AS (SELECT ref, start_pos, substr(sample, 1, 1) AS pair, sum(CASE WHEN grp = 'F' THEN {PCT} ELSE -{PCT} END) AS d FROM sites WHERE cov >= 3 GROUP BY 1, 2, 3 HAVING count(*) = 2),
+    s AS (SELECT ref, start_pos, count(*) AS n, avg(d) AS diff, var_samp(d) AS v FROM d GROUP BY 1, 2 HAVING count(*) > 1)
+    SELECT ref, start_pos, n, round(diff, 6) AS diff, CASE WHEN v > 1e-12 AND abs(diff) > 1e-12 THEN sign(diff) * {signif_sql('abs(diff) / sqrt(v / n)', 4)} END AS t, n - 1 AS df FROM s""")
+def t1_pairs(spark, sf):
+    out = ts.paired_t(levels(spark, sf), PAIRS, with_p=False)
+    known = F.when((F.abs("diff") > 1e-12) & (F.col("diff") / F.col("t") > 0) & (F.pow(F.col("diff") / F.col("t"), 2) * F.col("n") > 1e-12), F.signum("t") * signif(F.abs("t"), 4))
+    return out.select("ref", "start_pos", "n", r6("diff"), known.alias("t"), "df")
+
+
+@query("t2_signed_rank", f"""
+    WITH d AS (SELECT ref, start_pos, substr(sample, 1, 1) AS pair, sum(CASE WHEN grp = 'F' THEN {PCT} ELSE -{PCT} END) AS d FROM sites WHERE cov >= 3 GROUP BY 1, 2, 3 HAVING count(*) = 2),
+    r AS (SELECT *, rank() OVER (PARTITION BY ref, start_pos ORDER BY abs(d)) + (count(*) OVER (PARTITION BY ref, start_pos, abs(d)) - 1) / 2.0 AS place FROM d WHERE d <> 0)
+    SELECT d.ref, d.start_pos, sum(CASE WHEN r.d > 0 THEN place WHEN r.d < 0 THEN 0 END) AS statistic FROM d LEFT JOIN r ON d.ref = r.ref AND d.start_pos = r.start_pos AND d.pair = r.pair GROUP BY 1, 2""")
+def t2_pairs(spark, sf):
+    return ts.signed_rank(levels(spark, sf), PAIRS).select("ref", "start_pos", F.expr("nullif(statistic, double('NaN'))").alias("statistic"))
+
+
+@query("t8_variance_ratio", f"SELECT ref, start_pos, {signif_sql('v1 / v2')} AS f, n1 - 1 AS df1, n2 - 1 AS df2 FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 AND v2 > 0 AND v1 > 0")
 def t8(spark, sf):
-    out = ts.variance_ratio(levels(spark, sf), "F", "O").filter("var2 > 1e-6")
-    return out.select("ref", "start_pos", F.round("f", 4).alias("f"), "df1", "df2")
+    out = ts.variance_ratio(levels(spark, sf), "F", "O").filter("var1 > 0")
+    return out.select("ref", "start_pos", signif(F.col("f")).alias("f"), "df1", "df2")
 
 
 @query("t7_anova", f"""
     WITH r AS (SELECT ref, start_pos, substr(sample, 1, 1) AS g, {PCT} AS x FROM sites WHERE cov >= 3), g AS (SELECT ref, start_pos, g, count(*) AS n, avg(x) AS mean, var_pop(x) AS v FROM r GROUP BY 1, 2, 3),
     t AS (SELECT ref, start_pos, count(*) AS k, sum(n) AS n, sum(n * mean) / sum(n) AS grand, sum(n * v) AS ssw FROM g GROUP BY 1, 2)
-    SELECT t.ref, t.start_pos, cast(max(k) - 1 as bigint) AS df1, cast(max(t.n) - max(k) as bigint) AS df2, round(sum(g.n * pow(mean - grand, 2)), 6) AS ss_between, round(max(ssw), 6) AS ss_within
+    SELECT t.ref, t.start_pos, cast(max(k) - 1 as bigint) AS df1, cast(max(t.n) - max(k) as bigint) AS df2, round(sum(g.n * pow(mean - grand, 2)) + 1e-9, 6) AS ss_between, round(max(ssw) + 1e-9, 6) AS ss_within
     FROM t JOIN g ON t.ref = g.ref AND t.start_pos = g.start_pos WHERE k > 1 AND t.n > k GROUP BY 1, 2""")
 def t7(spark, sf):
     rows = levels(spark, sf).withColumn("grp", F.substring("sample", 1, 1))
-    return ts.anova(rows).select("ref", "start_pos", "df1", "df2", r6("ss_between"), r6("ss_within"))
+    # 1e-9 keeps short decimals off the edge between two roundings, here and below
+    return ts.anova(rows).select("ref", "start_pos", "df1", "df2", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("ss_between", "ss_within")])
+
+
+def tukeys(spark, sf):
+    return ts.tukey(levels(spark, sf).withColumn("grp", F.substring("sample", 1, 1)))
 
 
 @query("t7_t17_tukey")
 def t7t(spark, sf):
-    return ts.tukey(levels(spark, sf).withColumn("grp", F.substring("sample", 1, 1)))
+    return tukeys(spark, sf)
+
+
+@query("t7_tukey_ranges", f"""
+    WITH r AS (SELECT ref, start_pos, substr(sample, 1, 1) AS g, {PCT} AS x FROM sites WHERE cov >= 3), g AS (SELECT ref, start_pos, g, count(*) AS n, avg(x) AS mean, var_pop(x) AS v FROM r GROUP BY 1, 2, 3),
+    t AS (SELECT ref, start_pos, sum(n * v) / (sum(n) - count(*)) AS s2 FROM g GROUP BY 1, 2 HAVING count(*) > 1 AND sum(n) > count(*))
+    SELECT a.ref, a.start_pos, a.g AS g1, b.g AS g2, round(b.mean - a.mean + 1e-9, 6) AS diff, CASE WHEN abs(b.mean - a.mean) < 1e-12 THEN 0 ELSE {signif_sql('abs(b.mean - a.mean) / sqrt(s2 / 2 * (1.0 / a.n + 1.0 / b.n))', 4)} END AS range
+    FROM g a JOIN g b ON a.ref = b.ref AND a.start_pos = b.start_pos AND a.g < b.g JOIN t ON t.ref = a.ref AND t.start_pos = a.start_pos WHERE s2 > 0""")
+def t7r(spark, sf):
+    return tukeys(spark, sf).select("ref", "start_pos", "g1", "g2", F.round(F.col("diff") + 1e-9, 6).alias("diff"), F.when(F.abs("diff") < 1e-12, 0.0).otherwise(signif(F.col("range"), 4)).alias("range"))
 
 
 for _test in ("wilcoxon", "ks", "ansari", "cucconi", "lepage"):
@@ -98,9 +149,15 @@ def t5(spark, sf):
     return fisher(spark, sf).select("ref", "start_pos", "s1", "s2", F.round("p", 5).alias("p"), r6("diff"))
 
 
-@query("t6_u5_fisher_groups")
+@query("t6_u5_fisher_groups", f"""
+    WITH {FISHER}, n AS (SELECT *, round(p, 9) AS p9, count(*) OVER (PARTITION BY s1, s2) / cast(count(*) OVER (PARTITION BY s1, s2 ORDER BY round(p, 9) RANGE UNBOUNDED PRECEDING) as double) * round(p, 9) AS raw FROM fisher),
+    q AS (SELECT ref, start_pos, diff, least(1.0, min(raw) OVER (PARTITION BY s1, s2 ORDER BY p9 RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM n),
+    h AS (SELECT *, coalesce(q < 0.2 AND abs(diff) > 0.1, false) AS hit FROM q),
+    g AS (SELECT ref, start_pos, bool_or(hit) AS significant, min(CASE WHEN hit THEN struct_pack(q := q, diff := diff) END) AS best, max(CASE WHEN NOT hit THEN struct_pack(q := q, diff := diff) END) AS worst, count(DISTINCT CASE WHEN hit THEN sign(diff) END) AS ways FROM h GROUP BY 1, 2)
+    SELECT ref, start_pos, significant, round(CASE WHEN significant THEN best.q ELSE worst.q END, 5) AS q, round(CASE WHEN ways < 2 THEN CASE WHEN significant THEN best.diff ELSE worst.diff END END + 1e-9, 5) AS diff FROM g""")
 def t6(spark, sf):
-    return ts.fisher_groups(ts.bh_by(fisher(spark, sf), ["s1", "s2"]), 0.2, 0.1, "union")
+    tests = fisher(spark, sf).withColumn("p", F.round("p", 9))
+    return ts.fisher_groups(ts.bh_adjust(tests, missing="skip", by=("s1", "s2")), 0.2, 0.1, "union").withColumns({"q": F.round("q", 5), "diff": F.round(F.col("diff") + 1e-9, 5)})
 
 
 CHI = f"SELECT ref, start_pos, sample, 'm' AS kind, m AS n FROM sites WHERE cov >= 3 UNION ALL SELECT ref, start_pos, sample, 'u', cov - m FROM sites WHERE cov >= 3"
@@ -113,7 +170,7 @@ def cells(spark, sf):
 
 @query("t12_t13_contingency", f"""
     WITH x AS ({CHI}), f AS (SELECT *, sum(n) OVER (PARTITION BY ref, start_pos, sample) AS r, sum(n) OVER (PARTITION BY ref, start_pos, kind) AS c, sum(n) OVER (PARTITION BY ref, start_pos) AS t FROM x)
-    SELECT ref, start_pos, round(sum(CASE WHEN r * c > 0 THEN cast(n as double) * n * t / (r * c) END) - max(t), 4) AS chi2, round(2 * sum(CASE WHEN n > 0 THEN n * ln(cast(n as double) * t / (r * c)) ELSE 0 END), 4) AS g2, (count(DISTINCT sample) - 1) AS df
+    SELECT ref, start_pos, round(sum(CASE WHEN r * c > 0 THEN pow(n - cast(r as double) * c / t, 2) / (cast(r as double) * c / t) END), 4) AS chi2, round(2 * sum(CASE WHEN n > 0 THEN n * ln(cast(n as double) * t / (r * c)) ELSE 0 END), 4) AS g2, (count(DISTINCT sample) - 1) AS df
     FROM f GROUP BY 1, 2 HAVING count(DISTINCT sample) > 1""")
 def t12(spark, sf):
     out = ts.contingency(cells(spark, sf), ["ref", "start_pos"], "sample", "kind", with_p=False).filter("df > 0")

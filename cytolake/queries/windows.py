@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import intervals as iv
 from ..operators import matrix as mx
 from ..operators import sites as st
-from ..plans.fixtures import features, sites
+from ..plans.fixtures import SAMPLES, features, sites
 from .registry import query, r6
 from .sites import MEMBERS_SQL, PCT, membership
 
@@ -41,9 +41,9 @@ def a5(spark, sf):
     return st.group_windows(windows(spark, sf), membership(spark)).withColumns({"mean_pct": r6("mean_pct"), "sd_pct": r6("sd_pct")})
 
 
-@query("j3_window_matrix", f"WITH w AS ({WINDOWS}) SELECT ref, w_start, w_end, " + ", ".join(f"max(CASE WHEN sample = '{s}' THEN n_cpg END) AS {s}_n_cpg, max(CASE WHEN sample = '{s}' THEN cov END) AS {s}_cov" for s in ("af", "ao")) + " FROM w WHERE sample IN ('af', 'ao') GROUP BY 1, 2, 3")
+@query("j3_window_matrix", f"WITH w AS ({WINDOWS}) SELECT ref, w_start, w_end, " + ", ".join(f"max(CASE WHEN sample = '{s}' THEN n_cpg END) AS {s}_n_cpg, max(CASE WHEN sample = '{s}' THEN cov END) AS {s}_cov" for s in SAMPLES) + " FROM w GROUP BY 1, 2, 3")
 def j3w(spark, sf):
-    return mx.outer_matrix(windows(spark, sf), ["af", "ao"], ["n_cpg", "cov"], ("ref", "w_start", "w_end"))
+    return mx.outer_matrix(windows(spark, sf), SAMPLES, ["n_cpg", "cov"], ("ref", "w_start", "w_end"))
 
 
 HELD = "sites s JOIN features f ON s.ref = f.ref AND s.start_pos >= f.f_start AND s.start_pos <= f.f_end"
@@ -68,34 +68,28 @@ def w2(spark, sf):
     return iv.feature_windows(features(spark, sf), 200, 200, "up", 1000).select("feature_id", "ref", "f_start", "f_end", "strand")
 
 
-POINTS = "(SELECT DISTINCT ref, start_pos + 7000 AS start_pos, end_pos + 7000 AS end_pos FROM sites WHERE sample = 'af')"
+POINTS = "(SELECT DISTINCT ref, start_pos + 7000 AS start_pos, end_pos + 7000 AS end_pos FROM sites)"
 DIST = "CASE WHEN start_pos < f_end AND f_start < end_pos THEN 0 WHEN f_end <= start_pos THEN start_pos - f_end + 1 ELSE end_pos - f_start - 1 END"
 
-
-def points(spark, sf):
-    return sites(spark, sf).filter("sample = 'af'").select("ref", (F.col("start_pos") + 7000).alias("start_pos"), (F.col("end_pos") + 7000).alias("end_pos")).distinct()
-
-
 #: Points beyond the features as well, so both sides and far distances occur.
-FAR = f"(SELECT * FROM {POINTS} UNION SELECT ref, start_pos + 400000, end_pos + 400000 FROM {POINTS} WHERE start_pos % 20 = 0)"
+FAR = f"(SELECT * FROM {POINTS} UNION SELECT ref, start_pos + 400000, end_pos + 400000 FROM {POINTS} UNION SELECT ref, start_pos - 900000, end_pos - 900000 FROM {POINTS})"
 
 
 def far(spark, sf):
-    p = points(spark, sf)
-    return p.union(p.filter("start_pos % 20 = 0").select("ref", F.col("start_pos") + 400000, F.col("end_pos") + 400000)).distinct()
-
-
-SPARSE = "(SELECT * FROM features WHERE feature_id % 7 = 0)"
+    p = sites(spark, sf).select("ref", "start_pos", "end_pos").distinct()
+    shifts = F.explode(F.array(*[F.lit(x).cast("long") for x in (7000, 407000, -893000)]))
+    moved = p.withColumn("by", shifts).select("ref", (F.col("start_pos") + F.col("by")).alias("start_pos"), (F.col("end_pos") + F.col("by")).alias("end_pos"))
+    return moved.distinct()
 
 
-@query("j7_nearest_feature", f"SELECT ref, start_pos, feature_id, dist FROM (SELECT q.ref, start_pos, feature_id, {DIST} AS dist, min(abs({DIST})) OVER (PARTITION BY q.ref, start_pos, end_pos) AS least FROM {FAR} q JOIN {SPARSE} f ON q.ref = f.ref) WHERE abs(dist) = least OR abs(dist) <= 50")
+@query("j7_nearest_feature", f"SELECT ref, start_pos, feature_id, cast(dist as bigint) AS dist FROM (SELECT q.ref, start_pos, feature_id, {DIST} AS dist, min(abs({DIST})) OVER (PARTITION BY q.ref, start_pos, end_pos) AS least FROM {FAR} q JOIN features f ON q.ref = f.ref) WHERE abs(dist) = least OR abs(dist) <= 50")
 def j7(spark, sf):
-    return iv.nearest_join(far(spark, sf), features(spark, sf).filter("feature_id % 7 = 0"), 50).select("ref", "start_pos", "feature_id", "dist")
+    return iv.nearest_join(far(spark, sf), features(spark, sf), 50).select("ref", "start_pos", "feature_id", "dist")
 
 
-@query("j8_nearest_by_strand", f"SELECT ref, start_pos, strand, feature_id, dist FROM (SELECT q.ref, start_pos, strand, feature_id, {DIST} AS dist, min(abs({DIST})) OVER (PARTITION BY q.ref, start_pos, end_pos, strand) AS least FROM {FAR} q JOIN {SPARSE} f ON q.ref = f.ref) WHERE abs(dist) = least")
+@query("j8_nearest_by_strand", f"SELECT ref, start_pos, strand, feature_id, cast(dist as bigint) AS dist FROM (SELECT q.ref, start_pos, strand, feature_id, {DIST} AS dist, min(abs({DIST})) OVER (PARTITION BY q.ref, start_pos, end_pos, strand) AS least FROM {FAR} q JOIN features f ON q.ref = f.ref) WHERE abs(dist) = least")
 def j8(spark, sf):
-    return iv.nearest_join(far(spark, sf), features(spark, sf).filter("feature_id % 7 = 0"), 0, stranded=True).select("ref", "start_pos", "strand", "feature_id", "dist")
+    return iv.nearest_join(far(spark, sf), features(spark, sf), 0, stranded=True).select("ref", "start_pos", "strand", "feature_id", "dist")
 
 
 @query("j12_target_sites", "SELECT s.sample, s.ref, s.start_pos, s.m, s.cov, f.feature_id AS target, s.start_pos - f.f_start AS place FROM sites s JOIN features f ON s.ref = f.ref AND s.start_pos >= f.f_start AND s.start_pos < f.f_end WHERE f.kind = 'ECONOMY'")
@@ -114,7 +108,7 @@ def a12(spark, sf):
 @query("w5_site_islands", """
     SELECT ref, min(start_pos) AS start_pos, max(end_pos) AS end_pos, count(*) AS n_sites FROM (
         SELECT *, sum(brk) OVER (PARTITION BY ref ORDER BY start_pos) AS island FROM (
-            SELECT DISTINCT ref, start_pos, end_pos, 0 AS z, CASE WHEN start_pos - lag(start_pos) OVER (PARTITION BY ref ORDER BY start_pos) > 250 THEN 1 ELSE 0 END AS brk FROM (SELECT DISTINCT ref, start_pos, end_pos FROM sites WHERE sample = 'af')))
+            SELECT DISTINCT ref, start_pos, end_pos, 0 AS z, CASE WHEN start_pos - lag(start_pos) OVER (PARTITION BY ref ORDER BY start_pos) > 250 THEN 1 ELSE 0 END AS brk FROM (SELECT DISTINCT ref, start_pos, end_pos FROM sites)))
     GROUP BY ref, island""")
 def w5(spark, sf):
-    return iv.site_islands(sites(spark, sf).filter("sample = 'af'"), 250)
+    return iv.site_islands(sites(spark, sf), 250)
