@@ -26,9 +26,9 @@ WORDS, PASSAGE, HASHES = 5, 50, 3
 RUN = PASSAGE - WORDS + 1  # shingles of the shortest passage
 BEFORE, AFTER = RUN - 1, RUN - 1 + WORDS  # words around c that a passage of the least length can hold
 AROUND = BEFORE + AFTER
-BLOCK = 11  # words of an exact part, see part_keys
+BLOCK = 14  # words of an exact part, see part_keys
 FLUSH = 150_000
-RECORD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("more", "<i4"), ("left", "u1"), ("right", "u1"), ("words", "u1", (AROUND + 1) // 2)])
+RECORD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("more", "<i4"), ("left", "u1"), ("right", "u1"), ("words", "u1", (AROUND,))])  # words: a byte of each word's hash, 0 outside the window
 LINK = np.dtype([("doc", "<i8"), ("start", "<i4"), ("end", "<i4"), ("kept", "<i8"), ("kept_start", "<i4")])
 
 
@@ -75,8 +75,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> np.ndarr
     runs = shingle(words, WORDS)
     whole = rows[: n - WORDS + 1] == rows[WORDS - 1 :]
     room = rows[: n - PASSAGE + 1] == rows[PASSAGE - 1 :]  # a passage may begin here
-    nibbles = (words >> U64(60)).astype(np.uint8)
-    nibbles[nibbles == 0] = 7
+    codes = (words >> U64(56)).astype(np.uint8)
+    codes[codes == 0] = 137
     place = np.arange(-BEFORE, AFTER)
     out = []
     for k in range(HASHES):
@@ -93,11 +93,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> np.ndarr
         record = np.zeros(len(c), RECORD)
         record["key"], record["doc"], record["at"] = value[c], docs[row], c - first[row]
         record["left"], record["right"] = np.minimum(c - left, BEFORE), np.minimum(right - c, RUN - 1)
-        at = c[:, None] + place
-        around = nibbles[np.clip(at, 0, n - 1)] * ((at >= first[row, None]) & (at < (first[row] + counts[row])[:, None]))
-        if AROUND % 2:
-            around = np.concatenate([around, np.zeros((len(c), 1), np.uint8)], 1)
-        record["words"] = around[:, ::2] << 4 | around[:, 1::2]
+        inside = (place >= -record["left"].astype(np.int64)[:, None]) & (place < record["right"].astype(np.int64)[:, None] + WORDS)
+        record["words"] = codes[np.clip(c[:, None] + place, 0, n - 1)] * inside
         out.append(join_neighbours(record))
     return np.concatenate(out)
 
@@ -120,11 +117,6 @@ def join_neighbours(records: np.ndarray) -> np.ndarray:
     return records[np.unique(np.concatenate([first, last]))]
 
 
-def unpack(records: np.ndarray) -> np.ndarray:
-    both = np.stack([records["words"] >> 4, records["words"] & 15], 2).reshape(len(records), -1)
-    return both[:, :AROUND]
-
-
 def compare(a: np.ndarray, b: np.ndarray, a_words: np.ndarray, b_words: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For pairs of windows: whether they share a passage, and its first and last shingle, counted from c.
 
@@ -173,17 +165,19 @@ def compare(a: np.ndarray, b: np.ndarray, a_words: np.ndarray, b_words: np.ndarr
 
 
 def part_keys(records: np.ndarray, words: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows with eleven known words at a given distance from c, and a hash of window key and words.
+    """Rows with BLOCK known words at a given distance from c, and a hash of window key and words.
 
-    A passage of 50 words that holds c and is near enough (about one changed
-    word) keeps one of the three parts before c or behind it as they are.
+    Three blocks lie behind the least shingle (even numbers), three before it. A
+    passage of 50 words that holds c has two of them at least, so one changed
+    word leaves it one; common lines of less than BLOCK + WORDS words bring no
+    windows together.
     """
     begin = BEFORE + (WORDS + (part // 2) * BLOCK if part % 2 == 0 else -(part // 2 + 1) * BLOCK)
     block = words[:, begin : begin + BLOCK]
     rows = np.flatnonzero((block != 0).all(1))
     packed = np.zeros(len(rows), U64)
     for j in range(BLOCK):
-        packed = packed << U64(4) | block[rows, j].astype(U64)
+        packed = packed * U64(_BASE) + block[rows, j]
     return rows, mix(records["key"][rows] ^ mix(packed + U64(part + 1)))
 
 
@@ -295,7 +289,7 @@ def join_windows(records: np.ndarray, least: float) -> np.ndarray:
     chiefs = np.flatnonzero(~twin)
     del chief, content, order
 
-    words = unpack(records)
+    words = np.ascontiguousarray(records["words"])
     exact, whose, linked = link_exact(records, words)
     links, dups = [exact], [whose]
     for part in range(6):
@@ -338,22 +332,44 @@ def merge_same(records: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarra
     same = np.concatenate([[False], alike(records[:-1], records[1:])])
     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(records))))
     a = np.flatnonzero(same & (records["doc"] != records["doc"][first]))
-    links, dropped, _ = link_pairs(records, unpack(records), a, first[a], least)
+    links, dropped, _ = link_pairs(records, records["words"], a, first[a], least)
     keep = np.ones(len(records), bool)
     keep[dropped] = False
     return records[keep], links
 
 
-def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, start_word, end_word, kept_doc_id, kept_start, n_windows: passages of 50 words or more that a document shares with one of a smaller id.
+def merge_links(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a document that overlap or touch as one, with the smallest of their partners, and how many they were."""
+    if not len(links):
+        return links, np.zeros(0, np.int64)
+    links = links[np.lexsort((links["start"], links["doc"]))]
+    _, doc = np.unique(links["doc"], return_inverse=True)
+    base = doc.astype(np.int64) << 32  # ends of a smaller document lie below all starts of a larger one
+    reach = np.maximum.accumulate(base + links["end"])
+    first = np.concatenate([[0], np.flatnonzero(base[1:] + links["start"][1:] > reach[:-1]) + 1])
+    size = np.diff(np.concatenate([first, [len(links)]]))
+    island = np.repeat(np.arange(len(first)), size)
+    best = np.lexsort((links["kept_start"], links["kept"], island))[first]
+    out = links[first].copy()
+    out["end"] = np.maximum.reduceat(links["end"], first)
+    out["kept"], out["kept_start"] = links["kept"][best], links["kept_start"][best]
+    return out, size
 
-    Words count from 0, the end is behind the last. doc_id must be an integer;
-    rows without one are left out, and passages that repeat within a document
-    aren't reported. Null, empty and shorter texts give no row. Passages next to
-    each other with the same partner are one.
+
+def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, start_word, end_word, kept_doc_id, kept_start, n_windows: the words of a document in passages of 50 words or more that one of a smaller id has too.
+
+    Words count from 0, the end is behind the last; passages that overlap or
+    touch are one row. kept_doc_id is the smallest document with a part of it, which begins
+    at word kept_start there; n_windows tells how many linked stretches it was merged from. doc_id must be an integer; rows without one are
+    left out (they have no smaller id), rows with the same id count as one
+    document, and passages that repeat within a document aren't reported. Null,
+    empty and shorter texts give no row, an empty table none; whole texts are
+    read, in blocks. Words are compared by a byte of their hash, so a passage may
+    reach one word too far at 1 in 255 of its ends.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    n_buckets = 1 << min(16, max(5, (own.count() // 500).bit_length()))
+    n_buckets = 1 << min(24, max(5, (own.count() // 500).bit_length()))
     bits = n_buckets.bit_length() - 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,6 +377,7 @@ def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id
 
         def flush() -> pa.RecordBatch:
             records, links = merge_same(np.concatenate(held), least)
+            links, _ = merge_links(links)
             held.clear()
             cut = np.searchsorted(records["key"] >> U64(64 - bits), np.arange(1, n_buckets, dtype=U64))
             rows = [(b, 0, part.tobytes()) for b, part in enumerate(np.split(records, cut)) if len(part)]
@@ -380,16 +397,17 @@ def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         records = np.frombuffer(b"".join(pdf["data"][pdf["kind"] == 0]), RECORD)
-        links = np.concatenate([np.frombuffer(b"".join(pdf["data"][pdf["kind"] == 1]), LINK), join_windows(records, least)])
-        return pd.DataFrame({"doc_id": links["doc"], "start_word": links["start"], "end_word": links["end"], "kept_doc_id": links["kept"], "kept_start": links["kept_start"]})
+        links, n = merge_links(np.concatenate([np.frombuffer(b"".join(pdf["data"][pdf["kind"] == 1]), LINK), join_windows(records, least)]))
+        return pd.DataFrame({"doc_id": links["doc"], "start_word": links["start"], "end_word": links["end"], "kept_doc_id": links["kept"], "kept_start": links["kept_start"], "n_windows": n})
 
-    schema = "doc_id long, start_word int, end_word int, kept_doc_id long, kept_start int"
+    schema = "doc_id long, start_word int, end_word int, kept_doc_id long, kept_start int, n_windows long"
     links = own.mapInArrow(emit, "bucket int, kind int, data binary").groupBy("bucket").applyInPandas(meet, schema)
-    by = W.partitionBy("doc_id", "kept_doc_id").orderBy("start_word", "end_word", "kept_start")
+    by = W.partitionBy("doc_id").orderBy("start_word", "end_word")
     new = (F.col("start_word") > F.max("end_word").over(by.rowsBetween(W.unboundedPreceding, -1))).cast("int")
     islands = links.withColumn("new", F.coalesce(new, F.lit(0))).withColumn("island", F.sum("new").over(by))
-    merged = islands.groupBy("doc_id", "kept_doc_id", "island").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), F.min_by("kept_start", F.struct("start_word", "kept_start")).alias("kept_start"), F.count("*").alias("n_windows"))
-    return merged.select("doc_id", "start_word", "end_word", "kept_doc_id", "kept_start", "n_windows")
+    kept = F.min(F.struct("kept_doc_id", "kept_start"))
+    merged = islands.groupBy("doc_id", "island").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), kept.alias("kept"), F.sum("n_windows").alias("n_windows"))
+    return merged.select("doc_id", "start_word", "end_word", "kept.kept_doc_id", "kept.kept_start", "n_windows")
 
 
 def cut_repeats(docs: DataFrame, least: float = 0.8) -> DataFrame:

@@ -250,6 +250,27 @@ def test_substring_dedup_covers_what_a_later_partner_shares(spark):
     assert passages_by_brute_force(rows) <= covered
 
 
+def test_substring_dedup_links_one_passage_in_many_documents(spark):
+    shared = prose(60, 77)
+    rows = [(i, f"{prose(30 + i % 7, 5000 + i)} {shared} {prose(30, 9000 + i)}") for i in range(2000)]
+    found = {r["doc_id"]: r for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert len(found) == 1999 and all(r["kept_doc_id"] == 0 for r in found.values())
+    assert all(30 + i % 7 >= r["start_word"] >= 29 + i % 7 and 90 + i % 7 <= r["end_word"] <= 91 + i % 7 for i, r in found.items())
+
+
+@pytest.mark.parametrize("edit", ["change", "insert", "delete"])
+def test_substring_dedup_recall_of_near_passages(spark, edit):
+    """At least nine in ten passages of 55 words with one word edited are found, and no other document."""
+    rng, rows = random.Random(4), []
+    for k in range(200):
+        words = prose(55, 3000 + k).split()
+        other, at = list(words), rng.randrange(2, 53)
+        other[at : at + (edit != "insert")] = [] if edit == "delete" else ["edited"]
+        rows += [(3 * k + j, f"{prose(60, 20000 + 3 * k + j)} {' '.join(w)} {prose(60, 30000 + 3 * k + j)}") for j, w in enumerate((words, other, []))]
+    found = {r["doc_id"] for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert len(found) >= 180 and all(i % 3 == 1 for i in found)
+
+
 def test_cut_repeats(spark):
     shared = prose(80, 1)
     rows = [(1, f"first {shared} end"), (2, f"second\n{shared}\nlast"), (3, shared), (4, None), (5, ""), (6, "short text")]
