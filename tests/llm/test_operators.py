@@ -255,7 +255,7 @@ def test_substring_dedup_links_one_passage_in_many_documents(spark):
     rows = [(i, f"{prose(30 + i % 7, 5000 + i)} {shared} {prose(30, 9000 + i)}") for i in range(2000)]
     found = {r["doc_id"]: r for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
     assert len(found) == 1999 and all(r["kept_doc_id"] == 0 for r in found.values())
-    assert all(30 + i % 7 >= r["start_word"] >= 29 + i % 7 and 90 + i % 7 <= r["end_word"] <= 91 + i % 7 for i, r in found.items())
+    assert all(0 <= 30 + i % 7 - r["start_word"] <= 3 and 0 <= r["end_word"] - 90 - i % 7 <= 3 for i, r in found.items())  # words next to it agree by chance
 
 
 @pytest.mark.parametrize("edit", ["change", "insert", "delete"])
