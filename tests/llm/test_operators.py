@@ -153,17 +153,59 @@ def test_decontamination_equals_brute_force(spark):
 
 
 def test_licenses_equal_brute_force(spark):
-    near = licenses.TEMPLATES["ISC"].replace("any purpose", "every purpose")
-    wrapped = licenses.TEMPLATES["MIT"].replace(", ", ",\n")
+    near = licenses.TEMPLATES["ISC"][0].replace("any purpose", "every purpose")
+    wrapped = licenses.TEMPLATES["MIT"][0].replace(", ", ",\n")
     rows = [(1, "Released under the MIT License."), (2, f"{prose(30, 1)}\n{near}\n{prose(9, 2)}"), (3, f"intro\n\n{wrapped}\nend of it all"), (4, prose(300, 4)), (5, "licensed under the")]
     found = {(r["doc_id"], r["license"]): r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
     assert set(found) == {(1, "MIT line"), (2, "ISC"), (3, "MIT")}
-    a, b = (Counter(pairwise(licenses.plain(x).split())) for x in (near, licenses.TEMPLATES["ISC"]))
+    a, b = (Counter(pairwise(licenses.plain(x).split())) for x in (near, licenses.TEMPLATES["ISC"][0]))
     assert math.isclose(found[(2, "ISC")]["dice"], 2 * (a & b).total() / (a.total() + b.total()))
     assert (found[(2, "ISC")]["first_line"], found[(2, "ISC")]["last_line"]) == (1, 1)
     assert licenses.scan_licenses(frame(spark, ODD)).count() == 0
 
 
+def test_licenses_within_lines_and_one_behind_the_other(spark):
+    whole = lambda name: texts if isinstance(texts := licenses.TEMPLATES[name], str) else texts[-1]
+    lines = lambda t: "\n".join(re.findall(r".{1,70}(?:\s|$)", t))
+    both = f"{lines(whole('MIT'))}\n\n{lines(whole('Apache-2.0'))}"
+    rows = [(1, f"{prose(20, 1)}: released under the MIT License. {prose(20, 2)}"), (2, both), (3, f"{whole('ISC')} {whole('ISC')}"), *[(10 + k, f"Copyright (c) 2020 {prose(3, k)}\n{lines(whole(n))}\n{prose(200, k)}") for k, n in enumerate(["MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "MPL-2.0", "Apache-2.0"])]]
+    found = sorted((r["doc_id"], r["first_line"], r["license"]) for r in licenses.scan_licenses(frame(spark, rows)).collect())
+    expected = [(1, "MIT line"), (2, "MIT"), (2, "Apache-2.0"), (3, "ISC"), (3, "ISC"), (10, "MIT"), (11, "BSD-2-Clause"), (12, "BSD-3-Clause"), (13, "GPL-2.0-or-later"), (14, "GPL-3.0-or-later"), (15, "LGPL-2.1-or-later"), (16, "MPL-2.0"), (17, "Apache-2.0")]
+    assert [(i, n) for i, _, n in found] == expected
+
+
+def test_licenses_equal_all_stretches():
+    """Wherever some stretch of words is near a template, one that meets it is found, and its Dice is right."""
+    rng, texts = random.Random(6), {f"t{k}": prose(12 + 4 * k, 70 + k) for k in range(4)}
+    templates = licenses.Templates(texts, 0.8)
+    bags = {n: Counter(pairwise(t.split())) for n, t in texts.items()}
+    for k in range(60):
+        words = prose(10, 400 + k).split()
+        for _ in range(rng.randint(0, 3)):
+            part = rng.choice(list(texts.values())).split()
+            for _ in range(rng.randint(0, 3)):
+                part[rng.randrange(len(part))] = rng.choice(VOCABULARY)
+            words += part[rng.randint(0, 3) :] + prose(rng.randint(0, 6), 500 + k).split()
+        raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+        near = {}
+        for name, bag in bags.items():
+            for i in range(len(words) - 1):
+                for j in range(i + 1, len(words)):
+                    own = Counter(pairwise(words[i : j + 1]))
+                    if (share := 2 * (own & bag).total() / (own.total() + bag.total())) >= 0.8:
+                        near[(name, i, j)] = share
+        found = licenses.scan_block(raw, np.array([0, len(raw)]), templates)
+        assert bool(found) == bool(near)
+        assert all(any(n == name and math.isclose(share, dice) and j - i == size for (n, i, j), share in near.items()) for _, _, _, name, dice, size in found)
+        starts, ends, _ = licenses.find_words(raw, np.array([0, len(raw)]))
+        pairs = licenses.pair_hashes(licenses.hash_words(raw, starts, ends))
+        place, template = templates.hits(pairs)
+        for t, name in enumerate(templates.names):
+            own = np.sort(place[template == t])
+            spans = [(lo, hi) for lo, hi, _ in licenses.passages(own.tolist(), pairs[own].tolist(), templates.bags[t], int(templates.sizes[t]), 0.8)]
+            assert all(any(lo < j and i <= hi for lo, hi in spans) for n, i, j in near if n == name)
+
+
 def test_language_model_base_and_score(spark):
     rows = [(i, prose(80, i % 120) if i % 120 < 40 else prose(80, i)) for i in range(300)] + [r for r in ODD if r[0] is None or r[0] not in range(300)] + [(1000, None), (1001, "")]
     found = language_model.score_corpus(frame(spark, rows)).collect()
