@@ -4,20 +4,24 @@ A region within e edits of an item of m letters shares at least m - q + 1 - q*e
 of the item's q-grams, and their diagonals (place in text less place in item)
 differ by e at most. Diagonals fall into bands of 2w that start every w >= e,
 so one band holds them all: bands with too few shared q-grams are dropped, the
-others are verified by a banded alignment.
+others are verified by a banded alignment. q is 10, and less for items that
+would be too short for it.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import U64, mix
+from .common import U64, materialise, mix
 
 Q, BUDGET = 10, 0.06
 #: Letters of a text that are looked at together.
@@ -54,38 +58,65 @@ def grams(letters: np.ndarray, q: int) -> np.ndarray:
     return mix(out)
 
 
-class Items:
-    """q-grams of the benchmark items: a bit table that most of a text's grams fail, then sorted lists."""
+def edits(length: int) -> int:
+    return int(BUDGET * length)
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        rows = [(k, plain(t)) for k, t in rows]
-        self.rows = [(k, t) for k, t in rows if need(len(t)) > 0]
-        self.items = [codes(t) for _, t in self.rows]
-        self.texts = [t for _, t in self.rows]
-        hashes = [grams(x, Q) for x in self.items]
+
+def gram_length(length: int) -> int:
+    """Q, or for items too short for the lemma at Q the largest q at which an item within its budget still shares a gram."""
+    return min(Q, length // (1 + edits(length))) if need(length, Q) <= 0 else Q
+
+
+def need(length: int, q: int) -> int:
+    """Grams of q letters that a region within the budget shares at least."""
+    return length - q + 1 - q * edits(length)
+
+
+class Grams:
+    """The q-grams of items of one gram length: a bit table that most of a text's grams fail, then sorted lists."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], q: int):
+        self.q = q
+        hashes = [grams(x, q) for _, x in items]
         all_grams = np.concatenate([*hashes, np.zeros(0, U64)])
         order = np.argsort(all_grams, kind="stable")
         self.gram = all_grams[order]
-        self.item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])[order]
+        self.item = np.repeat(np.array([k for k, _ in items], np.int64), [len(h) for h in hashes])[order]
         self.place = np.concatenate([*(np.arange(len(h)) for h in hashes), np.zeros(0, np.int64)])[order]
         self.bits = max(16, int(len(self.gram) * 32).bit_length())
         self.table = np.zeros(1 << self.bits, bool)
         self.table[(self.gram >> U64(64 - self.bits)).astype(np.int64)] = True
+
+    def hits(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in the text, item, diagonal) of each shared gram."""
+        have = grams(letters, self.q) if len(letters) >= self.q else np.zeros(0, U64)
+        at = np.flatnonzero(self.table[(have >> U64(64 - self.bits)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.gram, have[at], "left"), np.searchsorted(self.gram, have[at], "right")
+        n = hi - lo
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        text_at = np.repeat(at, n)
+        return text_at, self.item[entry], text_at - self.place[entry]
+
+
+class Items:
+    """Benchmark items that have letters, and their q-grams."""
+
+    def __init__(self, rows: list[tuple[int, str]]):
+        self.rows = [(k, t) for k, t in ((k, plain(t)) for k, t in rows) if t]
+        self.items = [codes(t) for _, t in self.rows]
+        self.texts = [t for _, t in self.rows]
         lengths = np.array([len(x) for x in self.items], np.int64)
-        self.least = np.array([need(n) for n in lengths], np.int64)
+        own = [gram_length(n) for n in lengths]
+        self.grams = [Grams([(k, x) for k, x in enumerate(self.items) if own[k] == q], q) for q in sorted(set(own))]
+        self.least = np.array([need(n, q) for n, q in zip(lengths, own, strict=True)], np.int64)
         self.step = np.array([max(8, edits(n)) for n in lengths], np.int64)
 
     def bands(self, letters: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, least diagonal, largest diagonal) of bands with enough shared grams."""
-        have = grams(letters, Q) if len(letters) >= Q else np.zeros(0, U64)
-        at = np.flatnonzero(self.table[(have >> U64(64 - self.bits)).astype(np.int64)])
-        lo, hi = np.searchsorted(self.gram, have[at], "left"), np.searchsorted(self.gram, have[at], "right")
-        n = hi - lo
-        if not n.any():
+        hits = [g.hits(letters) for g in self.grams]
+        text_at, item, diagonal = (np.concatenate([h[k] for h in hits]) for k in range(3)) if hits else (np.zeros(0, np.int64),) * 3
+        if not len(text_at):
             return []
-        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        text_at, item = np.repeat(at, n), self.item[entry]
-        diagonal = text_at - self.place[entry]
         found = []
         for shift in (0, 1):
             band = diagonal // self.step[item] - shift
@@ -93,8 +124,7 @@ class Items:
             i, b, p = item[order], band[order], text_at[order]
             new = np.concatenate([[True], (i[1:] != i[:-1]) | (b[1:] != b[:-1])])
             distinct = new | np.concatenate([[True], p[1:] != p[:-1]])
-            group = np.cumsum(new) - 1
-            counts = np.bincount(group, distinct)
+            counts = np.bincount(np.cumsum(new) - 1, distinct)
             found.append(np.stack([i[new], b[new], counts.astype(np.int64)]))
         # band b holds diagonals of b and b + 1; both halves were counted under the same number
         both = np.concatenate(found, 1)
@@ -106,14 +136,6 @@ class Items:
         return [(k, int(d) * int(self.step[k]), (int(d) + 2) * int(self.step[k]) - 1) for k, d in zip(i[total >= self.least[i]].tolist(), b[total >= self.least[i]].tolist(), strict=True)]
 
 
-def edits(length: int) -> int:
-    return int(BUDGET * length)
-
-
-def need(length: int) -> int:
-    return length - Q + 1 - Q * edits(length)
-
-
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best place of the whole item in the text with diagonals low..high, if within the budget.
 
@@ -175,27 +197,25 @@ def find_items(items: Items, text: str) -> list[tuple[int, int, int, int]]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", max_letters: int = 4 << 20) -> DataFrame:
     """doc_id, item_id, edits, start_char, end_char for each place of a benchmark item in a document.
 
-    Offsets count letters of the plain text (see `plain`). Items go to the
-    tasks in blocks of at most `max_letters` letters, and every block sees all
-    documents, so what is broadcast has a bound. Items that are too short for
-    the lemma at this budget (need() <= 0, about 30 letters) are never found;
-    null items and texts count as empty. Repeated items are all reported.
+    Offsets count letters of the plain text (see `plain`). Items of less than 17
+    letters have no budget: they are found as they are, wherever the letters
+    stand. Items go to the tasks in blocks of at most `max_letters` letters, and
+    every block sees all documents, so driver and tasks hold one block at a time
+    (a longer item is a block of its own). Null items and items without letters
+    are never found; null, empty and letterless texts give no row, nor does an
+    empty table. Repeated items and repeated rows are all reported. Texts are
+    read whole, in overlapping parts of SPAN letters.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for row in benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
-        if blocks[-1] and size + len(row["text"]) > max_letters:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    schema = f"doc_id {own.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, edits int, start_char long, end_char long"
-    out = None
-    for block in blocks:
-        shared = own.sparkSession.sparkContext.broadcast(Items(block))
+    context = own.sparkSession.sparkContext
+    kinds = [own.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
+    schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, edits int, start_char long, end_char long"
+    item_type = to_arrow_type(kinds[1])
 
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def scan(block: list[tuple]) -> tuple[DataFrame, Broadcast]:
+        shared = context.broadcast(Items(block))
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = shared.value
             for batch in batches:
                 rows, found = [], []
@@ -204,9 +224,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                         rows.append(row)
                         found.append((items.rows[hit[0]][0], *hit[1:]))
                 columns = list(zip(*found, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(columns[0], item_type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], ["doc_id", "item_id", "edits", "start_char", "end_char"])
+                types = [item_type, pa.int32(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], ["doc_id", "item_id", "edits", "start_char", "end_char"])
+
+        return own.mapInArrow(search, schema), shared
 
-        item_type = pa.int64() if benchmark.schema["item_id"].dataType.simpleString() == "bigint" else pa.int32() if benchmark.schema["item_id"].dataType.simpleString() == "int" else pa.string()
-        part = own.mapInArrow(search, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+    block, size, parts = [], 0, []
+    for row in benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
+        if block and size + len(row["text"]) > max_letters:
+            part, shared = scan(block)
+            parts.append(materialise(part, "leaks"))
+            shared.destroy()
+            block, size = [], 0
+        block.append((row["item_id"], row["text"]))
+        size += len(row["text"])
+    return reduce(DataFrame.unionByName, parts, scan(block)[0])

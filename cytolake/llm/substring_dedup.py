@@ -27,7 +27,7 @@ RUN = PASSAGE - WORDS + 1  # shingles of the shortest passage
 BEFORE, AFTER = RUN - 1, RUN - 1 + WORDS  # words around c that a passage of the least length can hold
 AROUND = BEFORE + AFTER
 BLOCK = 14  # words of an exact part, see part_keys
-FLUSH = 150_000
+FLUSH = 80_000
 RECORD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("more", "<i4"), ("left", "u1"), ("right", "u1"), ("words", "u1", (AROUND,))])  # words: a byte of each word's hash, 0 outside the window
 LINK = np.dtype([("doc", "<i8"), ("start", "<i4"), ("end", "<i4"), ("kept", "<i8"), ("kept_start", "<i4")])
 
@@ -196,7 +196,7 @@ def of_several(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.repeat(np.bitwise_or.reduceat(change, begin), size)
 
 
-def link_pairs(records: np.ndarray, words: np.ndarray, a: np.ndarray, b: np.ndarray, least: float, step: int = 50_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def link_pairs(records: np.ndarray, words: np.ndarray, a: np.ndarray, b: np.ndarray, least: float, step: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links of the pairs of records that share a passage, from the larger document to the smaller, and those pairs."""
     swap = records["doc"][a] < records["doc"][b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)

@@ -152,6 +152,24 @@ def test_decontamination_equals_brute_force(spark):
     assert {(r["doc_id"], r["item_id"]): r["edits"] for r in blocks.collect()} == expected
 
 
+@pytest.mark.parametrize("length", [*range(2, 22), 34, 50])
+def test_short_items_are_found_within_their_budget(length):
+    rng = random.Random(length)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    item = letters(length)
+    items, found, expected = decontamination.Items([(1, item), (2, letters(40))]), [], []
+    for k in range(60):
+        own = list(item)
+        for _ in range(k % 4):
+            at = rng.randrange(len(own) + 1)
+            own[at : at + rng.randint(0, 1)] = rng.choice(["z", ""])
+        text = letters(30) + "".join(own) + letters(30)
+        least = edit_distance_within(item, text)
+        expected.append(least if least <= decontamination.edits(length) else None)
+        found.append(min((h[1] for h in decontamination.find_items(items, text) if h[0] == 0), default=None))
+    assert found == expected and any(x is not None for x in found)
+
+
 def test_licenses_equal_brute_force(spark):
     near = licenses.TEMPLATES["ISC"][0].replace("any purpose", "every purpose")
     wrapped = licenses.TEMPLATES["MIT"][0].replace(", ", ",\n")
