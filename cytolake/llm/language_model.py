@@ -162,7 +162,7 @@ class Filter:
 
 
 def buckets(docs: DataFrame) -> int:
-    return 1 << min(16, max(4, (docs.count() // 1000).bit_length()))
+    return 1 << min(22, max(4, (docs.count() // 1000).bit_length()))
 
 
 def train(docs: DataFrame, bits_per_key: int = 10) -> tuple[Filter, DataFrame]:

@@ -92,6 +92,9 @@ def pack(pieces: DataFrame, size: int = 2048, group_rows: int = 16384, seed: int
     length outside 1..size raises.
     """
     groups = max(1, -(-pieces.count() // group_rows))
+    name = "pack_group"
+    while name in pieces.columns:
+        name += "_"
     group = F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups))
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -100,12 +103,12 @@ def pack(pieces: DataFrame, size: int = 2048, group_rows: int = 16384, seed: int
             raise ValueError(f"lengths must lie in 1..{size}")
         full = int((pdf["length"] == size).sum())  # these come first and fill a bin each
         bins, offsets = first_fit(pdf["length"].iloc[full:].tolist(), size)
-        pdf["sequence_id"] = pdf.pop("pack_group") * 2**32 + np.concatenate([np.arange(full), np.array(bins, np.int64) + full]).astype(np.int64)
+        pdf["sequence_id"] = pdf.pop(name) * 2**32 + np.concatenate([np.arange(full), np.array(bins, np.int64) + full]).astype(np.int64)
         pdf["offset"] = np.concatenate([np.zeros(full, np.int64), np.array(offsets, np.int64)]).astype(np.int64)
         return pdf
 
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return pieces.withColumn("pack_group", group).groupBy("pack_group").applyInPandas(place, schema)
+    return pieces.withColumn(name, group).groupBy(name).applyInPandas(place, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, with_ids: bool = False, **columns: str) -> DataFrame:

@@ -132,12 +132,13 @@ def fit_field(chains: list[np.ndarray], labels: list[int], steps: int = 120, pen
 
 
 def train_field(docs: DataFrame, labels: DataFrame, limit: int = 3000, most_lines: int = 300) -> LineField:
-    """Fits on at most `limit` labelled documents (doc_id, text; labels: doc_id, quality), those with the smallest hash of their id.
+    """Fits on at most `limit` labelled rows (doc_id, text; labels: doc_id, quality), those with the smallest hash of their id.
 
     Only a number per line of this bounded sample goes to the driver; documents
-    of more than `most_lines` lines aren't used for training.
+    of more than `most_lines` lines aren't used for training. Without labels or
+    documents everything is content.
     """
-    chosen = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    chosen = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label_quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +146,8 @@ def train_field(docs: DataFrame, labels: DataFrame, limit: int = 3000, most_line
             marks = [chain(t)[0] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m if len(m) <= most_lines else [] for m in marks], pa.list_(pa.int32()))], ["quality", "marks"])
 
-    rows = docs.join(F.broadcast(chosen), "doc_id").select(F.col("quality").cast("int"), "text").mapInArrow(lines, "quality int, marks array<int>").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(limit)
+    rows = texts.select("label_quality", "text").mapInArrow(lines, "quality int, marks array<int>").collect()
     rows = sorted((r["marks"], r["quality"]) for r in rows if r["marks"])
     return fit_field([np.array(m) for m, _ in rows], [int(q > 0) for _, q in rows])
 
@@ -175,6 +177,8 @@ def judge_quality(docs: DataFrame, field: LineField, least_content: float = 0.5,
     content_share is the share of words in lines that the field marks as
     content; a document is kept if the base rules pass and the share is
     `least_content` or more. Null and empty texts have no words and fail.
+    Repeated rows and rows without an id are each judged, whole texts of any
+    length are read, an empty table gives no row, and other columns don't matter.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 

@@ -7,6 +7,7 @@ go on from any slot.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, fresh_path, materialise, mix
+from .common import U64, materialise, mix, scratch
 from .tokens import encoder
 
 ROUNDS = 6
@@ -46,8 +47,10 @@ def cut_sequences(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: in
     """Token ids of a task's documents one after another, each with end_id behind it, cut every `size` ids.
 
     Returns task, number (in the task), doc_id and start of the first id, n_tokens
-    and tokens (16-bit ids, zstd). Only a task's last sequence is shorter. A null
-    or empty text is its end_id alone.
+    and tokens (16-bit ids, zstd; a larger id raises). Only a task's last sequence
+    is shorter. A null or empty text is its end_id alone, a row without an id or
+    a repeated row is a document like others, and a very long text goes on over
+    as many sequences as it needs. An empty table gives none.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -63,7 +66,11 @@ def cut_sequences(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: in
                     k += 1
                 firsts.append(spans[k][1])
                 starts.append(at - spans[k][0])
-                tokens.append(squeeze(np.frombuffer(pending, "<u4", n, 4 * at).astype("<u2").tobytes()))
+                own = np.frombuffer(pending, "<u4", n, 4 * at)
+                if own.max(initial=0) > 0xFFFF:
+                    raise ValueError("an id needs more than 16 bits; shards hold two bytes an id")
+                tokens.append(squeeze(own.astype("<u2").tobytes()))
+                del own  # `pending` can't shrink under a view
                 at += n
             numbers = list(range(number, number + len(lengths)))
             number += len(lengths)
@@ -91,14 +98,15 @@ def cut_sequences(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: in
     return rows.mapInArrow(sequences, f"task long, number long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, n_tokens long, tokens binary")
 
 
-def write_shards(sequences: DataFrame, path: str, key: int, size: int = 2048, records_per_shard: int = 8192, pad_id: int = 49407) -> DataFrame:
-    """Writes `sequences` (a table of cut_sequences) to `path` in a keyed order; returns one row per sequence.
+def write_shards(sequences: DataFrame, path: str, key: int, size: int = 2048, records_per_shard: int = 8192, pad_id: int = 49407, shards_per_task: int = 32) -> DataFrame:
+    """Writes `sequences` (a table of cut_sequences) to `path` in a keyed order when it is run; gives one row per sequence.
 
     slot, shard, record, doc_id, start, n_tokens, ids_crc32 (of the record as
     written). The dense index before the permutation is the order of task and
-    number; only a count per task goes to the driver. A file is written under
-    another name and then renamed, so a repeated task does no harm. An empty
-    table writes nothing.
+    number; only a count per task goes to the driver. A task writes a range of
+    shards one after another, at most `shards_per_task`, and fewer where that
+    keeps all cores busy. A file is written under another name and then renamed,
+    so a repeated task does no harm. An empty table writes nothing.
     """
     counts = sorted((r["task"], r["n"]) for r in sequences.groupBy("task").agg(F.count("*").alias("n")).collect())
     total, before = 0, {}
@@ -106,6 +114,7 @@ def write_shards(sequences: DataFrame, path: str, key: int, size: int = 2048, re
         before[task] = total
         total += n
     n_shards = max(1, -(-total // records_per_shard))
+    together = max(1, min(shards_per_task, n_shards // (4 * sequences.sparkSession.sparkContext.defaultParallelism)))
     base = [0] * (max(before, default=0) + 1)
     for task, n in before.items():
         base[task] = n
@@ -144,14 +153,21 @@ def write_shards(sequences: DataFrame, path: str, key: int, size: int = 2048, re
 
     kind = sequences.schema["doc_id"].dataType.simpleString()
     placed = sequences.mapInArrow(slots, f"shard long, slot long, doc_id {kind}, start long, n_tokens long, tokens binary")
-    ordered = placed.repartitionById(n_shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+    ordered = placed.repartitionById(-(-n_shards // together), (F.col("shard") / together).cast("int")).sortWithinPartitions("slot")
     return ordered.mapInArrow(write, f"slot long, shard long, record long, doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def materialise_order(docs: DataFrame, vocabulary: str, path: str | None = None, key: int = 20240229, size: int = 2048, records_per_shard: int = 8192, **columns: str) -> DataFrame:
-    """cut_sequences, kept as a table, then write_shards (to a new folder in the shared scratch folder unless `path` says where)."""
+    """Writes all of docs as shards in a keyed order, at once, and gives the manifest (a row per record, see write_shards) that lies beside them.
+
+    Without `path`, shards/<name> in the shared folder, where they stay. Columns
+    of docs other than id and text don't matter.
+    """
+    path = path or f"{scratch(docs.sparkSession)}/shards/{uuid.uuid4().hex}"
     sequences = materialise(cut_sequences(docs, vocabulary, size, **columns), "sequences")
-    return write_shards(sequences, path or fresh_path(docs.sparkSession, "shards"), key, size, records_per_shard)
+    rows = write_shards(sequences, path, key, size, records_per_shard)
+    rows.write.parquet(f"{path}/manifest")
+    return docs.sparkSession.read.schema(rows.schema).parquet(f"{path}/manifest")
 
 
 def read_records(path: str, slot: int, n: int, size: int = 2048, records_per_shard: int = 8192) -> Iterator[np.ndarray]:

@@ -48,11 +48,12 @@ class OrdinalModel:
 
 
 def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Features, their values, how many each has, and grades of at most `limit` labelled documents, those with the smallest hash of their id.
+    """Features, their values, how many each has, and grades of at most `limit` labelled rows of docs, those with the smallest hash of their id.
 
-    This bounded sample is all that goes to the driver.
+    This bounded sample is all that goes to the driver; of rows with the same id
+    those of the smallest text hash come first.
     """
-    chosen = labels.filter("grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").alias("grade"))
+    chosen = labels.filter("grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").cast("int").alias("label_grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +70,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.
             yield pa.RecordBatch.from_arrays([*batch.columns[:1], batch.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["doc_id", "grade", "ids", "values"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("grade").cast("int"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(limit)
     rows = texts.mapInArrow(sparse, f"doc_id {kind}, grade int, ids array<int>, values array<float>").toArrow().sort_by("doc_id")
     lengths = pa.compute.list_value_length(rows["ids"]).to_numpy().astype(np.int64)
     return pa.compute.list_flatten(rows["ids"]).to_numpy(), pa.compute.list_flatten(rows["values"]).to_numpy(), lengths, rows["grade"].to_numpy()
@@ -110,7 +111,9 @@ def fit(ids: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.nda
 def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, severity (expected grade), grade (of the thresholds passed with `cut` or more), toxic (grade > 0).
 
-    Whole texts; a null or empty text, or one without letters, has severity 0.
+    Whole texts, of any length; a null or empty text, or one without letters, has
+    severity 0. Repeated rows and rows without an id are each scored, an empty
+    table gives none, and other columns don't matter.
     The model has a fixed size (2^18 weights) and is sent with the tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -92,18 +92,21 @@ def listed(levels: list[Level], key: Column) -> Column:
     return answer
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], blocked_names: Sequence[str], page_id: str = "page_id", url: str = "url", max_bytes: int = 64 << 20) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], blocklist: DataFrame, page_id: str = "page_id", url: str = "url", max_bytes: int = 64 << 20) -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block) and `listed` for every page.
 
-    rules: (verdict, host/path-prefix). Without a fitting rule, a host is blocked
-    if one of its labels is in `blocked_names`; that list of hosts is encoded by
-    a cascade over all distinct hosts. A null url has empty host and path and is
-    allowed; an empty table gives an empty result; repeated rows stay.
+    rules: (verdict, host/path-prefix). Without a fitting rule, a page is blocked
+    if its host is in `blocklist` (a table with the column host, of any length):
+    the list is cut to the hosts that the corpus has and encoded by a cascade
+    over all of these. A null url has empty host and path and is allowed, unless
+    the empty host is listed; null and repeated hosts of the list don't count;
+    an empty table gives an empty result; repeated rows stay.
     """
     host, path = split_url(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    names = F.array(*[F.lit(x) for x in blocked_names]).cast("array<string>")
-    hosts = materialise(rows.select(F.col("host").alias("key")).distinct().withColumn("listed", F.arrays_overlap(F.split("key", r"\."), names)), "hosts")
+    known = blocklist.select(F.col("host").alias("key")).filter("key IS NOT NULL").distinct().withColumn("listed", F.lit(True))
+    hosts = rows.select(F.col("host").alias("key")).distinct().join(known, "key", "left")
+    hosts = materialise(hosts.select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "hosts")
     levels = build_cascade(hosts, max_bytes=max_bytes)
     if levels is None:
         rows = rows.join(hosts.filter("listed").withColumnRenamed("key", "host"), "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
@@ -112,3 +115,10 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], blocked_name
     rule = rule_column(F.col("host"), F.col("path"), rules, 1)
     verdict = F.coalesce(rule_column(F.col("host"), F.col("path"), rules, 0), F.when(F.col("listed"), "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "listed")
+
+
+def hosts_named(pages: DataFrame, names: Sequence[str], url: str = "url") -> DataFrame:
+    """A block list (host): the hosts of pages that have one of `names` among their labels."""
+    listed_names = F.array(*[F.lit(x) for x in names]).cast("array<string>")
+    hosts = pages.select(split_url(F.col(url))[0].alias("host")).distinct()
+    return hosts.filter(F.arrays_overlap(F.split("host", r"\."), listed_names))

@@ -92,8 +92,25 @@ def test_shards_round_trip(spark, tmp_path):
     assert [zlib.crc32(r.tobytes()) for r in records] == rows["ids_crc32"].tolist()
     again = list(shards.read_records(path, 13, 4, 128, 10))
     assert all((a == b).all() for a, b in zip(again, records[13:17], strict=True))
-    total = sum(len(e) // 4 + 1 for e in tokens.WordEncoder(vocabulary()).encode([t or "" for _, t in ODD]))
-    assert rows["n_tokens"].sum() == total
+    encoded = [np.append(np.frombuffer(e, "<u4"), 1) for e in tokens.WordEncoder(vocabulary()).encode([t or "" for _, t in ODD])]
+    assert rows["n_tokens"].sum() == sum(map(len, encoded))
+    # the ids of all records with the same first document and those behind it are the documents' own, one after another
+    for r, record in zip(rows.itertuples(), records, strict=True):
+        ids = record[: r.n_tokens].tolist()
+        own = [e for (i, _), e in zip(ODD, encoded, strict=True) if i == r.doc_id or (i is None and r.doc_id != r.doc_id)]
+        assert any(e[r.start : r.start + len(ids)].tolist() == ids[: len(e) - r.start] for e in own)
+        assert set(record[r.n_tokens :].tolist()) <= {49407}
+    assert Counter(i for r, record in zip(rows.itertuples(), records, strict=True) for i in record[: r.n_tokens].tolist()) == Counter(i for e in encoded for i in e.tolist())
+
+
+def test_shards_are_written_at_once(spark, tmp_path):
+    docs = frame(spark, ODD).repartition(3)
+    path = f"file://{tmp_path}/out"
+    rows = shards.materialise_order(docs, vocabulary(), path, 5, 64, 4)
+    assert rows.count() == len(list(shards.read_records(path, 0, 10**6, 64, 4))) > 8
+    assert shards.materialise_order(docs.limit(0), vocabulary(), f"{path}-none").count() == 0
+    again = shards.materialise_order(docs, vocabulary(), f"{path}-2", 5, 64, 4)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
 
 
 def test_toxicity_held_out(spark):
@@ -410,7 +427,8 @@ def test_alignment_counts_order():
 def test_url_filter_equals_brute_force(spark):
     urls = ["http://www.a.com/en/x", "https://EXAMPLE.com/en/77?x", "http://b.net/de/1#t", "http://x.example.net/de/8", "http://xexample.net/de/8", "ftp://spam-farm.org", "http://m.spam-farm.example.org/es/?q", "no scheme", "", None, "x://h?/en/", "://Host/p://q", "http://com/en/"]
     pages = spark.createDataFrame([(k, u, "h", "r") for k, u in enumerate(urls)], "page_id long, url string, host string, rule string")
-    rows = url_filter.filter_urls(pages, URL_RULES, BLOCKED_NAMES).collect()
+    listed_hosts = url_filter.hosts_named(pages, BLOCKED_NAMES)
+    rows = url_filter.filter_urls(pages, URL_RULES, listed_hosts).collect()
     for r in rows:
         u = urls[r["page_id"]] or ""
         rest = u.partition("://")[2] if "://" in u else ""
@@ -422,11 +440,22 @@ def test_url_filter_equals_brute_force(spark):
         expected = (max(fits)[1], max(fits)[2]) if fits else (None, "block" if blocked else "allow")
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, *expected), u
     assert len(rows) == len(urls)
-    assert url_filter.filter_urls(pages.limit(0), URL_RULES, BLOCKED_NAMES).count() == 0
-    joined = url_filter.filter_urls(pages, URL_RULES, BLOCKED_NAMES, max_bytes=0)
+    assert url_filter.filter_urls(pages.limit(0), URL_RULES, listed_hosts).count() == 0
+    joined = url_filter.filter_urls(pages, URL_RULES, listed_hosts, max_bytes=0)
     assert {r["page_id"]: r["verdict"] for r in joined.collect()} == {r["page_id"]: r["verdict"] for r in rows}
 
 
+def test_url_filter_with_a_list_of_no_pattern(spark):
+    rng = random.Random(9)
+    hosts = [f"h{rng.getrandbits(40):x}.example.org" for _ in range(3000)]
+    chosen = set(rng.sample(hosts, 400))
+    pages = spark.createDataFrame([(k, f"https://{h.upper()}/p?{k}", 1) for k, h in enumerate(hosts)], "page_id long, url string, listed int")
+    blocklist = spark.createDataFrame([(h,) for h in [*chosen, *chosen, "not.in.the.corpus", None]], "host string")
+    rows = url_filter.filter_urls(pages, URL_RULES, blocklist).collect()
+    assert {r["page_id"] for r in rows if r["verdict"] == "block"} == {k for k, h in enumerate(hosts) if h in chosen}
+    assert len(rows) == len(hosts) and all(r["listed"] == (hosts[r["page_id"]] in chosen) for r in rows)
+
+
 def test_cascade_is_exact(spark):
     keys = spark.range(5000).selectExpr("cast(id as string) AS key", "id % 7 = 0 AS listed")
     levels = url_filter.build_cascade(keys, bits_per_key=3)
