@@ -132,9 +132,9 @@ def build_segments(counted: DataFrame, bits_per_key: int) -> DataFrame:
             part = pdf[pdf["n"] == n]
             keys[n], totals[n], _ = summed(part["keys"].tolist(), part["counts"].tolist())
         words = segment(np.concatenate([keys[1], keys[2]]), np.concatenate([totals[1], totals[2]]), bits_per_key)
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "tokens": totals[1].sum(), "types": len(keys[1]), "keys": [keys[1].tobytes()], "counts": [packed(totals[1])], "segment": [words.tobytes()]})
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "tokens": totals[1].sum(), "types": len(keys[1]), "mass": ESTIMATE[level_of(totals[1])].sum(), "keys": [keys[1].tobytes()], "counts": [packed(totals[1])], "segment": [words.tobytes()]})
 
-    return counted.groupBy("bucket").applyInPandas(build, "bucket int, tokens long, types long, keys binary, counts binary, segment binary")
+    return counted.groupBy("bucket").applyInPandas(build, "bucket int, tokens long, types long, mass double, keys binary, counts binary, segment binary")
 
 
 @dataclass
@@ -145,6 +145,7 @@ class Filter:
     sizes: np.ndarray  # 0: no n-gram
     tokens: int
     types: int
+    mass: float = 0.0  # sum of what the words' levels stand for
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each n-gram by repeated probes; 0 if it has none."""
@@ -165,31 +166,34 @@ def buckets(docs: DataFrame) -> int:
     return 1 << min(22, max(4, (docs.count() // 1000).bit_length()))
 
 
-def train(docs: DataFrame, bits_per_key: int = 10) -> tuple[Filter, DataFrame]:
-    """The filter, and the exact counts of words as a table (bucket, keys, counts).
+def train(docs: DataFrame, bits_per_key: int = 10, max_bytes: int = 256 << 20) -> tuple[Filter, DataFrame]:
+    """The filter, to be broadcast, and the exact counts of words as a table (bucket, keys, counts).
 
-    Buckets follow the number of documents. The filter is held whole, here and
-    in the tasks of `score`, and grows with the n-grams; for a corpus of any
-    size, score_corpus holds none.
+    Buckets follow the number of documents. The filter grows with the n-grams
+    and is held whole, here and in the tasks of `score`: one of more than
+    `max_bytes` raises. score_corpus takes a corpus of any size and holds none.
     """
     n_buckets = buckets(docs)
     table = materialise(build_segments(count_ngrams(docs, n_buckets), bits_per_key), "ngrams")
-    rows = table.select("bucket", "tokens", "types", (F.length("segment") / 8).cast("long").alias("size")).collect()
+    rows = table.select("bucket", "tokens", "types", "mass", (F.length("segment") / 8).cast("long").alias("size")).collect()
     first, sizes = np.zeros(n_buckets, np.int64), np.zeros(n_buckets, np.int64)
     for r in rows:
         sizes[r["bucket"]] = r["size"]
     first[1:] = np.cumsum(sizes)[:-1]
+    if 8 * int(sizes.sum()) > max_bytes:
+        raise ValueError("the filter is too large to be broadcast; use score_corpus")
     words = np.zeros(int(sizes.sum()) + 1, U64)
     for r in table.select("bucket", "segment").toLocalIterator():
         words[first[r["bucket"]] :][: sizes[r["bucket"]]] = np.frombuffer(r["segment"], U64)
-    return Filter(n_buckets, words, first, sizes, sum(r["tokens"] for r in rows), sum(r["types"] for r in rows)), table.select("bucket", "types", "keys", "counts")
+    return Filter(n_buckets, words, first, sizes, sum(r["tokens"] for r in rows), sum(r["types"] for r in rows), sum(r["mass"] for r in rows)), table.select("bucket", "types", "keys", "counts")
 
 
 def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float = 10.0, max_words: int = 4_000_000) -> DataFrame:
     """Per row of docs (doc_id, text): n_tokens, n_known, base_score and score.
 
     score is the sum of log10 ((c(vw) + weight * p(w)) / (c(v) + weight)), with
-    counts from the filter and p(w) = (c(w) + 1) / (tokens + types + 1). The
+    counts c from the filter, that is what their levels stand for, and
+    p(w) = (c(w) + 1) / (sum of all c(w) + types + 1), so p adds up to 1. The
     base needs exact counts: the vocabulary goes to the tasks in blocks of at
     most `max_words` words; with several blocks, every block sees all rows, and
     the parts are added up by row. A null or empty text is its end alone.
@@ -246,7 +250,7 @@ def score(docs: DataFrame, model: Filter, vocabulary: DataFrame, weight: float =
                         now = single[back]
                         before = np.concatenate([[ESTIMATE[model.levels(np.array([END]))[0]]], now[:-1]])
                         pair = np.minimum(ESTIMATE[model.levels(two)], np.minimum(before, now))
-                        chance = (now + 1) / (model.tokens + model.types + 1)
+                        chance = (now + 1) / (model.mass + model.types + 1)
                         mine = np.bincount(row, np.log10((pair + weight * chance) / (before + weight)), n)
                     columns = [batch.column(0).slice(a, n), batch.column(2).slice(a, n), *map(pa.array, (tokens if main else tokens * 0, known, base, mine))]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_tokens", "n_known", "base_score", "score"])
@@ -324,7 +328,7 @@ def count_chunks(table: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def answer_chunks(counted: DataFrame, bits_per_key: int) -> DataFrame:
-    """Per row of counted: chunk, bucket, n, the keys' levels in the filter (a byte each), exact counts of words, and the bucket's tokens and types."""
+    """Per row of counted: chunk, bucket, n, the keys' levels in the filter (a byte each), exact counts of words, and the bucket's tokens, types and mass."""
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         out, found = [], {}
@@ -341,12 +345,12 @@ def answer_chunks(counted: DataFrame, bits_per_key: int) -> DataFrame:
             exact = totals[which]
             out.append(rows.assign(levels=[levels[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)], counts=[packed(exact[e - s : e]) if n == 1 else b"" for s, e in zip(sizes, ends, strict=True)]))
         totals = found[1][1]
-        return pd.concat(out).assign(tokens=totals.sum(), types=(totals > 0).sum())
+        return pd.concat(out).assign(tokens=totals.sum(), types=(totals > 0).sum(), mass=ESTIMATE[level_of(totals[totals > 0])].sum())
 
-    return counted.groupBy("bucket").applyInPandas(answer, "chunk long, bucket int, n int, levels binary, counts binary, tokens long, types long")
+    return counted.groupBy("bucket").applyInPandas(answer, "chunk long, bucket int, n int, levels binary, counts binary, tokens long, types long, mass double")
 
 
-def score_chunks(table: DataFrame, answers: DataFrame, tokens: int, types: int, weight: float) -> DataFrame:
+def score_chunks(table: DataFrame, answers: DataFrame, tokens: int, types: int, mass: float, weight: float) -> DataFrame:
     """Per text of the chunks what `score` gives."""
     total = np.log10(tokens + types + 1)
 
@@ -362,7 +366,7 @@ def score_chunks(table: DataFrame, answers: DataFrame, tokens: int, types: int,
         c, now = exact[back], single[back]
         before = np.concatenate([[single[np.searchsorted(distinct, END)]], now[:-1]])
         both = np.minimum(pair[np.searchsorted(pairs, two)], np.minimum(before, now))
-        chance = (now + 1) / (tokens + types + 1)
+        chance = (now + 1) / (mass + types + 1)
         mine = np.bincount(row, np.log10((both + weight * chance) / (before + weight)), n)
         length = np.bincount(row, minlength=n)
         known = np.bincount(row[c > 0], minlength=n)
@@ -375,11 +379,17 @@ def score_chunks(table: DataFrame, answers: DataFrame, tokens: int, types: int,
 
 
 def score_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits_per_key: int = 10, weight: float = 10.0) -> DataFrame:
-    """Trains on the documents that are not held out and scores all of them."""
+    """Trains on the documents that are not held out and scores all of them (see `score`), one row each.
+
+    doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. A null
+    or empty text is its end alone; a row without an id is trained on; repeated
+    rows each count and are each scored; a very long text is a chunk of its own;
+    an empty table gives no row; other columns don't matter.
+    """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     table = materialise(chunks(own.withColumn("trained", ~held_out("doc_id"))), "chunks")
     answers = materialise(answer_chunks(count_chunks(table, buckets(own)), bits_per_key), "levels")
-    sums = answers.groupBy("bucket").agg(F.first("tokens").alias("tokens"), F.first("types").alias("types")).agg(F.sum("tokens"), F.sum("types")).first()
-    tokens, types = (int(x or 0) for x in sums)
-    rows = score_chunks(table, answers, tokens, types, weight)
+    each = answers.groupBy("bucket").agg(*[F.first(c).alias(c) for c in ("tokens", "types", "mass")])
+    tokens, types, mass = (x or 0 for x in each.agg(F.sum("tokens"), F.sum("types"), F.sum("mass")).first())
+    rows = score_chunks(table, answers, tokens, types, mass, weight)
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

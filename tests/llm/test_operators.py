@@ -275,7 +275,7 @@ def test_language_model_filter_grows(spark):
     trained = [split(t) for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
     one, two = Counter(w for t in trained for w in t), Counter(p for t in trained for p in pairwise([None, *t]))
     about = lambda c: float(language_model.ESTIMATE[language_model.level_of(np.array([c]))[0]]) if c else 0.0
-    size, texts = one.total() + len(one) + 1, dict(rows)
+    size, texts = sum(map(about, one.values())) + len(one) + 1, dict(rows)
     for r in language_model.score_corpus(frame(spark, rows).repartition(3), bits_per_key=60).collect():
         expected = 0.0
         for v, w in pairwise([None, *split(texts[r["doc_id"]])]):
@@ -284,6 +284,22 @@ def test_language_model_filter_grows(spark):
         assert math.isclose(r["score"], expected, rel_tol=2e-2, abs_tol=1e-9)
 
 
+def test_language_model_chances_add_up(spark):
+    """Of words alone to 1; behind a word to about 1, as far as levels allow."""
+    rows = [(i, prose(60, i % 50)) for i in range(150)]
+    model, _ = language_model.train(frame(spark, rows).select("doc_id", "text"), bits_per_key=60)
+    words = sorted({w for _, t in rows for w in t.split()})
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = language_model.find_words(raw, np.array([0, len(raw)]))
+    keys = np.append(language_model.hash_words(raw, starts, ends), language_model.END)
+    about = language_model.ESTIMATE[model.levels(keys)]
+    chance = (about + 1) / (model.mass + model.types + 1)
+    assert math.isclose(chance.sum() + 1 / (model.mass + model.types + 1), 1, rel_tol=2e-2)
+    for k in range(0, len(keys), 29):
+        pair = np.minimum(language_model.ESTIMATE[model.levels(language_model.mix(keys[k] * np.uint64(0xD6E8FEB86659FD93) + keys + np.uint64(1)))], np.minimum(about[k], about))
+        assert 0.6 < ((pair + 10 * chance) / (about[k] + 10)).sum() < 1.5
+
+
 def test_filter_has_no_false_negatives():
     keys = language_model.mix(np.arange(5000, dtype=np.uint64))
     words = np.zeros(2000, np.uint64)
