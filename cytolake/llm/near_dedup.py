@@ -30,6 +30,8 @@ BITS, WIDE_SLACK = 2048, 0.055
 ROUNDS = 2
 #: Pairs of ids that are broadcast at most, 16 bytes each.
 MOST_SENT = 500_000
+#: Texts of a set of one sketch that meet in one place; larger sets are dealt out in parts.
+PART = 1000
 
 
 def labelled_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -220,14 +222,39 @@ def parted_sets(bands: DataFrame, labels: DataFrame, table: DataFrame) -> DataFr
     rows = bands.join(table.select("node"), "node", "left_semi").join(labels, "node", "left")
     rows = materialise(rows.select("node", F.coalesce("label", "node").alias("label"), "sketch", "value"), "open")
     sizes = rows.groupBy("sketch", "value", "label").agg(F.count("*").alias("n"))
-    several = sizes.groupBy("sketch", "value").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("classes")).filter("classes > 1")
+    several = materialise(sizes.groupBy("sketch", "value").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("classes")).filter("classes > 1"), "several")
     rows = materialise(rows.join(several, ["sketch", "value"]).select("node", "label", "sketch", "value", (F.col("label") != F.col("largest")).alias("waiting")), "parted")
     signatures = wide_signatures(table.join(rows.select("node").distinct(), "node", "left_semi"))
     lists = bands.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sketch", "value")))["value"].alias("sketches"))
     return rows.join(signatures.join(lists, "node"), "node")
 
 
-def candidates(bands: DataFrame, n_buckets: int, least: float, mode: str) -> DataFrame:
+def large_sets(bands: DataFrame) -> DataFrame | None:
+    """sketch, value and `parts` of the sets of more than PART nodes, if there are any."""
+    sizes = bands.groupBy("sketch", "value").agg(F.count("*").alias("n")).filter(F.col("n") > PART)
+    large = materialise(sizes.select("sketch", "value", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "large")
+    return None if large.isEmpty() else large
+
+
+def dealt(bands: DataFrame, large: DataFrame | None, mode: str) -> DataFrame:
+    """bands with part and home: a node of a large set lies in the part of its hash, and in mode all, while it waits, in every part, so it meets each other node where that is at home."""
+    if large is None:
+        return bands.withColumns({"part": F.lit(0), "home": F.lit(True)})
+    rows = bands.join(large, ["sketch", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("own_part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    every = F.col("waiting") if mode == "all" else F.lit(False)
+    rows = rows.withColumn("part", F.explode(F.when(every, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own_part"))))
+    return rows.withColumn("home", F.col("part") == F.col("own_part")).drop("parts", "own_part")
+
+
+def spokesmen(bands: DataFrame, labels: DataFrame, large: DataFrame) -> DataFrame:
+    """Of each class in a large set the least node, waiting, so that parts whose classes are near come together."""
+    rows = bands.join(large.select("sketch", "value"), ["sketch", "value"], "left_semi").join(labels, "node", "left")
+    least = rows.groupBy("sketch", "value", F.coalesce("label", "node").alias("label")).agg(F.min("node").alias("node"))
+    return least.join(bands.select("node", "sketch", "value", "signature"), ["sketch", "value", "node"]).withColumn("waiting", F.lit(True))
+
+
+def candidates(bands: DataFrame, n_buckets: int, least: float, mode: str, large: DataFrame | None = None) -> DataFrame:
     """Pairs (node, leader, sketch, value, alike) of bands (node, label, sketch, value, signature, waiting) with the same sketch.
 
     In each set the first waiting node is compared by signature with all that
@@ -239,19 +266,20 @@ def candidates(bands: DataFrame, n_buckets: int, least: float, mode: str) -> Dat
     - best: the first forms a pair with the most alike alone;
     - all: the first forms a pair with each that may be near by wide signatures.
 
-    A set lies in one task, which holds some 200 bytes for each of its nodes.
+    A part of a set lies in one task, which holds some 200 bytes for each of its nodes.
     """
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["sketch", "value", "node"], ignore_index=True)
-        key = np.cumsum(np.concatenate([[0], ((pdf["sketch"].values[1:] != pdf["sketch"].values[:-1]) | (pdf["value"].values[1:] != pdf["value"].values[:-1])).astype(np.int64)]))
+        pdf = pdf.sort_values(["sketch", "value", "part", "node"], ignore_index=True)
+        change = np.logical_or.reduce([pdf[c].values[1:] != pdf[c].values[:-1] for c in ("sketch", "value", "part")])
+        key = np.cumsum(np.concatenate([[0], change.astype(np.int64)]))
         size = np.bincount(key)
         rows = np.flatnonzero(np.repeat(size > 1, size))
         wide = mode == "all"
         if wide:
             sketches, number = np.stack([*pdf["sketches"].iloc[rows], np.zeros(SKETCHES, np.int64)])[:-1], pdf["sketch"].to_numpy()[rows]
         signature = np.frombuffer(b"".join(pdf["signature"].iloc[rows]), U64 if wide else "<u2").reshape(len(rows), BITS // 64 if wide else SIGNATURE)
-        group, waiting, label = key[rows], pdf["waiting"].to_numpy()[rows].copy(), pdf["label"].to_numpy()[rows]
+        group, waiting, label, home = key[rows], pdf["waiting"].to_numpy()[rows].copy(), pdf["label"].to_numpy()[rows], pdf["home"].to_numpy()[rows].astype(bool)
         at, pairs, estimates = np.arange(len(rows)), [np.zeros((0, 2), np.int64)], [np.zeros(0)]
         while waiting[at].any():
             begin = np.flatnonzero(np.concatenate([[True], group[at][1:] != group[at][:-1]]))
@@ -266,7 +294,7 @@ def candidates(bands: DataFrame, n_buckets: int, least: float, mode: str) -> Dat
                 a, b = signature[at[part]], signature[leader[part]]
                 alike[part] = 1 - np.bitwise_count(a ^ b).sum(1, dtype=np.int64) * (2 / BITS) if wide else (a == b).mean(1)
             alike[label[at] == label[leader]] = 0
-            near = alike >= least - (WIDE_SLACK if wide else SLACK)
+            near = (alike >= least - (WIDE_SLACK if wide else SLACK)) & home[at]
             if wide:  # a pair that shares several sketches comes from the first alone
                 near[near] = (sketches[at[near]] == sketches[leader[near]]).argmax(1) == number[at[near]]
             fresh = np.flatnonzero(near & waiting[at] if mode == "leader" else near & False)
@@ -284,8 +312,8 @@ def candidates(bands: DataFrame, n_buckets: int, least: float, mode: str) -> Dat
         return asked.assign(alike=np.concatenate(estimates))
 
     kind = bands.schema["node"].dataType.simpleString()
-    bucket = F.pmod(F.xxhash64("sketch", "value"), F.lit(n_buckets))
-    return bands.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(meet, f"node {kind}, leader {kind}, sketch int, value long, alike double")
+    bucket = F.pmod(F.xxhash64("sketch", "value", "part"), F.lit(n_buckets))
+    return dealt(bands, large, mode).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(meet, f"node {kind}, leader {kind}, sketch int, value long, alike double")
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -297,9 +325,13 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id",
     is a candidate with is compared with those of its sets that are in other
     classes: in one more round with the most alike. In the end all texts of
     sets of several classes meet all of other classes that a wide signature does
-    not rule out, so links between classes are not lost. Classes are the connected components. A text without
+    not rule out, so links between classes are not lost. Sets of more than PART
+    texts are dealt out: each part finds its own classes, of which one text each
+    then meet, and in the end a text that is not in its set's largest class meets
+    every part. Classes are the connected components. A text without
     words, null or empty, and a row without id are classes of their own. Rows
-    with the same id count as one document.
+    with the same id count as one document. Whole texts of any length are read;
+    an empty table gives no row, and other columns don't matter.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = materialise(sketch(own), "sketches")
@@ -308,19 +340,27 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id",
     n_copies = copies.count()
     n_buckets = max(8, n_copies // 400)
     bands = copies.select("node", "signature", F.posexplode("sketches").alias("sketch", "value"))
-    asked = materialise(candidates(bands.withColumns({"label": F.col("node"), "waiting": F.lit(True)}), n_buckets, least, "leader"), "asked")
+    large = large_sets(bands)
+    asked = materialise(candidates(bands.withColumns({"label": F.col("node"), "waiting": F.lit(True)}), n_buckets, least, "leader", large), "asked")
     ids = materialise(asked.select(F.col("node").alias("doc_id")).union(asked.select("leader")).distinct(), "ids")
     texts = own.join(F.broadcast(ids) if ids.count() <= MOST_SENT else ids, "doc_id", "left_semi")
     table = materialise(shingle_table(texts), "shingles")
     labels, waiting = None, asked
+    if large is not None:
+        best = materialise(asked.groupBy("node").agg(F.max_by("leader", F.struct("alike", "leader")).alias("leader")), "best")
+        labels = linked(labels, verify(best, table, least))
+        told = materialise(candidates(spokesmen(bands, labels, large), n_buckets, least, "leader"), "asked")
+        more = materialise(shingle_table(own.join(told.select(F.col("node").alias("doc_id")).union(told.select("leader")).distinct().join(ids, "doc_id", "left_anti"), "doc_id", "left_semi")), "shingles")
+        table = table.union(more)
+        asked = waiting = materialise(asked.union(told), "asked")
     for _ in range(ROUNDS):
         best = materialise(asked.groupBy("node").agg(F.max_by("leader", F.struct("alike", "leader")).alias("leader")), "best")
         labels = linked(labels, verify(best, table, least))
         waiting = materialise(apart(waiting, labels), "waiting")
-        asked = materialise(candidates(open_sets(bands, waiting, labels, copies.select("node", "signature")), n_buckets, least, "best"), "asked")
+        asked = materialise(candidates(open_sets(bands, waiting, labels, copies.select("node", "signature")), n_buckets, least, "best", large), "asked")
         if asked.isEmpty():
             break
-    asked = materialise(candidates(parted_sets(bands.select("node", "sketch", "value"), labels, table), n_buckets, least, "all"), "asked")
+    asked = materialise(candidates(parted_sets(bands.select("node", "sketch", "value"), labels, table), n_buckets, least, "all", large), "asked")
     pairs = asked.groupBy(F.greatest("node", "leader").alias("node"), F.least("node", "leader").alias("leader")).agg(F.max("alike").alias("alike"))
     pairs = materialise(pairs, "pairs")
     for low, most in ((least, 2.0), (0.0, least)):

@@ -412,7 +412,9 @@ def test_near_dedup_equals_brute_force(spark):
     assert near_dedup.near_duplicates(frame(spark, []).limit(0)).count() == 0
 
 
-def test_near_dedup_links_a_family_of_chains(spark):
+@pytest.mark.parametrize("part", [1000, 25])
+def test_near_dedup_links_a_family_of_chains(spark, monkeypatch, part):
+    monkeypatch.setattr(near_dedup, "PART", part)
     rng = random.Random(8)
     texts = [prose(200, 8).split()]
     for k in range(1, 240):
