@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from ..functions.sequence import limit_of
+from ..functions.sequence import base_quality, cigar_sum, limit_of, reverse_complement
+from .intervals import numbered_islands
+from .sites import merge_palindromes, pileup
 
 CHUNK = 10_000
 
@@ -36,115 +42,280 @@ def best_alignments(hits: DataFrame, by: tuple[str, ...] = ("qname", "mate"), co
     return best.withColumn("n_best", F.count("*").over(w)).filter("n_best = 1").drop("n_best") if unique else best
 
 
-def chunk_reference(refs: DataFrame, size: int = CHUNK, overlap: int = 1000) -> DataFrame:
-    """refs (ref, seq) as chunks (ref, chunk, chunk_start, bases) that overlap, so a read lies within one."""
+def chunk_reference(refs: DataFrame, size: int = CHUNK, overlap: int = 1000, before: int = 16) -> DataFrame:
+    """refs (ref, seq) as chunks (ref, chunk, chunk_start, bases) that reach `before` bases back and `overlap` on, so a read lies within one."""
     n = F.greatest(F.lit(1), F.ceil(F.length("seq") / size)).cast("int")
     rows = refs.withColumn("chunk", F.explode(F.sequence(F.lit(0), n - 1)))
-    return rows.select("ref", F.col("chunk").cast("long").alias("chunk"), (F.col("chunk") * size).cast("long").alias("chunk_start"), F.substring("seq", F.col("chunk") * size + 1, F.lit(size + overlap)).alias("bases"))
+    start = F.greatest(F.col("chunk") * size - before, F.lit(0))
+    return rows.select("ref", F.col("chunk").cast("long").alias("chunk"), start.cast("long").alias("chunk_start"), F.substring("seq", start + 1, F.col("chunk") * size + size + overlap - start).alias("bases"))
+
+
+_PIECES = re.compile(r"(\d+)([MIDNSHP=X])")
+
+
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Upper-case bytes of all texts one behind the other, and where each begins."""
+    raw = [t.upper().encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+def _md(places: list[tuple[int, str]], total: int) -> str:
+    """An MD tag from (aligned bases before, what is written) of changed and deleted bases."""
+    out, last = [], 0
+    for at, text in places:
+        out += [str(at - last), text]
+        last = at + (text[0] != "^")
+    return "".join([*out, str(total - last)])
+
+
+def _score(modes: list[str], cigars: list[str], seqs: list[str], spans: list[str]) -> list[pa.Array]:
+    """errors, clip, skip, md, ym and yu of a batch of reads laid over their reference spans."""
+    n_reads = len(cigars)
+    ops = [(int(n), op, i) for i, cigar in enumerate(cigars) for n, op in _PIECES.findall(cigar)]
+    size, code, row = (np.array(x) for x in zip(*ops, strict=True)) if ops else (np.zeros(0, np.int64), np.zeros(0, "U1"), np.zeros(0, np.int64))
+    first = np.searchsorted(row, np.arange(n_reads))
+
+    def offsets(kinds: str) -> np.ndarray:
+        used = np.where(np.isin(code, list(kinds)), size, 0)
+        before = np.cumsum(used) - used
+        return before - before[first[row]] if len(row) else before
+
+    in_read, in_ref, in_both = offsets("M=XIS"), offsets("M=XDN"), offsets("M=X")
+    aligned = np.flatnonzero(np.isin(code, list("M=X")))
+    width = size[aligned]
+    step = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+    q, r, k, of = (np.repeat(x[aligned], width) + y for x, y in ((in_read, step), (in_ref, step), (in_both, step), (row, 0)))
+    (seq, seq_at), (ref, ref_at) = _joined(seqs), _joined(spans)
+
+    def base(data: np.ndarray, begin: np.ndarray, at: np.ndarray) -> np.ndarray:
+        place = begin[of] + at
+        return np.where(place < begin[of + 1], data[np.minimum(place, len(data) - 1)] if len(data) else 0, 0)
+
+    mine, theirs = base(seq, seq_at, q), base(ref, ref_at, r)
+    is_c = np.array([m == "C" for m in modes], bool)[of]
+    target = np.where(is_c, ord("C"), ord("G"))
+    kept, turned = (theirs == target) & (mine == target), (theirs == target) & (mine == np.where(is_c, ord("T"), ord("A")))
+    wrong = (theirs != mine) & ~turned
+    per = lambda rows, weights=None: np.bincount(rows, weights, n_reads).astype(np.int64)
+    gaps = np.isin(code, ["I", "D"])
+    errors = per(of[wrong]) + per(row[gaps], size[gaps])
+    sums = [per(row[m], size[m]) for m in (np.isin(code, ["S", "H"]), code == "N")]
+    places: list[list[tuple[int, str]]] = [[] for _ in range(n_reads)]
+    for i, at, b in zip(of[wrong].tolist(), k[wrong].tolist(), theirs[wrong].tolist(), strict=True):
+        places[i].append((at, chr(b or 78)))
+    for j in np.flatnonzero(code == "D").tolist():
+        i, at = int(row[j]), int(in_ref[j])
+        places[i].append((int(in_both[j]), "^" + spans[i][at : at + int(size[j])].upper()))
+    total = per(of)
+    md = [_md(sorted(p, key=lambda x: (x[0], x[1][0] != "^")), int(t)) for p, t in zip(places, total.tolist(), strict=True)]
+    lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per(of[m]))]), pa.int32()), pa.array(r[m] + 1, pa.int64())) for m in (kept, turned)]
+    return [pa.array(errors), *map(pa.array, sums), pa.array(md, pa.string()), *lists]
 
 
 def rescore(reads: DataFrame, chunks: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Reads (qname, mate, mode, ref, pos, cigar, seq) against unconverted bases: errors, clip, and offsets (from 1) of methylated and converted bases.
+    """reads (with mode, ref, pos, cigar, seq) against unconverted bases: adds errors, clip, skip, md, and ym and yu, offsets (from 1, along the reference) of methylated and converted bases.
 
-    Mode C looks at C (read C: methylated, T: converted), mode G at G (G, A).
+    Mode C looks at C (read C: methylated, T: converted), mode G at G (G, A); a
+    converted base is no error. Each read takes along the bases that it spans alone.
     """
+    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
+    span = F.substring("bases", (F.col("pos") - F.col("chunk_start")).cast("int"), cigar_sum(F.col("cigar"), "MDN=X").cast("int"))
+    rows = placed.select(*reads.columns, span.alias("span_bases"))
+    at, names = [rows.columns.index(c) for c in ("mode", "cigar", "seq", "span_bases")], [*reads.columns, "errors", "clip", "skip", "md", "ym", "yu"]
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import re
-
-        pieces = re.compile(r"(\d+)([MIDNSHP=X])")
-        for pdf in batches:
-            out = []
-            for mode, cigar, seq, start, bases in zip(pdf["mode"], pdf["cigar"], pdf["seq"], pdf["pos"] - 1 - pdf["chunk_start"], pdf["bases"], strict=True):
-                base, turned = ("C", "T") if mode == "C" else ("G", "A")
-                at, i, errors, clip, meth, un = int(start), 0, 0, 0, [], []
-                for n, op in pieces.findall(cigar):
-                    n = int(n)
-                    if op in "M=X":
-                        for k in range(n):
-                            r, q = bases[at + k : at + k + 1].upper(), seq[i + k : i + k + 1].upper()
-                            if r == base and q == base:
-                                meth.append(at + k - int(start) + 1)
-                            elif r == base and q == turned:
-                                un.append(at + k - int(start) + 1)
-                            elif r != q:
-                                errors += 1
-                        at, i = at + n, i + n
-                    elif op == "I":
-                        errors, i = errors + n, i + n
-                    elif op == "D":
-                        errors, at = errors + n, at + n
-                    elif op == "N":
-                        at += n
-                    elif op == "S":
-                        clip, i = clip + n, i + n
-                    elif op == "H":
-                        clip += n
-                out.append((errors, clip, meth, un))
-            scored = pd.DataFrame(out, columns=["errors", "clip", "ym", "yu"], index=pdf.index)
-            yield pd.concat([pdf[["qname", "mate", "mode", "ref", "pos"]], scored], axis=1)
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = _score(*(batch.column(i).to_pylist() for i in at))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *scores], names)
+
+    schema = StructType([*reads.schema.fields, *[StructField(c, LongType()) for c in ("errors", "clip", "skip")], StructField("md", StringType()), *[StructField(c, ArrayType(LongType())) for c in ("ym", "yu")]])
+    return rows.mapInArrow(walk, schema)
 
-    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
-    kinds = {c: reads.schema[c].dataType.simpleString() for c in ("qname", "mate", "mode", "ref", "pos")}
-    return placed.mapInPandas(walk, ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", errors long, clip long, ym array<long>, yu array<long>")
 
+def best_conversions(scored: DataFrame, unique: bool = False) -> DataFrame:
+    """Of the alignments of a read to the converted genomes (conversion: which one) those of fewest errors and clipped bases."""
+    return best_alignments(scored.withColumn("cost", F.col("errors") + F.col("clip")), unique=unique)
 
-def calls_of(scored: DataFrame) -> DataFrame:
-    """A row per call: qname, ref, pos (from 1) and meth."""
-    both = F.concat(F.transform("ym", lambda o: F.struct(o.alias("o"), F.lit(1).alias("meth"))), F.transform("yu", lambda o: F.struct(o.alias("o"), F.lit(0).alias("meth"))))
-    return scored.select("qname", "ref", "pos", F.explode(both).alias("call")).select("qname", "ref", (F.col("pos") + F.col("call.o") - 1).alias("pos"), "call.meth")
+
+def calls_of(scored: DataFrame, min_quality: int = 0, encoding: int = 33) -> DataFrame:
+    """A row per call: qname, mate, mode, flag, ref, pos (from 1), offset (in the read's span, from 1), meth, and baseq if the reads have `qual`; calls of less than `min_quality` go."""
+    both = F.concat(F.transform("ym", lambda o: F.struct(o.alias("offset"), F.lit(1).alias("meth"))), F.transform("yu", lambda o: F.struct(o.alias("offset"), F.lit(0).alias("meth"))))
+    quality = "qual" in scored.columns
+    rows = scored.select(*scored.columns, F.explode(both).alias("call"))
+    columns = ["qname", "mate", "mode", "flag", "ref", (F.col("pos") + F.col("call.offset") - 1).alias("pos"), F.col("pos").alias("read_pos"), F.col("call.offset").alias("offset"), F.col("call.meth").alias("meth")]
+    if quality:
+        columns.append(base_quality(F.col("qual"), read_offset(F.col("cigar"), F.col("call.offset")).cast("int"), encoding).alias("baseq"))
+    out = rows.select(*columns)
+    return out.filter(F.col("baseq") >= min_quality) if quality else out
 
 
 def call_contexts(calls: DataFrame, chunks: DataFrame, k: int = 3, size: int = CHUNK) -> DataFrame:
     """calls with the strand of their base (C: +, G: -) and the k bases from it, read along that strand."""
-    from ..functions.sequence import reverse_complement
-
     placed = calls.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
     at = (F.col("pos") - F.col("chunk_start")).cast("int")
     base = F.upper(F.substring("bases", at, F.lit(1)))
     ahead, back = F.upper(F.substring("bases", at, F.lit(k))), F.upper(F.substring("bases", F.greatest(at - k + 1, F.lit(1)), F.least(at, F.lit(k))))
     rows = placed.withColumns({"strand": F.when(base == "C", "+").when(base == "G", "-"), "context": F.when(base == "C", ahead).when(base == "G", reverse_complement(back))})
-    return rows.filter("strand IS NOT NULL").drop("chunk", "chunk_start", "bases")
+    return rows.filter("strand IS NOT NULL").select(*calls.columns, "strand", "context")
+
+
+def filled_calls(reads: DataFrame, fixes: DataFrame) -> DataFrame:
+    """Bases that end repair filled in: qname, mate, ref, pos (of the base), read_pos and offset.
+
+    They are a read's last two bases (mode C) or first two (mode G), if no more
+    than two bases are clipped on that side, where the base is the strand's (C
+    forward, G reverse) and its place is in `fixes` (ref, pos, strand).
+    """
+    edge = {"left": F.regexp_extract("cigar", "^([0-9]+)[SH]", 1), "right": F.regexp_extract("cigar", "([0-9]+)[SH]$", 1)}
+    clip = F.coalesce(F.when(F.col("mode") == "C", edge["right"]).otherwise(edge["left"]).try_cast("int"), F.lit(0))
+    n = F.length("seq")
+    ends = F.when(F.col("mode") == "C", F.array(n - 1, n)).otherwise(F.array(F.lit(1), F.lit(2)))
+    back = F.col("flag").bitwiseAND(16) != 0
+    rows = reads.filter(clip <= 2).select("qname", "mate", "ref", F.col("pos").alias("read_pos"), "seq", F.when(back, "-").otherwise("+").alias("strand"), F.explode(ends).alias("offset"))
+    fits = F.substring("seq", F.col("offset"), F.lit(1)) == F.when(F.col("strand") == "-", "G").otherwise("C")
+    rows = rows.filter(fits & (F.col("offset") > 0)).withColumn("pos", F.col("read_pos") + F.col("offset") - 1)
+    return rows.join(fixes.select("ref", "pos", "strand").distinct(), ["ref", "pos", "strand"], "left_semi").select("qname", "mate", "ref", "pos", "read_pos", F.col("offset").cast("long").alias("offset"))
 
 
-def drop_filled_ends(calls: DataFrame, sites: DataFrame, reach: int = 2) -> DataFrame:
-    """calls without those within `reach` of an enzyme site (ref, start_pos), where end repair filled in bases."""
-    near = sites.select("ref", F.explode(F.sequence(F.col("start_pos") + 1, F.col("start_pos") + reach)).alias("pos")).distinct()
-    return calls.join(near, ["ref", "pos"], "left_anti")
+def drop_filled_ends(calls: DataFrame, filled: DataFrame) -> DataFrame:
+    """calls without the filled-in bases (see filled_calls)."""
+    return calls.join(filled, ["qname", "mate", "ref", "pos", "read_pos", "offset"], "left_anti").select(calls.columns)
+
+
+def fill_in_log(filled: DataFrame) -> DataFrame:
+    """Reads per place that was fixed."""
+    return filled.groupBy("ref", "pos").agg(F.count("*").alias("n_reads"))
+
+
+def motif_starts(refs: DataFrame, motif: str, size: int = CHUNK) -> DataFrame:
+    """Places (ref, at, from 0) of a motif, any case and not overlapping each other, the first of those that would.
+
+    Found in overlapping chunks: cut before every occurrence, a chunk falls into
+    pieces whose lengths add up to the places.
+    """
+    motif = motif.upper()
+    chunks = chunk_reference(refs.filter(F.upper("seq").contains(motif)), size, len(motif) - 1, 0)
+    bases = F.upper("bases")
+    lengths = F.transform(F.split(bases, f"(?={motif})"), lambda x: F.length(x))
+    pieces = chunks.select("ref", "chunk_start", bases.startswith(motif).alias("at_once"), F.posexplode(lengths).alias("k", "n"))
+    at = F.coalesce(F.sum("n").over(W.partitionBy("ref", "chunk_start").orderBy("k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    found = pieces.withColumn("at", at).filter((F.col("k") > 0) | F.col("at_once"))
+    places = found.filter(F.col("at") < size).select("ref", (F.col("chunk_start") + F.col("at")).alias("at"))
+    if not any(motif[k:] == motif[:-k] for k in range(1, len(motif))):
+        return places
+    runs = numbered_islands(places.select("ref", F.col("at").alias("start_pos"), F.col("at").alias("end_pos")), len(motif) - 1, ("ref",))
+    run = runs.groupBy("ref", "island").agg(F.sort_array(F.collect_list("start_pos")).alias("all"))
+    none = F.array().cast("array<bigint>")
+    chosen = F.aggregate("all", none, lambda acc, x: F.when((F.size(acc) == 0) | (x - F.try_element_at(acc, F.lit(-1)) >= len(motif)), F.concat(acc, F.array(x))).otherwise(acc))
+    return run.select("ref", F.explode(chosen).alias("at"))
+
+
+def fix_places(refs: DataFrame, fixes: list[tuple[str, str, int]]) -> DataFrame:
+    """Places (ref, pos from 1, strand) where end repair fills in, by rules (motif, strand, offset from the motif's start)."""
+    parts = [motif_starts(refs, motif).select("ref", (F.col("at") + offset).alias("pos"), F.lit(strand).alias("strand")) for motif, strand, offset in fixes]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def motif_sites(refs: DataFrame, motif: str, cut: int, size: int = CHUNK) -> DataFrame:
-    """Places of a motif, any case and not overlapping each other: ref, start_pos (of the cut, from 0), end_pos two further.
+    """Cuts of an enzyme: ref, start_pos (of the cut, from 0), end_pos two further."""
+    return motif_starts(refs, motif, size).select("ref", (F.col("at") + cut).alias("start_pos"), (F.col("at") + cut + 2).alias("end_pos"))
+
+
+def digest(refs: DataFrame, motif: str, cut: int, size: int = CHUNK) -> DataFrame:
+    """Fragments between cuts: ref, start_pos, end_pos, seq; a sequence without cuts is one fragment.
+
+    A fragment meets the chunks that it lies in, each of which gives its part.
+    """
+    cuts = motif_sites(refs, motif, cut, size).select("ref", F.col("start_pos").alias("at"))
+    bounds = cuts.union(refs.select("ref", F.lit(0).cast("long"))).union(refs.select("ref", F.length("seq").cast("long"))).distinct()
+    spans = bounds.withColumn("end_pos", F.lead("at").over(W.partitionBy("ref").orderBy("at"))).filter("end_pos > at")
+    placed = spans.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("at") / size), F.floor((F.col("end_pos") - 1) / size))))
+    parts = placed.join(chunk_reference(refs, size, 0, 0), ["ref", "chunk"])
+    low, high = F.greatest("at", "chunk_start"), F.least(F.col("end_pos"), F.col("chunk_start") + size)
+    piece = F.substring("bases", (low - F.col("chunk_start") + 1).cast("int"), (high - low).cast("int"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", piece.alias("piece")))), lambda x: x["piece"]), "")
+    return parts.groupBy("ref", F.col("at").alias("start_pos"), "end_pos").agg(whole.alias("seq"))
+
+
+def call_methylation(reads: DataFrame, refs: DataFrame, fixes: list[tuple[str, str, int]] | None = None, min_quality: int = 0, k: int = 3, size: int = CHUNK) -> DataFrame:
+    """Aligned reads (qname, mate, mode, flag, ref, pos, cigar, seq, qual) to counts per base: ref, pos, strand, context, m, u, mqual, uqual, score, qscore.
+
+    Reads are scored against the unconverted reference, their calls lose filled-in
+    bases (if there are rules) and low qualities, get context and strand, and are counted.
+    """
+    chunks = chunk_reference(refs, size)
+    calls = calls_of(rescore(reads, chunks, size), min_quality)
+    if fixes:
+        calls = drop_filled_ends(calls, filled_calls(reads, fix_places(refs, fixes)))
+    return pileup(call_contexts(calls, chunks, k, size), min_quality, ("ref", "pos", "strand", "context"))
+
+
+def palindrome_sites(counts: DataFrame, context: str = "CG") -> DataFrame:
+    """Counts of a palindromic context as sites (0-based, half open), both strands in one row."""
+    n = len(context)
+    own = counts.filter(F.col("context").startswith(context))
+    start = F.when(F.col("strand") == "+", F.col("pos") - 1).otherwise(F.col("pos") - n)
+    sites = own.select("ref", start.alias("start_pos"), (start + n).alias("end_pos"), (F.col("m") + F.col("u")).alias("cov"), "m", "strand")
+    return merge_palindromes(sites)
+
+
+def read_offset(cigar: Column, offset: Column) -> Column:
+    """Place in the read (from 1) of an aligned base that lies `offset` (from 1) along the reference: insertions and clips before it add, deletions and skips take away."""
+    pieces = F.arrays_zip(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MIDNSHP=X]"), 1).alias("n"), F.regexp_extract_all(cigar, F.lit("[0-9]+([MIDNSHP=X])"), 1).alias("op"))
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("shift"))
+
+    def step(acc: Column, x: Column) -> Column:
+        n, op, before = x["n"].cast("long"), x["op"], acc["at"] < offset
+        shift = F.when(before & op.isin("I", "S"), n).when((acc["at"] + n < offset) & op.isin("D", "N"), -n).otherwise(0)
+        return F.struct((acc["at"] + F.when(op.isin("M", "=", "X", "D", "N"), n).otherwise(0)).alias("at"), (acc["shift"] + shift).alias("shift"))
+
+    return offset + F.aggregate(pieces, first, step, lambda acc: acc["shift"])
+
 
-    Places come from the texts between the motifs, so no Python is needed.
+def inconsistent(reads: DataFrame) -> DataFrame:
+    """Reads whose NM tag is not the sum of mismatches, inserted and deleted bases; there should be none."""
+    return reads.filter(F.col("nm") != F.col("mism") + F.col("ins") + F.col("del"))
+
+
+def in_read_order(alignments: DataFrame, reads: DataFrame) -> DataFrame:
+    """alignments with the number (ord) that their read has in its FASTQ file; ids match without /1 and /2."""
+    plain = lambda c: F.regexp_replace(F.regexp_extract(c, r"^(\S+)", 1), "/[12]$", "")
+    numbered = reads.select(plain("id").alias("read_key"), "ord", F.col("seq").alias("original"))
+    return alignments.withColumn("read_key", plain("qname")).join(numbered, "read_key").drop("read_key")
+
+
+def mapping_summary(reads: DataFrame, low: int = 10) -> DataFrame:
+    """A mapping report (section, key, n) from alignments, one aggregate per read and one over all of its sections.
+
+    Columns: qname, mate (0 single, 1, 2), flag, ref, mapq, len, soft, hard, ins,
+    del, mism, tlen. A mate's code is 0 unmapped, 1 one place, 3 several, and -1
+    in `pairs` where a mate lacks; quality up to `low` is low. Histograms of
+    mismatches, gaps, errors and clips are of mates with one place.
     """
-    parts = F.split(F.upper("seq"), motif.upper())
-    lengths = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda x: F.length(x))
-    ends = F.aggregate(lengths, F.array().cast("array<bigint>"), lambda acc, n: F.concat(acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)) + len(motif), F.lit(0)) + n).cast("bigint"))))
-    rows = refs.filter(F.upper("seq").contains(motif.upper())).select("ref", F.explode(ends).alias("at"))
-    return rows.select("ref", (F.col("at") + cut).alias("start_pos"), (F.col("at") + cut + 2).alias("end_pos"))
-
-
-def digest(refs: DataFrame, motif: str, cut: int) -> DataFrame:
-    """Fragments between cuts: ref, start_pos, end_pos, seq; a sequence without cuts is one fragment."""
-    cuts = motif_sites(refs, motif, cut).select("ref", F.col("start_pos").alias("at"))
-    bounds = cuts.union(refs.select("ref", F.lit(0).cast("long"))).distinct()
-    ends = bounds.withColumn("next", F.lead("at").over(W.partitionBy("ref").orderBy("at")))
-    rows = ends.join(refs.select("ref", "seq"), "ref").withColumn("end_pos", F.coalesce("next", F.length("seq").cast("long")))
-    rows = rows.filter("end_pos > at")
-    return rows.select("ref", F.col("at").alias("start_pos"), "end_pos", F.substring("seq", (F.col("at") + 1).cast("int"), (F.col("end_pos") - F.col("at")).cast("int")).alias("seq"))
-
-
-def mapping_summary(reads: DataFrame) -> DataFrame:
-    """Sections of a mapping report in one pass over reads: totals, directions, quality, places, lengths and errors (section, key, n)."""
-    per_mate = reads.groupBy("qname", "mate").agg(F.count("*").alias("places"), F.max("mapq").alias("mapq"), F.max("len").alias("len"), F.min(F.col("flag").bitwiseAND(4)).alias("unmapped"), F.min(F.col("flag").bitwiseAND(16)).alias("rev"), F.min(F.col("mism") + F.col("ins") + F.col("del")).alias("errors"))
-    status = F.when(F.col("unmapped") > 0, "unmapped").when(F.col("places") > 1, "multi").otherwise("unique")
-    values = {
-        "total": F.lit("reads"), "status": status, "direction": F.when(F.col("rev") > 0, "reverse").otherwise("forward"), "low quality": (F.col("mapq") < 10).cast("string"),
-        "places": F.least("places", F.lit(20)).cast("string"), "length": F.col("len").cast("string"), "errors": F.col("errors").cast("string"),
-    }
-    cells = F.array(*[F.struct(F.lit(k).alias("section"), v.alias("key")) for k, v in values.items()])
-    return per_mate.select(F.explode(cells).alias("cell")).groupBy("cell.section", "cell.key").agg(F.count("*").alias("n"))
+    values = ("flag", "mapq", "len", "soft", "hard", "mism", "tlen")
+    least = F.min(F.struct("ref", "pos", *values, (F.col("ins") + F.col("del")).alias("gaps"))).alias("v")  # of several places the first
+    rev, mapped = F.col("flag").bitwiseAND(16) > 0, F.col("flag").bitwiseAND(4) == 0
+    mates = reads.groupBy("qname", "mate").agg(F.count("*").alias("places"), least).select("qname", "mate", "places", *[f"v.{c}" for c in ("ref", *values, "gaps")]).withColumn("code", F.when(F.col("places") > 1, 3).when(mapped, 1).otherwise(0))
+    one, found = F.col("code") == 1, F.col("code") > 0
+    cell = lambda section, key, when=F.lit(True): F.when(when, F.struct(F.lit(section).alias("section"), key.cast("string").alias("key")))
+    direction = F.when(rev, "reverse").otherwise("forward")
+    cells = F.array(
+        cell("reads", F.lit("total")), cell("reads", F.lit("multi"), F.col("code") == 3), cell("reads", F.concat(F.lit("unique "), direction), one), cell("reads", F.lit("low unique"), one & (F.col("mapq") <= low)),
+        cell("reads", F.when(F.col("mate") == 0, "single").otherwise(F.concat(F.lit("read"), F.col("mate")))),
+        cell("locations", F.col("places"), found), cell("lengths", F.col("len"), found), cell("unique lengths", F.col("len"), one), cell("mismatches", F.col("mism"), one), cell("gaps", F.col("gaps"), one),
+        cell("errors", F.col("mism") + F.col("gaps"), one), cell("soft clips", F.col("soft"), one), cell("hard clips", F.col("hard"), one),
+    )
+    kept = F.col("mate") > 0
+    code = lambda m: F.coalesce(F.max(F.when(F.col("mate") == m, F.col("code"))), F.lit(-1))
+    pairs = mates.filter(kept).groupBy("qname").agg(code(1).alias("c1"), code(2).alias("c2"), F.max(F.when(F.col("mate") == 1, F.col("ref"))).alias("r1"), F.max(F.when(F.col("mate") == 2, F.col("ref"))).alias("r2"), F.max(F.when(F.col("mate") == 1, F.col("tlen"))).alias("t"))
+    both = (F.col("c1") == 1) & (F.col("c2") == 1)
+    insert = F.when(F.col("r1") != F.col("r2"), "other reference").when(F.col("t") == 0, "none").otherwise("some")
+    pair_cells = F.array(cell("pairs", F.concat_ws("=", F.col("c1").cast("string"), F.col("c2").cast("string"))), cell("inserts", insert, both))
+    codes = mates.select("qname", "mate", "code")
+    placed = reads.join(codes, ["qname", "mate"]).filter("code > 0")
+    by_ref = placed.select(F.lit("references").alias("section"), F.concat_ws(" ", "ref", F.when(F.col("code") == 1, "unique").otherwise("multi"), direction).alias("key"))
+    rows = mates.select(F.explode(cells).alias("cell")).filter("cell IS NOT NULL").select("cell.*").unionByName(pairs.select(F.explode(pair_cells).alias("cell")).filter("cell IS NOT NULL").select("cell.*")).unionByName(by_ref)
+    return rows.groupBy("section", "key").agg(F.count("*").alias("n"))
 
 
 def merge_summaries(summaries: DataFrame) -> DataFrame:
@@ -154,9 +325,22 @@ def merge_summaries(summaries: DataFrame) -> DataFrame:
 
 
 def methylation_bias(calls: DataFrame, offset: str = "offset") -> DataFrame:
-    """Levels by place in the read: per strand and for both (strand null), from one grouping."""
-    out = calls.rollup(offset, "strand").agg(F.sum("meth").cast("long").alias("m"), F.sum(1 - F.col("meth")).cast("long").alias("u"))
-    return out.filter(F.col(offset).isNotNull()).withColumns({"strand": F.coalesce("strand", F.lit("both")), "level": F.expr("try_divide(cast(m as double), m + u)")})
+    """Levels by place in the read, following base and strand (calls: offset, context, strand, meth), from one grouping.
+
+    code is C with the base behind it, or C alone for all bases; strand is
+    forward, reverse or both.
+    """
+    rows = calls.select(F.col(offset).alias(offset), F.substring("context", 2, 1).alias("base"), F.when(F.col("strand") == "-", "reverse").otherwise("forward").alias("strand"), "meth")
+    o, b, s = (F.col(c) for c in (offset, "base", "strand"))
+    out = rows.groupingSets([[o, b, s], [o, b], [o, s], [o]], o, b, s).agg(F.sum("meth").cast("long").alias("m"), F.sum(1 - F.col("meth")).cast("long").alias("u"), F.grouping("base").alias("all_bases"), F.grouping("strand").alias("both"))
+    code = F.when(F.col("all_bases") == 1, "C").otherwise(F.concat(F.lit("C"), F.col("base")))
+    return out.select(F.col(offset), code.alias("code"), F.when(F.col("both") == 1, "both").otherwise(F.col("strand")).alias("strand"), "m", "u", F.expr("try_divide(cast(m as double), m + u)").alias("level"))
+
+
+def non_cg_bias(bias: DataFrame, offset: str = "offset") -> DataFrame:
+    """The bias of CA, CC and CT together, as code CH."""
+    out = bias.filter(F.col("code").isin("CA", "CC", "CT")).groupBy(offset, "strand").agg(F.sum("m").alias("m"), F.sum("u").alias("u"))
+    return out.select(offset, F.lit("CH").alias("code"), "strand", "m", "u", F.expr("try_divide(cast(m as double), m + u)").alias("level"))
 
 
 def level_by_coverage(sites: DataFrame) -> DataFrame:

@@ -158,8 +158,8 @@ def depth_islands(spans: DataFrame, by: tuple[str, ...] = ("ref",), size: int =
     return runs.filter("depth > 0").select(*by, F.col("at").alias("start_pos"), "end_pos", "depth")
 
 
-def site_islands(sites: DataFrame, gap: int, by: tuple[str, ...] = ("ref",), size: int = BLOCK) -> DataFrame:
-    """Runs of sites no more than `gap` apart: start, end and number of sites.
+def numbered_islands(sites: DataFrame, gap: int, by: tuple[str, ...] = ("ref",), size: int = BLOCK) -> DataFrame:
+    """Distinct sites (by, start_pos, end_pos) with the number of their run of sites no more than `gap` apart.
 
     As in depth_islands, blocks hand on their last site and how many runs began in them.
     """
@@ -169,5 +169,11 @@ def site_islands(sites: DataFrame, gap: int, by: tuple[str, ...] = ("ref",), siz
     rows = rows.withColumn("lag", F.lag("start_pos").over(order)).join(last, [*by, "block"])
     rows = rows.withColumn("new", F.coalesce((F.col("start_pos") - F.coalesce("lag", "before") > gap).cast("int"), F.lit(0)))
     began = rows.groupBy(*by, "block").agg(F.sum("new").alias("new")).select(*by, "block", F.coalesce(F.sum("new").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("began"))
-    runs = rows.withColumn("inside", F.sum("new").over(order)).join(began, [*by, "block"]).withColumn("island", F.col("began") + F.col("inside"))
-    return runs.groupBy(*by, "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n_sites")).drop("island")
+    runs = rows.withColumn("inside", F.sum("new").over(order)).join(began, [*by, "block"])
+    return runs.select(*by, "start_pos", "end_pos", (F.col("began") + F.col("inside")).alias("island"))
+
+
+def site_islands(sites: DataFrame, gap: int, by: tuple[str, ...] = ("ref",), size: int = BLOCK) -> DataFrame:
+    """Runs of sites no more than `gap` apart: start, end and number of sites."""
+    runs = numbered_islands(sites, gap, by, size).groupBy(*by, "island")
+    return runs.agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n_sites")).drop("island")

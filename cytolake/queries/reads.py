@@ -59,7 +59,11 @@ def p17(spark, sf):
     return out.groupBy("ref", F.length("seq").cast("long").alias("n")).agg(F.count("*").alias("times"))
 
 
-@query("p6_context_kmers")
+@query("p6_context_kmers", """
+    WITH iupac (code, bases) AS (VALUES ('C', 'C'), ('G', 'G'), ('H', 'ACT')), ctx (context) AS (VALUES ('CG'), ('CHG'), ('CHH'), ('GCH'), ('HCG')),
+    letters AS (SELECT context, i, unnest(string_split(bases, '')) AS base FROM ctx, (VALUES (1), (2), (3)) AS n (i) JOIN iupac ON code = substr(context, i, 1))
+    SELECT context, a.base || b.base || coalesce(c.base, '') AS kmer, cast(instr(context, 'C') - 1 as int) AS c_offset
+    FROM (SELECT * FROM letters WHERE i = 1) a JOIN (SELECT * FROM letters WHERE i = 2) b USING (context) LEFT JOIN (SELECT * FROM letters WHERE i = 3) c USING (context)""")
 def p6(spark, sf):
     rows = [(c, w, o) for c in ("CG", "CHG", "CHH", "GCH", "HCG") for w, o in sq.expand_context(c)]
     return spark.createDataFrame(rows, "context string, kmer string, c_offset int")
@@ -106,29 +110,55 @@ def w8(spark, sf):
     return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
 
 
-@query("a13_mapping_summary", """
-    WITH p AS (SELECT qname, mate, count(*) AS places, max(mapq) AS mapq, max(len) AS len, min(flag & 4) AS un, min(flag & 16) AS rev, min(mism + ins + del) AS err FROM reads GROUP BY 1, 2),
-    c AS (SELECT 'total' AS section, 'reads' AS key FROM p UNION ALL SELECT 'status', CASE WHEN un > 0 THEN 'unmapped' WHEN places > 1 THEN 'multi' ELSE 'unique' END FROM p UNION ALL SELECT 'direction', CASE WHEN rev > 0 THEN 'reverse' ELSE 'forward' END FROM p
-          UNION ALL SELECT 'low quality', CASE WHEN mapq < 10 THEN 'true' ELSE 'false' END FROM p UNION ALL SELECT 'places', cast(least(places, 20) as varchar) FROM p UNION ALL SELECT 'length', cast(len as varchar) FROM p UNION ALL SELECT 'errors', cast(err as varchar) FROM p)
+#: Reads as alignments of a report, every seventh without a mate; ties of place are of no account, as copies agree.
+PLACED = "placed AS (SELECT qname, CASE WHEN qname % 7 = 0 THEN 0 ELSE mate END AS mate, flag, ref, pos, mapq, len, soft, qname % 3 AS hard, ins, del, mism, cast(qname % 5 as bigint) * 100 AS tlen FROM reads)"
+
+
+def placed(spark, sf):
+    r = reads(spark, sf)
+    return r.withColumns({"mate": F.when(F.col("qname") % 7 == 0, 0).otherwise(F.col("mate")), "hard": F.col("qname") % 3, "tlen": F.col("qname") % 5 * 100})
+
+
+@query("a13_mapping_summary", f"""
+    WITH {PLACED}, p AS (SELECT qname, mate, count(*) AS places, min(struct_pack(ref := ref, pos := pos, flag := flag, mapq := mapq, len := len, soft := soft, hard := hard, mism := mism, tlen := tlen, gaps := ins + del)) AS v, min(ref) AS ref FROM placed GROUP BY 1, 2),
+    m AS (SELECT *, CASE WHEN places > 1 THEN 3 WHEN v.flag & 4 = 0 THEN 1 ELSE 0 END AS code FROM p),
+    q AS (SELECT qname, coalesce(max(CASE WHEN mate = 1 THEN code END), -1) AS c1, coalesce(max(CASE WHEN mate = 2 THEN code END), -1) AS c2, max(CASE WHEN mate = 1 THEN ref END) AS r1, max(CASE WHEN mate = 2 THEN ref END) AS r2, max(CASE WHEN mate = 1 THEN v.tlen END) AS t FROM m WHERE mate > 0 GROUP BY 1),
+    c AS (SELECT 'reads' AS section, 'total' AS key FROM m UNION ALL SELECT 'reads', 'multi' FROM m WHERE code = 3 UNION ALL SELECT 'reads', 'low unique' FROM m WHERE code = 1 AND v.mapq <= 10
+          UNION ALL SELECT 'reads', 'unique ' || CASE WHEN v.flag & 16 > 0 THEN 'reverse' ELSE 'forward' END FROM m WHERE code = 1 UNION ALL SELECT 'reads', CASE WHEN mate = 0 THEN 'single' ELSE 'read' || mate END FROM m
+          UNION ALL SELECT 'locations', cast(places as varchar) FROM m WHERE code > 0 UNION ALL SELECT 'lengths', cast(v.len as varchar) FROM m WHERE code > 0
+          UNION ALL SELECT unnest(['unique lengths', 'mismatches', 'gaps', 'errors', 'soft clips', 'hard clips']), unnest([cast(v.len as varchar), cast(v.mism as varchar), cast(v.gaps as varchar), cast(v.mism + v.gaps as varchar), cast(v.soft as varchar), cast(v.hard as varchar)]) FROM m WHERE code = 1
+          UNION ALL SELECT 'pairs', c1 || '=' || c2 FROM q UNION ALL SELECT 'inserts', CASE WHEN r1 <> r2 THEN 'other reference' WHEN t = 0 THEN 'none' ELSE 'some' END FROM q WHERE c1 = 1 AND c2 = 1
+          UNION ALL SELECT 'references', placed.ref || CASE WHEN code = 1 THEN ' unique' ELSE ' multi' END || CASE WHEN flag & 16 > 0 THEN ' reverse' ELSE ' forward' END FROM placed JOIN m USING (qname, mate) WHERE code > 0)
     SELECT section, key, count(*) AS n FROM c GROUP BY 1, 2""")
 def a13(spark, sf):
-    return al.mapping_summary(reads(spark, sf))
+    return al.mapping_summary(placed(spark, sf))
 
 
-@query("a14_a15_merged_summary", """
-    WITH c AS (SELECT 'length' AS section, cast(len as varchar) AS key, count(*) AS n FROM (SELECT qname, mate, ref, max(len) AS len FROM reads GROUP BY 1, 2, 3) GROUP BY 2)
+@query("a14_a15_merged_summary", f"""
+    WITH {PLACED}, p AS (SELECT qname, mate, ref, count(*) AS places, min(struct_pack(pos := pos, flag := flag, mapq := mapq, len := len)) AS v FROM placed GROUP BY 1, 2, 3),
+    c AS (SELECT 'lengths' AS section, cast(v.len as varchar) AS key, count(*) AS n FROM p WHERE places > 1 OR v.flag & 4 = 0 GROUP BY 2)
     SELECT section, key, n, round(100.0 * n / sum(n) OVER (), 6) AS percent FROM c""")
 def a14(spark, sf):
-    one = al.mapping_summary(reads(spark, sf).withColumn("qname", F.concat_ws(":", "qname", "ref")))
-    return al.merge_summaries(one.filter("section = 'length'")).withColumn("percent", r6("percent"))
+    one = al.mapping_summary(placed(spark, sf).withColumn("qname", F.concat_ws(":", "qname", "ref")))
+    return al.merge_summaries(one.filter("section = 'lengths'")).withColumn("percent", r6("percent"))
+
 
+BIAS = "(SELECT (pos // 20) % 8 AS offs, substr('ACGT', cast(pos % 4 + 1 as int), 1) AS base, CASE WHEN read_id % 2 = 0 THEN 'forward' ELSE 'reverse' END AS strand, meth FROM calls)"
 
-@query("a16_g9_methylation_bias", """
-    WITH c AS (SELECT (pos // 20) % 8 AS offs, CASE WHEN read_id % 2 = 0 THEN 'forward' ELSE 'reverse' END AS strand, meth FROM calls)
-    SELECT offs, coalesce(strand, 'both') AS strand, cast(sum(meth) as bigint) AS m, cast(sum(1 - meth) as bigint) AS u, round(cast(sum(meth) as double) / count(*), 6) AS level FROM c GROUP BY GROUPING SETS ((offs, strand), (offs))""")
+
+def bias(spark, sf):
+    c = calls(spark, sf).withColumns({"offs": (F.floor(F.col("pos") / 20) % 8).cast("long"), "strand": F.when(F.col("read_id") % 2 == 0, "+").otherwise("-")})
+    return al.methylation_bias(c.withColumn("context", F.concat(F.lit("C"), F.substring(F.lit("ACGT"), (F.col("pos") % 4 + 1).cast("int"), F.lit(1)))), "offs")
+
+
+@query("a16_g9_methylation_bias", f"SELECT offs, 'C' || coalesce(base, '') AS code, coalesce(strand, 'both') AS strand, cast(sum(meth) as bigint) AS m, cast(sum(1 - meth) as bigint) AS u, round(cast(sum(meth) as double) / count(*), 6) AS level FROM {BIAS} GROUP BY GROUPING SETS ((offs, base, strand), (offs, base), (offs, strand), (offs))")
 def a16(spark, sf):
-    c = calls(spark, sf).withColumns({"offs": (F.floor(F.col("pos") / 20) % 8).cast("long"), "strand": F.when(F.col("read_id") % 2 == 0, "forward").otherwise("reverse")})
-    return al.methylation_bias(c, "offs").withColumn("level", r6("level"))
+    return bias(spark, sf).withColumn("level", r6("level"))
+
+
+@query("a17_non_cg_bias", f"SELECT offs, 'CH' AS code, coalesce(strand, 'both') AS strand, cast(sum(meth) as bigint) AS m, cast(sum(1 - meth) as bigint) AS u, round(cast(sum(meth) as double) / count(*), 6) AS level FROM {BIAS} WHERE base <> 'G' GROUP BY GROUPING SETS ((offs, strand), (offs))")
+def a17(spark, sf):
+    return al.non_cg_bias(bias(spark, sf), "offs").withColumn("level", r6("level"))
 
 
 @query("a18_g10_level_by_coverage", f"""
@@ -149,9 +179,53 @@ def f5(spark, sf):
     return c.filter("baseq >= 20").join(c.filter("read_id % 97 = 0").select("ref", "pos").distinct(), ["ref", "pos"], "left_anti").select("read_id", "ref", "pos", "meth", "baseq")
 
 
-@query("p14_a27_filled_ends", "SELECT read_id, ref, pos, meth FROM calls WHERE (ref, pos) NOT IN (SELECT ref, start_pos + 1 FROM sites UNION SELECT ref, start_pos + 2 FROM sites)")
+#: Reads laid over the sequences: one from every 40th base on, 36 long, with C as T where the place is even, in both modes and strands; the fixture of the call path.
+SPANS = """
+    spans AS (SELECT doc_id AS ref, seq, unnest(generate_series(0, greatest(cast(length(seq) as bigint) - 36, -1), 40)) AS x0 FROM dna),
+    laid AS (SELECT ref || ':' || x0 AS qname, ref, seq AS whole, x0 + 1 AS pos, CASE WHEN x0 // 40 % 2 = 0 THEN 'C' ELSE 'G' END AS mode, CASE WHEN x0 // 40 % 3 = 0 THEN 16 ELSE 0 END AS flag, substr(seq, x0 + 1, 36) AS own FROM spans),
+    bases AS (SELECT qname, ref, whole, pos, mode, flag, own, unnest(generate_series(1, cast(length(own) as bigint))) AS o FROM laid),
+    called AS (SELECT *, (pos + o) % 2 AS meth, pos + o - 1 AS place FROM bases WHERE substr(own, o, 1) = mode),
+    kept AS (SELECT * FROM called WHERE NOT (meth = 1 AND CASE WHEN mode = 'C' THEN o >= length(own) - 1 ELSE o <= 2 END AND CASE WHEN flag = 0 THEN mode = 'C' AND substr(whole, place - 2, 4) = 'CCGG' ELSE mode = 'G' AND substr(whole, place - 2, 4) = 'CCGG' END))"""
+FIXES = [("CCGG", "+", 3), ("CCGG", "-", 3)]
+
+
+def laid(spark, sf):
+    d = dna(spark, sf).select(F.col("doc_id").cast("string").alias("ref"), "seq")
+    last = F.length("seq").cast("long") - 36
+    rows = d.select("ref", "seq", F.explode(F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last, F.lit(40).cast("long")))).alias("at"))
+    own, k = F.substring("seq", (F.col("at") + 1).cast("int"), F.lit(36)), F.floor(F.col("at") / 40)
+    rows = rows.select(F.concat_ws(":", "ref", "at").alias("qname"), F.lit(1).alias("mate"), "ref", (F.col("at") + 1).alias("pos"), F.when(k % 2 == 0, "C").otherwise("G").alias("mode"), F.when(k % 3 == 0, 16).otherwise(0).alias("flag"), own.alias("own"))
+    turned = F.transform(F.split("own", ""), lambda b, i: F.when((b == F.col("mode")) & ((F.col("pos") + i + 1) % 2 == 0), F.when(b == "C", "T").otherwise("A")).otherwise(b))
+    return rows.select("qname", "mate", "mode", "flag", "ref", "pos", F.lit("36M").alias("cigar"), F.array_join(turned, "").alias("seq"), F.lit("I" * 36).alias("qual")), d
+
+
+@query("p7_p12_read_calls", f"WITH {SPANS} SELECT qname, mode, count(*) AS n_calls, cast(sum(meth) as bigint) AS m, cast(sum(place) as bigint) AS places FROM called GROUP BY 1, 2")
+def p7(spark, sf):
+    r, d = laid(spark, sf)
+    c = al.calls_of(al.rescore(r, al.chunk_reference(d)), 40)
+    return c.groupBy("qname", "mode").agg(F.count("*").alias("n_calls"), F.sum("meth").cast("long").alias("m"), F.sum("pos").alias("places"))
+
+
+@query("v4_p13_p14_called_sites", f"""
+    WITH {SPANS}, t AS (SELECT cast(ref as varchar) AS ref, place, CASE mode WHEN 'C' THEN '+' ELSE '-' END AS strand, CASE mode WHEN 'C' THEN substr(whole, place, 3) ELSE translate(reverse(substr(whole, greatest(place - 2, 1), least(place, 3))), 'ACGT', 'TGCA') END AS context, meth FROM kept)
+    SELECT ref, place AS pos, strand, context, cast(sum(meth) as bigint) AS m, cast(sum(1 - meth) as bigint) AS u, round(cast(sum(meth) as double) / count(*), 6) AS score FROM t GROUP BY 1, 2, 3, 4""")
+def v4(spark, sf):
+    r, d = laid(spark, sf)
+    return al.call_methylation(r, d, FIXES).select("ref", "pos", "strand", "context", "m", "u", r6("score"))
+
+
+@query("v4_a3_palindrome_sites", f"""
+    WITH {SPANS} SELECT cast(ref as varchar) AS ref, CASE mode WHEN 'C' THEN place - 1 ELSE place - 2 END AS start_pos, cast(count(*) as bigint) AS cov, cast(sum(meth) as bigint) AS m, CASE WHEN count(DISTINCT mode) > 1 THEN '.' ELSE max(CASE mode WHEN 'C' THEN '+' ELSE '-' END) END AS strand
+    FROM kept WHERE CASE mode WHEN 'C' THEN substr(whole, place, 2) ELSE substr(whole, greatest(place - 1, 1), 2) END = 'CG' AND place + (mode = 'C')::int > 1 GROUP BY 1, 2""")
+def v4_sites(spark, sf):
+    r, d = laid(spark, sf)
+    return al.palindrome_sites(al.call_methylation(r, d, FIXES)).select("ref", "start_pos", "cov", "m", "strand")
+
+
+@query("p14_a27_fill_in_log", f"WITH {SPANS} SELECT cast(ref as varchar) AS ref, place AS pos, count(*) AS n_reads FROM (SELECT * FROM called WHERE meth = 1 EXCEPT SELECT * FROM kept) GROUP BY 1, 2")
 def p14(spark, sf):
-    return al.drop_filled_ends(calls(spark, sf), sites(spark, sf)).select("read_id", "ref", "pos", "meth")
+    r, d = laid(spark, sf)
+    return al.fill_in_log(al.filled_calls(r, al.fix_places(d, FIXES)))
 
 
 @query("s18_bedgraph", f"SELECT sample, ref, start_pos, start_pos + 1 AS end_pos, round({PCT} + 0.1, 6) AS value FROM sites WHERE cov >= 5")
