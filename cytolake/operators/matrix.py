@@ -57,7 +57,7 @@ def min_cpgs(windows: DataFrame, least: int, n_samples: int, keys: tuple[str, ..
 
 def group_fraction(rows: DataFrame, sizes: DataFrame, fraction: float, keys: tuple[str, ...] = ("ref", "start_pos")) -> DataFrame:
     """Keys for which each group has levels for at least this share of its samples (sizes: grp, size)."""
-    per_group = rows.filter("cov > 0").groupBy(*keys, "grp").agg(F.count_distinct("sample").alias("n")).join(F.broadcast(sizes), "grp")
+    per_group = rows.filter("cov > 0").groupBy(*keys, "grp").agg(F.count_distinct("sample").alias("n")).join(sizes, "grp")
     ok = per_group.filter(F.col("n") >= fraction * F.col("size")).groupBy(*keys).agg(F.count("*").alias("n_groups"))
     return rows.join(ok.filter(F.col("n_groups") == sizes.count()).drop("n_groups"), list(keys), "left_semi")
 
@@ -82,7 +82,7 @@ def missing_counts(rows: DataFrame, samples: DataFrame, keys: tuple[str, ...] =
     """How many keys each sample lacks."""
     n = rows.select(*keys).distinct().agg(F.count("*").alias("n_keys"))
     have = rows.select(*keys, "sample").distinct().groupBy("sample").agg(F.count("*").alias("n_have"))
-    return samples.join(have, "sample", "left").crossJoin(F.broadcast(n)).select("sample", (F.col("n_keys") - F.coalesce("n_have", F.lit(0))).alias("n_missing"))
+    return samples.join(have, "sample", "left").crossJoin(n).select("sample", (F.col("n_keys") - F.coalesce("n_have", F.lit(0))).alias("n_missing"))
 
 
 def natural_order(ref: str = "ref") -> list:

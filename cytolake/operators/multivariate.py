@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .patterns import complete_linkage
+from .patterns import complete_linkage, linkage
+from .stats import ranges
 
 
 def correlations(matrix: DataFrame, samples: list[str]) -> DataFrame:
@@ -26,15 +29,14 @@ def correlations(matrix: DataFrame, samples: list[str]) -> DataFrame:
 def ranked(matrix: DataFrame, samples: list[str], keys: list[str]) -> DataFrame:
     """Columns as average ranks over complete rows, for Spearman's r.
 
-    Ranks come from counts of distinct values per column, dealt out in ranges;
+    Ranks come from counts of distinct values per column, in ranges of values;
     only a row per range and column meets in one place.
     """
     long = matrix.dropna(subset=samples).unpivot(keys, samples, "column", "v")
-    values = long.groupBy("column", "v").agg(F.count("*").alias("n")).repartitionByRange("column", "v").withColumn("part", F.spark_partition_id())
-    sums = values.groupBy("part", "column").agg(F.sum("n").alias("size"))
-    sums = sums.withColumn("before", F.coalesce(F.sum("size").over(W.partitionBy("column").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("size")
+    parts, sizes = ranges(long, "v", by=("column",))
+    values = parts.groupBy("part", "column", "v").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(W.partitionBy("part", "column").orderBy("v"))
-    ranks = values.withColumn("upto", upto).join(F.broadcast(sums), ["part", "column"]).select("column", "v", (F.col("before") + F.col("upto") - (F.col("n") - 1) / 2).alias("place"))
+    ranks = values.withColumn("upto", upto).join(sizes, ["part", "column"]).select("column", "v", (F.col("before") + F.col("upto") - (F.col("n") - 1) / 2).alias("place"))
     placed = long.join(ranks, ["column", "v"])
     return placed.groupBy(*keys).agg(*[F.max(F.when(F.col("column") == s, F.col("place"))).alias(s) for s in samples])
 
@@ -96,28 +98,91 @@ def cluster_profiles(clustered: DataFrame, samples: list[str]) -> DataFrame:
     return clustered.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(s).alias(f"{s}_mean") for s in samples], *[F.percentile(s, F.lit(0.5)).alias(f"{s}_median") for s in samples])
 
 
-def medoids(matrix: DataFrame, samples: list[str], k: int, most_rows: int = 2000) -> DataFrame:
-    """Partition of rows (id and samples) around k medoids, for tables of at most `most_rows` rows, which is checked."""
-    full = matrix.dropna(subset=samples)
-    if full.limit(most_rows + 1).count() > most_rows:
-        raise ValueError(f"more than {most_rows} rows; filter them or use kmeans_rows")
+def medoids(matrix: DataFrame, samples: list[str], k: int, candidates: int = 256) -> DataFrame:
+    """Complete rows (id, samples) around k medoids, the rows of least total distance: id, cluster, medoid.
+
+    Medoids are chosen among at most `candidates` rows, those of smallest id
+    hash, but every cost is a sum over all rows of the table: first medoid by
+    medoid, then by the best exchange of a medoid and a candidate until none
+    lowers the cost. With no more rows than candidates it is partitioning around
+    medoids itself. Tasks hold a batch and the candidates; a sum per candidate
+    and medoid goes to the driver.
+    """
+    full = matrix.dropna(subset=samples).select("id", F.array(*[F.col(s).cast("double") for s in samples]).alias("profile"))
+    chosen = full.orderBy(F.xxhash64("id"), "id").limit(candidates).collect()
+    names, points = [r["id"] for r in chosen], np.array([r["profile"] for r in chosen], float).reshape(len(chosen), len(samples))
+    k = min(k, len(names))
+
+    def distances(batch: pa.RecordBatch) -> np.ndarray:
+        x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        return np.sqrt(((x[:, None] - points[None]) ** 2).sum(2))
+
+    def costs(picked: list[int], exchange: bool) -> np.ndarray:
+        """Total cost of picking each candidate as well, or (a row per medoid) in place of a medoid."""
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(picked) if exchange else 1, len(names)))
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    far = distances(batch.slice(at, 1000))
+                    if not exchange:
+                        near = far[:, picked].min(1) if picked else np.full(len(far), np.inf)
+                        total[0] += np.minimum(near[:, None], far).sum(0)
+                    for i in range(len(picked) if exchange else 0):
+                        others = [p for j, p in enumerate(picked) if j != i]
+                        near = far[:, others].min(1) if others else np.full(len(far), np.inf)
+                        total[i] += np.minimum(near[:, None], far).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["cell", "cost"])
+
+        rows = full.mapInArrow(add, "cell long, cost double").groupBy("cell").agg(F.sum("cost").alias("cost")).orderBy("cell").collect()
+        return np.array([r["cost"] for r in rows]).reshape(-1, len(names))
+
+    picked: list[int] = []
+    while len(picked) < k:
+        cost = costs(picked, False)[0]
+        cost[picked] = np.inf
+        picked.append(int(cost.argmin()))
+    best = np.inf
+    while picked:
+        cost = costs(picked, True)
+        now = cost[0, picked[0]]  # a medoid in its own place
+        cost[:, picked] = np.inf
+        i, c = np.unravel_index(int(cost.argmin()), cost.shape)
+        if not cost[i, c] < min(now, best) - 1e-9 * max(1.0, now):
+            break
+        best, picked[int(i)] = float(cost[i, c]), int(c)
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.concatenate([distances(batch.slice(at, 1000))[:, picked].argmin(1) for at in range(0, batch.num_rows, 1000)] or [np.zeros(0, int)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.astype(np.int32)), pa.array([names[picked[c]] for c in own], pa.string())], ["id", "cluster", "medoid"])
+
+    return full.mapInArrow(around, "id string, cluster int, medoid string")
+
+
+def cluster_rows(matrix: DataFrame, samples: list[str], n: int, metric: str = "euclidean", most: int = 5000) -> DataFrame:
+    """The n rows (id, samples) that vary most, in the order of their tree (place), as a heatmap has them.
+
+    A tree needs all distances, so n is `most` at most; the rows are ranked in
+    Spark and only they meet in one task.
+    """
+    if n > most:
+        raise ValueError(f"a tree of rows has {most} of them at most")
+    spread = F.greatest(*samples) - F.least(*samples)
+    top = matrix.dropna(subset=samples).withColumn("spread", spread).orderBy(F.desc("spread"), "id").limit(n)
 
-    def around(pdf: pd.DataFrame) -> pd.DataFrame:
+    def order(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
         x = pdf[samples].to_numpy(float)
-        far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
-        chosen = [int(far.sum(1).argmin())]
-        while len(chosen) < min(k, len(x)):
-            near = far[:, chosen].min(1)
-            chosen.append(int(np.maximum(near[None] - far, 0).sum(1).argmax()))
-        while True:
-            costs = [(far[:, [c if c != old else new for c in chosen]].min(1).sum(), i, new) for i, old in enumerate(chosen) for new in range(len(x)) if new not in chosen]
-            best = min(costs, default=(np.inf, 0, 0))
-            if best[0] >= far[:, chosen].min(1).sum() - 1e-12:
-                break
-            chosen[best[1]] = best[2]
-        pdf["cluster"] = far[:, chosen].argmin(1)
-        pdf["medoid"] = pdf["id"].to_numpy()[np.array(chosen)[pdf["cluster"]]]
-        return pdf[["id", "cluster", "medoid"]]
-
-    return full.select("id", *samples).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(around, "id string, cluster int, medoid string")
+        if metric == "pearson":
+            x = x - x.mean(1, keepdims=True)
+            size = np.sqrt((x * x).sum(1))
+            far = 1 - (x @ x.T) / np.maximum(np.outer(size, size), 1e-300)
+        else:
+            gap = np.abs(x[:, None] - x[None])
+            far = {"euclidean": lambda g: np.sqrt((g * g).sum(2)), "manhattan": lambda g: g.sum(2), "maximum": lambda g: g.max(2)}[metric](gap)
+        leaves, _ = linkage(far)
+        return pdf.iloc[leaves].assign(place=np.arange(len(pdf)))[["id", "place"]]
+
+    placed = top.withColumn("tree", F.lit(0)).groupBy("tree").applyInPandas(order, "id string, place long")
+    return top.drop("spread").join(placed, "id")

@@ -115,32 +115,60 @@ def read_states(levels: DataFrame, width: int, low: float = 0.2, high: float = 0
     return counts.groupBy(*WINDOW).agg(F.first("total").alias("n_reads"), F.count("*").alias("n_states"), (-F.sum(share * F.log(share))).alias("entropy"), *each)
 
 
-def pattern_distance(a: str, b: str) -> float:
-    """Mean difference over the columns that both have; 0 if there is none."""
-    both = [(int(x), int(y)) for x, y in zip(a, b, strict=True) if x != "-" and y != "-"]
-    return sum(abs(x - y) for x, y in both) / len(both) if both else 0.0
-
-
-def complete_linkage(distance: np.ndarray, cut: float) -> list[int]:
-    """Cluster number of each item after merging clusters whose farthest items are within `cut`; numbers by first item."""
+def pattern_distances(patterns: list[str]) -> np.ndarray:
+    """Mean difference of each pair over the columns that both have; 0 if there is none."""
+    codes = np.array([[-1 if c == "-" else int(c) for c in p] for p in patterns], np.int8).reshape(len(patterns), -1)
+    both, far = np.zeros((len(patterns),) * 2), np.zeros((len(patterns),) * 2)
+    for column in codes.T:
+        known = np.outer(column >= 0, column >= 0)
+        both += known
+        far += np.abs(column[:, None].astype(float) - column[None]) * known
+    return np.divide(far, both, out=np.zeros_like(far), where=both > 0)
+
+
+def linkage(distance: np.ndarray) -> tuple[list[int], list[tuple[int, int, float]]]:
+    """Leaves in the order of the tree by complete linkage, and its merges (first item of either side, height).
+
+    A chain of nearest neighbours grows until two are each other's nearest, so
+    each merge costs a row of the matrix. Of equal ones the smaller number is nearer.
+    """
     n = len(distance)
-    clusters = {i: [i] for i in range(n)}
     far = distance.astype(float).copy()
     np.fill_diagonal(far, np.inf)
-    while len(clusters) > 1:
-        i, j = np.unravel_index(np.argmin(far), far.shape)
-        if far[i, j] > cut:
-            break
-        i, j = min(i, j), max(i, j)
-        clusters[i] += clusters.pop(j)
-        far[i] = far[:, i] = np.maximum(far[i], far[j])
-        far[i, i] = np.inf
-        far[j] = far[:, j] = np.inf
-    out = [0] * n
-    for number, (_, members) in enumerate(sorted(clusters.items())):
-        for k in members:
-            out[k] = number
-    return out
+    members, alive, merges, chain = {i: [i] for i in range(n)}, np.ones(n, bool), [], []
+    while len(members) > 1:
+        if not chain:
+            chain.append(int(np.flatnonzero(alive)[0]))
+        i = chain[-1]
+        j = int(np.where(alive, far[i], np.inf).argmin())
+        if len(chain) > 1 and far[i, chain[-2]] <= far[i, j]:
+            j = chain[-2]
+        if len(chain) > 1 and j == chain[-2]:
+            a, b = min(i, j), max(i, j)
+            merges.append((a, b, float(far[a, b])))
+            members[a] += members.pop(b)
+            far[a] = far[:, a] = np.maximum(far[a], far[b])
+            far[a, a], alive[b] = np.inf, False
+            del chain[-2:]
+        else:
+            chain.append(j)
+    return [x for m in members.values() for x in m], merges
+
+
+def complete_linkage(distance: np.ndarray, cut: float) -> list[int]:
+    """Cluster number of each item after all merges whose farthest items are within `cut`; numbers by first item."""
+    root = list(range(len(distance)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b, height in linkage(distance)[1]:
+        if height <= cut:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+    numbers = {r: k for k, r in enumerate(sorted({top(i) for i in range(len(root))}))}
+    return [numbers[top(i)] for i in range(len(root))]
 
 
 def clones(patterns: DataFrame, cut: float = 0.5) -> DataFrame:
@@ -148,13 +176,44 @@ def clones(patterns: DataFrame, cut: float = 0.5) -> DataFrame:
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pattern", ignore_index=True)
-        names = pdf["pattern"].tolist()
-        pdf["clone"] = complete_linkage(np.array([[pattern_distance(a, b) for b in names] for a in names]), cut)
+        pdf["clone"] = complete_linkage(pattern_distances(pdf["pattern"].tolist()), cut)
         return pdf[["ref", "w_start", "pattern", "n", "clone"]]
 
     return patterns.select(*WINDOW, "pattern", "n").groupBy(*WINDOW).applyInPandas(cluster, "ref string, w_start long, pattern string, n long, clone int")
 
 
+def zero_filled(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Patterns of two samples in the windows that both have (ref, w_start, pattern, n1, n2), 0 where one lacks a pattern."""
+    one, two = a.select(*WINDOW, "pattern", F.col("n").alias("n1")), b.select(*WINDOW, "pattern", F.col("n").alias("n2"))
+    shared = one.select(*WINDOW).distinct().join(two.select(*WINDOW).distinct(), WINDOW)
+    return one.join(two, [*WINDOW, "pattern"], "full").join(shared, WINDOW).fillna(0, ["n1", "n2"])
+
+
+#: Names of levels by two contexts: open, mixed and closed; low, middle and high (fixed values).
+OPEN, LEVELS = ("O", "M", "C"), ("L", "M", "H")
+
+
+def three_way(value, names: tuple[str, str, str], low: float, high: float):
+    return F.when(value < low, names[0]).when(value > high, names[2]).otherwise(names[1])
+
+
+def read_state_windows(reads: DataFrame, width: int, step: int, low: float = 0.2, high: float = 0.8) -> DataFrame:
+    """Reads (ref, start_pos, end_pos, open, level) per sliding window by one of nine states, openness by methylation level.
+
+    n_reads, n_states, their entropy (nats) and a count of each state. A read
+    counts in every window of the grid that it meets. A high first level is open.
+    """
+    state = F.concat(three_way(1 - F.col("open"), OPEN, low, high), three_way(F.col("level"), LEVELS, low, high))
+    first = F.greatest(F.lit(0).cast("long"), ((F.col("start_pos") + step - width) / step).cast("long"))
+    last = ((F.col("end_pos") - 2) / step).cast("long")
+    windows = F.explode(F.when(last >= first, F.sequence(first, last)))
+    rows = reads.select("ref", state.alias("state"), windows.alias("p")).groupBy("ref", (F.col("p") * step + 1).alias("w_start"), "state").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("total", F.sum("n").over(W.partitionBy(*WINDOW)))
+    share = F.col("n") / F.col("total")
+    each = [F.coalesce(F.sum(F.when(F.col("state") == a + b, F.col("n"))), F.lit(0)).alias(f"n_{a}{b}") for a in OPEN for b in LEVELS]
+    return rows.groupBy(*WINDOW).agg(F.first("total").alias("n_reads"), F.count("*").alias("n_states"), (-F.sum(share * F.log(share))).alias("entropy"), *each)
+
+
 def smooth(sites: DataFrame, width: int, by: tuple[str, ...] = ("sample", "ref")) -> DataFrame:
     """Levels smoothed with a tricube kernel of half-width `width`, weighted by coverage; sites meet those of the next blocks only."""
     block = F.floor(F.col("start_pos") / width)
@@ -163,3 +222,30 @@ def smooth(sites: DataFrame, width: int, by: tuple[str, ...] = ("sample", "ref")
     weight = (1 - F.pow(F.abs(F.col("x") - F.col("start_pos")) / width, 3)) ** 3
     return both.groupBy(*by, "start_pos").agg((F.sum(weight * F.col("xm")) / F.sum(weight * F.col("xcov"))).alias("smoothed"), F.count("*").alias("n_near"))
 
+
+
+def smoothed_t(sites: DataFrame, a: list[str], b: list[str], width: int, by: tuple[str, ...] = ("ref",)) -> DataFrame:
+    """Per site that all samples of both groups have: means of their smoothed levels and t (equal variances) of the difference."""
+    levels = smooth(sites.filter(F.col("sample").isin(*a, *b)), width)
+    side = lambda names, f: f(F.when(F.col("sample").isin(*names), F.col("smoothed")))
+    n1, n2 = len(a), len(b)
+    both = levels.groupBy(*by, "start_pos").agg(F.count("*").alias("n"), side(a, F.avg).alias("mean1"), side(b, F.avg).alias("mean2"), side(a, F.var_samp).alias("v1"), side(b, F.var_samp).alias("v2"))
+    pooled = F.sqrt(((n1 - 1) * F.col("v1") + (n2 - 1) * F.col("v2")) / (n1 + n2 - 2) * (1 / n1 + 1 / n2))
+    both = both.filter(F.col("n") == n1 + n2).withColumns({"diff": F.col("mean1") - F.col("mean2"), "se": pooled})
+    return both.select(*by, "start_pos", "mean1", "mean2", "diff", F.expr("try_divide(diff, se)").alias("t"))
+
+
+def differing_regions(tested: DataFrame, cut: float, gap: int = 300, least_sites: int = 3, least_diff: float = 0.1) -> DataFrame:
+    """Runs of sites no more than `gap` apart whose t lies beyond `cut` on one side: ref, start_pos, end_pos, direction, n_sites, mean_diff, area_t."""
+    from .intervals import numbered_islands
+
+    side = F.when(F.col("t") >= cut, "up").when(F.col("t") <= -cut, "down").otherwise("none")
+    rows = tested.filter("t IS NOT NULL").withColumn("direction", side)
+    # a run ends where the direction changes, so a site counts how many of other directions lie before it
+    marks = rows.withColumn("end_pos", F.col("start_pos"))
+    runs = numbered_islands(marks, gap).join(marks.select("ref", "start_pos", "direction", "t", "diff"), ["ref", "start_pos"])
+    order = W.partitionBy("ref", "island").orderBy("start_pos")
+    turned = (F.col("direction") != F.lag("direction").over(order)).cast("int")
+    runs = runs.withColumn("turn", F.coalesce(turned, F.lit(0))).withColumn("part", F.sum("turn").over(order)).filter("direction <> 'none'")
+    out = runs.groupBy("ref", "island", "part", "direction").agg(F.min("start_pos").alias("start_pos"), F.max("start_pos").alias("end_pos"), F.count("*").alias("n_sites"), F.avg("diff").alias("mean_diff"), F.sum("t").alias("area_t"))
+    return out.filter((F.col("n_sites") >= least_sites) & (F.abs("mean_diff") >= least_diff)).drop("island", "part")

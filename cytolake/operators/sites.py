@@ -49,13 +49,13 @@ def merge_tracks(sites: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def group_levels(sites: DataFrame, membership: DataFrame) -> DataFrame:
     """Mean of the samples' levels, and sums of reads, per group; a sample may be in several groups, repeats don't count."""
-    rows = sites.filter("cov > 0").join(F.broadcast(membership.select("sample", "grp").distinct()), "sample")
+    rows = sites.filter("cov > 0").join(membership.select("sample", "grp").distinct(), "sample")
     return rows.groupBy("ref", "start_pos", "grp").agg(F.avg(level()).alias("mean_pct"), F.sum("m").alias("m"), F.sum("cov").alias("cov"), F.count("*").alias("n_samples"))
 
 
 def group_windows(windows: DataFrame, membership: DataFrame) -> DataFrame:
     """Windows per group: most CpGs, sums of reads, means of the samples' means and deviations."""
-    rows = windows.join(F.broadcast(membership.select("sample", "grp").distinct()), "sample")
+    rows = windows.join(membership.select("sample", "grp").distinct(), "sample")
     sums = [F.max("n_cpg").alias("n_cpg"), F.sum("m").alias("m"), F.sum("cov").alias("cov"), F.avg("mean_pct").alias("mean_pct"), F.avg("sd_pct").alias("sd_pct")]
     return rows.groupBy("ref", "w_start", "w_end", "grp").agg(*sums)
 
@@ -63,7 +63,7 @@ def group_windows(windows: DataFrame, membership: DataFrame) -> DataFrame:
 def differences(levels: DataFrame, pairs: DataFrame, key: str = "sample", value: str = "pct") -> DataFrame:
     """value of the pair's first less that of its second, per ref and start_pos; null where one of them lacks."""
     long = levels.select("ref", "start_pos", F.col(key).alias("who"), F.col(value).alias("value"))
-    small = F.broadcast(pairs.select("a", "b"))
+    small = pairs.select("a", "b")
     sides = long.join(small, (F.col("who") == F.col("a")) | (F.col("who") == F.col("b")))
     first, second = F.max(F.when(F.col("who") == F.col("a"), F.col("value"))), F.max(F.when(F.col("who") == F.col("b"), F.col("value")))
     return sides.groupBy("ref", "start_pos", "a", "b").agg((first - second).alias("diff"))
@@ -76,7 +76,7 @@ def pair_difference(sites: DataFrame, pairs: DataFrame, legacy_rounding: bool =
     writers do; otherwise halves go away from zero.
     """
     long = sites.select("ref", "start_pos", "end_pos", "sample", "cov", level().alias("pct"))
-    first = long.join(F.broadcast(pairs.select("a", "b")), F.col("sample") == F.col("a")).drop("sample")
+    first = long.join(pairs.select("a", "b"), F.col("sample") == F.col("a")).drop("sample")
     second = long.select("ref", "start_pos", F.col("sample").alias("b"), F.col("cov").alias("cov_b"), F.col("pct").alias("pct_b"))
     both = first.join(second, ["ref", "start_pos", "b"])
     both = both.select("ref", "start_pos", "end_pos", "a", "b", F.least("cov", "cov_b").alias("cov"), (F.col("pct") - F.col("pct_b")).alias("diff"))
@@ -90,5 +90,5 @@ def hydroxy(sites: DataFrame, pairs: DataFrame, protocol: str) -> DataFrame:
         raise ValueError("protocol is tab or oxbs")
     diff, own = ("5mC", "5hmC") if protocol == "tab" else ("5hmC", "5mC")
     subtracted = pair_difference(sites, pairs).select("ref", "start_pos", F.concat_ws("-", "a", "b").alias("sample"), F.lit(diff).alias("mark"), "cov", F.col("diff").alias("pct"))
-    treated = sites.join(F.broadcast(pairs.select("a", "b")), F.col("sample") == F.col("b"))
+    treated = sites.join(pairs.select("a", "b"), F.col("sample") == F.col("b"))
     return subtracted.unionByName(treated.select("ref", "start_pos", F.concat_ws("-", "a", "b").alias("sample"), F.lit(own).alias("mark"), "cov", level().alias("pct")))

@@ -58,10 +58,18 @@ def m4(spark, sf):
     return mv.cluster_profiles(rows, COLUMNS)
 
 
+def named(spark, sf):
+    return wide(spark, sf).withColumn("id", F.concat_ws(":", "ref", "start_pos"))
+
+
 @query("m5_medoids")
 def m5(spark, sf):
-    rows = wide(spark, sf).withColumn("id", F.concat_ws(":", "ref", "start_pos"))
-    return mv.medoids(rows.orderBy(F.desc("af_pct"), "id").limit(200), COLUMNS, 4)
+    return mv.medoids(named(spark, sf), COLUMNS, 4)
+
+
+@query("m3_m7_row_order")
+def m7(spark, sf):
+    return mv.cluster_rows(named(spark, sf), COLUMNS, 500).select("id", "place")
 
 
 @query("f11_row_spread", f"WITH {WIDE} SELECT ref, start_pos, round(greatest({', '.join(COLUMNS)}) - least({', '.join(COLUMNS)}), 6) AS spread FROM wide ORDER BY spread DESC, ref, start_pos LIMIT 500")

@@ -37,15 +37,41 @@ def e1(spark, sf):
     return out.select("ref", "w_start", F.col("n_sites").cast("long").alias("n_sites"), "n_reads", "n_patterns", r6("entropy"), r6("mean_level"))
 
 
-@query("e3_e4_joint_entropy")
+#: The same over reads of two halves, and with states of two site types.
+HALVES = "".join(f"""
+    wc{h} AS (SELECT ref, (pos - 1) // 200 * 200 + 1 AS w_start, read_id, pos, max(meth) AS meth FROM calls WHERE pos >= 1 AND read_id % 80 {op} 40 GROUP BY 1, 2, 3, 4),
+    ps{h} AS (SELECT ref, w_start, list_sort(list(DISTINCT pos)) AS positions FROM wc{h} GROUP BY 1, 2),
+    tt{h} AS (SELECT ref, w_start, count(DISTINCT read_id) AS total FROM wc{h} GROUP BY 1, 2),""" for h, op in (("1", "<"), ("2", ">=")))
+TYPED = """
+    ty AS (SELECT ref, (pos - 1) // 200 * 200 + 1 AS w_start, read_id, pos, pos // 20 % 2 AS type, max(pos // 20 % 2 * 2 + meth) AS state FROM calls WHERE pos >= 1 GROUP BY 1, 2, 3, 4, 5),
+    po AS (SELECT ref, w_start, list_sort(list(DISTINCT pos)) AS positions FROM ty GROUP BY 1, 2 HAVING count(DISTINCT type) = 2),
+    rp AS (SELECT ty.ref, ty.w_start, read_id, positions, array_to_string(list_transform(positions, lambda p: coalesce(cast(list_extract(map_extract(map_from_entries(list(struct_pack(k := pos, v := state))), p), 1) as varchar), '-')), '') AS pattern
+           FROM ty JOIN po ON ty.ref = po.ref AND ty.w_start = po.w_start GROUP BY 1, 2, 3, 4),
+    pat AS (SELECT ref, w_start, positions, pattern, count(*) AS n FROM rp GROUP BY 1, 2, 3, 4), t AS (SELECT *, sum(n) OVER (PARTITION BY ref, w_start) AS total FROM pat)"""
+
+
+@query("e3_e4_joint_entropy", f"WITH {TYPED} SELECT ref, w_start, cast(len(positions) as int) AS n_sites, cast(max(total) as bigint) AS n_reads, count(*) AS n_patterns, round(-sum(n / total * ln(n / total)) / len(positions) / ln(2), 6) AS entropy FROM t WHERE total >= 5 GROUP BY 1, 2, positions")
 def e3(spark, sf):
-    return pt.joint_entropy(calls(spark, sf).withColumn("type", (F.col("pos") / 20 % 2).cast("int")), 200, 1, 5)
+    return pt.joint_entropy(calls(spark, sf).withColumn("type", (F.floor(F.col("pos") / 20) % 2).cast("int")), 200, 1, 5).withColumn("entropy", r6("entropy"))
 
 
-@query("e5_e6_relative_entropy")
+def half(h: str) -> str:
+    return f"""
+    rp{h} AS (SELECT wc{h}.ref, wc{h}.w_start, read_id, array_to_string(list_transform(keep, lambda p: coalesce(cast(list_extract(map_extract(map_from_entries(list(struct_pack(k := pos, v := meth))), p), 1) as varchar), '-')), '') AS pattern
+           FROM wc{h} JOIN kp ON wc{h}.ref = kp.ref AND wc{h}.w_start = kp.w_start GROUP BY wc{h}.ref, wc{h}.w_start, read_id, keep),
+    pn{h} AS (SELECT ref, w_start, pattern, count(*) AS n FROM rp{h} WHERE pattern <> '' GROUP BY 1, 2, 3)"""
+
+
+@query("e5_e6_relative_entropy", f"""
+    WITH {HALVES} kp AS (SELECT ps1.ref, ps1.w_start, list_sort(list_intersect(ps1.positions, ps2.positions)) AS keep FROM ps1 JOIN ps2 ON ps1.ref = ps2.ref AND ps1.w_start = ps2.w_start), {half("1")}, {half("2")},
+    b AS (SELECT pn1.ref, pn1.w_start, cast(pn1.n as double) AS na, cast(pn2.n as double) AS nb, tt1.total AS ta, tt2.total AS tb, sum(pn1.n) OVER w AS sa, sum(pn2.n) OVER w AS sb FROM pn1 JOIN pn2 ON pn1.ref = pn2.ref AND pn1.w_start = pn2.w_start AND pn1.pattern = pn2.pattern
+          JOIN tt1 ON tt1.ref = pn1.ref AND tt1.w_start = pn1.w_start JOIN tt2 ON tt2.ref = pn1.ref AND tt2.w_start = pn1.w_start WINDOW w AS (PARTITION BY pn1.ref, pn1.w_start)),
+    f AS (SELECT ref, w_start, count(*) AS n_common, sum(na / ta * ln(na / ta * tb / nb)) AS divergence, sum(pow(na - sa * (na + nb) / (sa + sb), 2) / (sa * (na + nb) / (sa + sb)) + pow(nb - sb * (na + nb) / (sa + sb), 2) / (sb * (na + nb) / (sa + sb))) AS chi2 FROM b GROUP BY 1, 2)
+    SELECT kp.ref, kp.w_start, cast(len(keep) as int) AS n_sites, coalesce(n_common, 0) AS n_common, round(divergence, 6) AS divergence, round(chi2, 5) AS chi2 FROM kp LEFT JOIN f ON kp.ref = f.ref AND kp.w_start = f.w_start""")
 def e5(spark, sf):
     c = calls(spark, sf)
-    return pt.relative_entropy(pt.read_patterns(c.filter("read_id % 80 < 40"), 200), pt.read_patterns(c.filter("read_id % 80 >= 40"), 200))
+    out = pt.relative_entropy(pt.read_patterns(c.filter("read_id % 80 < 40"), 200), pt.read_patterns(c.filter("read_id % 80 >= 40"), 200))
+    return out.withColumns({"divergence": r6("divergence"), "chi2": F.round("chi2", 5)})
 
 
 @query("w4_e7_spanning_intervals", """
@@ -76,6 +102,26 @@ def a11(spark, sf):
     return pt.read_states(pt.read_levels(calls(spark, sf)), 500).withColumn("entropy", r6("entropy"))
 
 
+@query("a11_nine_states", """
+    WITH l AS (SELECT read_id, ref, min(pos) AS s, max(pos) + 1 AS e, cast(sum(meth) as double) / count(*) AS level, avg(CASE WHEN baseq >= 25 THEN 1.0 ELSE 0.0 END) AS op FROM calls GROUP BY 1, 2),
+    w AS (SELECT ref, unnest(CASE WHEN trunc((e - 2) / 250.0) >= greatest(0, trunc((s + 250 - 500) / 250.0)) THEN generate_series(cast(greatest(0, trunc((s + 250 - 500) / 250.0)) as bigint), cast(trunc((e - 2) / 250.0) as bigint)) ELSE [] END) * 250 + 1 AS w_start,
+                 CASE WHEN 1 - op < 0.2 THEN 'O' WHEN 1 - op > 0.8 THEN 'C' ELSE 'M' END || CASE WHEN level < 0.2 THEN 'L' WHEN level > 0.8 THEN 'H' ELSE 'M' END AS state FROM l),
+    c AS (SELECT ref, w_start, state, count(*) AS n FROM w GROUP BY 1, 2, 3), t AS (SELECT *, sum(n) OVER (PARTITION BY ref, w_start) AS total FROM c)
+    SELECT ref, w_start, cast(max(total) as bigint) AS n_reads, count(*) AS n_states, round(-sum(n / total * ln(n / total)), 6) AS entropy, """ + ", ".join(f"cast(coalesce(sum(CASE WHEN state = '{a}{b}' THEN n END), 0) as bigint) AS n_{a}{b}" for a in "OMC" for b in "LMH") + " FROM t GROUP BY 1, 2")
+def a11_nine(spark, sf):
+    rows = calls(spark, sf).groupBy("read_id", "ref").agg(F.min("pos").alias("start_pos"), (F.max("pos") + 1).alias("end_pos"), (F.sum("meth") / F.count("*")).alias("level"), F.avg((F.col("baseq") >= 25).cast("double")).alias("open"))
+    return pt.read_state_windows(rows, 500, 250).withColumn("entropy", r6("entropy"))
+
+
+@query("u3_u4_zero_filled", f"""
+    WITH {HALVES} {"".join(f"rq{h} AS (SELECT wc{h}.ref, wc{h}.w_start, read_id, array_to_string(list_transform(positions, lambda p: coalesce(cast(list_extract(map_extract(map_from_entries(list(struct_pack(k := pos, v := meth))), p), 1) as varchar), '-')), '') AS pattern FROM wc{h} JOIN ps{h} ON wc{h}.ref = ps{h}.ref AND wc{h}.w_start = ps{h}.w_start GROUP BY wc{h}.ref, wc{h}.w_start, read_id, positions), pn{h} AS (SELECT ref, w_start, pattern, count(*) AS n FROM rq{h} GROUP BY 1, 2, 3), " for h in "12")}
+    s AS (SELECT DISTINCT pn1.ref, pn1.w_start FROM pn1 JOIN pn2 ON pn1.ref = pn2.ref AND pn1.w_start = pn2.w_start)
+    SELECT ref, w_start, pattern, coalesce(pn1.n, 0) AS n1, coalesce(pn2.n, 0) AS n2 FROM pn1 FULL JOIN pn2 USING (ref, w_start, pattern) JOIN s USING (ref, w_start)""")
+def u4(spark, sf):
+    c = calls(spark, sf)
+    return pt.zero_filled(pt.read_patterns(c.filter("read_id % 80 < 40"), 200), pt.read_patterns(c.filter("read_id % 80 >= 40"), 200))
+
+
 @query("e8_clones")
 def e8(spark, sf):
     return pt.clones(patterns(spark, sf))
@@ -86,3 +132,28 @@ def e8(spark, sf):
     FROM sites a JOIN sites b ON a.sample = b.sample AND a.ref = b.ref AND abs(b.start_pos - a.start_pos) < 1000 WHERE a.cov > 0 GROUP BY 1, 2, 3""")
 def m8(spark, sf):
     return pt.smooth(sites(spark, sf), 1000).withColumn("smoothed", r6("smoothed"))
+
+
+SMOOTHED = """sm AS (SELECT a.sample, a.ref, a.start_pos, sum(pow(1 - pow(abs(b.start_pos - a.start_pos) / 1000.0, 3), 3) * b.m) / sum(pow(1 - pow(abs(b.start_pos - a.start_pos) / 1000.0, 3), 3) * b.cov) AS v
+        FROM sites a JOIN sites b ON a.sample = b.sample AND a.ref = b.ref AND abs(b.start_pos - a.start_pos) < 1000 WHERE a.cov > 0 GROUP BY 1, 2, 3),
+    g AS (SELECT ref, start_pos, avg(CASE WHEN sample LIKE '%f' THEN v END) AS m1, avg(CASE WHEN sample LIKE '%o' THEN v END) AS m2, var_samp(CASE WHEN sample LIKE '%f' THEN v END) AS v1, var_samp(CASE WHEN sample LIKE '%o' THEN v END) AS v2 FROM sm GROUP BY 1, 2 HAVING count(*) = 6),
+    tt AS (SELECT ref, start_pos, m1 - m2 AS diff, (m1 - m2) / sqrt((2 * v1 + 2 * v2) / 4 * (1 / 3.0 + 1 / 3.0)) AS t FROM g)"""
+
+
+def tested(spark, sf):
+    return pt.smoothed_t(sites(spark, sf), ["af", "nf", "rf"], ["ao", "no", "ro"], 1000)
+
+
+@query("m8_smoothed_t", f"WITH {SMOOTHED} SELECT ref, start_pos, round(diff, 6) AS diff, round(t, 4) AS t FROM tt")
+def m8t(spark, sf):
+    return tested(spark, sf).select("ref", "start_pos", r6("diff"), F.round("t", 4).alias("t"))
+
+
+@query("m8_g15_regions", f"""
+    WITH {SMOOTHED}, d AS (SELECT *, CASE WHEN t >= 1.5 THEN 'up' WHEN t <= -1.5 THEN 'down' ELSE 'none' END AS direction FROM tt WHERE t IS NOT NULL),
+    n AS (SELECT *, CASE WHEN start_pos - lag(start_pos) OVER w > 2000 OR direction <> lag(direction) OVER w THEN 1 ELSE 0 END AS brk FROM d WINDOW w AS (PARTITION BY ref ORDER BY start_pos)),
+    r AS (SELECT *, sum(brk) OVER (PARTITION BY ref ORDER BY start_pos) AS run FROM n)
+    SELECT ref, direction, min(start_pos) AS start_pos, max(start_pos) AS end_pos, count(*) AS n_sites, round(avg(diff), 5) AS mean_diff, round(sum(t), 3) AS area_t FROM r WHERE direction <> 'none' GROUP BY ref, run, direction HAVING count(*) >= 2 AND abs(avg(diff)) >= 0.05""")
+def m8r(spark, sf):
+    out = pt.differing_regions(tested(spark, sf), 1.5, 2000, 2, 0.05)
+    return out.withColumns({"mean_diff": F.round("mean_diff", 5), "area_t": F.round("area_t", 3)})

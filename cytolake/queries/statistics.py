@@ -183,10 +183,20 @@ def t13(spark, sf):
     return out.select("ref", "start_pos", "g2", ts.deviance_density(F.col("g2")).alias("density"), "p")
 
 
-@query("t4_rao_scott")
+@query("t4_rao_scott", f"""
+    WITH g AS (SELECT ref, start_pos, grp, count(*) AS k, cast(sum(cov) as double) AS n, cast(sum(m) as double) AS y, cast(sum(m * m) as double) AS yy, cast(sum(m * cov) as double) AS yn, cast(sum(cov * cov) as double) AS nn FROM sites WHERE cov >= 3 GROUP BY 1, 2, 3),
+    d AS (SELECT *, CASE WHEN k > 1 AND y > 0 AND y < n THEN k / cast(k - 1 as double) * (yy - 2 * y / n * yn + pow(y / n, 2) * nn) / (n * n) / (y / n * (1 - y / n) / n) ELSE 1.0 END AS d FROM g),
+    s AS (SELECT ref, start_pos, sum(n / d) AS tn, sum(y / d) AS ty, sum(pow(y / d, 2) / (n / d)) AS sq FROM d GROUP BY 1, 2 HAVING count(*) = 2 AND min(d) > 1e-12)
+    SELECT ref, start_pos, round(ty / tn, 5) AS pooled, CASE WHEN ty > 0 AND ty < tn THEN round((sq - ty * ty / tn) / (ty / tn * (1 - ty / tn)) + 1e-7, 4) END AS x2, cast(1 as bigint) AS df FROM s""")
 def t4(spark, sf):
     out = ts.rao_scott(sites(spark, sf).filter("cov >= 3"), "F", "O", with_p=False)
-    return out.select("ref", "start_pos", "pooled", "x2", "df")
+    return out.select("ref", "start_pos", F.round("pooled", 5).alias("pooled"), F.round(F.col("x2") + 1e-7, 4).alias("x2"), F.col("df").cast("long").alias("df"))
+
+
+@query("g2_sd_histogram", f"SELECT cast(floor(round((sqrt(v1) - sqrt(v2)) / 0.02, 6)) as bigint) AS bin, count(*) AS n FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 GROUP BY 1")
+def g2_sd(spark, sf):
+    both = ts.two_groups(levels(spark, sf), "F", "O").filter("n1 > 1 AND n2 > 1")
+    return both.groupBy(F.floor(F.round((F.sqrt("var1") - F.sqrt("var2")) / 0.02, 6)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
 BH = """

@@ -29,13 +29,14 @@ def site_beds(spark: SparkSession, path: str, context: str) -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their number in their file (file, line_no, value).
 
-    Numbers follow from each partition's order and the number of lines in the
-    partitions before it; only a count per partition meets in one place.
+    Lines are numbered within each split of a file and go on from the splits
+    before it; only a count per split meets in one place.
     """
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"), "value")
-    counts = lines.groupBy("file", "part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return lines.join(F.broadcast(before), ["file", "part"]).select("file", (F.col("id") - F.col("first") + F.col("before")).alias("line_no"), "value")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    counts = lines.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(W.partitionBy("file", "block").orderBy("id")) - 1
+    return lines.withColumn("inside", inside).join(counts.withColumn("before", before), ["file", "block"]).select("file", (F.col("inside") + F.col("before")).alias("line_no"), "value")
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
