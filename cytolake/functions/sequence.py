@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: IUPAC codes (fixed values).
@@ -66,6 +66,35 @@ def quality_trim(seq: Column, qual: Column, five: int, three: int, offset: int =
     return F.struct(F.substring(seq, head + 1, size).alias("seq"), F.substring(qual, head + 1, size).alias("qual"))
 
 
+def trim_reads(reads: DataFrame, five: int = 0, three: int = 0, n_ends: bool = False, q5: int = 0, q3: int = 0, min_length: float = 0) -> DataFrame:
+    """Reads (id, seq, plus, qual) after fixed trims, runs of N and ends of low quality, with `length` and `kept`.
+
+    q5 and q3 are limits as characters of the quality string. A read is kept if
+    it has `min_length` bases (above 1) or that share of its own (up to 1).
+    """
+    n = F.length("seq")
+    lead = F.length(F.regexp_extract("seq", "^([Nn]*)", 1)) if n_ends else F.lit(0)
+    trail = F.length(F.regexp_extract("seq", "([Nn]*)$", 1)) if n_ends else F.lit(0)
+    left, right = F.greatest(F.lit(five), lead), F.least(n - three, n - trail)
+
+    def low(limit: int) -> str:
+        return "[" + "".join(f"\\x{{{c:02x}}}" for c in range(33, limit)) + "]" if limit > 33 else "(?!)"
+
+    rows = reads.withColumns({"cut_at": left, "cut_size": F.greatest(right - left, F.lit(0))})
+    middle = F.substring("qual", F.col("cut_at") + 1, F.col("cut_size"))
+    head, tail = F.length(F.regexp_extract(middle, f"^({low(q5)}*)", 1)), F.length(F.regexp_extract(middle, f"({low(q3)}*)$", 1))
+    rows = rows.withColumns({"whole": n, "cut_at": F.col("cut_at") + head, "length": F.greatest(F.col("cut_size") - head - tail, F.lit(0))})
+    enough = F.col("length") >= min_length if min_length > 1 else F.col("length") >= min_length * F.col("whole")
+    cut = {c: F.substring(c, F.col("cut_at") + 1, F.col("length")) for c in ("seq", "qual")}
+    return rows.withColumns({**cut, "kept": enough}).drop("cut_at", "cut_size", "whole")
+
+
+def two_genomes(refs: DataFrame) -> DataFrame:
+    """A reference (ref, seq) converted both ways: genome c and genome g, to be written apart."""
+    both = F.array(*[F.struct(F.lit(g).alias("genome"), convert(F.col("seq"), g.upper()).alias("seq")) for g in ("c", "g")])
+    return refs.select("ref", F.explode(both).alias("x")).select("x.genome", "ref", "x.seq")
+
+
 def base_quality(qual: Column, at: Column, offset: int = 33) -> Column:
     """Quality of the base at a place from 1."""
     return F.ascii(F.substring(qual, at, F.lit(1))) - offset

@@ -219,7 +219,7 @@ def rao_scott(sites: DataFrame, a: str, b: str, keys: tuple[str, ...] = KEYS, wi
 
 
 #: Tests on two lists of values; add your own with register_test.
-RANK_TESTS: dict[str, Callable[[np.ndarray, np.ndarray], tuple[float, float]]] = {"wilcoxon": special.rank_sum, "ks": special.ks_distance, "ansari": special.ansari_bradley, "cucconi": special.cucconi, "lepage": special.lepage}
+RANK_TESTS: dict[str, Callable[[np.ndarray, np.ndarray], tuple[float, float]]] = {"wilcoxon": special.rank_sum, "ks": special.ks_without_ties, "ks_ties": special.ks_distance, "ansari": special.ansari_bradley, "cucconi": special.cucconi, "lepage": special.lepage}
 
 
 def register_test(name: str, test: Callable[[np.ndarray, np.ndarray], tuple[float, float]]) -> None:

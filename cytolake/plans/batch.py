@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -31,19 +32,20 @@ class Settings:
 def batch(sites: DataFrame, features: DataFrame, settings: Settings, path: str, samples: list[str], resume: bool = False) -> dict[str, DataFrame]:
     """Writes windows, matrix, tests and annotated regions below `path` and returns them as tables.
 
-    With `resume`, tables that are there (with their _SUCCESS mark) are read and
-    not made again.
+    With `resume`, tables that are there (with their _SUCCESS mark) and were made
+    with the same settings are read and not made again.
     """
     spark = sites.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        target = f"{path}/{name}"
+        target = f"{path}/{mark}/{name}"
         done = hadoop(f"{target}/_SUCCESS")
         if not (resume and done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)):
             df.write.mode("overwrite").parquet(target)
         return spark.read.schema(df.schema).parquet(target)
 
+    mark = hashlib.sha256(repr((settings, sorted(samples))).encode()).hexdigest()[:12]  # other settings, another folder
     kept = st.filter_sites(sites, settings.min_cov)
     windows = keep("windows", iv.genome_windows(kept, settings.width, settings.step, ("sample", "grp")))
     matrix = keep("matrix", mx.outer_matrix(windows, samples, ["n_cpg", "mean_pct", "sd_pct"], ("ref", "w_start", "w_end")))

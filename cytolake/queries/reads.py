@@ -27,6 +27,24 @@ def p3(spark, sf):
     return dna(spark, sf).select("doc_id", F.md5(sq.trim(F.translate("seq", "A", "N"), 5, 3)).alias("digest"))
 
 
+QUALITIES = ("ACGT", "+5?I")
+
+
+@query("p3_trimmed_lengths", """
+    WITH r AS (SELECT doc_id, 'NN' || seq AS seq, 'II' || translate(seq, 'ACGT', '+5?I') AS qual FROM dna), m AS (SELECT *, substr(qual, 5, greatest(cast(length(seq) as bigint) - 3 - 4, 0)) AS q FROM r),
+    t AS (SELECT length(q) - length(regexp_extract(q, '^([+]*)', 1)) - length(regexp_extract(q, '([+5]*)$', 1)) AS n, length(seq) AS whole FROM m)
+    SELECT cast(greatest(n, 0) as int) AS length, greatest(n, 0) >= 0.5 * whole AS kept, count(*) AS n FROM t GROUP BY 1, 2""")
+def p3_lengths(spark, sf):
+    r = dna(spark, sf).select(F.col("doc_id").alias("id"), F.concat(F.lit("NN"), "seq").alias("seq"), F.lit("+").alias("plus"), F.concat(F.lit("II"), F.translate("seq", *QUALITIES)).alias("qual"))
+    return sq.trim_reads(r, 4, 3, True, ord("5"), ord("?"), 0.5).groupBy("length", "kept").agg(F.count("*").alias("n"))
+
+
+@query("p2_two_genomes", "SELECT 'c' AS genome, cast(doc_id as varchar) AS ref, md5(translate(seq, 'T', 'C')) AS digest FROM dna UNION ALL SELECT 'g', cast(doc_id as varchar), md5(translate(seq, 'A', 'G')) FROM dna")
+def p2(spark, sf):
+    both = sq.two_genomes(dna(spark, sf).select(F.col("doc_id").cast("string").alias("ref"), "seq"))
+    return both.select("genome", "ref", F.md5("seq").alias("digest"))
+
+
 @query("p4_phred_offset", "SELECT lang, CASE WHEN min(lo) < 59 THEN 33 WHEN max(hi) > 74 THEN 64 ELSE 33 END AS phred FROM (SELECT lang, CASE WHEN contains(seq, 'A') THEN 65 ELSE 67 END AS lo, CASE WHEN contains(seq, 'T') THEN 84 ELSE 71 END AS hi FROM dna) GROUP BY 1")
 def p4(spark, sf):
     codes = dna(spark, sf).select("lang", F.array_min(F.transform(F.array_distinct(F.split("seq", "")), lambda c: F.ascii(c))).alias("lo"), F.array_max(F.transform(F.array_distinct(F.split("seq", "")), lambda c: F.ascii(c))).alias("hi"))

@@ -138,3 +138,49 @@ def enzyme_config(lines: list[str]) -> dict:
         else:
             out[words[0]] = words[1]
     return out
+
+
+def fasta_records(spark: SparkSession, path: str, kind: str = "id") -> DataFrame:
+    """FASTA records with a name for a file of their own (name, ref, seq).
+
+    kind: id (the first word), last (the last part between bars), no (their
+    number), or a database's name, whose part between bars is taken.
+    """
+    rows = fasta(spark, path, full_header=True)
+    header = F.col("ref")
+    if kind == "no":
+        counted = rows.withColumn("id", F.monotonically_increasing_id())
+        name = F.row_number().over(W.orderBy("id")).cast("string")  # a file's records are few; use another kind for many
+        return counted.select(name.alias("name"), "ref", "seq")
+    patterns = {"id": r"^\s*(\S+)", "last": r"\|([^|\s]+)(?:\s|$)"}
+    return rows.select(F.regexp_extract(header, patterns.get(kind, rf"{re.escape(kind)}\|([^|]+)"), 1).alias("name"), "ref", "seq")
+
+
+def clean_bed(spark: SparkSession, path: str, every_column: bool = False) -> DataFrame:
+    """A BED-like table for annotation: no track or browser lines, names from its header or the usual ones, six columns unless `every_column`."""
+    lines = spark.read.text(path).filter("trim(value) <> '' AND NOT value RLIKE '^(track|brows)'")
+    first = lines.first()
+    if first is None:
+        return spark.createDataFrame([], "chrom string, start long, `end` long")
+    words = first["value"].split("\t")
+    last = len(words) if every_column or len(words) <= 6 else 6
+    usual = [*BED_NAMES, *(f"Col{k}" for k in range(len(BED_NAMES), last))][:last]
+    names = [w.lstrip("#") or f"Col{k}" for k, w in enumerate(words[:last])] if "start" in first["value"] else usual
+    parts = F.split("value", "\t")
+    rows = lines.filter(~F.col("value").startswith("#") & (F.col("value") != first["value"]) | (F.lit("start" not in first["value"]) & (F.col("value") == first["value"])))
+    kinds = {1: "long", 2: "long"}
+    return rows.select(*[F.get(parts, k).cast(kinds.get(k, "string")).alias(n) for k, n in enumerate(names)])
+
+
+#: Columns of a BED file without a header (fixed values).
+BED_NAMES = ("chrom", "start", "end", "name", "score", "strand")
+
+
+def numbered_probes(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A probe table with the running number of its lines, from 1 (no)."""
+    fields = [f.strip().split() for f in schema.split(",")]
+    lines = numbered_lines(spark, path).filter("trim(value) <> '' AND NOT value LIKE '#%'")
+    skipped = numbered_lines(spark, path).filter("trim(value) = '' OR value LIKE '#%'").select("file", F.col("line_no").alias("gone"))
+    before = lines.join(skipped, (lines["file"] == skipped["file"]) & (F.col("gone") < F.col("line_no")), "left").groupBy(lines["file"], "line_no", "value").agg(F.count("gone").alias("n"))
+    parts = F.split("value", "\t")
+    return before.select((F.col("line_no") - F.col("n") + 1).alias("no"), *[F.get(parts, k).cast(kind).alias(name) for k, (name, kind) in enumerate(fields)])
