@@ -194,17 +194,30 @@ def find_items(items: Items, text: str) -> list[tuple[int, int, int, int]]:
     return kept
 
 
+def item_blocks(benchmark: DataFrame, max_letters: int) -> Iterator[list[tuple]]:
+    """Items (id, text) in blocks of at most `max_letters` letters, one at a time; a longer item is a block of its own, and no items are one empty block."""
+    block, size, given = [], 0, False
+    for row in benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
+        if block and size + len(row["text"]) > max_letters:
+            yield block
+            block, size, given = [], 0, True
+        block.append((row["item_id"], row["text"]))
+        size += len(row["text"])
+    if block or not given:
+        yield block
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", max_letters: int = 4 << 20) -> DataFrame:
     """doc_id, item_id, edits, start_char, end_char for each place of a benchmark item in a document.
 
     Offsets count letters of the plain text (see `plain`). Items of less than 17
     letters have no budget: they are found as they are, wherever the letters
     stand. Items go to the tasks in blocks of at most `max_letters` letters, and
-    every block sees all documents, so driver and tasks hold one block at a time
-    (a longer item is a block of its own). Null items and items without letters
-    are never found; null, empty and letterless texts give no row, nor does an
-    empty table. Repeated items and repeated rows are all reported. Texts are
-    read whole, in overlapping parts of SPAN letters.
+    every block sees all documents, so driver and tasks hold one block at a time.
+    Null items and items without letters are never found; null, empty and
+    letterless texts give no row, nor does an empty table. Repeated items and
+    repeated rows are all reported. Texts are read whole, in overlapping parts of
+    SPAN letters.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     context = own.sparkSession.sparkContext
@@ -229,13 +242,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
         return own.mapInArrow(search, schema), shared
 
-    block, size, parts = [], 0, []
-    for row in benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
-        if block and size + len(row["text"]) > max_letters:
-            part, shared = scan(block)
-            parts.append(materialise(part, "leaks"))
-            shared.destroy()
-            block, size = [], 0
-        block.append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    return reduce(DataFrame.unionByName, parts, scan(block)[0])
+    parts, last = [], None
+    for block in item_blocks(benchmark, max_letters):
+        if last is not None:
+            parts.append(materialise(last[0], "leaks"))
+            last[1].destroy()
+        last = scan(block)
+    return reduce(DataFrame.unionByName, parts, last[0])
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, max_letters: int = 4 << 20) -> DataFrame:
+    """The rows of docs, with all their columns, in which find_leaks finds no item, decided where the row is."""
+    context, text_at = docs.sparkSession.sparkContext, docs.columns.index("text")
+
+    def scan(rows: DataFrame, block: list[tuple]) -> tuple[DataFrame, Broadcast]:
+        shared = context.broadcast(Items(block))
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not find_items(shared.value, plain(t)) for t in batch.column(text_at).to_pylist()], pa.bool_()))
+
+        return rows.mapInArrow(keep, rows.schema), shared
+
+    last = None
+    for block in item_blocks(benchmark, max_letters):
+        if last is not None:
+            docs = materialise(last[0], "clean")
+            last[1].destroy()
+        last = scan(docs, block)
+    return last[0]

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -108,35 +108,44 @@ def fit(ids: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.nda
     return OrdinalModel(weights, params[size] + np.concatenate([[0.0], np.cumsum(np.exp(params[size + 1 :]))]))
 
 
+def rater(model: OrdinalModel, cut: float) -> Callable[[list[str | None]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A function of texts to their words, severities and grades; it keeps the weights of words that it has met."""
+    known: dict[str, float] = {}
+
+    def rate(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sums, counts = [], []
+        for text in texts:
+            total = word_counts(text)
+            if new := [w for w in total if w not in known]:
+                if len(known) > CACHE:
+                    known.clear()
+                    new = list(total)
+                known.update((w, float(sum(model.weights[f] for f in features(w)))) for w in new)
+            n = total.total()
+            counts.append(n)
+            sums.append(sum([min(100 * c / n, MOST) * known[w] for w, c in total.items()]))
+        words = np.array(counts, np.int64)
+        chance = model.chances(np.array(sums, float)) * (words > 0)[:, None]
+        return words, chance.sum(1), (chance >= cut).sum(1).astype(np.int32)
+
+    return rate
+
+
 def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, severity (expected grade), grade (of the thresholds passed with `cut` or more), toxic (grade > 0).
 
     Whole texts, of any length; a null or empty text, or one without letters, has
     severity 0. Repeated rows and rows without an id are each scored, an empty
-    table gives none, and other columns don't matter.
-    The model has a fixed size (2^18 weights) and is sent with the tasks.
+    table gives none, and other columns don't matter. The model has a fixed size
+    (2^18 weights) and is sent with the tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
+        of = rater(shared.value, cut)
         for batch in batches:
-            sums, counts = [], []
-            for text in batch.column(1).to_pylist():
-                total = word_counts(text)
-                if new := [w for w in total if w not in known]:
-                    if len(known) > CACHE:
-                        known.clear()
-                        new = list(total)
-                    weights = model.weights
-                    known.update((w, float(sum(weights[f] for f in features(w)))) for w in new)
-                n = total.total()
-                counts.append(n)
-                sums.append(sum([min(100 * c / n, MOST) * known[w] for w, c in total.items()]))
-            words = np.array(counts, np.int64)
-            chance = model.chances(np.array(sums, float)) * (words > 0)[:, None]
-            grade = (chance >= cut).sum(1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (words, chance.sum(1), grade, grade > 0))], ["doc_id", "n_words", "severity", "grade", "toxic"])
+            words, severity, grade = of(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (words, severity, grade, grade > 0))], ["doc_id", "n_words", "severity", "grade", "toxic"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(rate, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, severity double, grade int, toxic boolean")
@@ -151,3 +160,17 @@ def judge(docs: DataFrame, labels: DataFrame, limit: int = 4000, cut: float = 0.
     """Fits on at most `limit` labelled documents and scores all of `docs` (doc_id, text)."""
     own = docs.select("doc_id", "text")
     return score(own, fit(*sample_features(own, grades_of(labels), limit), n_grades=3), cut)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: int = 4000, cut: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose grade is 0: judge's verdict, taken where the row is, so rows without an id are judged as well."""
+    own = docs.select("doc_id", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(*sample_features(own, grades_of(labels), limit), n_grades=3))
+    text_at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = rater(shared.value, cut)
+        for batch in batches:
+            yield batch.filter(pa.array(of(batch.column(text_at).to_pylist())[2] == 0))
+
+    return docs.mapInArrow(keep, docs.schema)
