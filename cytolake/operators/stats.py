@@ -209,7 +209,7 @@ def rao_scott(sites: DataFrame, a: str, b: str, keys: tuple[str, ...] = KEYS, wi
     squares = F.col("yy") - 2 * pi * F.col("yn") + pi * pi * F.col("nn")
     var = F.expr("try_divide(k, k - 1)") * squares / (F.col("n") * F.col("n"))
     effect = F.coalesce(F.expr("try_divide(v, b)"), F.lit(1.0))
-    group = group.withColumns({"pi": pi, "v": var, "b": pi * (1 - pi) / F.col("n")}).withColumn("d", F.when(F.col("k") > 1, effect).otherwise(1.0))
+    group = group.withColumns({"pi": pi, "v": var, "b": pi * (1 - pi) / F.col("n")}).withColumn("d", F.when(F.col("k") > 1, effect).otherwise(1.0)).withColumn("d", F.when(F.col("d") > TINY, F.col("d")))  # samples that agree wholly have no effect to divide by
     group = group.withColumns({"n_adj": F.expr("try_divide(n, d)"), "y_adj": F.expr("try_divide(y, d)")})
     sums = group.groupBy(*keys).agg(F.count("*").alias("g"), F.sum("n_adj").alias("tn"), F.sum("y_adj").alias("ty"), F.sum(F.col("y_adj") * F.col("y_adj") / F.col("n_adj")).alias("sq"), F.count("n_adj").alias("ok"))
     pooled = F.col("ty") / F.col("tn")

@@ -203,8 +203,8 @@ SPANS = """
     laid AS (SELECT ref || ':' || x0 AS qname, ref, seq AS whole, x0 + 1 AS pos, CASE WHEN x0 // 40 % 2 = 0 THEN 'C' ELSE 'G' END AS mode, CASE WHEN x0 // 40 % 3 = 0 THEN 16 ELSE 0 END AS flag, substr(seq, x0 + 1, 36) AS own FROM spans),
     bases AS (SELECT qname, ref, whole, pos, mode, flag, own, unnest(generate_series(1, cast(length(own) as bigint))) AS o FROM laid),
     called AS (SELECT *, (pos + o) % 2 AS meth, pos + o - 1 AS place FROM bases WHERE substr(own, o, 1) = mode),
-    kept AS (SELECT * FROM called WHERE NOT (meth = 1 AND CASE WHEN mode = 'C' THEN o >= length(own) - 1 ELSE o <= 2 END AND CASE WHEN flag = 0 THEN mode = 'C' AND substr(whole, place - 2, 4) = 'CCGG' ELSE mode = 'G' AND substr(whole, place - 2, 4) = 'CCGG' END))"""
-FIXES = [("CCGG", "+", 3), ("CCGG", "-", 3)]
+    kept AS (SELECT * FROM called WHERE NOT (meth = 1 AND CASE WHEN mode = 'C' THEN o >= length(own) - 1 ELSE o <= 2 END AND CASE WHEN flag = 0 THEN mode = 'C' AND substr(whole, place - 1, 4) = 'CCGG' ELSE mode = 'G' AND substr(whole, place - 2, 4) = 'CCGG' END))"""
+FIXES = [("CCGG", "+", 2), ("CCGG", "-", 3)]
 
 
 def laid(spark, sf):
@@ -240,7 +240,9 @@ def v4_sites(spark, sf):
     return al.palindrome_sites(al.call_methylation(r, d, FIXES)).select("ref", "start_pos", "cov", "m", "strand")
 
 
-@query("p14_a27_fill_in_log", f"WITH {SPANS} SELECT cast(ref as varchar) AS ref, place AS pos, count(*) AS n_reads FROM (SELECT * FROM called WHERE meth = 1 EXCEPT SELECT * FROM kept) GROUP BY 1, 2")
+@query("p14_a27_fill_in_log", f"""
+    WITH {SPANS} SELECT cast(ref as varchar) AS ref, pos + o - 1 AS pos, count(*) AS n_reads FROM bases WHERE CASE mode WHEN 'C' THEN o >= length(own) - 1 ELSE o <= 2 END AND NOT (substr(own, o, 1) = mode AND (pos + o) % 2 = 0)
+        AND CASE flag WHEN 0 THEN substr(own, o, 1) = 'C' AND substr(whole, pos + o - 2, 4) = 'CCGG' ELSE substr(own, o, 1) = 'G' AND substr(whole, pos + o - 3, 4) = 'CCGG' END GROUP BY 1, 2""")
 def p14(spark, sf):
     r, d = laid(spark, sf)
     return al.fill_in_log(al.filled_calls(r, al.fix_places(d, FIXES)))

@@ -13,13 +13,13 @@ from .sites import PCT
 
 
 def signif_sql(x: str, places: int = 5) -> str:
-    return f"round(({x}) / pow(10.0, floor(log10({x}))), {places}) * pow(10.0, floor(log10({x})))"
+    return f"round(({x}) / pow(10.0, floor(log10({x}))) + 1e-9, {places}) * pow(10.0, floor(log10({x})))"
 
 
 def signif(x, places: int = 5):
     """A positive value to places + 1 figures, so large and small ones are compared alike."""
     scale = F.pow(F.lit(10.0), F.floor(F.log10(x)))
-    return F.round(x / scale, places) * scale
+    return F.round(x / scale + 1e-9, places) * scale
 
 
 def levels(spark, sf):
@@ -170,11 +170,11 @@ def cells(spark, sf):
 
 @query("t12_t13_contingency", f"""
     WITH x AS ({CHI}), f AS (SELECT *, sum(n) OVER (PARTITION BY ref, start_pos, sample) AS r, sum(n) OVER (PARTITION BY ref, start_pos, kind) AS c, sum(n) OVER (PARTITION BY ref, start_pos) AS t FROM x)
-    SELECT ref, start_pos, round(sum(CASE WHEN r * c > 0 THEN pow(n - cast(r as double) * c / t, 2) / (cast(r as double) * c / t) END), 4) AS chi2, round(2 * sum(CASE WHEN n > 0 THEN n * ln(cast(n as double) * t / (r * c)) ELSE 0 END), 4) AS g2, (count(DISTINCT sample) - 1) AS df
+    SELECT ref, start_pos, round(sum(CASE WHEN r * c > 0 THEN pow(n - cast(r as double) * c / t, 2) / (cast(r as double) * c / t) END) + 1e-7, 4) AS chi2, round(1e-7 + 2 * sum(CASE WHEN n > 0 THEN n * ln(cast(n as double) * t / (r * c)) ELSE 0 END), 4) AS g2, (count(DISTINCT sample) - 1) AS df
     FROM f GROUP BY 1, 2 HAVING count(DISTINCT sample) > 1""")
 def t12(spark, sf):
     out = ts.contingency(cells(spark, sf), ["ref", "start_pos"], "sample", "kind", with_p=False).filter("df > 0")
-    return out.select("ref", "start_pos", F.round("chi2", 4).alias("chi2"), F.round("g2", 4).alias("g2"), "df")
+    return out.select("ref", "start_pos", *[F.round(F.col(c) + 1e-7, 4).alias(c) for c in ("chi2", "g2")], "df")
 
 
 @query("t13_multinomial_density")
