@@ -92,3 +92,29 @@ def hydroxy(sites: DataFrame, pairs: DataFrame, protocol: str) -> DataFrame:
     subtracted = pair_difference(sites, pairs).select("ref", "start_pos", F.concat_ws("-", "a", "b").alias("sample"), F.lit(diff).alias("mark"), "cov", F.col("diff").alias("pct"))
     treated = sites.join(pairs.select("a", "b"), F.col("sample") == F.col("b"))
     return subtracted.unionByName(treated.select("ref", "start_pos", F.concat_ws("-", "a", "b").alias("sample"), F.lit(own).alias("mark"), "cov", level().alias("pct")))
+
+
+def merge_pairs(first: DataFrame, second: DataFrame, by: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """Tracks of first and second mates, whose samples have the same name, as one track each."""
+    return merge_tracks(first.unionByName(second), by)
+
+
+def merge_products(inputs: dict[str, DataFrame], products: tuple[str, ...] = ("bed", "sum"), by: tuple[str, ...] = ("grp",)) -> dict[str, DataFrame]:
+    """The chosen products of a merge: bed (tracks, by group) and sum (mapping summaries); others of `inputs` are left alone."""
+    from .alignment import merge_summaries
+
+    makers = {"bed": lambda df: merge_tracks(df, by), "sum": merge_summaries}
+    return {name: makers[name](inputs[name]) for name in products if name in inputs}
+
+
+def target_positions(targets: DataFrame, counts: DataFrame | None = None, depth: int = 0) -> DataFrame:
+    """Distinct places of interest (ref, start_pos), with `counts` those alone that some track covers `depth` times."""
+    places = targets.select("ref", "start_pos").distinct()
+    if counts is None or depth <= 0:
+        return places
+    return places.join(counts.filter(F.col("cov") >= depth).select("ref", "start_pos").distinct(), ["ref", "start_pos"], "left_semi")
+
+
+def ranked_list(rows: DataFrame, name: str, score: str) -> DataFrame:
+    """Name and score alone, largest first, as rank-based tools read them; rows without a score are left out."""
+    return rows.filter(F.col(score).isNotNull()).select(F.col(name).alias("name"), F.col(score).alias("score")).orderBy(F.desc("score"), "name")

@@ -214,3 +214,27 @@ def p20(spark, sf):
     d = st.differences(sites(spark, sf).withColumn("pct", st.level()), pairs(spark)).filter("diff <> 0")
     signs = d.groupBy("ref", "start_pos").agg(F.max("diff").alias("hi"), F.min("diff").alias("lo"), F.count("*").alias("n"))
     return signs.filter("NOT (hi > 0 AND lo < 0)").select("ref", "start_pos", F.when(F.col("hi") > 0, "hyper").otherwise("hypo").alias("side"), "n")
+
+
+@query("v5_pair_merge", f"SELECT substr(sample, 1, 1) AS sample, ref, start_pos, max(end_pos) AS end_pos, cast(sum(cov) as bigint) AS cov, cast(sum(m) as bigint) AS m, round(cast(sum(m) as double) / sum(cov), 6) AS pct FROM sites GROUP BY 1, 2, 3")
+def v5(spark, sf):
+    s = sites(spark, sf)
+    first, second = (s.filter(F.col("grp") == g).withColumn("sample", F.substring("sample", 1, 1)) for g in ("F", "O"))
+    return st.merge_pairs(first, second).withColumn("pct", r6("pct"))
+
+
+@query("v6_merged_groups", "SELECT grp, ref, start_pos, cast(sum(cov) as bigint) AS cov, cast(sum(m) as bigint) AS m FROM sites GROUP BY 1, 2, 3")
+def v6(spark, sf):
+    return st.merge_products({"bed": sites(spark, sf)}, ("bed", "sum"))["bed"].select("grp", "ref", "start_pos", "cov", "m")
+
+
+@query("j16_target_positions", "SELECT DISTINCT t.ref, t.start_pos FROM sites t WHERE t.sample = 'ro' AND (t.ref, t.start_pos) IN (SELECT ref, start_pos FROM sites WHERE cov >= 60)")
+def j16(spark, sf):
+    s = sites(spark, sf)
+    return st.target_positions(s.filter("sample = 'ro'"), s, 60)
+
+
+@query("p21_ranked_list", "SELECT ref || ':' || start_pos AS name, cast(max(m) as bigint) AS score FROM sites GROUP BY 1")
+def p21(spark, sf):
+    s = sites(spark, sf).groupBy(F.concat_ws(":", "ref", "start_pos").alias("place")).agg(F.max("m").alias("best"))
+    return st.ranked_list(s, "place", "best")
