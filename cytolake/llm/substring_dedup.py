@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -264,32 +263,44 @@ def link_exact(records: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(links), np.concatenate(whose), (covered >= places) & (records["more"] == 0)
 
 
+def of_shared_keys(records: np.ndarray) -> np.ndarray:
+    """The records whose key occurs in several documents, in the order of key, document and place."""
+    order = np.lexsort((records["at"], records["doc"], records["key"]))
+    return records[order[of_several(records["key"][order], records["doc"][order])]]
+
+
 def join_windows(records: np.ndarray, least: float) -> np.ndarray:
-    """Links between windows with the same key that share a passage.
+    """Links between windows with the same key (see of_shared_keys) that share a passage.
 
     Passages of the same words are found whole by link_exact. For near ones,
     in each set with one same part the first window (by document and place) that
     isn't covered from end to end is compared with all; then the first that has
     no such link yet is compared with all, until all have one or have been
     first. Like windows of one document go through this once
-    and share their links.
+    and share their links. A large set is the memory of a task, so no more than
+    two copies of the records are held at a time.
     """
-    records = records[np.lexsort((records["at"], records["doc"], records["key"]))]
-    records = records[of_several(records["key"], records["doc"])]
     if not len(records):
         return np.zeros(0, LINK)
-    content = np.ascontiguousarray(records["words"]).view(f"V{records['words'].shape[1]}").ravel()
-    order = np.lexsort((records["at"], content.view("S%d" % content.dtype.itemsize), records["more"], records["right"], records["left"], records["doc"], records["key"]))
-    ranked = records[order]
-    twin = np.concatenate([[False], alike(ranked[:-1], ranked[1:]) & (ranked["doc"][:-1] == ranked["doc"][1:])])
-    chief = np.maximum.accumulate(np.where(twin, 0, np.arange(len(ranked))))
-    all_records, group_of = ranked, np.cumsum(~twin) - 1  # twins follow their chief
-    records = ranked[~twin]
+    content = np.zeros(len(records), U64)
+    for j in range(AROUND):
+        content = content * U64(_BASE) + records["words"][:, j]
+    order = np.lexsort((records["at"], content, records["more"], records["right"], records["left"], records["doc"], records["key"]))
+    del content
+    records = records[order]
+    del order
+    twin = np.zeros(len(records), bool)
+    for at in range(1, len(records), 100_000):
+        before, own = records[at - 1 : at + 99_999], records[at : at + 100_000]
+        before = before[: len(own)]
+        twin[at : at + 100_000] = (before["doc"] == own["doc"]) & alike(before, own)
+    all_at, group_of = records["at"].copy(), np.cumsum(~twin) - 1  # twins follow their chief
+    records = records[~twin]
     n_twins = np.bincount(group_of)
     chiefs = np.flatnonzero(~twin)
-    del chief, content, order
+    del group_of, twin
 
-    words = np.ascontiguousarray(records["words"])
+    words = records["words"]
     exact, whose, linked = link_exact(records, words)
     links, dups = [exact], [whose]
     for part in range(6):
@@ -318,7 +329,7 @@ def join_windows(records: np.ndarray, least: float) -> np.ndarray:
     times = n_twins[i]
     out = np.repeat(found, times)
     which = np.repeat(chiefs[i], times) + np.arange(len(out)) - np.repeat(np.cumsum(times) - times, times)
-    shift = all_records["at"][which] - np.repeat(records["at"][i], times)
+    shift = all_at[which] - np.repeat(records["at"][i], times)
     out["start"] += shift
     out["end"] += shift
     return out
@@ -338,6 +349,9 @@ def merge_same(records: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarra
     return records[keep], links
 
 
+NAMES = ["doc_id", "start_word", "end_word", "kept_doc_id", "kept_start", "n_windows"]
+
+
 def merge_links(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of a document that overlap or touch as one, with the smallest of their partners, and how many they were."""
     if not len(links):
@@ -395,13 +409,22 @@ def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id
         if held:
             yield flush()
 
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        records = np.frombuffer(b"".join(pdf["data"][pdf["kind"] == 0]), RECORD)
-        links, n = merge_links(np.concatenate([np.frombuffer(b"".join(pdf["data"][pdf["kind"] == 1]), LINK), join_windows(records, least)]))
-        return pd.DataFrame({"doc_id": links["doc"], "start_word": links["start"], "end_word": links["end"], "kept_doc_id": links["kept"], "kept_start": links["kept_start"], "n_windows": n})
+    def parts(table: pa.Table, kind: int, dtype: np.dtype) -> np.ndarray:
+        """All of one kind, as they lie in the column's buffer."""
+        data = table.filter(pa.compute.equal(table["kind"], kind))["data"].cast(pa.large_binary()).combine_chunks()
+        data = data.combine_chunks() if isinstance(data, pa.ChunkedArray) else data
+        if not len(data):
+            return np.zeros(0, dtype)
+        offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+        return np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(dtype)
+
+    def meet(table: pa.Table) -> pa.Table:
+        found = join_windows(of_shared_keys(parts(table, 0, RECORD)), least)
+        links, n = merge_links(np.concatenate([parts(table, 1, LINK), found]))
+        return pa.table([pa.array(np.ascontiguousarray(links[c])) for c in ("doc", "start", "end", "kept", "kept_start")] + [pa.array(n, pa.int64())], NAMES)
 
     schema = "doc_id long, start_word int, end_word int, kept_doc_id long, kept_start int, n_windows long"
-    links = own.mapInArrow(emit, "bucket int, kind int, data binary").groupBy("bucket").applyInPandas(meet, schema)
+    links = own.mapInArrow(emit, "bucket int, kind int, data binary").groupBy("bucket").applyInArrow(meet, schema)
     by = W.partitionBy("doc_id").orderBy("start_word", "end_word")
     new = (F.col("start_word") > F.max("end_word").over(by.rowsBetween(W.unboundedPreceding, -1))).cast("int")
     islands = links.withColumn("new", F.coalesce(new, F.lit(0))).withColumn("island", F.sum("new").over(by))
