@@ -1,4 +1,4 @@
-"""The queries op1 to op10 with their production parameters, and SQL for those that SQL can express."""
+"""The queries op1 to op13 with their production parameters, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -85,6 +85,30 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES, hosts_named(pages, BLOCKED_NAMES))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from each other one of its language, and its 200 most over-used terms."""
+    from .divergence import audit_sources
+
+    return audit_sources(documents(spark, sf_dir))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of each language among those found 100 times or more."""
+    from .phrases import strongest_phrases
+
+    return strongest_phrases(documents(spark, sf_dir))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by a byte-level vocabulary and the text behind them, as counts and hashes."""
+    import public_tokenizers
+
+    from .bpe import decode, digests, encode
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return digests(decode(encode(documents(spark, sf_dir), path), path))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line labels and base rules for every document; fitted on at most 3000 labelled ones."""
     from .quality import judge_quality, train_field
