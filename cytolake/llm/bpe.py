@@ -31,10 +31,6 @@ from .tokens import _byte_letters
 WORDS = re.compile(r" ?[^\W\d_]++|'(?:[stmd]|re|ve|ll)| ?\d++| ?(?:[^\s\w]|_)++|\s+(?!\S)|\s+")
 #: Letters whose classes are the same here and in the library; texts with others are cut by the library, whose Unicode tables are older.
 SETTLED = re.compile("[\0-\x1b -\xb1\xb4-\xb8\xba\xbb\xbf-\u0530\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f320]*+")
-#: Letters of a text, or ids, that are worked on at a time.
-PIECE = 1 << 20
-#: No word goes on behind a letter that a space follows, so a long text can be cut here.
-SAFE = re.compile(r"[^\s\x1c-\x1f] [^\s\x1c-\x1f]")
 #: Words that a worker keeps; beyond that it starts anew.
 CACHE = 400_000
 #: Symbols in a flat array; a longer word has one of its own.

@@ -93,9 +93,9 @@ def text_blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int
         a = b
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word (no ASCII white space), and its row."""
-    inside = ~_SPACE[data]
+def find_words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word (no gaps in it: by default no ASCII white space), and its row."""
+    inside = ~gaps[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     first = inside.copy()
