@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ SAMPLE = 4000
 #: Parts of a full-length suffix that is hot itself.
 SALTS = 16
 #: Bytes of suffixes that are added up at a time, and text bytes from which they are made at a time.
-HELD, STEP = 48 << 20, 1 << 19
+HELD, STEP = 24 << 20, 1 << 19
 #: Rows that are counted at a time.
 ROWS = 1 << 16
 
@@ -123,25 +124,56 @@ def hot_prefixes(docs: DataFrame, longest: int) -> np.ndarray:
     return np.sort(hot.to_numpy(np.int64).view(U64))
 
 
-def suffixes(docs: DataFrame, hot: np.ndarray, longest: int) -> DataFrame:
-    """(key, lang, suffix, n, depth): suffixes added up by runs of texts; a phrase of less than depth words may lie under several keys."""
+def packed(values: pa.Array, counts: np.ndarray, depths: np.ndarray) -> bytes:
+    """Suffixes with their counts and depths, sorted nearly and compressed."""
+    _, offsets, data = values.buffers()
+    sizes = np.diff(np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1])
+    small = [x.astype(np.min_scalar_type(int(x.max()))) for x in (counts, sizes, depths)]
+    body = b"".join([bytes([x.itemsize]) + x.tobytes() for x in small] + [data])
+    return len(values).to_bytes(4, "little") + zstandard.ZstdCompressor(level=1).compress(body)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def unpacked(blob: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    n, body, at, out = int.from_bytes(blob[:4], "little"), zstandard.ZstdDecompressor().decompress(blob[4:]), 0, []
+    for _ in range(3):
+        out.append(np.frombuffer(body, f"<u{body[at]}", n, at + 1).astype(np.int64))
+        at += 1 + n * body[at]
+    counts, sizes, depths = out
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(body[at:])]), counts, depths
+
+
+def suffixes(docs: DataFrame, hot: np.ndarray, longest: int, parts: int) -> DataFrame:
+    """(lang, suffix, n, depth), dealt out by language and first words: suffixes added up by runs of texts.
+
+    They travel compressed, one value for each run of texts and part. A phrase of
+    less than `depth` words may lie in several parts.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = 0
         for lang, texts in _by_lang(batches):
             own, held, size = lang_hash(lang), [], 0
 
             def flush() -> Iterator[pa.RecordBatch]:
                 values = pa.chunked_array([h[0] for h in held]).combine_chunks().dictionary_encode()
-                where = values.indices.to_numpy()
-                first = np.zeros(len(values.dictionary), np.int64)
+                where, values = values.indices.to_numpy(), values.dictionary
+                first = np.zeros(len(values), np.int64)
                 first[where[::-1]] = np.arange(len(where))[::-1]
                 keys, depths = (np.concatenate([h[i] for h in held])[first] for i in (1, 2))
-                salted = depths > longest
-                keys[salted] += U64(salt % SALTS)
-                counts = np.bincount(where, minlength=len(first))
-                out = [pa.array(keys.view(np.int64)), pa.array([lang] * len(first), pa.string()), values.dictionary.cast(pa.binary()), pa.array(counts, pa.int64()), pa.array(depths.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(out, ["key", "lang", "suffix", "n", "depth"])
+                keys = keys + U64(salt % SALTS) * (depths > longest).astype(U64)
+                counts, part = np.bincount(where, minlength=len(first)), (keys % U64(parts)).astype(np.int64)
+                _, offsets, data = values.buffers()
+                data, at = np.append(np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)), np.frombuffer(offsets, np.int64)[: len(values)]
+                order = np.lexsort((np.ascontiguousarray(data[at[:, None] + np.arange(8)]).view(">u8")[:, 0], part))
+                values, counts, depths, part = values.take(pa.array(order)), counts[order], depths[order], part[order]
+                begins = np.flatnonzero(np.diff(part, prepend=-1))
+                blobs = []
+                for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(part)], strict=True):
+                    piece = pa.concat_arrays([values.slice(a, b - a)])
+                    blobs.append(packed(piece, counts[a:b], depths[a:b]))
+                out = [pa.array(part[begins].astype(np.int32)), pa.array([lang] * len(begins), pa.string()), pa.array(blobs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(out, ["part", "lang", "blob"])
 
             for _, _, data, offsets in text_blocks(texts, STEP):
                 s = Suffixes(data, offsets, longest)
@@ -170,7 +202,14 @@ def suffixes(docs: DataFrame, hot: np.ndarray, longest: int) -> DataFrame:
                 yield from flush()
                 salt += 1
 
-    return _texts(docs).mapInArrow(run, "key long, lang string, suffix binary, n long, depth int")
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, blob in zip(batch.column(0), batch.column(1), strict=True):
+                values, counts, depths = unpacked(blob.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(values), pa.string()), values, pa.array(counts), pa.array(depths.astype(np.int32))], ["lang", "suffix", "n", "depth"])
+
+    dealt = _texts(docs).mapInArrow(pack, "part int, lang string, blob binary").repartitionById(parts, "part")
+    return dealt.select("lang", "blob").mapInArrow(unpack, "lang string, suffix binary, n long, depth int")
 
 
 def same_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -273,8 +312,9 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = 100) -> DataFrame:
     """(lang, size, phrase, n): phrases of 1 to `longest` words found `least` times or more, and with size 0 each language's words; written as a table."""
-    parts = suffixes(docs, hot_prefixes(docs, longest), longest).repartition("key").sortWithinPartitions(F.desc("lang"), F.desc("suffix"))
-    counted = parts.select("lang", "suffix", "n", "depth").mapInArrow(lambda b: count_sorted(b, longest, least), "lang string, size int, phrase string, n long")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = suffixes(docs, hot_prefixes(docs, longest), longest, parts).sortWithinPartitions(F.desc("lang"), F.desc("suffix"))
+    counted = ordered.mapInArrow(lambda b: count_sorted(b, longest, least), "lang string, size int, phrase string, n long")
     added = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return materialise(added.filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases")
 
