@@ -21,10 +21,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import text_blocks
 from .tokens import _byte_letters
 
 #: The byte-level pre-tokenizer's pattern, for letters within SETTLED. Contractions are its fixed values.
@@ -32,7 +34,7 @@ WORDS = re.compile(r" ?[^\W\d_]++|'(?:[stmd]|re|ve|ll)| ?\d++| ?(?:[^\s\w]|_)++|
 #: Letters whose classes are the same here and in the library; texts with others are cut by the library, whose Unicode tables are older.
 SETTLED = re.compile("[\0-\x1b -\xb1\xb4-\xb8\xba\xbb\xbf-\u0530\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f320]*+")
 #: Words that a worker keeps; beyond that it starts anew.
-CACHE = 400_000
+CACHE = 250_000
 #: Symbols in a flat array; a longer word has one of its own.
 SYMBOLS = 1 << 20
 #: Letters of a text, or ids, that are worked on at a time.
@@ -50,7 +52,7 @@ class ByteCoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, split = spec["model"], spec["pre_tokenizer"]
-        self.cutter = Tokenizer.from_file(path).pre_tokenizer
+        self.path, self.cutter = path, None
         odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
         if odd or spec["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"]:
             raise ValueError("a byte-level vocabulary without normaliser, prefix space or word ends is needed")
@@ -162,6 +164,8 @@ class ByteCoder:
     def words(self, part: str) -> list[str]:
         if SETTLED.fullmatch(part):
             return WORDS.findall(part)
+        if self.cutter is None:
+            self.cutter = Tokenizer.from_file(self.path).pre_tokenizer
         return [part[a:b] for _, (a, b) in self.cutter.pre_tokenize_str(part)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -209,32 +213,46 @@ def coder(path: str) -> ByteCoder:
     return ByteCoder(path)
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(vocabulary)
-        for batch in batches:
-            coded = own.encode([t or "" for t in batch.column(1).to_pylist()])
+def _encoded(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id and ids of doc_id and text, about PIECE bytes of text at a time."""
+    own = coder(vocabulary)
+    for batch in batches:
+        for a, b, _, _ in text_blocks(batch.column(1), PIECE):
+            coded = own.encode([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
             ends = np.cumsum([0, *map(len, coded)]) // 4
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids], ["doc_id", "ids"])
+
+
+def _decoded(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids and text of doc_id and ids, about PIECE ids at a time."""
+    own = coder(vocabulary)
+    for batch in batches:
+        ids, ends = batch.column(1), np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy())
+        a = 0
+        while a < len(batch):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PIECE, "right")))
+            texts = [own.decode(i.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") if i.is_valid else "" for i in ids.slice(a, b - a)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids.slice(a, b - a), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            a = b
+
 
+def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """doc_id and ids (array of int) of every text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(lambda batches: _encoded(vocabulary, batches), f"doc_id {kind}, ids array<int>")
 
 
 def decode(coded: DataFrame, vocabulary: str) -> DataFrame:
     """coded with the text behind its ids, special tokens included; bytes that aren't UTF-8 become the replacement character. Null ids count as none."""
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    return coded.select("doc_id", "ids").mapInArrow(lambda batches: _decoded(vocabulary, batches), f"doc_id {kind}, ids array<int>, text string")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(vocabulary)
-        for batch in batches:
-            texts = [own.decode(ids.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") if ids.is_valid else "" for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+def round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """decode(encode(docs)) in one pass of a worker."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(lambda batches: _decoded(vocabulary, _encoded(vocabulary, batches)), f"doc_id {kind}, ids array<int>, text string")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

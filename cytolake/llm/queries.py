@@ -103,10 +103,9 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by a byte-level vocabulary and the text behind them, as counts and hashes."""
     import public_tokenizers
 
-    from .bpe import decode, digests, encode
+    from .bpe import digests, round_trip
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return digests(decode(encode(documents(spark, sf_dir), path), path))
+    return digests(round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
