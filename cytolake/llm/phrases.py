@@ -31,11 +31,11 @@ LONGEST = 5
 #: A phrase with more than this share of the sampled suffixes is dealt out by its next word.
 HOT_SHARE = 1 / 2000
 #: About so many documents are looked at for such phrases.
-SAMPLE = 4000
+SAMPLE = 1000
 #: Parts of a full-length suffix that is hot itself.
 SALTS = 16
 #: Bytes of suffixes that are added up at a time, and text bytes from which they are made at a time.
-HELD, STEP = 24 << 20, 1 << 19
+HELD, STEP = 8 << 20, 1 << 19
 #: Rows that are counted at a time.
 ROWS = 1 << 16
 
@@ -82,6 +82,22 @@ class Suffixes:
             hashes.append(mix(total + U64(k)))
         self.hashes = hashes
 
+    def keys(self, lang: np.uint64, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The key of each suffix, and how many words it stands for: the first, and the next as long as the phrase so far is hot; longest + 1 where the whole suffix is."""
+        n, longest = len(self.left), len(self.hashes)
+        depth, key = np.ones(n, np.int32), mix(self.hashes[0] ^ lang)
+        deeper = np.isin(key, hot)
+        for k in range(1, longest + 1):
+            depth[deeper] = k + 1
+            ended = deeper & (self.left <= k)
+            depth[ended] = longest + 1
+            deeper &= ~ended
+            if k == longest or not deeper.any():
+                break
+            key = np.where(deeper, mix(self.hashes[k] ^ lang), key)
+            deeper &= np.isin(key, hot)
+        return key, depth
+
     def bytes(self, a: int, b: int) -> pa.Array:
         return slices(self.joined, self.at[a:b], self.at[np.arange(a, b) + self.left[a:b]])
 
@@ -93,10 +109,11 @@ def lang_hash(lang: str) -> np.uint64:
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
     for batch in batches:
-        codes = batch.column(0).dictionary_encode()
-        which = codes.indices.to_numpy(zero_copy_only=False)
-        for i, lang in enumerate(codes.dictionary.to_pylist()):
-            yield lang, batch.column(1).filter(pa.array(which == i))
+        for a, b, _, _ in text_blocks(batch.column(1)):
+            codes, texts = batch.column(0).slice(a, b - a).dictionary_encode(), batch.column(1).slice(a, b - a)
+            which = codes.indices.to_numpy(zero_copy_only=False)
+            for i, lang in enumerate(codes.dictionary.to_pylist()):
+                yield lang, texts.filter(pa.array(which == i))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -150,57 +167,41 @@ def suffixes(docs: DataFrame, hot: np.ndarray, longest: int, parts: int) -> Data
     less than `depth` words may lie in several parts.
     """
 
+    def blobs(lang: str, held: list, salt: int) -> pa.RecordBatch:
+        values = pa.chunked_array([h[0] for h in held]).combine_chunks().dictionary_encode()
+        where, values = values.indices.to_numpy(), values.dictionary
+        first = np.zeros(len(values), np.int64)
+        first[where[::-1]] = np.arange(len(where))[::-1]
+        keys, depths = (np.concatenate([h[i] for h in held])[first] for i in (1, 2))
+        keys = keys + U64(salt % SALTS) * (depths > longest).astype(U64)
+        counts, part = np.bincount(where, minlength=len(first)), (keys % U64(parts)).astype(np.int64)
+        _, offsets, data = values.buffers()
+        data, at = np.append(np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)), np.frombuffer(offsets, np.int64)[: len(values)]
+        order = np.lexsort((np.ascontiguousarray(data[at[:, None] + np.arange(8)]).view(">u8")[:, 0], part))
+        values, counts, depths, part = values.take(pa.array(order)), counts[order], depths[order], part[order]
+        begins = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = [*begins[1:].tolist(), len(part)]
+        made = [packed(pa.concat_arrays([values.slice(a, b - a)]), counts[a:b], depths[a:b]) for a, b in zip(begins.tolist(), ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(part[begins].astype(np.int32)), pa.array([lang] * len(begins), pa.string()), pa.array(made, pa.binary())], ["part", "lang", "blob"])
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = 0
+        held: dict[str, list] = {}
+        salt, size = 0, 0
         for lang, texts in _by_lang(batches):
-            own, held, size = lang_hash(lang), [], 0
-
-            def flush() -> Iterator[pa.RecordBatch]:
-                values = pa.chunked_array([h[0] for h in held]).combine_chunks().dictionary_encode()
-                where, values = values.indices.to_numpy(), values.dictionary
-                first = np.zeros(len(values), np.int64)
-                first[where[::-1]] = np.arange(len(where))[::-1]
-                keys, depths = (np.concatenate([h[i] for h in held])[first] for i in (1, 2))
-                keys = keys + U64(salt % SALTS) * (depths > longest).astype(U64)
-                counts, part = np.bincount(where, minlength=len(first)), (keys % U64(parts)).astype(np.int64)
-                _, offsets, data = values.buffers()
-                data, at = np.append(np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)), np.frombuffer(offsets, np.int64)[: len(values)]
-                order = np.lexsort((np.ascontiguousarray(data[at[:, None] + np.arange(8)]).view(">u8")[:, 0], part))
-                values, counts, depths, part = values.take(pa.array(order)), counts[order], depths[order], part[order]
-                begins = np.flatnonzero(np.diff(part, prepend=-1))
-                blobs = []
-                for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(part)], strict=True):
-                    piece = pa.concat_arrays([values.slice(a, b - a)])
-                    blobs.append(packed(piece, counts[a:b], depths[a:b]))
-                out = [pa.array(part[begins].astype(np.int32)), pa.array([lang] * len(begins), pa.string()), pa.array(blobs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(out, ["part", "lang", "blob"])
-
             for _, _, data, offsets in text_blocks(texts, STEP):
                 s = Suffixes(data, offsets, longest)
-                n = len(s.left)
-                depth, key = np.ones(n, np.int32), mix(s.hashes[0] ^ own) if n else np.zeros(0, U64)
-                deeper = np.isin(key, hot)
-                for k in range(1, longest + 1):
-                    depth[deeper] = k + 1
-                    if k == longest or not deeper.any():
-                        break
-                    # a suffix that ends here is salted as it is
-                    ended = deeper & (s.left <= k)
-                    depth[ended] = longest + 1
-                    deeper &= ~ended
-                    key = np.where(deeper, mix(s.hashes[k] ^ own), key)
-                    deeper &= np.isin(key, hot)
-                for a in range(0, n, STEP >> 3):
-                    b = min(n, a + (STEP >> 3))
+                keys, depths = s.keys(lang_hash(lang), hot)
+                for a in range(0, len(keys), STEP >> 3):
+                    b = min(len(keys), a + (STEP >> 3))
                     part = s.bytes(a, b)
-                    held.append((part, key[a:b], depth[a:b]))
+                    held.setdefault(lang, []).append((part, keys[a:b], depths[a:b]))
                     size += part.nbytes
                     if size > HELD:
-                        yield from flush()
-                        held, size, salt = [], 0, salt + 1
-            if held:
-                yield from flush()
-                salt += 1
+                        for name in list(held):
+                            yield blobs(name, held.pop(name), salt)
+                        size, salt = 0, salt + 1
+        for name in list(held):
+            yield blobs(name, held.pop(name), salt)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
