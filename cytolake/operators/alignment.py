@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from ..functions.sequence import base_quality, cigar_sum, limit_of, reverse_complement
+from ..sources.sequences import CHUNK, as_chunks, sequence_lengths
 from .intervals import numbered_islands
 from .sites import merge_palindromes, pileup
 
-CHUNK = 10_000
-
 
 def filter_reads(reads: DataFrame, mapq: int = 0, soft: str = "0.2", errors: str = "0.05", mismatches: str | None = None, gaps: str | None = None, multi: bool = False) -> DataFrame:
     """Mapped reads (flags 4, 512 and 1024 unset) of better quality than `mapq`, within the limits and, unless `multi`, with one place per mate."""
@@ -42,14 +41,6 @@ def best_alignments(hits: DataFrame, by: tuple[str, ...] = ("qname", "mate"), co
     return best.withColumn("n_best", F.count("*").over(w)).filter("n_best = 1").drop("n_best") if unique else best
 
 
-def chunk_reference(refs: DataFrame, size: int = CHUNK, overlap: int = 1000, before: int = 16) -> DataFrame:
-    """refs (ref, seq) as chunks (ref, chunk, chunk_start, bases) that reach `before` bases back and `overlap` on, so a read lies within one."""
-    n = F.greatest(F.lit(1), F.ceil(F.length("seq") / size)).cast("int")
-    rows = refs.withColumn("chunk", F.explode(F.sequence(F.lit(0), n - 1)))
-    start = F.greatest(F.col("chunk") * size - before, F.lit(0))
-    return rows.select("ref", F.col("chunk").cast("long").alias("chunk"), start.cast("long").alias("chunk_start"), F.substring("seq", start + 1, F.col("chunk") * size + size + overlap - start).alias("bases"))
-
-
 _PIECES = re.compile(r"(\d+)([MIDNSHP=X])")
 
 
@@ -194,8 +185,8 @@ def motif_starts(refs: DataFrame, motif: str, size: int = CHUNK) -> DataFrame:
     pieces whose lengths add up to the places.
     """
     motif = motif.upper()
-    chunks = chunk_reference(refs.filter(F.upper("seq").contains(motif)), size, len(motif) - 1, 0)
     bases = F.upper("bases")
+    chunks = as_chunks(refs, size, len(motif) - 1, 0).filter(bases.contains(motif))
     lengths = F.transform(F.split(bases, f"(?={motif})"), lambda x: F.length(x))
     pieces = chunks.select("ref", "chunk_start", bases.startswith(motif).alias("at_once"), F.posexplode(lengths).alias("k", "n"))
     at = F.coalesce(F.sum("n").over(W.partitionBy("ref", "chunk_start").orderBy("k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -227,10 +218,10 @@ def digest(refs: DataFrame, motif: str, cut: int, size: int = CHUNK) -> DataFram
     A fragment meets the chunks that it lies in, each of which gives its part.
     """
     cuts = motif_sites(refs, motif, cut, size).select("ref", F.col("start_pos").alias("at"))
-    bounds = cuts.union(refs.select("ref", F.lit(0).cast("long"))).union(refs.select("ref", F.length("seq").cast("long"))).distinct()
+    bounds = cuts.union(sequence_lengths(refs).select("ref", F.lit(0).cast("long"))).union(sequence_lengths(refs)).distinct()
     spans = bounds.withColumn("end_pos", F.lead("at").over(W.partitionBy("ref").orderBy("at"))).filter("end_pos > at")
     placed = spans.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("at") / size), F.floor((F.col("end_pos") - 1) / size))))
-    parts = placed.join(chunk_reference(refs, size, 0, 0), ["ref", "chunk"])
+    parts = placed.join(as_chunks(refs, size, 0, 0), ["ref", "chunk"])
     low, high = F.greatest("at", "chunk_start"), F.least(F.col("end_pos"), F.col("chunk_start") + size)
     piece = F.substring("bases", (low - F.col("chunk_start") + 1).cast("int"), (high - low).cast("int"))
     whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", piece.alias("piece")))), lambda x: x["piece"]), "")
@@ -243,7 +234,7 @@ def call_methylation(reads: DataFrame, refs: DataFrame, fixes: list[tuple[str, s
     Reads are scored against the unconverted reference, their calls lose filled-in
     bases (if there are rules) and low qualities, get context and strand, and are counted.
     """
-    chunks = chunk_reference(refs, size)
+    chunks = as_chunks(refs, size)
     calls = calls_of(rescore(reads, chunks, size), min_quality)
     if fixes:
         calls = drop_filled_ends(calls, filled_calls(reads, fix_places(refs, fixes)))

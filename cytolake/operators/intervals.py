@@ -69,17 +69,18 @@ def nearest_bounds(queries: DataFrame, features: DataFrame, by: list[str], size:
     left = queries.select(*by, F.col("start_pos").cast("long").alias("at"), none.alias("mark"), F.col("end_pos").cast("long").alias("other"), F.lit(1).alias("kind"))
     right = queries.select(*by, F.col("end_pos").cast("long").alias("at"), none.alias("mark"), F.col("start_pos").cast("long").alias("other"), F.lit(1).alias("kind"))
 
-    def nearest(line: DataFrame, agg, frame: tuple[int, int], order: list[Column], name: str) -> DataFrame:
+    def nearest(line: DataFrame, agg, towards, name: str) -> DataFrame:
+        # frames that grow are added to row by row; those that shrink would be computed anew for each row
+        frame, order = (W.unboundedPreceding, -1), [towards("at"), towards("kind")]
         rows = _blocks(line, by, "at", size)
         carried = rows.groupBy(*by, "block").agg(agg("mark").alias("own"))
-        whole = W.partitionBy(*by).orderBy("block").rowsBetween(*frame)
+        whole = W.partitionBy(*by).orderBy(towards("block")).rowsBetween(*frame)
         carried = carried.withColumn("carried", agg("own").over(whole)).drop("own")
         inside = agg("mark").over(W.partitionBy(*by, "block").orderBy(*order).rowsBetween(*frame))
         return rows.withColumn("inside", inside).filter("kind = 1").join(carried, [*by, "block"]).select(*by, "at", "other", F.coalesce("inside", "carried").alias(name))
 
-    before, after = (W.unboundedPreceding, -1), (1, W.unboundedFollowing)
-    lefts = nearest(left.unionByName(ends), F.max, before, [F.col("at"), F.col("kind")], "left_end").withColumnsRenamed({"at": "start_pos", "other": "end_pos"})
-    rights = nearest(right.unionByName(starts), F.min, after, [F.col("at"), F.col("kind")], "right_start").withColumnsRenamed({"at": "end_pos", "other": "start_pos"})
+    lefts = nearest(left.unionByName(ends), F.max, F.asc, "left_end").withColumnsRenamed({"at": "start_pos", "other": "end_pos"})
+    rights = nearest(right.unionByName(starts), F.min, F.desc, "right_start").withColumnsRenamed({"at": "end_pos", "other": "start_pos"})
     return lefts.join(rights, [*by, "start_pos", "end_pos"])
 
 
@@ -99,7 +100,7 @@ def nearest_join(queries: DataFrame, features: DataFrame, allow: int = 0, strand
     near = near.withColumn("dist", distance().cast("long")).filter(F.abs("dist") <= allow)
     if stranded:
         asked = asked.crossJoin(F.broadcast(features.select("strand").distinct()))  # two or three rows
-    bounds = nearest_bounds(asked, features, by).join(near.select(*key).distinct(), key, "left_anti")
+    bounds = nearest_bounds(asked.join(near.select(*key).distinct(), key, "left_anti"), features, by)
     to_left, to_right = F.col("start_pos") - F.col("left_end") + 1, F.col("right_start") - F.col("end_pos") + 1
     bounds = bounds.withColumn("reach", F.least(to_left, to_right))
     left = bounds.filter(to_left == F.col("reach")).select(*key, F.col("left_end").alias("f_end")).join(features, [*by, "f_end"])

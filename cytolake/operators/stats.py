@@ -52,9 +52,10 @@ def bh_adjust(tests: DataFrame, p: str = "p", missing: str = "one", by: tuple[st
     within = W.partitionBy(*key).orderBy("bh_p")
     ranked = counts.withColumn("upto", F.sum("n").over(within)).join(sizes, key)
     ranked = ranked.withColumn("raw", F.col("bh_p") * F.col("total") / (F.col("before") + F.col("upto")))
-    behind = F.min("least").over(W.partitionBy(*by).orderBy("part").rowsBetween(1, W.unboundedFollowing))
+    # from the largest p down, so that frames grow; one that shrinks is computed anew for each row
+    behind = F.min("least").over(W.partitionBy(*by).orderBy(F.desc("part")).rowsBetween(W.unboundedPreceding, -1))
     least = ranked.groupBy(*key).agg(F.min("raw").alias("least")).withColumn("behind", behind)
-    inside = F.min("raw").over(within.rowsBetween(0, W.unboundedFollowing))
+    inside = F.min("raw").over(W.partitionBy(*key).orderBy(F.desc("bh_p")).rowsBetween(W.unboundedPreceding, 0))
     adjusted = ranked.withColumn("inside", inside).join(least.select(*key, "behind"), key)
     adjusted = adjusted.select(*by, F.col("bh_p").alias(p), F.least(F.lit(1.0), "inside", F.coalesce("behind", F.lit(1.0))).alias("q"))
     return rows.join(adjusted, [*by, p], "left").select(*rows.columns, "q")

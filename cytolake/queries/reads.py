@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as sq
 from ..operators import alignment as al
 from ..plans.fixtures import calls, dna, reads, sites
+from ..sources.sequences import chunk_rows
 from .registry import query, r6
 from .sites import PCT
 
@@ -220,7 +221,7 @@ def laid(spark, sf):
 @query("p7_p12_read_calls", f"WITH {SPANS} SELECT qname, mode, count(*) AS n_calls, cast(sum(meth) as bigint) AS m, cast(sum(place) as bigint) AS places FROM called GROUP BY 1, 2")
 def p7(spark, sf):
     r, d = laid(spark, sf)
-    c = al.calls_of(al.rescore(r, al.chunk_reference(d)), 40)
+    c = al.calls_of(al.rescore(r, chunk_rows(d)), 40)
     return c.groupBy("qname", "mode").agg(F.count("*").alias("n_calls"), F.sum("meth").cast("long").alias("m"), F.sum("pos").alias("places"))
 
 

@@ -9,7 +9,7 @@ from cytolake.functions import sequence as sq
 from cytolake.operators import alignment as al
 from cytolake.operators import intervals as iv
 from cytolake.plans.batch import Settings, batch
-from cytolake.sources import catalogs, readers, writers
+from cytolake.sources import catalogs, readers, sequences, writers
 from cytolake.streaming.windows import arriving_sites
 
 
@@ -158,7 +158,7 @@ def test_reads_are_scored_as_base_by_base(spark):
         expected[f"r{k}"] = plain_score(mode, cigar, seq, genome[start:])
     table = spark.createDataFrame(reads, "qname string, mate int, mode string, flag int, ref string, pos long, cigar string, seq string, qual string")
     refs = spark.createDataFrame([("c", genome)], "ref string, seq string")
-    scored = al.rescore(table, al.chunk_reference(refs, 100, 200), 100)
+    scored = al.rescore(table, sequences.chunk_rows(refs, 100, 200), 100)
     assert {r["qname"]: (r["errors"], r["clip"], r["skip"], r["md"], r["ym"], r["yu"]) for r in scored.collect()} == expected
     for c in al.calls_of(scored).collect():  # the quality tells the place in the read
         read = reads[int(c["qname"][1:])]
