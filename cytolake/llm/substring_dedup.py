@@ -27,8 +27,9 @@ BEFORE, AFTER = RUN - 1, RUN - 1 + WORDS  # words around c that a passage of the
 AROUND = BEFORE + AFTER
 BLOCK = 14  # words of an exact part, see part_keys
 FLUSH = 80_000
-RECORD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("more", "<i4"), ("left", "u1"), ("right", "u1"), ("words", "u1", (AROUND,))])  # words: a byte of each word's hash, 0 outside the window
-LINK = np.dtype([("doc", "<i8"), ("start", "<i4"), ("end", "<i4"), ("kept", "<i8"), ("kept_start", "<i4")])
+#: tag: a hash of the row's text, as rows with the same id may hold different ones.
+RECORD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("tag", "<i4"), ("at", "<i4"), ("more", "<i4"), ("left", "u1"), ("right", "u1"), ("words", "u1", (AROUND,))])  # words: a byte of each word's hash, 0 outside the window
+LINK = np.dtype([("doc", "<i8"), ("tag", "<i4"), ("start", "<i4"), ("end", "<i4"), ("kept", "<i8"), ("kept_start", "<i4")])
 
 
 def sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
@@ -62,12 +63,13 @@ def bounds(places: np.ndarray, values: np.ndarray, starts: np.ndarray) -> tuple[
     return np.array(left), np.array(right)
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> np.ndarray:
+def windows(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, tags: np.ndarray | None = None) -> np.ndarray:
     """Records of all compact windows of a block of texts that have room for a passage."""
     starts, ends, rows = find_words(data, offsets)
     n = len(rows)
     if n < PASSAGE:
         return np.zeros(0, RECORD)
+    tags = np.zeros(len(docs), np.int32) if tags is None else tags
     words = hash_words(data, starts, ends)
     counts = np.bincount(rows, minlength=len(docs))
     first = np.cumsum(counts) - counts
@@ -90,7 +92,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> np.ndarr
         left, right = bounds(c, small[c], np.concatenate([[True], row[1:] != row[:-1]]) if len(c) else np.zeros(0, bool))
         left, right = np.maximum(left, first[row]), np.minimum(right, first[row] + counts[row] - WORDS)
         record = np.zeros(len(c), RECORD)
-        record["key"], record["doc"], record["at"] = value[c], docs[row], c - first[row]
+        record["key"], record["doc"], record["tag"], record["at"] = value[c], docs[row], tags[row], c - first[row]
         record["left"], record["right"] = np.minimum(c - left, BEFORE), np.minimum(right - c, RUN - 1)
         inside = (place >= -record["left"].astype(np.int64)[:, None]) & (place < record["right"].astype(np.int64)[:, None] + WORDS)
         record["words"] = codes[np.clip(c[:, None] + place, 0, n - 1)] * inside
@@ -105,11 +107,11 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def join_neighbours(records: np.ndarray) -> np.ndarray:
     """Of places with the same shingle that overlap each other, which stand in words that repeat on and on, the first and last alone; the first has `more` for how far the last is."""
-    records = records[np.lexsort((records["at"], records["key"], records["doc"]))]
+    records = records[np.lexsort((records["at"], records["key"], records["tag"], records["doc"]))]
     if not len(records):
         return records
     a, b = records[:-1], records[1:]
-    joined = (a["key"] == b["key"]) & (a["doc"] == b["doc"]) & (b["at"] - a["at"] <= WORDS)
+    joined = (a["key"] == b["key"]) & (a["doc"] == b["doc"]) & (a["tag"] == b["tag"]) & (b["at"] - a["at"] <= WORDS)
     first = np.flatnonzero(np.concatenate([[True], ~joined]))
     last = np.concatenate([first[1:], [len(records)]]) - 1
     records["more"][first] = records["at"][last] - records["at"][first]
@@ -205,7 +207,7 @@ def link_pairs(records: np.ndarray, words: np.ndarray, a: np.ndarray, b: np.ndar
         found, start, end = compare(records[i], records[j], words[i], words[j], least)
         i, j = i[found], j[found]
         link = np.zeros(len(i), LINK)
-        link["doc"], link["kept"] = records["doc"][i], records["doc"][j]
+        link["doc"], link["tag"], link["kept"] = records["doc"][i], records["tag"][i], records["doc"][j]
         link["start"] = records["at"][i] + start[found]
         further = np.where(end[found] >= RUN - 2, records["more"][i], 0)
         link["end"] = records["at"][i] + np.maximum(end[found], further) + WORDS
@@ -234,7 +236,7 @@ def link_exact(records: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.n
         i = i[partner[i] >= 0]
         j = partner[i]
         link = np.zeros(len(i), LINK)
-        link["doc"], link["kept"] = records["doc"][i], records["doc"][j]
+        link["doc"], link["tag"], link["kept"] = records["doc"][i], records["tag"][i], records["doc"][j]
         link["start"], link["kept_start"] = records["at"][i] - (o - 1), records["at"][j] - (o - 1)
         link["end"] = records["at"][i] - since[i] + PASSAGE
         links.append(link)
@@ -294,7 +296,7 @@ def join_windows(records: np.ndarray, least: float) -> np.ndarray:
         before, own = records[at - 1 : at + 99_999], records[at : at + 100_000]
         before = before[: len(own)]
         twin[at : at + 100_000] = (before["doc"] == own["doc"]) & alike(before, own)
-    all_at, group_of = records["at"].copy(), np.cumsum(~twin) - 1  # twins follow their chief
+    all_at, all_tags, group_of = records["at"].copy(), records["tag"].copy(), np.cumsum(~twin) - 1  # twins follow their chief
     records = records[~twin]
     n_twins = np.bincount(group_of)
     chiefs = np.flatnonzero(~twin)
@@ -332,6 +334,7 @@ def join_windows(records: np.ndarray, least: float) -> np.ndarray:
     shift = all_at[which] - np.repeat(records["at"][i], times)
     out["start"] += shift
     out["end"] += shift
+    out["tag"] = all_tags[which]
     return out
 
 
@@ -349,15 +352,15 @@ def merge_same(records: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarra
     return records[keep], links
 
 
-NAMES = ["doc_id", "start_word", "end_word", "kept_doc_id", "kept_start", "n_windows"]
+NAMES = ["doc_id", "tag", "start_word", "end_word", "kept_doc_id", "kept_start", "n_windows"]
 
 
 def merge_links(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a document that overlap or touch as one, with the smallest of their partners, and how many they were."""
+    """Links of a document's text that overlap or touch as one, with the smallest of their partners, and how many they were."""
     if not len(links):
         return links, np.zeros(0, np.int64)
-    links = links[np.lexsort((links["start"], links["doc"]))]
-    _, doc = np.unique(links["doc"], return_inverse=True)
+    links = links[np.lexsort((links["start"], links["tag"], links["doc"]))]
+    doc = np.cumsum(np.concatenate([[0], (links["doc"][1:] != links["doc"][:-1]) | (links["tag"][1:] != links["tag"][:-1])]))
     base = doc.astype(np.int64) << 32  # ends of a smaller document lie below all starts of a larger one
     reach = np.maximum.accumulate(base + links["end"])
     first = np.concatenate([[0], np.flatnonzero(base[1:] + links["start"][1:] > reach[:-1]) + 1])
@@ -370,19 +373,20 @@ def merge_links(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text", with_tag: bool = False) -> DataFrame:
     """doc_id, start_word, end_word, kept_doc_id, kept_start, n_windows: the words of a document in passages of 50 words or more that one of a smaller id has too.
 
     Words count from 0, the end is behind the last; passages that overlap or
     touch are one row. kept_doc_id is the smallest document with a part of it, which begins
     at word kept_start there; n_windows tells how many linked stretches it was merged from. doc_id must be an integer; rows without one are
     left out (they have no smaller id), rows with the same id count as one
-    document, and passages that repeat within a document aren't reported. Null,
+    document of several texts, each with its own passages (with_tag: tag tells
+    which, the hash() of the text), and passages that repeat within a document aren't reported. Null,
     empty and shorter texts give no row, an empty table none; whole texts are
     read, in blocks. Words are compared by a byte of their hash, so a passage may
     reach one word too far at 1 in 255 of its ends.
     """
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.hash(text).alias("tag")).filter("doc_id IS NOT NULL")
     n_buckets = 1 << min(24, max(5, (own.count() // 500).bit_length()))
     bits = n_buckets.bit_length() - 1
 
@@ -401,9 +405,9 @@ def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id
             return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], ["bucket", "kind", "data"])
 
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             for a, b, data, offsets in text_blocks(batch.column(1), 1 << 20):
-                held.append(windows(data, offsets, ids[a:b]))
+                held.append(windows(data, offsets, ids[a:b], tags[a:b]))
                 if sum(map(len, held)) >= FLUSH:
                     yield flush()
         if held:
@@ -421,34 +425,39 @@ def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id
     def meet(table: pa.Table) -> pa.Table:
         found = join_windows(of_shared_keys(parts(table, 0, RECORD)), least)
         links, n = merge_links(np.concatenate([parts(table, 1, LINK), found]))
-        return pa.table([pa.array(np.ascontiguousarray(links[c])) for c in ("doc", "start", "end", "kept", "kept_start")] + [pa.array(n, pa.int64())], NAMES)
+        return pa.table([pa.array(np.ascontiguousarray(links[c])) for c in ("doc", "tag", "start", "end", "kept", "kept_start")] + [pa.array(n, pa.int64())], NAMES)
 
-    schema = "doc_id long, start_word int, end_word int, kept_doc_id long, kept_start int, n_windows long"
+    schema = "doc_id long, tag int, start_word int, end_word int, kept_doc_id long, kept_start int, n_windows long"
     links = own.mapInArrow(emit, "bucket int, kind int, data binary").groupBy("bucket").applyInArrow(meet, schema)
-    by = W.partitionBy("doc_id").orderBy("start_word", "end_word")
+    by = W.partitionBy("doc_id", "tag").orderBy("start_word", "end_word")
     new = (F.col("start_word") > F.max("end_word").over(by.rowsBetween(W.unboundedPreceding, -1))).cast("int")
     islands = links.withColumn("new", F.coalesce(new, F.lit(0))).withColumn("island", F.sum("new").over(by))
     kept = F.min(F.struct("kept_doc_id", "kept_start"))
-    merged = islands.groupBy("doc_id", "island").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), kept.alias("kept"), F.sum("n_windows").alias("n_windows"))
-    return merged.select("doc_id", "start_word", "end_word", "kept.kept_doc_id", "kept.kept_start", "n_windows")
+    merged = islands.groupBy("doc_id", "tag", "island").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), kept.alias("kept"), F.sum("n_windows").alias("n_windows"))
+    return merged.select("doc_id", *(["tag"] if with_tag else []), "start_word", "end_word", "kept.kept_doc_id", "kept.kept_start", "n_windows")
 
 
 def cut_repeats(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """docs (doc_id, text and other columns) without the passages that a document of a smaller id has; n_chars, if there, follows.
 
     The spaces around a removed passage stay as they are. A document of which
-    no word is left goes; one that had no words stays.
+    no word is left goes; one that had no words stays, and so does a null text.
+    Rows with the same id and text are cut alike; of rows with the same id and
+    different texts each loses its own passages alone. Other columns may have any
+    name.
     """
-    spans = repeated_passages(docs, least).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start_word", "end_word"))).alias("cut_spans"))
-    joined = docs.join(spans.withColumnRenamed("doc_id", "cut_doc_id"), F.col("doc_id") == F.col("cut_doc_id"), "left").drop("cut_doc_id")
     names = docs.columns
+    spans = repeated_passages(docs, least, with_tag=True).groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set(F.struct("start_word", "end_word"))).alias("spans"))
+    spans = spans.select(F.struct("doc_id", "tag").alias("of"), "spans")
+    rows = docs.select(F.struct(*names).alias("doc"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tag")).alias("own"))
+    joined = rows.join(spans, F.col("own") == F.col("of"), "left").select("doc.*", F.col("spans").alias("_".join([*names, "spans"])))
     text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, sizes, keep = batch.column(text_at).to_pylist(), [], np.ones(batch.num_rows, bool)
             for i, spans in enumerate(batch.column(len(names)).to_pylist()):
-                if spans:
+                if spans and texts[i] is not None:
                     raw = np.frombuffer(texts[i].encode(), np.uint8)
                     starts, ends, _ = find_words(raw, np.array([0, len(raw)]))
                     parts, at, word = [], 0, 0

@@ -214,3 +214,21 @@ def test_bpe_digests(spark):
     assert bpe.round_trip(frame(spark, []), byte_vocabulary()).count() == 0
     nothing = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [r["text"] for r in bpe.decode(nothing, byte_vocabulary()).collect()] == ["", ""]
+
+
+def words_of(n, seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+
+
+def test_rows_of_one_id_are_cut_by_their_own_text(spark):
+    """A passage that a smaller id has goes from the row that holds it alone: not from rows of the same id with other, shorter, empty or null texts."""
+    from cytolake.llm.substring_dedup import cut_repeats
+
+    passage, own, short = words_of(80, 1), words_of(200, 2), "short text"
+    rows = [(1, passage), (2, passage + " tail"), (2, None), (2, ""), (2, short), (2, own), (2, passage + " tail"), (3, words_of(30, 4) + " " + passage + " " + words_of(30, 5)), (3, own + " more"), (None, passage), (None, None)]
+    docs = spark.createDataFrame([(i, t, -1, "x", "y", 5) for i, t in rows], "doc_id long, text string, n_chars int, doc string, spans string, tag int")
+    got = Counter((r["doc_id"], r["text"]) for r in cut_repeats(docs.repartition(4)).collect())
+    cut = [(1, passage), (2, "tail"), (2, None), (2, ""), (2, short), (2, own), (2, "tail"), (3, words_of(30, 4) + " " + words_of(30, 5)), (3, "more"), (None, passage), (None, None)]
+    assert Counter((i, " ".join(t.split()) if t else t) for i, t in got.elements()) == Counter(cut)
+    assert cut_repeats(docs.limit(0)).count() == 0
