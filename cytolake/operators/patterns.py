@@ -98,6 +98,56 @@ def spanning_intervals(calls: DataFrame, read_length: int) -> DataFrame:
     return spans.groupBy("ref", F.col("p").alias("start_pos"), F.col("q").alias("end_pos")).agg(F.count("*").alias("n_reads"))
 
 
+def interval_patterns(calls: DataFrame, read_length: int, min_sites: int = 4, depth: int = 4, quality: int = 0, by: tuple[str, ...] = ("ref",)) -> DataFrame:
+    """Epiallele patterns of the intervals from a read's first site to a read's last, no longer than a read.
+
+    calls: read_id, pos, meth, `by` (reference, strand) and, if there is a
+    least `quality`, baseq; a call below it is none, though its place can still begin or
+    end a read. A site counts where `depth` reads or more are called; an interval needs
+    `min_sites` of them, and `depth` reads called at both of its ends. Those are its
+    reads: they give the number of sites with more than one state (n_changed) and,
+    with `min_sites` calls or more, the patterns (a character a site, '-' for none).
+
+    Reads alike in all calls are one row with a count, met by the intervals that
+    begin at one of their sites; sites come as an array for each stretch of a
+    read's length, so neither reads nor sites are spread over intervals.
+    """
+    keys, state = list(by), F.max("meth")
+    if quality:
+        state = F.max(F.when(F.col("baseq") >= quality, F.col("meth")))
+    marks = calls.groupBy(*keys, "read_id", "pos").agg(state.cast("string").alias("state"))
+    reads = marks.groupBy(*keys, "read_id").agg(F.sort_array(F.collect_list(F.struct("pos", "state"))).alias("marks"))
+    alike = reads.groupBy(*keys, "marks").agg(F.count("*").alias("n"))
+
+    lows, highs = (alike.select(*keys, F.element_at("marks", i)["pos"].alias("p")).distinct() for i in (1, -1))
+    block = F.floor(F.col("p") / read_length)
+    pairs = lows.withColumn("block", F.explode(F.array(block, block + 1))).join(highs.select(*keys, F.col("p").alias("q"), block.alias("block")), [*keys, "block"])
+    pairs = pairs.filter((F.col("p") < F.col("q")) & (F.col("q") <= F.col("p") + read_length)).drop("block")
+
+    sites = marks.groupBy(*keys, "pos").agg(F.count("state").alias("n_calls"), F.avg(F.col("state").cast("double")).alias("level")).filter(F.col("n_calls") >= depth)
+    stretch = sites.groupBy(*keys, F.floor(F.col("pos") / read_length).alias("block")).agg(F.collect_list(F.struct("pos", "level")).alias("sites"))
+    spread = pairs.withColumn("block", F.explode(F.sequence(F.floor(F.col("p") / read_length), F.floor(F.col("q") / read_length))))
+    held = spread.join(stretch, [*keys, "block"]).groupBy(*keys, "p", "q").agg(F.flatten(F.collect_list("sites")).alias("sites"))
+    held = held.withColumn("sites", F.sort_array(F.filter("sites", lambda x: (x["pos"] >= F.col("p")) & (x["pos"] <= F.col("q"))))).filter(F.size("sites") >= min_sites)
+    level = F.aggregate("sites", F.lit(0.0), lambda acc, x: acc + x["level"]) / F.size("sites")
+    held = held.select(*keys, "p", "q", F.transform("sites", lambda x: x["pos"]).alias("places"), level.alias("level"))
+
+    known = F.map_from_entries(F.filter("marks", lambda m: m["state"].isNotNull()))
+    called = alike.select(*keys, known.alias("known"), "n").select(*keys, F.explode(F.map_keys("known")).alias("p"), "known", "n")
+    met = held.join(called, [*keys, "p"]).filter(F.map_contains_key("known", F.col("q")))
+    pattern = F.array_join(F.transform("places", lambda x: F.coalesce(F.element_at("known", x), F.lit("-"))), "")
+    interval = [*keys, "p", "q"]
+    counts = met.withColumn("pattern", pattern).groupBy(*interval, "pattern").agg(F.sum("n").alias("n"), F.first("places").alias("places"), F.first("level").alias("level"))
+    out = counts.groupBy(*interval).agg(F.first(F.size("places")).alias("n_sites"), F.first("level").alias("level"), F.sum("n").alias("n_spanning"), F.sort_array(F.collect_list(F.struct("pattern", "n"))).alias("all"))
+    valid = F.filter("all", lambda x: F.length(F.replace(x["pattern"], F.lit("-"), F.lit(""))) >= min_sites)
+    states = lambda i: F.array_remove(F.array_distinct(F.transform("all", lambda x: F.substring(x["pattern"], i, F.lit(1)))), "-")
+    changed = F.size(F.filter(F.sequence(F.lit(1), F.col("n_sites")), lambda i: F.size(states(i)) > 1))
+    out = out.filter(F.col("n_spanning") >= depth).withColumns({"valid": valid, "n_changed": changed}).filter("size(valid) > 0")
+    total = F.aggregate("valid", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    text = F.array_join(F.transform("valid", lambda x: F.concat(x["pattern"], F.lit("="), x["n"].cast("string"))), ":")
+    return out.select(*keys, F.col("p").alias("start_pos"), F.col("q").alias("end_pos"), "n_sites", "level", total.alias("n_reads"), F.size("valid").alias("n_patterns"), "n_changed", text.alias("patterns"))
+
+
 def read_levels(calls: DataFrame) -> DataFrame:
     """Per read: span, called and methylated sites and their share."""
     out = calls.groupBy("read_id", "ref").agg(F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("n_sites"), F.sum("meth").cast("long").alias("m"))

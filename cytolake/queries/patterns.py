@@ -81,6 +81,24 @@ def w4(spark, sf):
     return pt.spanning_intervals(calls(spark, sf), 100)
 
 
+@query("e7_interval_patterns", """
+    WITH marks AS (SELECT ref, read_id, pos, CASE WHEN baseq >= 5 THEN meth END AS state FROM calls),
+    e AS (SELECT ref, read_id, min(pos) AS lo, max(pos) AS hi FROM marks GROUP BY 1, 2),
+    places AS (SELECT ref, pos, avg(cast(state AS double)) AS level FROM marks GROUP BY 1, 2 HAVING count(state) >= 4),
+    pairs AS (SELECT a.ref, lo AS p, hi AS q FROM (SELECT DISTINCT ref, lo FROM e) a JOIN (SELECT DISTINCT ref, hi FROM e) b ON a.ref = b.ref AND lo < hi AND hi <= lo + 100),
+    held AS (SELECT i.ref, p, q, count(*) AS n_sites, avg(level) AS level FROM pairs i JOIN places s ON s.ref = i.ref AND pos BETWEEN p AND q GROUP BY 1, 2, 3 HAVING count(*) >= 3),
+    spanning AS (SELECT h.ref, p, q, x.read_id FROM held h JOIN marks x ON x.ref = h.ref AND x.pos = p AND x.state IS NOT NULL JOIN marks y ON y.ref = h.ref AND y.read_id = x.read_id AND y.pos = q AND y.state IS NOT NULL),
+    deep AS (SELECT ref, p, q FROM spanning GROUP BY 1, 2, 3 HAVING count(*) >= 4),
+    cells AS (SELECT ref, p, q, s.read_id, l.pos, m.state FROM spanning s JOIN deep USING (ref, p, q) JOIN places l USING (ref) LEFT JOIN marks m USING (ref, read_id, pos) WHERE l.pos BETWEEN p AND q),
+    turned AS (SELECT ref, p, q, count(*) FILTER (k > 1) AS n_changed FROM (SELECT ref, p, q, pos, count(DISTINCT state) AS k FROM cells GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
+    texts AS (SELECT ref, p, q, read_id, string_agg(coalesce(cast(state AS varchar), '-'), '' ORDER BY pos) AS pattern FROM cells GROUP BY 1, 2, 3, 4 HAVING count(state) >= 3),
+    found AS (SELECT ref, p, q, pattern, count(*) AS n FROM texts GROUP BY 1, 2, 3, 4)
+    SELECT ref, p AS start_pos, q AS end_pos, n_sites, round(level, 6) AS level, cast(sum(n) AS bigint) AS n_reads, cast(count(*) AS integer) AS n_patterns, cast(n_changed AS integer) AS n_changed, string_agg(pattern || '=' || n, ':' ORDER BY pattern) AS patterns
+    FROM found JOIN turned USING (ref, p, q) JOIN held USING (ref, p, q) GROUP BY ref, p, q, n_sites, level, n_changed""")
+def e7(spark, sf):
+    return pt.interval_patterns(calls(spark, sf), 100, min_sites=3, quality=5).withColumn("level", r6("level"))
+
+
 @query("a9_read_levels", "SELECT read_id, ref, min(pos) AS start_pos, max(pos) AS end_pos, count(*) AS n_sites, cast(sum(meth) as bigint) AS m, round(cast(sum(meth) as double) / count(*), 6) AS level FROM calls GROUP BY 1, 2")
 def a9(spark, sf):
     return pt.read_levels(calls(spark, sf)).withColumn("level", r6("level"))
