@@ -35,9 +35,9 @@ SAMPLE = 1000
 #: Parts of a full-length suffix that is hot itself.
 SALTS = 16
 #: Bytes of suffixes that are added up at a time, and text bytes from which they are made at a time.
-HELD, STEP = 8 << 20, 1 << 19
+HELD, STEP = 4 << 20, 1 << 18
 #: Rows that are counted at a time.
-ROWS = 1 << 16
+ROWS = 1 << 15
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -109,7 +109,7 @@ def lang_hash(lang: str) -> np.uint64:
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
     for batch in batches:
-        for a, b, _, _ in text_blocks(batch.column(1)):
+        for a, b, _, _ in text_blocks(batch.column(1), 4 * STEP):
             codes, texts = batch.column(0).slice(a, b - a).dictionary_encode(), batch.column(1).slice(a, b - a)
             which = codes.indices.to_numpy(zero_copy_only=False)
             for i, lang in enumerate(codes.dictionary.to_pylist()):
@@ -202,12 +202,14 @@ def suffixes(docs: DataFrame, hot: np.ndarray, longest: int, parts: int) -> Data
                         size, salt = 0, salt + 1
         for name in list(held):
             yield blobs(name, held.pop(name), salt)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, blob in zip(batch.column(0), batch.column(1), strict=True):
                 values, counts, depths = unpacked(blob.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(values), pa.string()), values, pa.array(counts), pa.array(depths.astype(np.int32))], ["lang", "suffix", "n", "depth"])
+        pa.default_memory_pool().release_unused()
 
     dealt = _texts(docs).mapInArrow(pack, "part int, lang string, blob binary").repartitionById(parts, "part")
     return dealt.select("lang", "blob").mapInArrow(unpack, "lang string, suffix binary, n long, depth int")
@@ -296,6 +298,7 @@ def count_sorted(batches: Iterator[pa.RecordBatch], longest: int, least: int) ->
         last = (langs[-1].as_py(), suffix[-1].as_py())
     for k in range(longest + 1):
         yield from rows([stack[k]] if stack[k] else [], k)
+    pa.default_memory_pool().release_unused()
 
 
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
