@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import patterns as pt
+from ..operators import smoothing as sm
 from ..plans.fixtures import calls, sites
+from ..plans.tables import stored
 from .registry import query, r6
 
 #: Patterns of reads per window of 200, as SQL over `calls`.
@@ -175,3 +177,28 @@ def m8t(spark, sf):
 def m8r(spark, sf):
     out = pt.differing_regions(tested(spark, sf), 1.5, 2000, 2, 0.05)
     return out.withColumns({"mean_diff": F.round("mean_diff", 5), "area_t": F.round("area_t", 3)})
+
+
+F_SIDE, O_SIDE = ["af", "nf", "rf"], ["ao", "no", "ro"]
+
+
+@query("m8_local_levels")
+def m8_local(spark, sf):
+    return sm.local_levels(sites(spark, sf), 20, 1000).withColumn("smoothed", r6("smoothed"))
+
+
+@query("m8_local_t", f"""
+    WITH {SMOOTHED}, r AS (SELECT ref, start_pos, m1, m2, sqrt(v2) AS raw FROM g),
+    q AS (SELECT ref, quantile_disc(raw, 0.75) AS least, quantile_disc(raw, 0.5) AS mid FROM r GROUP BY 1),
+    d AS (SELECT ref, start_pos, m1 - m2 AS diff, (sum(greatest(raw, least)) OVER w + (101 - count(*) OVER w) * mid) / 101 AS sd FROM r JOIN q USING (ref) WINDOW w AS (PARTITION BY ref ORDER BY start_pos ROWS BETWEEN 50 PRECEDING AND 50 FOLLOWING))
+    SELECT ref, start_pos, round(diff, 6) AS diff, round(sd, 6) AS sd, round(diff / (sd * sqrt(1 / 3.0 + 1 / 3.0)), 4) AS t FROM d""")
+def m8_local_t(spark, sf):
+    out = sm.local_t(pt.smooth(sites(spark, sf), 1000), F_SIDE, O_SIDE, "group2", correct=False)
+    return out.select("ref", "start_pos", r6("diff"), r6("sd"), F.round("t", 4).alias("t"))
+
+
+@query("m8_local_regions")
+def m8_local_regions(spark, sf):
+    tested = sm.local_t(sm.local_levels(sites(spark, sf), 20, 1000), F_SIDE, O_SIDE, "paired")
+    out = pt.differing_regions(stored(tested, "tested"), 1.0, 2000, 2, 0.02)
+    return out.withColumns({"mean_diff": F.round("mean_diff", 5), "area_t": F.round("area_t", 3)})
