@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.tables import stored
+
 #: What a letter of the priority string stands for (fixed values).
 LETTERS = {"U": ["upstream"], "5": ["5UTR"], "3": ["3UTR"], "D": ["downstream"], "E": ["CDS", "exon"], "I": ["intron", "body"]}
 LAST = ["farup", "fardown", "intergenic", "none"]
@@ -185,20 +191,117 @@ def top_terms(terms: DataFrame, n: int, value: str = "p", label: str = "set_name
 
 
 def running_enrichment(ranked: DataFrame, sets: DataFrame) -> DataFrame:
-    """Largest deviation of the running sum of each set along ranked genes (gene, score), weighted by |score|: set_name, n, es.
+    """Largest deviation of the running sum of each set along ranked genes (gene, score), weighted by |score|: set_name, n, es."""
+    members = sets.join(ranked_genes(ranked), "gene")
+    return _enriched(members, ["set_name"], ranked.count()).withColumnRenamed("size", "n")
 
-    Genes are ranked in ranges of their score: a count per range, then order within it.
-    """
-    from .stats import ranges
 
-    parts, sizes = ranges(ranked.select("gene", "score"), "score", "gene", descending=True)
-    place = parts.join(F.broadcast(sizes), "part").select("gene", "score", (F.col("before") + F.row_number().over(W.partitionBy("part").orderBy(F.desc("score"), "gene"))).alias("at"))
-    total = ranked.count()
-    members = sets.join(place, "gene")
-    by = W.partitionBy("set_name")
+#: Genes up to which the scores go to every task of the draws (32 MB); beyond it draws are joined with them.
+SENT_GENES = 4_000_000
+#: Deviations on both sides that differ by less are the same, and the upper one counts.
+NOISE = 1e-12
+#: Draws that a task makes together.
+DRAWS = 50
+
+
+def drawn_ranks(seed: int, n: int, draw: int, total: int) -> np.ndarray:
+    """n distinct ranks (from 1, in order) of `total`, the same wherever they are drawn."""
+    return np.sort(np.random.default_rng([seed, n, draw]).choice(total, n, replace=False, shuffle=False)) + 1
+
+
+def drawn_score(at: np.ndarray, weights: np.ndarray, total: int) -> float:
+    """The enrichment score of a set that lies at these ranks, with these |score|."""
+    upto, all_of = np.cumsum(weights), weights.sum()
+    missed = (at - np.arange(1, len(at) + 1)) / (total - len(at))
+    hi, lo = (upto / all_of - missed).max(), ((upto - weights) / all_of - missed).min()
+    return float(hi if hi >= -lo - NOISE else lo)
+
+
+def _drawn(ranked: DataFrame, sizes: DataFrame, total: int, draws: int, seed: int) -> DataFrame:
+    """(n, draw, es) of `draws` random sets of each size. Sets of one size share them, as only their size matters."""
+    spark, schema = ranked.sparkSession, "n long, draw int, at long"
+    blocks = sizes.select("n", F.explode(F.sequence(F.lit(0), F.lit(draws - 1), F.lit(DRAWS))).alias("first")).repartition("n", "first")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+        for batch in batches:
+            for n, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for draw in range(first, min(first + DRAWS, draws)):
+                    yield n, draw, drawn_ranks(seed, n, draw, total)
+
+    if total <= SENT_GENES:
+        table = ranked.select("at", F.abs("score").alias("weight")).toPandas()
+        weights = np.zeros(total)
+        weights[table["at"].to_numpy() - 1] = table["weight"]
+        sent = spark.sparkContext.broadcast(weights)
+
+        def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for n, draw, at in each(batches):
+                yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "draw": pa.array([draw], pa.int32()), "es": [drawn_score(at, sent.value[at - 1], total)]})
+
+        return blocks.mapInArrow(scores, "n long, draw int, es double")
+
+    def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n, draw, at in each(batches):
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n] * n, pa.int64()), "draw": pa.array([draw] * n, pa.int32()), "at": pa.array(at, pa.int64())})
+
+    members = blocks.mapInArrow(ranks, schema).join(ranked.select("at", "score"), "at")
+    return _enriched(members, ["n", "draw"], total).select("n", "draw", "es")
+
+
+def _enriched(members: DataFrame, key: list[str], total: int) -> DataFrame:
+    """(key, n, es) of sets whose members have a rank `at` and a score."""
+    by = W.partitionBy(*key)
     order = by.orderBy("at")
-    rows = members.withColumns({"n": F.count("*").over(by), "weight": F.sum(F.abs("score")).over(by), "k": F.row_number().over(order), "upto": F.sum(F.abs("score")).over(order)})
-    missed = (F.col("at") - F.col("k")) / (total - F.col("n"))
+    rows = members.withColumns({"size": F.count("*").over(by), "weight": F.sum(F.abs("score")).over(by), "k": F.row_number().over(order), "upto": F.sum(F.abs("score")).over(order)})
+    missed = (F.col("at") - F.col("k")) / (total - F.col("size"))
     peak, dip = F.col("upto") / F.col("weight") - missed, (F.col("upto") - F.abs("score")) / F.col("weight") - missed
-    best = rows.groupBy("set_name", "n").agg(F.max(peak).alias("hi"), F.min(dip).alias("lo"))
-    return best.select("set_name", "n", F.when(F.col("hi") >= -F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("es"))
+    best = rows.groupBy(*key, "size").agg(F.max(peak).alias("hi"), F.min(dip).alias("lo"))
+    return best.select(*key, "size", F.when(F.col("hi") >= -F.col("lo") - NOISE, F.col("hi")).otherwise(F.col("lo")).alias("es"))
+
+
+def ranked_genes(ranked: DataFrame) -> DataFrame:
+    """ranked (gene, score) with `at`, the rank from 1 by falling score, ties by gene; counted in ranges of the score."""
+    from .stats import ranges
+
+    parts, sizes = ranges(ranked.select("gene", "score"), "score", "gene", descending=True)
+    return parts.join(sizes, "part").select("gene", "score", (F.col("before") + F.row_number().over(W.partitionBy("part").orderBy(F.desc("score"), "gene"))).alias("at"))
+
+
+def permuted_enrichment(ranked: DataFrame, sets: DataFrame, draws: int = 1000, seed: int = 1, least: int = 1, most: int = 500) -> DataFrame:
+    """Sets (set_name, gene) of `least` to `most` ranked genes along ranked (gene, score): set_name, n, es, nes, p, q.
+
+    es is the largest deviation of the running sum; random sets of the same size
+    give its chance p among draws of the same sign (null without any) and nes,
+    es over their mean. q is the share of random nes as far out or farther, each
+    size as often as it occurs, over the share of sets as far out, on the same side.
+    """
+    place = stored(ranked_genes(ranked), "ranked-genes")
+    total = place.count()
+    members = sets.select("set_name", "gene").distinct().join(place, "gene")
+    even = lambda scores: scores.withColumn("es", F.round("es", 12))  # so that ties are ties, however they were added up
+    found = stored(even(_enriched(members, ["set_name"], total)).withColumnRenamed("size", "n").filter(F.col("n").between(least, min(most, total - 1))), "sets")
+    side = F.when(F.col("es") >= 0, 1).otherwise(-1)
+    sizes = found.groupBy("n").agg(F.count("*").alias("times"))
+    drawn = stored(even(_drawn(place, sizes.select("n"), total, draws, seed)).withColumn("side", side), "draws")
+    of_size = drawn.groupBy("n", "side").agg(F.avg(F.abs("es")).alias("mean"), F.count("*").alias("n_drawn"), F.collect_list(F.abs("es")).alias("all"))
+    tested = found.withColumn("side", side).join(of_size, ["n", "side"], "left")
+    p = F.size(F.filter("all", lambda x: x >= F.abs("es"))) / F.col("n_drawn")
+    tested = stored(tested.select("set_name", "n", "es", "side", F.try_divide("es", "mean").alias("nes"), p.alias("p")), "tested-sets")
+    return _pooled_q(tested, drawn.join(of_size.select("n", "side", "mean"), ["n", "side"]).join(sizes, "n").select("side", F.abs(F.try_divide("es", "mean")).alias("far"), F.col("times").alias("weight")))
+
+
+def _pooled_q(tested: DataFrame, drawn: DataFrame) -> DataFrame:
+    """tested with q: shares of drawn and of tested as far out, from counts per range of distance and order within it."""
+    from .stats import ranges
+
+    both = stored(drawn.select("side", "far", "weight", F.lit(0).alias("one")).unionByName(tested.select("side", F.abs("nes").alias("far"), F.lit(0).cast("long").alias("weight"), F.lit(1).alias("one"))).filter("far IS NOT NULL"), "pooled")
+    parts, _ = ranges(both, "far", descending=True)
+    sums = parts.groupBy("side", "part").agg(F.sum("weight").alias("w"), F.sum("one").alias("o"))
+    line = W.partitionBy("side").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = {f"{c}_before": F.coalesce(F.sum(c).over(line), F.lit(0)) for c in "wo"} | {f"{c}_all": F.sum(c).over(W.partitionBy("side")) for c in "wo"}
+    inside = W.partitionBy("side", "part").orderBy(F.desc("far"))
+    rows = parts.groupBy("side", "part", "far").agg(F.sum("weight").alias("weight"), F.sum("one").alias("one"))
+    rows = rows.withColumns({"w_in": F.sum("weight").over(inside), "o_in": F.sum("one").over(inside)}).filter("one > 0").join(sums.withColumns(before), ["side", "part"])
+    share = lambda c: (F.col(f"{c}_before") + F.col(f"{c}_in")) / F.col(f"{c}_all")
+    q = rows.select("side", "far", F.least(F.lit(1.0), F.try_divide(share("w"), share("o"))).alias("q"))
+    return tested.withColumn("far", F.abs("nes")).join(q, ["side", "far"], "left").select("set_name", "n", "es", "nes", "p", "q")

@@ -158,6 +158,14 @@ def n8(spark, sf):
     return an.running_enrichment(ranked, f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene"))).withColumn("es", r6("es"))
 
 
+@query("n8_permuted_enrichment")
+def n8_permuted(spark, sf):
+    h, f = hits(spark, sf), features(spark, sf)
+    ranked = h.groupBy(F.col("feature_id").alias("gene")).agg((F.sum("score") - 500).cast("double").alias("score"))
+    out = an.permuted_enrichment(ranked, f.select(F.col("kind").alias("set_name"), F.col("feature_id").alias("gene")))
+    return out.select("set_name", "n", *(r6(c) for c in ("es", "nes", "p", "q")))
+
+
 @query("o5_o6_top_genes", f"WITH {HITS} SELECT gene, cast(sum(score) as bigint) AS total FROM hits GROUP BY 1 ORDER BY total DESC, gene LIMIT 20")
 def o5(spark, sf):
     return hits(spark, sf).groupBy("gene").agg(F.sum("score").alias("total")).orderBy(F.desc("total"), "gene").limit(20)
