@@ -50,6 +50,16 @@ def f_upper(f: np.ndarray, d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
     return beta_inc(d2 / 2, d1 / 2, d2 / (d2 + d1 * f))
 
 
+_FACTORIALS = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 256)))])
+
+
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    """Logarithm of n! of whole numbers: a short table, and Stirling's series beyond it."""
+    x = np.maximum(n, 256).astype(float)
+    series = x * np.log(x) - x + 0.5 * np.log(2 * np.pi * x) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return np.where(n < 256, _FACTORIALS[np.clip(n, 0, 255)], series)
+
+
 def gamma_upper(a: float, x: float) -> float:
     """Regularised upper incomplete gamma function."""
     if x <= 0:

@@ -160,7 +160,36 @@ def medoids(matrix: DataFrame, samples: list[str], k: int, candidates: int = 256
     return full.mapInArrow(around, "id string, cluster int, medoid string")
 
 
-def cluster_rows(matrix: DataFrame, samples: list[str], n: int, metric: str = "euclidean", most: int = 5000) -> DataFrame:
+def row_distances(x: np.ndarray, metric: str, power: float = 2) -> np.ndarray:
+    """Distances between the rows of a table: those of geometry, or 1 less a correlation. binary: of the columns in which one of two rows isn't 0, the share in which the other is."""
+    if metric == "kendall":
+        pairs = np.triu_indices(x.shape[1], 1)
+        x = np.sign(x[:, pairs[0]] - x[:, pairs[1]])
+    elif metric == "spearman":
+        x = pd.DataFrame(x).rank(axis=1).to_numpy()
+    if metric in ("pearson", "spearman", "kendall"):
+        x = x if metric == "kendall" else x - x.mean(1, keepdims=True)
+        size = np.sqrt((x * x).sum(1))
+        return 1 - (x @ x.T) / np.maximum(np.outer(size, size), 1e-300)
+    if metric == "binary":
+        on = (x != 0).astype(float)
+        both, one = on @ on.T, on.sum(1)
+        either = one[:, None] + one - both
+        return np.divide(either - both, either, out=np.zeros_like(either), where=either > 0)
+    out = np.zeros((len(x), len(x)))
+    for column in x.T:  # a column at a time, so memory is that of the result
+        gap = np.abs(column[:, None] - column)
+        if metric == "maximum":
+            out = np.maximum(out, gap)
+        elif metric == "canberra":
+            whole = np.abs(column[:, None] + column)
+            out += np.divide(gap, whole, out=np.zeros_like(gap), where=whole > 0)
+        else:
+            out += gap ** {"euclidean": 2, "manhattan": 1, "minkowski": power}[metric]
+    return out ** (1 / {"euclidean": 2, "minkowski": power}.get(metric, 1))
+
+
+def cluster_rows(matrix: DataFrame, samples: list[str], n: int, metric: str = "euclidean", most: int = 5000, method: str = "complete") -> DataFrame:
     """The n rows (id, samples) that vary most, in the order of their tree (place), as a heatmap has them.
 
     A tree needs all distances, so n is `most` at most; the rows are ranked in
@@ -173,15 +202,7 @@ def cluster_rows(matrix: DataFrame, samples: list[str], n: int, metric: str = "e
 
     def order(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
-        x = pdf[samples].to_numpy(float)
-        if metric == "pearson":
-            x = x - x.mean(1, keepdims=True)
-            size = np.sqrt((x * x).sum(1))
-            far = 1 - (x @ x.T) / np.maximum(np.outer(size, size), 1e-300)
-        else:
-            gap = np.abs(x[:, None] - x[None])
-            far = {"euclidean": lambda g: np.sqrt((g * g).sum(2)), "manhattan": lambda g: g.sum(2), "maximum": lambda g: g.max(2)}[metric](gap)
-        leaves, _ = linkage(far)
+        leaves, _ = linkage(row_distances(pdf[samples].to_numpy(float), metric), method)
         return pdf.iloc[leaves].assign(place=np.arange(len(pdf)))[["id", "place"]]
 
     placed = top.withColumn("tree", F.lit(0)).groupBy("tree").applyInPandas(order, "id string, place long")

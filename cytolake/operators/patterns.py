@@ -176,33 +176,49 @@ def pattern_distances(patterns: list[str]) -> np.ndarray:
     return np.divide(far, both, out=np.zeros_like(far), where=both > 0)
 
 
-def linkage(distance: np.ndarray) -> tuple[list[int], list[tuple[int, int, float]]]:
-    """Leaves in the order of the tree by complete linkage, and its merges (first item of either side, height).
-
-    A chain of nearest neighbours grows until two are each other's nearest, so
-    each merge costs a row of the matrix. Of equal ones the smaller number is nearer.
+#: How the distance of an item to two merged clusters follows from those to each (and theirs, with all sizes).
+LINKAGES = {
+    "complete": lambda x, y, xy, i, j, k: np.maximum(x, y),
+    "single": lambda x, y, xy, i, j, k: np.minimum(x, y),
+    "average": lambda x, y, xy, i, j, k: (i * x + j * y) / (i + j),
+    "mcquitty": lambda x, y, xy, i, j, k: (x + y) / 2,
+    "ward": lambda x, y, xy, i, j, k: ((i + k) * x + (j + k) * y - k * xy) / (i + j + k),
+    "ward2": lambda x, y, xy, i, j, k: np.sqrt(np.maximum(((i + k) * x**2 + (j + k) * y**2 - k * xy**2) / (i + j + k), 0)),
+    "median": lambda x, y, xy, i, j, k: (x + y) / 2 - xy / 4,
+    "centroid": lambda x, y, xy, i, j, k: (i * x + j * y) / (i + j) - i * j * xy / (i + j) ** 2,
+}
+
+
+def linkage(distance: np.ndarray, method: str = "complete") -> tuple[list[int], list[tuple[int, int, float]]]:
+    """Leaves in the order of the tree, and its merges (first item of either side, height) by height; those of median and centroid, whose heights may fall, as they come.
+
+    Every cluster keeps its nearest one, so a merge costs a row of the matrix,
+    and rows anew of those whose nearest was merged. Of equal ones the smaller number is nearer.
     """
-    n = len(distance)
+    n, joined = len(distance), LINKAGES[method]
     far = distance.astype(float).copy()
     np.fill_diagonal(far, np.inf)
-    members, alive, merges, chain = {i: [i] for i in range(n)}, np.ones(n, bool), [], []
-    while len(members) > 1:
-        if not chain:
-            chain.append(int(np.flatnonzero(alive)[0]))
-        i = chain[-1]
-        j = int(np.where(alive, far[i], np.inf).argmin())
-        if len(chain) > 1 and far[i, chain[-2]] <= far[i, j]:
-            j = chain[-2]
-        if len(chain) > 1 and j == chain[-2]:
-            a, b = min(i, j), max(i, j)
-            merges.append((a, b, float(far[a, b])))
-            members[a] += members.pop(b)
-            far[a] = far[:, a] = np.maximum(far[a], far[b])
-            far[a, a], alive[b] = np.inf, False
-            del chain[-2:]
-        else:
-            chain.append(j)
-    return [x for m in members.values() for x in m], merges
+    size, members, merges = np.ones(n), {i: [i] for i in range(n)}, []
+    near = far.argmin(1) if n else np.zeros(0, int)
+    least = far[np.arange(n), near]
+    for _ in range(n - 1):
+        i = int(least.argmin())
+        a, b = sorted((i, int(near[i])))
+        merges.append((a, b, float(far[a, b])))
+        members[a] += members.pop(b)
+        others = np.array([k for k in members if k != a], int)
+        far[a, others] = far[others, a] = joined(far[a, others], far[b, others], far[a, b], size[a], size[b], size[others])
+        size[a] += size[b]
+        far[b], far[:, b] = np.inf, np.inf
+        least[b] = np.inf
+        closer = others[(far[others, a] < least[others]) | (far[others, a] == least[others]) & (a < near[others])]
+        near[closer], least[closer] = a, far[closer, a]
+        lost = others[np.isin(near[others], (a, b)) & (far[others, a] != least[others])]
+        for k in (a, *lost.tolist(), *others[(near[others] == b)].tolist()):
+            near[k] = far[k].argmin()
+            least[k] = far[k, near[k]]
+    leaves = [x for m in members.values() for x in m]
+    return leaves, merges if method in ("median", "centroid") else sorted(merges, key=lambda m: m[2])
 
 
 def complete_linkage(distance: np.ndarray, cut: float) -> list[int]:
@@ -221,12 +237,59 @@ def complete_linkage(distance: np.ndarray, cut: float) -> list[int]:
     return [numbers[top(i)] for i in range(len(root))]
 
 
-def clones(patterns: DataFrame, cut: float = 0.5) -> DataFrame:
-    """Patterns of each window in clusters by complete linkage (ref, w_start, pattern, n, clone). A window's patterns number 2^sites at most."""
+#: Scatter of a cluster's core, as a share of the tree's height, up to which it is a cluster, by depth of splitting (fixed values).
+CORE_SCATTER = (0.64, 0.73, 0.82, 0.91, 0.95)
+
+
+def branch_cut(n: int, merges: list[tuple[int, int, float]], least: int = 2, depth: int = 1) -> list[int]:
+    """Cluster numbers from 1, by first item, of the branches of a tree of n items by their shape; 0 for items of no cluster.
+
+    Heights count from their 5th percentile up to 99 % of the way to the top. Where
+    two branches meet below that, each is a cluster of its own if both have `least` items or more,
+    a core (the items joined first) of little scatter, and a gap between that
+    scatter and the meeting; else they go on as one. A branch that meets parted
+    ones is a cluster on the same terms, or of none. A larger `depth` (0 to 4) parts more.
+    """
+    heights = [h for _, _, h in merges]
+    low, top = (float(np.quantile(heights, 0.05)), max(heights)) if heights else (0.0, 0.0)
+    cut = low + 0.99 * (top - low)
+    scatter, gap = CORE_SCATTER[depth], (1 - CORE_SCATTER[depth]) * 3 / 4
+    branch: dict[int, tuple[list[int], list[float]] | None] = {i: ([i], []) for i in range(n)}  # items and heights; None: parted
+    number, found = [0] * n, []
+
+    def stands(items: list[int], joins: list[float], at: float) -> bool:
+        if len(items) < least:
+            return False
+        base = least // 2 + 1
+        core = int(base + (len(items) - base) ** 0.5) if len(items) > base else len(items)
+        mean = float(np.mean(sorted(joins)[: max(core - 1, 1)]))
+        return mean <= low + scatter * (cut - low) and at - mean >= gap * (cut - low)
+
+    for a, b, h in merges:
+        if h > cut:
+            continue
+        sides = [branch[a], branch.pop(b)]
+        own = [x for x in sides if x is not None]
+        good = [x for x in own if stands(*x, h)]
+        if len(own) == 2 and len(good) < 2:
+            branch[a] = (own[0][0] + own[1][0], [*own[0][1], *own[1][1], h])
+        else:
+            found += [items for items, _ in good]
+            branch[a] = None
+    found += [x[0] for x in branch.values() if x is not None and stands(*x, cut)]
+    for k, items in enumerate(sorted(found, key=min), 1):
+        for i in items:
+            number[i] = k
+    return number
+
+
+def clones(patterns: DataFrame, cut: float | None = 0.5, least: int = 2, depth: int = 1) -> DataFrame:
+    """Patterns of each window in clusters by complete linkage (ref, w_start, pattern, n, clone), up to a height or, if `cut` is None, by the shape of branches (see branch_cut). A window's patterns number 2^sites at most."""
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pattern", ignore_index=True)
-        pdf["clone"] = complete_linkage(pattern_distances(pdf["pattern"].tolist()), cut)
+        far = pattern_distances(pdf["pattern"].tolist())
+        pdf["clone"] = branch_cut(len(far), linkage(far)[1], least, depth) if cut is None else complete_linkage(far, cut)
         return pdf[["ref", "w_start", "pattern", "n", "clone"]]
 
     return patterns.select(*WINDOW, "pattern", "n").groupBy(*WINDOW).applyInPandas(cluster, "ref string, w_start long, pattern string, n long, clone int")

@@ -87,11 +87,17 @@ def welch(rows: DataFrame, a: str, b: str, value: str = "pct", keys: tuple[str,
 
 
 def variance_ratio(rows: DataFrame, a: str, b: str, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Ratio of sample variances, degrees of freedom and two-sided p."""
-    both = two_groups(rows, a, b, value, keys).filter("n1 > 1 AND n2 > 1 AND var2 > 0")
-    out = both.withColumns({"f": F.col("var1") / F.col("var2"), "df1": F.col("n1") - 1, "df2": F.col("n2") - 1})
+    """Ratio of sample variances, degrees of freedom and two-sided p.
+
+    A variance below TINY squared is none. Without one in b the ratio is infinite
+    and p 0, even without one in a, whose first value then counts as moved by TINY.
+    """
+    none = lambda v: F.when(v < TINY**2, 0.0).otherwise(v)
+    both = two_groups(rows, a, b, value, keys).filter("n1 > 1 AND n2 > 1")
+    ratio = F.when(none(F.col("var2")) > 0, none(F.col("var1")) / F.col("var2")).otherwise(float("inf"))
+    out = both.withColumns({"f": ratio, "df1": F.col("n1") - 1, "df2": F.col("n2") - 1})
     upper = f_p(F.col("f"), F.col("df1"), F.col("df2"))
-    return out.withColumn("p", 2 * F.least(upper, 1 - upper))
+    return out.withColumn("p", F.when((F.col("f") == 0) | (F.col("f") == float("inf")), 0.0).otherwise(2 * F.least(upper, 1 - upper)))
 
 
 def anova(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -156,14 +162,39 @@ def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Serie
     return pd.Series(np.where((a + b > 0) & (c + d > 0), np.minimum(1.0, p), np.nan))
 
 
+@F.pandas_udf(DoubleType())
+def fisher_odds(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+    """Conditional estimate of the odds ratio of 2x2 tables: the one at which the mean of the first cell, its margins given, is what it is. 0 or infinite at the ends of its range; null without reads on a side or where the margins leave no choice."""
+    return pd.Series(conditional_odds(*(x.to_numpy(np.int64) for x in (a, b, c, d))))
+
+
+def conditional_odds(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """See fisher_odds. The mean grows with the odds, so its root is found by halving the range of their logarithm for all tables at once."""
+    low, high = np.maximum(0, a - d), np.minimum(a + b, a + c)
+    size = high - low + 1
+    begin = np.cumsum(size) - size
+    row = np.repeat(np.arange(len(a)), size)
+    k = np.arange(len(row)) - begin[row] + low[row]
+    base = -sum(special.log_factorial(x) for x in (k, (a + b)[row] - k, (a + c)[row] - k, (d - a)[row] + k))
+    left, right = np.full(len(a), -60.0), np.full(len(a), 60.0)
+    for _ in range(64 if len(row) else 0):
+        middle = (left + right) / 2
+        weight = base + k * middle[row]
+        weight = np.exp(weight - np.maximum.reduceat(weight, begin)[row])
+        mean = np.bincount(row, weight * k, len(a)) / np.bincount(row, weight, len(a))
+        left, right = np.where(mean < a, middle, left), np.where(mean < a, right, middle)
+    odds = np.where(a == low, 0.0, np.where(a == high, np.inf, np.exp((left + right) / 2)))
+    return np.where((a + b > 0) & (c + d > 0) & (low < high), odds, np.nan)
+
+
 def fisher_pairs(sites: DataFrame, a: str, b: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Every sample of group a against every one of b at each key: p and difference of levels."""
+    """Every sample of group a against every one of b at each key: p, conditional odds ratio and difference of levels."""
     long = sites.filter(F.col("grp").isin(a, b) & (F.col("cov") > 0)).select(*keys, "grp", "sample", "m", "cov")
     one = long.filter(F.col("grp") == a).select(*keys, F.col("sample").alias("s1"), F.col("m").alias("m1"), F.col("cov").alias("cov1"))
     two = long.filter(F.col("grp") == b).select(*keys, F.col("sample").alias("s2"), F.col("m").alias("m2"), F.col("cov").alias("cov2"))
     both = one.join(two, list(keys))
-    p = fisher_p(F.col("m1"), F.col("cov1") - F.col("m1"), F.col("m2"), F.col("cov2") - F.col("m2"))
-    return both.withColumns({"p": p, "diff": F.col("m1") / F.col("cov1") - F.col("m2") / F.col("cov2")})
+    cells = (F.col("m1"), F.col("cov1") - F.col("m1"), F.col("m2"), F.col("cov2") - F.col("m2"))
+    return both.withColumns({"p": fisher_p(*cells), "odds": fisher_odds(*cells), "diff": F.col("m1") / F.col("cov1") - F.col("m2") / F.col("cov2")})
 
 
 def fisher_groups(tests: DataFrame, cut: float = 0.05, least: float = 0.25, rule: str = "common", keys: tuple[str, ...] = KEYS) -> DataFrame:

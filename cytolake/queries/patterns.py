@@ -147,6 +147,11 @@ def e8(spark, sf):
     return pt.clones(patterns(spark, sf))
 
 
+@query("e8_dynamic_clones")
+def e8_dynamic(spark, sf):
+    return pt.clones(patterns(spark, sf), None)
+
+
 @query("m8_smoothed_levels", """
     SELECT a.sample, a.ref, a.start_pos, round(sum(pow(1 - pow(abs(b.start_pos - a.start_pos) / 1000.0, 3), 3) * b.m) / sum(pow(1 - pow(abs(b.start_pos - a.start_pos) / 1000.0, 3), 3) * b.cov), 6) AS smoothed, count(*) AS n_near
     FROM sites a JOIN sites b ON a.sample = b.sample AND a.ref = b.ref AND abs(b.start_pos - a.start_pos) < 1000 WHERE a.cov > 0 GROUP BY 1, 2, 3""")

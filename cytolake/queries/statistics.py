@@ -73,10 +73,11 @@ def t2_pairs(spark, sf):
     return ts.signed_rank(levels(spark, sf), PAIRS).select("ref", "start_pos", F.expr("nullif(statistic, double('NaN'))").alias("statistic"))
 
 
-@query("t8_variance_ratio", f"SELECT ref, start_pos, {signif_sql('v1 / v2')} AS f, n1 - 1 AS df1, n2 - 1 AS df2 FROM ({TWO}) WHERE n1 > 1 AND n2 > 1 AND v2 > 0 AND v1 > 0")
+@query("t8_variance_ratio", f"SELECT ref, start_pos, CASE WHEN v2 < 1e-20 THEN cast('inf' AS double) WHEN v1 < 1e-20 THEN 0.0 ELSE {signif_sql('v1 / v2')} END AS f, n1 - 1 AS df1, n2 - 1 AS df2 FROM ({TWO}) WHERE n1 > 1 AND n2 > 1")
 def t8(spark, sf):
-    out = ts.variance_ratio(levels(spark, sf), "F", "O").filter("var1 > 0")
-    return out.select("ref", "start_pos", signif(F.col("f")).alias("f"), "df1", "df2")
+    out = ts.variance_ratio(levels(spark, sf), "F", "O")
+    odd = (F.col("f") == 0) | (F.col("f") == float("inf"))
+    return out.select("ref", "start_pos", F.when(odd, F.col("f")).otherwise(signif(F.col("f"))).alias("f"), "df1", "df2")
 
 
 @query("t7_anova", f"""
@@ -149,6 +150,11 @@ def t5(spark, sf):
     return fisher(spark, sf).select("ref", "start_pos", "s1", "s2", F.round("p", 5).alias("p"), r6("diff"))
 
 
+@query("t5_conditional_odds")
+def t5_odds(spark, sf):
+    return fisher(spark, sf).select("ref", "start_pos", "s1", "s2", signif(F.col("odds")).alias("odds"))
+
+
 @query("t6_u5_fisher_groups", f"""
     WITH {FISHER}, n AS (SELECT *, round(p, 9) AS p9, count(*) OVER (PARTITION BY s1, s2) / cast(count(*) OVER (PARTITION BY s1, s2 ORDER BY round(p, 9) RANGE UNBOUNDED PRECEDING) as double) * round(p, 9) AS raw FROM fisher),
     q AS (SELECT ref, start_pos, diff, least(1.0, min(raw) OVER (PARTITION BY s1, s2 ORDER BY p9 RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM n),
