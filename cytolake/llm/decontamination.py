@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import U64, materialise, mix
+from .common import U64, materialise, mix, trimmed
 
 Q, BUDGET = 10, 0.06
 #: Letters of a text that are looked at together.
@@ -240,7 +240,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                 types = [item_type, pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], ["doc_id", "item_id", "edits", "start_char", "end_char"])
 
-        return own.mapInArrow(search, schema), shared
+        return own.mapInArrow(trimmed(search), schema), shared
 
     parts, last = [], None
     for block in item_blocks(benchmark, max_letters):
@@ -262,7 +262,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, max_letters: int = 4 <<
             for batch in batches:
                 yield batch.filter(pa.array([not find_items(shared.value, plain(t)) for t in batch.column(text_at).to_pylist()], pa.bool_()))
 
-        return rows.mapInArrow(keep, rows.schema), shared
+        return rows.mapInArrow(trimmed(keep), rows.schema), shared
 
     last = None
     for block in item_blocks(benchmark, max_letters):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, find_words, hash_words, materialise, mix, shingle, text_blocks
+from .common import U64, find_words, hash_words, materialise, mix, shingle, text_blocks, trimmed
 
 WORDS, SKETCHES = 5, 10
 #: Values of a signature, 16 bits each; an estimate is within 0.04 or so of the similarity.
@@ -102,7 +102,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(counts.astype(np.int64)), *whole, lists, pa.array(signature, pa.binary())], ["doc_id", "n_words", "k1", "k2", "sketches", "signature"])
 
-    return docs.mapInArrow(sketches, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, k1 long, k2 long, sketches array<long>, signature binary")
+    return docs.mapInArrow(trimmed(sketches), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, k1 long, k2 long, sketches array<long>, signature binary")
 
 
 def shingle_table(docs: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def shingle_table(docs: DataFrame) -> DataFrame:
                 parts = np.split((values >> U64(32)).astype("<u4"), np.searchsorted(of, np.arange(1, b - a)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([p.tobytes() for p in parts], pa.binary())], ["node", "labels"])
 
-    return docs.mapInArrow(labels, f"node {docs.schema['doc_id'].dataType.simpleString()}, labels binary")
+    return docs.mapInArrow(trimmed(labels), f"node {docs.schema['doc_id'].dataType.simpleString()}, labels binary")
 
 
 def wide_signatures(table: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def wide_signatures(table: DataFrame) -> DataFrame:
                 out.append(np.packbits(mix(least) >> U64(63) == 1).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["node", "signature"])
 
-    return table.mapInArrow(sign, f"node {table.schema['node'].dataType.simpleString()}, signature binary")
+    return table.mapInArrow(trimmed(sign), f"node {table.schema['node'].dataType.simpleString()}, signature binary")
 
 
 def aligned(a: np.ndarray, b: np.ndarray, least: float) -> bool:
@@ -173,7 +173,7 @@ def verify(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
             keep = [aligned(np.frombuffer(a.as_py(), "<u4"), np.frombuffer(b.as_py(), "<u4"), least) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["node", "leader"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("node", "leader", "labels", "theirs").mapInArrow(near, pairs.select("node", "leader").schema)
+    return both.select("node", "leader", "labels", "theirs").mapInArrow(trimmed(near), pairs.select("node", "leader").schema)
 
 
 def components(edges: DataFrame) -> DataFrame:

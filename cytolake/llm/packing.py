@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, trimmed
 from .tokens import encoder
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long"
@@ -49,7 +49,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int =
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()) + ", ids binary" * with_ids
-    return rows.mapInArrow(pieces, schema)
+    return rows.mapInArrow(trimmed(pieces), schema)
 
 
 def first_fit(lengths: list[int], size: int) -> tuple[list[int], list[int]]:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, find_words, hash_words, materialise, mix, text_blocks
+from .common import U64, find_words, give_back, hash_words, materialise, mix, text_blocks
 
 LONGEST = 5
 #: A phrase with more than this share of the sampled suffixes is dealt out by its next word.
@@ -202,14 +202,14 @@ def suffixes(docs: DataFrame, hot: np.ndarray, longest: int, parts: int) -> Data
                         size, salt = 0, salt + 1
         for name in list(held):
             yield blobs(name, held.pop(name), salt)
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, blob in zip(batch.column(0), batch.column(1), strict=True):
                 values, counts, depths = unpacked(blob.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(values), pa.string()), values, pa.array(counts), pa.array(depths.astype(np.int32))], ["lang", "suffix", "n", "depth"])
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     dealt = _texts(docs).mapInArrow(pack, "part int, lang string, blob binary").repartitionById(parts, "part")
     return dealt.select("lang", "blob").mapInArrow(unpack, "lang string, suffix binary, n long, depth int")
@@ -298,7 +298,7 @@ def count_sorted(batches: Iterator[pa.RecordBatch], longest: int, least: int) ->
         last = (langs[-1].as_py(), suffix[-1].as_py())
     for k in range(longest + 1):
         yield from rows([stack[k]] if stack[k] else [], k)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import _BASE, U64, find_words, hash_words, mix, shingle, text_blocks
+from .common import _BASE, U64, find_words, give_back, hash_words, mix, shingle, text_blocks, trimmed
 
 WORDS, PASSAGE, HASHES = 5, 50, 3
 RUN = PASSAGE - WORDS + 1  # shingles of the shortest passage
@@ -425,10 +425,12 @@ def repeated_passages(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id
     def meet(table: pa.Table) -> pa.Table:
         found = join_windows(of_shared_keys(parts(table, 0, RECORD)), least)
         links, n = merge_links(np.concatenate([parts(table, 1, LINK), found]))
+        del table, found
+        give_back()
         return pa.table([pa.array(np.ascontiguousarray(links[c])) for c in ("doc", "tag", "start", "end", "kept", "kept_start")] + [pa.array(n, pa.int64())], NAMES)
 
     schema = "doc_id long, tag int, start_word int, end_word int, kept_doc_id long, kept_start int, n_windows long"
-    links = own.mapInArrow(emit, "bucket int, kind int, data binary").groupBy("bucket").applyInArrow(meet, schema)
+    links = own.mapInArrow(trimmed(emit), "bucket int, kind int, data binary").groupBy("bucket").applyInArrow(meet, schema)
     by = W.partitionBy("doc_id", "tag").orderBy("start_word", "end_word")
     new = (F.col("start_word") > F.max("end_word").over(by.rowsBetween(W.unboundedPreceding, -1))).cast("int")
     islands = links.withColumn("new", F.coalesce(new, F.lit(0))).withColumn("island", F.sum("new").over(by))
@@ -477,4 +479,4 @@ def cut_repeats(docs: DataFrame, least: float = 0.8) -> DataFrame:
                 columns[chars_at] = pa.compute.if_else(changed, pa.array(sizes, columns[chars_at].type), columns[chars_at])
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
-    return joined.mapInArrow(cut, docs.schema)
+    return joined.mapInArrow(trimmed(cut), docs.schema)

@@ -22,7 +22,7 @@ OWN_SPACES = frozenset("\x1c\x1d\x1e\x1f")
 WORDS = re.compile(r"[^ \t-\r]+")
 WORD_END = "</w>"
 #: Chunks that a worker keeps; beyond that it starts anew.
-CACHE = 800_000
+CACHE = 400_000
 
 
 def _byte_letters() -> dict[str, int]:

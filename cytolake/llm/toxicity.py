@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trimmed
+
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 6)
 BITS = 18
@@ -148,7 +150,7 @@ def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, doc_id: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (words, severity, grade, grade > 0))], ["doc_id", "n_words", "severity", "grade", "toxic"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(rate, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, severity double, grade int, toxic boolean")
+    return rows.mapInArrow(trimmed(rate), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, severity double, grade int, toxic boolean")
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
@@ -173,4 +175,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, limit: int = 4000, cut: fl
         for batch in batches:
             yield batch.filter(pa.array(of(batch.column(text_at).to_pylist())[2] == 0))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(trimmed(keep), docs.schema)
