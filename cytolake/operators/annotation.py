@@ -74,6 +74,34 @@ def exon_parts(sites: DataFrame) -> DataFrame:
     return rows.withColumn("hit", F.explode(F.filter(found, lambda x: x.isNotNull()))).select(*sites.columns, "hit.*")
 
 
+def gene_labels(hits: DataFrame, up5: int = 1000, up3: int = 0, down5: int = 0, down3: int = 0) -> DataFrame:
+    """hits (site, gene: see location_class) with a row for each label that holds, the gene's direction taken into account.
+
+    A site reaching less than up5 before the start is upstream, less than up3
+    behind the end downstream, and it can be both of these and in the body, all at
+    once; farther away it is farup or fardown alone. Where the gene has exons
+    (see exon_parts), 5UTR, CDS, exon, intron and 3UTR stand in place of the body.
+    """
+    minus = F.col("strand") == "-"
+    begin, end = F.when(minus, F.col("f_end") - F.col("end_pos")).otherwise(F.col("start_pos") - F.col("f_start")), F.when(minus, F.col("f_end") - F.col("start_pos")).otherwise(F.col("end_pos") - F.col("f_start"))
+    size = F.col("f_end") - F.col("f_start")
+    meet = size <= down5 + down3 + max(down5, down3)
+    margin5, margin3 = (F.when(meet, F.floor(size / 3)).otherwise(m) for m in (down5, down3))
+    far = F.when(begin >= size + up3, "fardown").when(end <= -up5, "farup")
+    known = F.coalesce(F.size("exons"), F.lit(0)) > 0 if "exons" in hits.columns else F.lit(False)
+    near = F.array(
+        F.when((begin < size - margin3) & (end > margin5) & ~known, "body"),
+        F.when((begin < margin5) & (end > -up5), "upstream") if up5 != -down5 else F.lit(None).cast("string"),
+        F.when((begin < size + up3) & (end > size - margin3), "downstream") if up3 != -down3 else F.lit(None).cast("string"),
+    )
+    rows = hits.withColumn("far", far)
+    one = rows.withColumn("label", F.explode(F.when(F.col("far").isNotNull(), F.array("far")).otherwise(F.filter(near, lambda x: x.isNotNull()))))
+    if "exons" not in hits.columns:
+        return one.drop("far")
+    parts = exon_parts(rows.filter("far IS NULL AND size(exons) > 0").withColumns({"cds_start": F.coalesce("cds_start", F.lit(0)), "cds_end": F.coalesce("cds_end", F.lit(0))})).withColumnRenamed("part", "label")
+    return one.select(*hits.columns, "label").unionByName(parts.select(*hits.columns, "label").distinct())
+
+
 def near_only(hits: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
     """hits without the far ones of a site that also has near ones."""
     near = F.max(~F.col(label).startswith("far")).over(W.partitionBy(*keys))

@@ -105,6 +105,37 @@ def j9(spark, sf):
     return an.exon_parts(held).groupBy("ref", "start_pos", "feature_id", "part").agg(F.count("*").alias("n"))
 
 
+#: Genes of two exons, a third of the gene each, coding from the middle of a third on to as far before the end.
+MODEL = f"""model AS (SELECT *, f_start + t AS b1, f_start + 2 * t AS b2, f_start + t // 2 AS c0, f_end - t // 2 AS c1 FROM (SELECT *, x0 + end_pos - start_pos AS x1, size // 3 AS t FROM (SELECT p.*, f.feature_id, f.f_start, f.f_end, f.strand, {ALONG} AS x0, f_end - f_start AS size
+           FROM {PLACES} p JOIN features f ON p.ref = f.ref AND p.start_pos < f.f_end + 400 AND f.f_start - 400 < p.end_pos))),
+    labels AS (SELECT *, unnest(CASE WHEN x0 >= size + 100 THEN ['fardown'] WHEN x1 <= -300 THEN ['farup'] ELSE list_filter([
+           CASE WHEN x0 < 0 THEN 'upstream' END, CASE WHEN x1 > size THEN 'downstream' END,
+           CASE WHEN start_pos < c0 AND f_start < end_pos AND f_start < c0 THEN CASE strand WHEN '-' THEN '3UTR' ELSE '5UTR' END END, CASE WHEN start_pos < f_end AND c1 < end_pos AND c1 < f_end THEN CASE strand WHEN '-' THEN '5UTR' ELSE '3UTR' END END,
+           CASE WHEN (start_pos < b1 AND c0 < end_pos AND c0 < b1) OR (start_pos < c1 AND b2 < end_pos AND b2 < c1) THEN 'CDS' END,
+           CASE WHEN (start_pos < b1 AND f_start < end_pos AND f_start < b1) OR (start_pos < f_end AND b2 < end_pos AND b2 < f_end) THEN 'exon' END,
+           CASE WHEN start_pos < b2 AND b1 < end_pos AND b1 < b2 THEN 'intron' END], lambda x: x IS NOT NULL) END) AS label FROM model)"""
+
+
+def gene_hits(spark, sf):
+    """Sites near genes with exons, a row for each label."""
+    third = F.floor((F.col("f_end") - F.col("f_start")) / 3)
+    exons = F.array(F.struct(F.col("f_start").alias("s"), (F.col("f_start") + third).alias("e")), F.struct((F.col("f_start") + 2 * third).alias("s"), F.col("f_end").alias("e")))
+    model = hits(spark, sf).drop("label").withColumns({"exons": exons, "cds_start": F.col("f_start") + F.floor(third / 2), "cds_end": F.col("f_end") - F.floor(third / 2)})
+    return an.gene_labels(model, 300, 100)
+
+
+@query("n1_n2_gene_labels", f"WITH {MODEL} SELECT label, count(*) AS n, count(DISTINCT (ref, start_pos)) AS n_sites, count(DISTINCT feature_id) AS n_genes FROM labels GROUP BY 1")
+def n1_labels(spark, sf):
+    return gene_hits(spark, sf).groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("ref", "start_pos").alias("n_sites"), F.count_distinct("feature_id").alias("n_genes"))
+
+
+@query("n1_n3_best_gene_part", f"""
+    WITH {MODEL}, r AS (SELECT *, CASE label WHEN 'upstream' THEN 0 WHEN '5UTR' THEN 1 WHEN '3UTR' THEN 2 WHEN 'downstream' THEN 3 WHEN 'CDS' THEN 4 WHEN 'exon' THEN 5 WHEN 'intron' THEN 6 WHEN 'farup' THEN 8 ELSE 9 END AS k FROM labels)
+    SELECT ref, start_pos, feature_id, label, tss_dist FROM (SELECT *, {TSS} AS tss_dist, row_number() OVER (PARTITION BY ref, start_pos ORDER BY k, abs({TSS}), feature_id) AS place FROM r) WHERE place = 1""")
+def n1_best(spark, sf):
+    return an.best_hit(an.near_only(gene_hits(spark, sf), KEYS), KEYS).select("ref", "start_pos", "feature_id", "label", "tss_dist")
+
+
 @query("j10_j11_id_lookup", "SELECT p.start_pos, p.ref, string_agg(DISTINCT f.gene, '|' ORDER BY f.gene) AS symbols FROM (SELECT DISTINCT ref, start_pos FROM sites) p JOIN features f ON p.ref = f.ref AND p.start_pos >= f.f_start AND p.start_pos <= f.f_end GROUP BY 1, 2")
 def j10(spark, sf):
     f = features(spark, sf)

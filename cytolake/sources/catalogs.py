@@ -83,13 +83,15 @@ def annotate_by(sites: DataFrame, features: DataFrame, entry: dict, letters: str
 
     A set with exons is looked at strand by strand and combined, another one
     with both strands pooled. Gene sets also take all features within their
-    flanks, of which near ones go before far ones.
+    flanks, of which near ones go before far ones, and all labels that hold (see
+    gene_labels), of which the first by priority stays.
     """
     stranded = entry.get("exon_start") is not None
     allow = max(entry["up"], entry["down"]) if entry["is_gene"] else 0
     near = iv.nearest_join(sites, features, allow, stranded)
-    hits = an.near_only(near.withColumn("label", an.location_class(entry["up"], 0, entry["down"], 0)), ["ref", "start_pos", "end_pos"])
     keys = ["ref", "start_pos", "end_pos"]
+    labelled = an.gene_labels(near, entry["up"], entry["down"]) if entry["is_gene"] else near.withColumn("label", an.location_class(entry["up"], 0, entry["down"], 0))
+    hits = an.near_only(labelled, keys)
     out = an.combine_strands(hits, keys, letters) if stranded else an.best_hit(hits, keys, letters).select(*keys, "label", F.abs("dist").alias("dist"))
     return out.withColumn("set_name", F.lit(entry["name"]))
 

@@ -107,11 +107,35 @@ def test_catalogs(spark, tmp_path):
     assert rows(sets["genesdn"].select("feature_id", "f_start", "f_end")) == [("g1", 2000, 4000), ("g2", 3000, 5000)]
     sites = spark.createDataFrame([("chr1", 700, 702), ("chr1", 1500, 1502), ("chr1", 6200, 6202), ("chr1", 90000, 90002)], "ref string, start_pos long, end_pos long")
     found = {(r["set_name"], r["start_pos"]): r["label"] for r in catalogs.annotate(spark, sites, [genes, islands], f"{tmp_path}/db").collect()}
-    assert found[("genes", 700)] == "upstream+" and found[("genes", 1500)] == "body+" and found[("genes", 6200)] == "upstream-" and found[("genes", 90000)] == "intergenic"
+    assert found[("genes", 700)] == "upstream+" and found[("genes", 1500)] == "CDS+" and found[("genes", 6200)] == "upstream-" and found[("genes", 90000)] == "intergenic"
     assert found[("islands", 1500)] == "fardown" and len(found) == 8
     assert readers.enzyme_config(["# x", "name MspI", "site C-CGG", "fix CCGG + 2", "fix CCGG - 3"]) == {"fix": [("CCGG", "+", 2), ("CCGG", "-", 3)], "name": "MspI", "motif": "CCGG", "cut": 1}
 
 
+@pytest.mark.parametrize("strand", ["+", "-"])
+def test_gene_labels_follow_the_strand(spark, strand):
+    """A gene of 1000 to 2000 with exons 1000-1200 and 1500-2000, coding from 1100 to 1900; sites by where they lie along the strand."""
+    from cytolake.operators import annotation as an
+
+    gene = (1000, 2000, strand, [(1000, 1200), (1500, 2000)], 1100, 1900)
+    along = {"farup": (600, 700), "upstream": (700, 720), "start": (990, 1010), "utr": (1020, 1030), "turn": (1090, 1110), "coding": (1110, 1120), "intron": (1300, 1310), "end": (1990, 2010), "downstream": (2050, 2060), "fardown": (2100, 2110)}
+    expected = {"farup": {"farup"}, "upstream": {"upstream"}, "start": {"upstream", "5UTR", "exon"}, "utr": {"5UTR", "exon"}, "turn": {"5UTR", "CDS", "exon"}, "coding": {"CDS", "exon"}, "intron": {"intron"}, "end": {"3UTR", "exon", "downstream"}, "downstream": {"downstream"}, "fardown": {"fardown"}}
+    mirror = lambda a, b: (a, b) if strand == "+" else (3000 - b, 3000 - a)
+    if strand == "-":
+        gene = (1000, 2000, "-", [(1000, 1500), (1800, 2000)], 1100, 1900)
+    table = spark.createDataFrame([(name, *mirror(*at), *gene) for name, at in along.items()], "name string, start_pos long, end_pos long, f_start long, f_end long, strand string, exons array<struct<s: long, e: long>>, cds_start long, cds_end long")
+    found = {}
+    for r in an.gene_labels(table, 300, 100).collect():
+        found.setdefault(r["name"], []).append(r["label"])
+    assert {k: set(v) for k, v in found.items()} == expected
+    assert all(len(v) == len(set(v)) for v in found.values())
+    plain = {(r["name"], r["label"]) for r in an.gene_labels(table.drop("exons"), 300, 100).collect()}
+    assert {n for n, x in plain if x == "body"} == {"start", "utr", "turn", "coding", "intron", "end"}
+    assert ("start", "upstream") in plain
+    none = {(r["name"], r["label"]) for r in an.gene_labels(table.withColumn("exons", F.lit(None).cast("array<struct<s: bigint, e: bigint>>")), 300, 100).collect()}
+    assert none == plain
+
+
 def plain_score(mode, cigar, seq, bases):
     import re
 
