@@ -13,6 +13,7 @@ from ..operators import intervals as iv
 from ..operators import matrix as mx
 from ..operators import sites as st
 from ..operators import stats as ts
+from .tables import fingerprint
 
 
 @dataclass
@@ -33,7 +34,7 @@ def batch(sites: DataFrame, features: DataFrame, settings: Settings, path: str,
     """Writes windows, matrix, tests and annotated regions below `path` and returns them as tables.
 
     With `resume`, tables that are there (with their _SUCCESS mark) and were made
-    with the same settings are read and not made again.
+    of the same inputs (see fingerprint) with the same settings are read and not made again.
     """
     spark = sites.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -45,7 +46,8 @@ def batch(sites: DataFrame, features: DataFrame, settings: Settings, path: str,
             df.write.mode("overwrite").parquet(target)
         return spark.read.schema(df.schema).parquet(target)
 
-    mark = hashlib.sha256(repr((settings, sorted(samples))).encode()).hexdigest()[:12]  # other settings, another folder
+    # other settings or inputs, another folder
+    mark = hashlib.sha256(repr((settings, sorted(samples), fingerprint(sites), fingerprint(features))).encode()).hexdigest()[:12]
     kept = st.filter_sites(sites, settings.min_cov)
     windows = keep("windows", iv.genome_windows(kept, settings.width, settings.step, ("sample", "grp")))
     matrix = keep("matrix", mx.outer_matrix(windows, samples, ["n_cpg", "mean_pct", "sd_pct"], ("ref", "w_start", "w_end")))

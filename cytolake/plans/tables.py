@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -25,3 +28,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fingerprint(df: DataFrame) -> str:
+    """What df is made of: where it reads files alone, their names, lengths and times and the plan over them; else the number of its rows and the sum of their hashes, which takes a pass over them."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    kinds = [leaves.apply(i) for i in range(leaves.size())]
+    if kinds and all(x.getClass().getSimpleName().startswith("LogicalRelation") and x.relation().getClass().getSimpleName() == "HadoopFsRelation" for x in kinds):
+        spark = df.sparkSession
+        conf, path, parts = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path, [re.sub(r"#\d+L?", "", plan.toString())]
+        for name in sorted(df.inputFiles()):
+            file = path(name)
+            status = file.getFileSystem(conf).getFileStatus(file)
+            parts.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    else:
+        parts = [df.schema.simpleString(), str(tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()))]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()

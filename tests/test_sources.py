@@ -251,12 +251,32 @@ def test_batch_runs_and_resumes(spark, tmp_path):
     hits = {r["start_pos"] for r in out["annotated"].collect()}
     assert hits and max(hits) <= 4000 and 0 in hits  # the windows in which the groups differ
     before = {k: rows(v) for k, v in out.items()}
-    again = batch(sites.limit(0), features, settings, str(tmp_path), samples, resume=True)
+    marks = {k: v.inputFiles() for k, v in out.items()}
+    again = batch(sites.repartition(3), features, settings, str(tmp_path), samples, resume=True)
+    assert {k: v.inputFiles() for k, v in again.items()} == marks  # read, not made anew
     assert {k: rows(v) for k, v in again.items()} == before
+    changed = batch(sites.filter("start_pos >= 500"), features, settings, str(tmp_path), samples, resume=True)
+    assert rows(changed["windows"]) != before["windows"]
     other = batch(sites, features, Settings(pairs=[("a", "b")], width=2000), str(tmp_path), samples, resume=True)
     assert rows(other["windows"]) != before["windows"]
 
 
+def test_fingerprints_follow_files_and_rows(spark, tmp_path):
+    from cytolake.plans.tables import fingerprint
+
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    first = fingerprint(spark.read.parquet(path).filter("id > 3"))
+    assert first == fingerprint(spark.read.parquet(path).filter("id > 3"))
+    assert first != fingerprint(spark.read.parquet(path).filter("id > 4"))
+    spark.range(10).write.mode("append").parquet(path)
+    assert first != fingerprint(spark.read.parquet(path).filter("id > 3"))
+    table = lambda *ids: spark.createDataFrame([(i, None) for i in ids], "id long, x string")
+    assert fingerprint(table(1, 2)) == fingerprint(table(2, 1)) != fingerprint(table(1, 3))
+    assert fingerprint(table(1, 1)) != fingerprint(table(1))
+    assert fingerprint(table(1)) != fingerprint(table(1).union(spark.read.parquet(path).withColumn("x", F.lit("a"))))
+
+
 def test_arriving_sites_add_up_to_the_batch(spark, tmp_path):
     sites = site_table(spark).withColumn("arrived", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(start_pos % 5 as int)) "))
     sites.repartition(3).write.parquet(f"{tmp_path}/in")
