@@ -261,6 +261,31 @@ def test_batch_runs_and_resumes(spark, tmp_path):
     assert rows(other["windows"]) != before["windows"]
 
 
+def test_regions_come_out_when_reads_have_passed_them(spark, tmp_path):
+    """Sorted calls in files of one batch each: all counts equal the batch's and come once, regions that were passed before others arrive, late calls don't count."""
+    from cytolake.operators.sites import pileup
+    from cytolake.streaming.regions import end_of_order, region_pileup
+
+    rng, order, schema = random.Random(7), ["chr1", "chr2"], "ref string, pos long, meth int, baseq int"
+    table = sorted((order[i % 2], rng.randint(1, 5000), rng.randint(0, 1), rng.randint(0, 40)) for i in range(3000))
+    end = (*end_of_order(order), 1, 40)
+    late = ("chr1", 10, 1, 40)
+    out, state = f"{tmp_path}/out", f"{tmp_path}/state"
+    seen = []
+    for k, part in enumerate([table[:1000], table[1000:2000], table[2000:], [late], [end], [end]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        run = region_pileup(stream, order, 500, 100, 5).writeStream.outputMode("append").format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out)
+        run.awaitTermination(120)
+        done = spark.read.parquet(out)
+        seen.append((done.count(), done.filter("ref = 'chr1'").agg(F.max("pos")).first()[0]))
+        if k == 0:
+            assert seen[0][1] <= max(r[1] for r in table[:1000]) - 100
+    assert seen[0][0] < seen[1][0] < seen[2][0] == seen[3][0] < seen[4][0]
+    expected = pileup(spark.createDataFrame(table, schema), 5).select("ref", "pos", "m", "u", "mqual", "uqual")
+    assert rows(spark.read.parquet(out).select("ref", "pos", "m", "u", "mqual", "uqual")) == rows(expected)
+
+
 def test_fingerprints_follow_files_and_rows(spark, tmp_path):
     from cytolake.plans.tables import fingerprint
 
