@@ -151,20 +151,22 @@ def call_contexts(calls: DataFrame, chunks: DataFrame, k: int = 3, size: int = C
 
 
 def filled_calls(reads: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Bases that end repair filled in: qname, mate, ref, pos (of the base), read_pos and offset.
+    """Bases that end repair filled in: qname, mate, ref, pos (of the base), read_pos and offset (in the read's span, from 1).
 
     They are a read's last two bases (mode C) or first two (mode G), if no more
     than two bases are clipped on that side, where the base is the strand's (C
-    forward, G reverse) and its place is in `fixes` (ref, pos, strand).
+    forward, G reverse) and its place is in `fixes` (ref, pos, strand). Places
+    follow from the cigar; a base that is clipped or inserted has none.
     """
     edge = {"left": F.regexp_extract("cigar", "^([0-9]+)[SH]", 1), "right": F.regexp_extract("cigar", "([0-9]+)[SH]$", 1)}
     clip = F.coalesce(F.when(F.col("mode") == "C", edge["right"]).otherwise(edge["left"]).try_cast("int"), F.lit(0))
     n = F.length("seq")
     ends = F.when(F.col("mode") == "C", F.array(n - 1, n)).otherwise(F.array(F.lit(1), F.lit(2)))
     back = F.col("flag").bitwiseAND(16) != 0
-    rows = reads.filter(clip <= 2).select("qname", "mate", "ref", F.col("pos").alias("read_pos"), "seq", F.when(back, "-").otherwise("+").alias("strand"), F.explode(ends).alias("offset"))
-    fits = F.substring("seq", F.col("offset"), F.lit(1)) == F.when(F.col("strand") == "-", "G").otherwise("C")
-    rows = rows.filter(fits & (F.col("offset") > 0)).withColumn("pos", F.col("read_pos") + F.col("offset") - 1)
+    rows = reads.filter(clip <= 2).select("qname", "mate", "ref", F.col("pos").alias("read_pos"), "cigar", "seq", F.when(back, "-").otherwise("+").alias("strand"), F.explode(ends).alias("place"))
+    fits = F.substring("seq", F.col("place"), F.lit(1)) == F.when(F.col("strand") == "-", "G").otherwise("C")
+    rows = rows.filter(fits & (F.col("place") > 0)).withColumn("offset", span_offset(F.col("cigar"), F.col("place"))).filter("offset IS NOT NULL")
+    rows = rows.withColumn("pos", F.col("read_pos") + F.col("offset") - 1)
     return rows.join(fixes.select("ref", "pos", "strand").distinct(), ["ref", "pos", "strand"], "left_semi").select("qname", "mate", "ref", "pos", "read_pos", F.col("offset").cast("long").alias("offset"))
 
 
@@ -250,9 +252,28 @@ def palindrome_sites(counts: DataFrame, context: str = "CG") -> DataFrame:
     return merge_palindromes(sites)
 
 
+def _pieces(cigar: Column) -> Column:
+    """The (n, op) of a cigar."""
+    return F.arrays_zip(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MIDNSHP=X]"), 1).alias("n"), F.regexp_extract_all(cigar, F.lit("[0-9]+([MIDNSHP=X])"), 1).alias("op"))
+
+
+def span_offset(cigar: Column, place: Column) -> Column:
+    """Offset along the reference span (from 1) of the read's base at `place` (from 1), the other way round than read_offset; null for clipped and inserted bases."""
+    none = F.lit(None).cast("long")
+    first = F.struct(F.lit(0).cast("long").alias("read"), F.lit(0).cast("long").alias("span"), none.alias("found"))
+
+    def step(acc: Column, x: Column) -> Column:
+        n, op = x["n"].cast("long"), x["op"]
+        here = op.isin("M", "=", "X") & (acc["read"] < place) & (place <= acc["read"] + n)
+        found = F.coalesce(acc["found"], F.when(here, acc["span"] + place - acc["read"]).otherwise(none))
+        read = acc["read"] + F.when(op.isin("M", "=", "X", "I", "S"), n).otherwise(0)
+        return F.struct(read.alias("read"), (acc["span"] + F.when(op.isin("M", "=", "X", "D", "N"), n).otherwise(0)).alias("span"), found.alias("found"))
+
+    return F.aggregate(_pieces(cigar), first, step, lambda acc: acc["found"])
+
+
 def read_offset(cigar: Column, offset: Column) -> Column:
     """Place in the read (from 1) of an aligned base that lies `offset` (from 1) along the reference: insertions and clips before it add, deletions and skips take away."""
-    pieces = F.arrays_zip(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MIDNSHP=X]"), 1).alias("n"), F.regexp_extract_all(cigar, F.lit("[0-9]+([MIDNSHP=X])"), 1).alias("op"))
     first = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("shift"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -260,7 +281,7 @@ def read_offset(cigar: Column, offset: Column) -> Column:
         shift = F.when(before & op.isin("I", "S"), n).when((acc["at"] + n < offset) & op.isin("D", "N"), -n).otherwise(0)
         return F.struct((acc["at"] + F.when(op.isin("M", "=", "X", "D", "N"), n).otherwise(0)).alias("at"), (acc["shift"] + shift).alias("shift"))
 
-    return offset + F.aggregate(pieces, first, step, lambda acc: acc["shift"])
+    return offset + F.aggregate(_pieces(cigar), first, step, lambda acc: acc["shift"])
 
 
 def inconsistent(reads: DataFrame) -> DataFrame:

@@ -219,6 +219,25 @@ def test_filled_ends_follow_mode_clip_base_and_strand(spark):
     assert rows(al.fill_in_log(filled)) == [("c", 12, 2), ("c", 13, 2)]
 
 
+def test_filled_ends_of_reads_with_indels_and_clips(spark):
+    """The reference is C at 12 forward; each read ends there, with an insertion, a deletion or a clip before. Their calls at 12 go, the others stay."""
+    genome = "AAACAACAAACCAAAAAAAA"  # places from 1; C at 4, 7, 11, 12
+    fixes = spark.createDataFrame([("c", 12, "+")], "ref string, pos long, strand string")
+    read = lambda q, pos, cigar, seq: (q, 1, "C", 0, "c", pos, cigar, seq, "I" * len(seq))
+    table = [read("plain", 3, "10M", "ACAACAAACC"), read("inserted", 3, "5M2I5M", "ACAACTTAAACC"), read("deleted", 3, "3M2D5M", "ACACAAACC"[:3] + "AAACC"), read("clipped before", 3, "2S10M", "TTACAACAAACC"), read("ends in an insertion", 3, "10M2I", "ACAACAAACCCC"), read("clipped behind", 3, "10M2S", "ACAACAAACCCC")]
+    reads = spark.createDataFrame(table, "qname string, mate int, mode string, flag int, ref string, pos long, cigar string, seq string, qual string")
+    chunks = sequences.chunk_rows(spark.createDataFrame([("c", genome)], "ref string, seq string"))
+    calls = al.calls_of(al.rescore(reads, chunks))
+    filled = al.filled_calls(reads, fixes)
+    left = al.drop_filled_ends(calls, filled)
+    gone = {(r["qname"], r["pos"]) for r in calls.collect()} - {(r["qname"], r["pos"]) for r in left.collect()}
+    assert gone == {("plain", 12), ("inserted", 12), ("deleted", 12), ("clipped before", 12)}
+    assert calls.count() - left.count() == 4
+    table = spark.createDataFrame([("3S4M2I3M2D5M1S",)], "cigar string")
+    spans = [r[0] for r in table.select(F.explode(F.sequence(F.lit(1), F.lit(18))).alias("k"), "cigar").select(al.span_offset(F.col("cigar"), F.col("k"))).collect()]
+    assert spans == [None, None, None, 1, 2, 3, 4, None, None, 5, 6, 7, 10, 11, 12, 13, 14, None]
+
+
 def test_nearest_features_equal_brute_force(spark):
     rng = random.Random(2)
     features = [(k, f"c{k % 2}", s, s + rng.randint(1, 400), rng.choice("+-")) for k in range(60) for s in [rng.randrange(0, 5_000_000)]] + [(100, "c0", 1000, 1100, "+"), (101, "c0", 900, 1100, "-"), (102, "c0", 1400, 1500, "+")]
