@@ -311,6 +311,34 @@ def significant(tests: DataFrame, cut: float, least: float, by: str = "p") -> Da
     return tests.filter((F.coalesce(F.col(by), F.lit(1.0)) < cut) & (F.abs(F.coalesce("diff", F.lit(0.0))) > least))
 
 
+def two_group_report(rows: DataFrame, a: str, b: str, tests: DataFrame, keys: tuple[str, ...] = KEYS, value: str = "pct") -> DataFrame:
+    """The table of a test between two groups: every key of rows with mean1, mean2, diff (0 where a group has no value), p (1 where there is no test) and q over all keys, those without a test included."""
+    means = two_groups(rows, a, b, value, keys).select(*keys, "mean1", "mean2", F.coalesce(F.col("mean1") - F.col("mean2"), F.lit(0.0)).alias("diff"))
+    p = F.coalesce(F.nanvl("p", F.lit(None).cast("double")), F.lit(1.0))
+    return bh_adjust(means.join(tests.select(*keys, "p"), list(keys), "left").withColumn("p", p))
+
+
+def report_tables(report: DataFrame, p_cut: float = 0.01, q_cut: float = 0.05, least: float = 0.25, top: int = 500) -> dict[str, DataFrame]:
+    """A report's tables: all of it, the significant keys by p and by q, and the `top` largest differences of the latter (all of them up to twice as many)."""
+    by_q = significant(report, q_cut, least, "q")
+    far = by_q.orderBy(F.desc(F.abs("diff")), *[c for c in report.columns if c not in ("mean1", "mean2", "diff", "p", "q")])
+    return {"all": report, "by_p": significant(report, p_cut, least), "by_q": by_q, "top": far.limit(top) if by_q.limit(2 * top + 1).count() > 2 * top else by_q}
+
+
+def anova_report(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """The table of an analysis of variance: every key with f, p (1 where there is none) and q over all keys, and a row for each pair of its groups (g1, g2, pair_diff, pair_p; null where there is none)."""
+    every = rows.filter(F.col(value).isNotNull()).select(*keys).distinct()
+    whole = every.join(anova(rows, value, keys).select(*keys, "f", "p"), list(keys), "left").withColumn("p", F.coalesce(F.nanvl("p", F.lit(None).cast("double")), F.lit(1.0)))
+    pairs = tukey(rows, value, keys).select(*keys, "g1", "g2", F.col("diff").alias("pair_diff"), F.col("p").alias("pair_p"))
+    return bh_adjust(whole).join(pairs, list(keys), "left")
+
+
+def anova_tables(report: DataFrame, pairs: list[tuple[str, str]], cut: float = 0.05, least: float = 0.25, by: str = "q") -> dict[tuple[str, str], DataFrame]:
+    """For each pair of groups the keys that are significant as a whole (p or q) and between the two, whose means differ by more than `least`."""
+    hit = report.filter((F.col(by) < cut) & (F.col("pair_p") < cut) & (F.abs("pair_diff") > least))
+    return {(a, b): hit.filter((F.least("g1", "g2") == min(a, b)) & (F.greatest("g1", "g2") == max(a, b))) for a, b in pairs}
+
+
 def volcano(tests: DataFrame, least: float, cut: float) -> DataFrame:
     """Counts behind a volcano plot."""
     d, q = F.col("diff"), F.col("q") < cut

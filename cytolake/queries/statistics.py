@@ -216,6 +216,34 @@ def w6(spark, sf):
     return ts.bh_adjust(rows).select("ref", "start_pos", r6("p"), r6("q"))
 
 
+#: Every third site has no test; p is made up from the counts.
+REPORT = f"""
+    p AS (SELECT ref, start_pos, cast(sum(m) % 997 as double) / 997 AS p FROM sites GROUP BY 1, 2 HAVING start_pos % 150 <> 0),
+    a AS (SELECT t.ref, t.start_pos, mean1, mean2, coalesce(mean1 - mean2, 0) AS diff, coalesce(p.p, 1) AS p FROM ({TWO}) t LEFT JOIN p ON p.ref = t.ref AND p.start_pos = t.start_pos),
+    b AS (SELECT *, p * count(*) OVER () / (count(*) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING)) AS raw FROM a),
+    report AS (SELECT *, least(1.0, min(raw) OVER (ORDER BY p RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM b)"""
+
+
+def report(spark, sf):
+    made = sites(spark, sf).groupBy("ref", "start_pos").agg(((F.sum("m") % 997).cast("double") / 997).alias("p")).filter("start_pos % 150 <> 0")
+    return ts.two_group_report(levels(spark, sf), "F", "O", made)
+
+
+@query("t15_report", f"WITH {REPORT} SELECT ref, start_pos, round(mean1, 6) AS mean1, round(mean2, 6) AS mean2, round(diff, 6) AS diff, round(p, 6) AS p, round(q, 6) AS q FROM report")
+def t15(spark, sf):
+    return report(spark, sf).select("ref", "start_pos", *(r6(c) for c in ("mean1", "mean2", "diff", "p", "q")))
+
+
+@query("t15_significant_by_p", f"WITH {REPORT} SELECT ref, start_pos, round(diff, 6) AS diff, round(p, 6) AS p FROM report WHERE p < 0.3 AND abs(diff) > 0.05 AND abs(abs(diff) - 0.05) > 1e-9")
+def t15_p(spark, sf):
+    return ts.report_tables(report(spark, sf), 0.3, 0.9, 0.05)["by_p"].filter("abs(abs(diff) - 0.05) > 1e-9").select("ref", "start_pos", r6("diff"), r6("p"))
+
+
+@query("t17_report")
+def t17_report(spark, sf):
+    return ts.anova_report(levels(spark, sf).withColumn("grp", F.substring("sample", 1, 1)))
+
+
 @query("f10_g3_significant", f"WITH {FISHER} SELECT ref, start_pos, s1, s2, round(p, 5) AS p, round(diff, 6) AS diff FROM fisher WHERE p < 0.01 AND abs(diff) > 0.25 AND abs(p - 0.01) > 1e-7")
 def f10(spark, sf):
     return ts.significant(fisher(spark, sf), 0.01, 0.25).filter("abs(p - 0.01) > 1e-7").select("ref", "start_pos", "s1", "s2", F.round("p", 5).alias("p"), r6("diff"))

@@ -158,3 +158,30 @@ def test_variances_of_nothing(spark):
     assert out["none"][0] == pytest.approx(0.5625)
     assert 0 < out["none"][1] < 1
     assert "few" not in out
+
+
+def test_reports_hold_every_key_and_part_them(spark):
+    rng = random.Random(5)
+    shift = {"far": 0.6, "near": 0.02, "flat": 0.0}
+    rows = [(k, f"{k}{i}", g, 0.2 + shift[k] * (g == "b") + (0 if k == "flat" else rng.gauss(0, 0.01))) for k in shift for i in range(4) for g in "abc" for _ in range(4)]
+    rows += [("lone", "lone0", "a", 0.5)]
+    table = spark.createDataFrame(rows, "kind string, site string, grp string, pct double")
+    tests = ts.welch(table, "a", "b", keys=("site",))
+    report = ts.two_group_report(table, "a", "b", tests.filter("site <> 'near3'"), ("site",))
+    found = {r["site"]: r for r in report.collect()}
+    assert len(found) == 13
+    assert (found["lone0"]["diff"], found["lone0"]["p"], found["lone0"]["mean2"]) == (0, 1, None)
+    assert found["near3"]["p"] == 1
+    order = sorted(r["p"] for r in found.values())
+    for r in found.values():
+        assert r["q"] == pytest.approx(min(1, min(p * 13 / (13 - order[::-1].index(p)) for p in order if p >= r["p"])), rel=1e-9)
+    tables = ts.report_tables(report, 0.01, 0.05, 0.25, 1)
+    names = lambda t: {r["site"] for r in t.collect()}
+    assert names(tables["by_p"]) == names(tables["by_q"]) == {f"far{i}" for i in range(4)}
+    assert names(tables["top"]) == {max((s for s in found if s.startswith("far")), key=lambda s: abs(found[s]["diff"]))}
+    assert names(ts.report_tables(report, 0.01, 0.05, 0.25, 2)["top"]) == {f"far{i}" for i in range(4)}
+    whole = ts.anova_report(table, keys=("site",))
+    assert {r["site"] for r in whole.filter("p = 1").collect()} >= {"lone0"}
+    parts = ts.anova_tables(whole, [("a", "b"), ("c", "a"), ("b", "c")])
+    assert names(parts["a", "b"]) == names(parts["b", "c"]) == {f"far{i}" for i in range(4)}
+    assert not names(parts["c", "a"])
