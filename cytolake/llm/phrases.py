@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,10 +162,10 @@ def unpacked(blob: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def suffixes(docs: DataFrame, hot: np.ndarray, longest: int, parts: int) -> DataFrame:
-    """(lang, suffix, n, depth), dealt out by language and first words: suffixes added up by runs of texts.
+    """(suffix, n, depth), dealt out by language and first words: suffixes added up by runs of texts, with the language as their first word.
 
-    They travel compressed, one value for each run of texts and part. A phrase of
-    less than `depth` words may lie in several parts.
+    They travel compressed, one value for each run of texts and part. What begins
+    with less than `depth` words of a suffix may lie in several parts.
     """
 
     def blobs(lang: str, held: list, salt: int) -> pa.RecordBatch:
@@ -208,11 +209,17 @@ def suffixes(docs: DataFrame, hot: np.ndarray, longest: int, parts: int) -> Data
         for batch in batches:
             for lang, blob in zip(batch.column(0), batch.column(1), strict=True):
                 values, counts, depths = unpacked(blob.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(values), pa.string()), values, pa.array(counts), pa.array(depths.astype(np.int32))], ["lang", "suffix", "n", "depth"])
+                values = pc.binary_join_element_wise(pa.scalar(as_word(lang.as_py()) + b" "), values, pa.scalar(b""))
+                yield pa.RecordBatch.from_arrays([values, pa.array(counts), pa.array(depths.astype(np.int32) + 1)], ["suffix", "n", "depth"])
         give_back()
 
     dealt = _texts(docs).mapInArrow(pack, "part int, lang string, blob binary").repartitionById(parts, "part")
-    return dealt.select("lang", "blob").mapInArrow(unpack, "lang string, suffix binary, n long, depth int")
+    return dealt.select("lang", "blob").mapInArrow(unpack, "suffix binary, n long, depth int")
+
+
+def as_word(lang: str) -> bytes:
+    """A language as the first word of a suffix: without spaces, and told apart from every other."""
+    return lang.encode().replace(b"%", b"%25").replace(b" ", b"%20")
 
 
 def same_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -244,59 +251,52 @@ def same_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_sorted(batches: Iterator[pa.RecordBatch], longest: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Counts of phrases of 0 to `longest` words from suffixes in reverse order.
+    """Counts of phrases of 0 to `longest` words of each language from suffixes in reverse order.
 
-    The stack holds the open phrase of each length with its count so far: those
-    that the last suffix begins with. A batch closes and opens many at once: the
-    rows at which less than k words are shared with the row before part the
-    phrases of k words. Phrases of less than `least` are left out, unless other
-    tasks count them too.
+    The stack holds the open phrase of each length (its language is the first
+    word) with its count so far: those that the last suffix begins with. A batch closes and opens many
+    at once: the rows at which less than k words are shared with the row before
+    part the phrases of k words. Phrases of less than `least` are left out, unless
+    other tasks count them too.
     """
-    stack: list[tuple[str, bytes, int, bool] | None] = [None] * (longest + 1)
+    stack: list[tuple[bytes, int, bool] | None] = [None] * (longest + 2)
     last = None
 
-    def words_of(suffix: bytes, k: int) -> bytes:
-        return b" ".join(suffix.split(b" ", k)[:k])
-
-    def rows(closed: list[tuple[str, bytes, int, bool]], k: int) -> Iterator[pa.RecordBatch]:
-        kept = [c for c in closed if c[2] >= least or c[3]]
+    def rows(closed: list[tuple[bytes, int, bool]], k: int) -> Iterator[pa.RecordBatch]:
+        kept = [c for c in closed if c[1] >= least or c[2]]
         if kept:
-            out = [pa.array([c[0] for c in kept], pa.string()), pa.array([k] * len(kept), pa.int32()), pa.array([words_of(c[1], k).decode() for c in kept], pa.string()), pa.array([c[2] for c in kept], pa.int64())]
+            words = [c[0].split(b" ", k)[:k] for c in kept]
+            langs = [w[0].replace(b"%20", b" ").replace(b"%25", b"%").decode() for w in words]
+            out = [pa.array(langs, pa.string()), pa.array([k - 1] * len(kept), pa.int32()), pa.array([b" ".join(w[1:]).decode() for w in words], pa.string()), pa.array([c[1] for c in kept], pa.int64())]
             yield pa.RecordBatch.from_arrays(out, ["lang", "size", "phrase", "n"])
 
     for batch in joined(batches):
-        langs, suffix = batch.column(0), batch.column(1)
-        n, depth = (batch.column(i).to_numpy() for i in (2, 3))
+        suffix = batch.column(0)
+        n, depth = batch.column(1).to_numpy(), batch.column(2).to_numpy()
         same, size = same_words(suffix)
-        codes = langs.dictionary_encode().indices.to_numpy()
-        same[1:][codes[1:] != codes[:-1]] = -1
-        same[0] = -1
-        if last is not None and last[0] == langs[0].as_py():
-            mine, other = suffix[0].as_py().split(b" ")[:-1], last[1].split(b" ")[:-1]
+        if last is not None:
+            mine, other = suffix[0].as_py().split(b" ")[:-1], last.split(b" ")[:-1]
             same[0] = next((i for i, (x, y) in enumerate(zip(mine, other, strict=False)) if x != y), min(len(mine), len(other)))
-        for k in range(longest + 1):
+        for k in range(1, longest + 2):
             begins = np.flatnonzero(same < k)
             going_on = not len(begins) or begins[0] > 0
             cuts = np.append([0], begins) if going_on else begins
             sums = np.add.reduceat(n, cuts)
             closed = []
             if going_on and stack[k]:
-                stack[k] = (*stack[k][:2], stack[k][2] + int(sums[0]), stack[k][3])
+                stack[k] = (stack[k][0], stack[k][1] + int(sums[0]), stack[k][2])
             if len(begins) and stack[k]:
                 closed.append(stack[k])
                 stack[k] = None
             ready = np.flatnonzero((size[cuts] >= k) & ((sums >= least) | (depth[cuts] > k)))
-            for i in ready[ready >= going_on].tolist():
-                row = int(cuts[i])
-                phrase = (langs[row].as_py(), suffix[row].as_py(), int(sums[i]), bool(depth[row] > k))
-                if i < len(cuts) - 1:
-                    closed.append(phrase)
+            ready = ready[(ready >= going_on) & (ready < len(cuts) - 1)]
+            closed += [(suffix[int(cuts[i])].as_py(), int(sums[i]), bool(depth[cuts[i]] > k)) for i in ready]
             if len(begins):
                 row = int(cuts[-1])
-                stack[k] = (langs[row].as_py(), suffix[row].as_py(), int(sums[-1]), bool(depth[row] > k)) if size[row] >= k else None
+                stack[k] = (suffix[row].as_py(), int(sums[-1]), bool(depth[row] > k)) if size[row] >= k else None
             yield from rows(closed, k)
-        last = (langs[-1].as_py(), suffix[-1].as_py())
-    for k in range(longest + 1):
+        last = suffix[-1].as_py()
+    for k in range(1, longest + 2):
         yield from rows([stack[k]] if stack[k] else [], k)
     give_back()
 
@@ -317,7 +317,7 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = 100) -> DataFrame:
     """(lang, size, phrase, n): phrases of 1 to `longest` words found `least` times or more, and with size 0 each language's words; written as a table."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = suffixes(docs, hot_prefixes(docs, longest), longest, parts).sortWithinPartitions(F.desc("lang"), F.desc("suffix"))
+    ordered = suffixes(docs, hot_prefixes(docs, longest), longest, parts).sortWithinPartitions(F.desc("suffix"))
     counted = ordered.mapInArrow(lambda b: count_sorted(b, longest, least), "lang string, size int, phrase string, n long")
     added = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return materialise(added.filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases")

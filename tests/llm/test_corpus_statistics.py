@@ -56,7 +56,7 @@ def expected_phrases(rows, longest, least, share, top):
 @pytest.mark.parametrize(("hot_share", "share", "top", "longest"), [(1 / 2000, 100, 2000, 5), (0.02, 100, 2000, 5), (0.5, 60, 7, 3)])
 def test_phrases_equal_brute_force(spark, monkeypatch, hot_share, share, top, longest):
     monkeypatch.setattr(phrases, "HOT_SHARE", hot_share)
-    rows = ODD + made(400, 3) + [(1, "en", "a", "a rose is. a rose is")] * 9
+    rows = ODD + made(400, 3) + [(1, lang, "a", "a rose is. a rose is") for lang in ("en", "e n", "e%20n", "e%2520n", "en ", "") for _ in range(9)]
     got = phrases.strongest_phrases(frame(spark, rows).repartition(3), longest=longest, least=4, share=share, top=top).collect()
     assert {tuple(r) for r in got} == expected_phrases(rows, longest, 4, share, top)
     assert len(got) == len({tuple(r) for r in got})
