@@ -8,13 +8,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from ..functions.sequence import base_quality, cigar_sum, limit_of, reverse_complement
-from ..sources.sequences import CHUNK, as_chunks, sequence_lengths
+from ..sources.sequences import CHUNK, OVERLAP, as_chunks, sequence_lengths
 from .intervals import numbered_islands
 from .sites import merge_palindromes, pileup
 
@@ -44,10 +45,13 @@ def best_alignments(hits: DataFrame, by: tuple[str, ...] = ("qname", "mate"), co
 _PIECES = re.compile(r"(\d+)([MIDNSHP=X])")
 
 
-def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Upper-case bytes of all texts one behind the other, and where each begins."""
-    raw = [t.upper().encode() for t in texts]
-    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+def _bytes(texts: pa.Array, upper: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(Upper-case) bytes of all texts one behind the other, and where each begins."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    _, at, data = texts.buffers()
+    at = np.frombuffer(at, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)
+    return np.where((raw >= 97) & (raw <= 122), raw - 32, raw).astype(np.uint8) if upper else raw, at - at[0]
 
 
 def _md(places: list[tuple[int, str]], total: int) -> str:
@@ -59,47 +63,69 @@ def _md(places: list[tuple[int, str]], total: int) -> str:
     return "".join([*out, str(total - last)])
 
 
-def _score(modes: list[str], cigars: list[str], seqs: list[str], spans: list[str]) -> list[pa.Array]:
+class _Laid:
+    """Aligned bases of a batch of reads over their reference spans, which begin at `lead` of the bases given."""
+
+    def __init__(self, modes: pa.Array, cigars: pa.Array, seqs: pa.Array, spans: pa.Array, lead: np.ndarray | int = 0) -> None:
+        self.n = n = len(cigars)
+        kinds = pc.fill_null(cigars, "").dictionary_encode()  # each cigar is taken apart once
+        kinds = kinds.combine_chunks() if isinstance(kinds, pa.ChunkedArray) else kinds
+        parts = [[(int(k), op) for k, op in _PIECES.findall(c)] for c in kinds.dictionary.to_pylist()]
+        which, counts = kinds.indices.to_numpy().astype(np.int64), np.array([len(x) for x in parts] or [0])
+        starts, own = np.cumsum(counts) - counts, counts[which]
+        self.row = row = np.repeat(np.arange(n), own)
+        op = np.arange(len(row)) - np.repeat(np.cumsum(own) - own - starts[which], own)
+        flat = [x for p in parts for x in p]
+        self.size = size = np.array([k for k, _ in flat], np.int64)[op]
+        self.code = code = np.array([c for _, c in flat] or [""], "U1")[op]
+        first = np.cumsum(own) - own
+
+        def offsets(ops: str) -> np.ndarray:
+            used = np.where(np.isin(code, list(ops)), size, 0)
+            before = np.cumsum(used) - used
+            return before - before[first[row]] if len(row) else before
+
+        in_read, self.in_ref, self.in_both = offsets("M=XIS"), offsets("M=XDN"), offsets("M=X")
+        aligned = np.flatnonzero(np.isin(code, list("M=X")))
+        width = size[aligned]
+        step = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+        self.q, self.r, self.k, self.of = (np.repeat(x[aligned], width) + y for x, y in ((in_read, step), (self.in_ref, step), (self.in_both, step), (row, 0)))
+        (seq, self.seq_at), (self.ref, self.ref_at) = _bytes(seqs), _bytes(spans)
+        self.at = self.ref_at[self.of] + (lead[self.of] if isinstance(lead, np.ndarray) else lead) + self.r
+
+        def base(data: np.ndarray, begin: np.ndarray, place: np.ndarray) -> np.ndarray:
+            return np.where(place < begin[self.of + 1], data[np.minimum(place, len(data) - 1)] if len(data) else 0, 0)
+
+        self.mine, self.theirs = base(seq, self.seq_at, self.seq_at[self.of] + self.q), base(self.ref, self.ref_at, self.at)
+        self.c_mode = pc.fill_null(pc.equal(modes, "C"), False).to_numpy(zero_copy_only=False)
+        is_c = self.c_mode[self.of]
+        target = self.theirs == np.where(is_c, ord("C"), ord("G"))
+        self.kept, self.turned = target & (self.mine == self.theirs), target & (self.mine == np.where(is_c, ord("T"), ord("A")))
+
+    def per(self, rows: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        return np.bincount(rows, weights, self.n).astype(np.int64)
+
+
+def _score(modes: pa.Array, cigars: pa.Array, seqs: pa.Array, spans: pa.Array) -> list[pa.Array]:
     """errors, clip, skip, md, ym and yu of a batch of reads laid over their reference spans."""
-    n_reads = len(cigars)
-    ops = [(int(n), op, i) for i, cigar in enumerate(cigars) for n, op in _PIECES.findall(cigar)]
-    size, code, row = (np.array(x) for x in zip(*ops, strict=True)) if ops else (np.zeros(0, np.int64), np.zeros(0, "U1"), np.zeros(0, np.int64))
-    first = np.searchsorted(row, np.arange(n_reads))
-
-    def offsets(kinds: str) -> np.ndarray:
-        used = np.where(np.isin(code, list(kinds)), size, 0)
-        before = np.cumsum(used) - used
-        return before - before[first[row]] if len(row) else before
-
-    in_read, in_ref, in_both = offsets("M=XIS"), offsets("M=XDN"), offsets("M=X")
-    aligned = np.flatnonzero(np.isin(code, list("M=X")))
-    width = size[aligned]
-    step = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-    q, r, k, of = (np.repeat(x[aligned], width) + y for x, y in ((in_read, step), (in_ref, step), (in_both, step), (row, 0)))
-    (seq, seq_at), (ref, ref_at) = _joined(seqs), _joined(spans)
-
-    def base(data: np.ndarray, begin: np.ndarray, at: np.ndarray) -> np.ndarray:
-        place = begin[of] + at
-        return np.where(place < begin[of + 1], data[np.minimum(place, len(data) - 1)] if len(data) else 0, 0)
-
-    mine, theirs = base(seq, seq_at, q), base(ref, ref_at, r)
-    is_c = np.array([m == "C" for m in modes], bool)[of]
-    target = np.where(is_c, ord("C"), ord("G"))
-    kept, turned = (theirs == target) & (mine == target), (theirs == target) & (mine == np.where(is_c, ord("T"), ord("A")))
-    wrong = (theirs != mine) & ~turned
-    per = lambda rows, weights=None: np.bincount(rows, weights, n_reads).astype(np.int64)
-    gaps = np.isin(code, ["I", "D"])
-    errors = per(of[wrong]) + per(row[gaps], size[gaps])
-    sums = [per(row[m], size[m]) for m in (np.isin(code, ["S", "H"]), code == "N")]
-    places: list[list[tuple[int, str]]] = [[] for _ in range(n_reads)]
-    for i, at, b in zip(of[wrong].tolist(), k[wrong].tolist(), theirs[wrong].tolist(), strict=True):
-        places[i].append((at, chr(b or 78)))
-    for j in np.flatnonzero(code == "D").tolist():
-        i, at = int(row[j]), int(in_ref[j])
-        places[i].append((int(in_both[j]), "^" + spans[i][at : at + int(size[j])].upper()))
-    total = per(of)
-    md = [_md(sorted(p, key=lambda x: (x[0], x[1][0] != "^")), int(t)) for p, t in zip(places, total.tolist(), strict=True)]
-    lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per(of[m]))]), pa.int32()), pa.array(r[m] + 1, pa.int64())) for m in (kept, turned)]
+    x = _Laid(modes, cigars, seqs, spans)
+    wrong = (x.theirs != x.mine) & ~x.turned
+    gaps = np.isin(x.code, ["I", "D"])
+    errors = x.per(x.of[wrong]) + x.per(x.row[gaps], x.size[gaps])
+    sums = [x.per(x.row[m], x.size[m]) for m in (np.isin(x.code, ["S", "H"]), x.code == "N")]
+    places: dict[int, list[tuple[int, str]]] = {}  # of the reads that have any
+    for i, at, b in zip(x.of[wrong].tolist(), x.k[wrong].tolist(), x.theirs[wrong].tolist(), strict=True):
+        places.setdefault(i, []).append((at, chr(b or 78)))
+    for j in np.flatnonzero(x.code == "D").tolist():
+        i = int(x.row[j])
+        begin = int(x.ref_at[i] + x.in_ref[j])
+        lost = x.ref[begin : min(begin + int(x.size[j]), int(x.ref_at[i + 1]))].tobytes().decode()
+        places.setdefault(i, []).append((int(x.in_both[j]), "^" + lost))
+    total = x.per(x.of)
+    md = total.astype(str).astype(object)
+    for i, p in places.items():
+        md[i] = _md(sorted(p, key=lambda y: (y[0], y[1][0] != "^")), int(total[i]))
+    lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(x.per(x.of[m]))]), pa.int32()), pa.array(x.r[m] + 1, pa.int64())) for m in (x.kept, x.turned)]
     return [pa.array(errors), *map(pa.array, sums), pa.array(md, pa.string()), *lists]
 
 
@@ -116,7 +142,7 @@ def rescore(reads: DataFrame, chunks: DataFrame, size: int = CHUNK) -> DataFrame
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _score(*(batch.column(i).to_pylist() for i in at))
+            scores = _score(*(batch.column(i) for i in at))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *scores], names)
 
     schema = StructType([*reads.schema.fields, *[StructField(c, LongType()) for c in ("errors", "clip", "skip")], StructField("md", StringType()), *[StructField(c, ArrayType(LongType())) for c in ("ym", "yu")]])
@@ -132,10 +158,11 @@ def calls_of(scored: DataFrame, min_quality: int = 0, encoding: int = 33) -> Dat
     """A row per call: qname, mate, mode, flag, ref, pos (from 1), offset (in the read's span, from 1), meth, and baseq if the reads have `qual`; calls of less than `min_quality` go."""
     both = F.concat(F.transform("ym", lambda o: F.struct(o.alias("offset"), F.lit(1).alias("meth"))), F.transform("yu", lambda o: F.struct(o.alias("offset"), F.lit(0).alias("meth"))))
     quality = "qual" in scored.columns
-    rows = scored.select(*scored.columns, F.explode(both).alias("call"))
+    rows = scored.select(*scored.columns, F.col("cigar").rlike("^[0-9]+[M=X]$").alias("in_one"), F.explode(both).alias("call"))
     columns = ["qname", "mate", "mode", "flag", "ref", (F.col("pos") + F.col("call.offset") - 1).alias("pos"), F.col("pos").alias("read_pos"), F.col("call.offset").alias("offset"), F.col("call.meth").alias("meth")]
     if quality:
-        columns.append(base_quality(F.col("qual"), read_offset(F.col("cigar"), F.col("call.offset")).cast("int"), encoding).alias("baseq"))
+        place = F.when(F.col("in_one"), F.col("call.offset")).otherwise(read_offset(F.col("cigar"), F.col("call.offset")))  # aligned in one piece, nothing adds
+        columns.append(base_quality(F.col("qual"), place.cast("int"), encoding).alias("baseq"))
     out = rows.select(*columns)
     return out.filter(F.col("baseq") >= min_quality) if quality else out
 
@@ -237,10 +264,84 @@ def call_methylation(reads: DataFrame, refs: DataFrame, fixes: list[tuple[str, s
     bases (if there are rules) and low qualities, get context and strand, and are counted.
     """
     chunks = as_chunks(refs, size)
-    calls = calls_of(rescore(reads, chunks, size), min_quality)
     if fixes:
-        calls = drop_filled_ends(calls, filled_calls(reads, fix_places(refs, fixes)))
-    return pileup(call_contexts(calls, chunks, k, size), min_quality, ("ref", "pos", "strand", "context"))
+        chunks = chunks.join(chunk_fixes(fix_places(refs, fixes), size), ["ref", "chunk"], "left")
+    return pileup(context_calls(reads, chunks, min_quality, k, size), min_quality, ("ref", "pos", "strand", "context"))
+
+
+def chunk_fixes(places: DataFrame, size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """Fixed places (ref, pos, strand) by the chunks that reach them: ref, chunk and an array of pos * 2, and 1 more on the reverse strand."""
+    at = F.col("pos") - 1
+    rows = places.withColumn("chunk", F.explode(F.sequence(F.floor(F.greatest(at - overlap, F.lit(0)) / size), F.floor(at / size))))
+    return rows.groupBy("ref", "chunk").agg(F.collect_set(F.col("pos") * 2 + (F.col("strand") == "-").cast("int")).alias("fixed"))
+
+
+def context_calls(reads: DataFrame, chunks: DataFrame, min_quality: int = 0, k: int = 3, size: int = CHUNK, encoding: int = 33) -> DataFrame:
+    """Calls of aligned reads with strand and context: ref, pos, strand, context, meth and baseq, in one pass over the reads.
+
+    Where chunks have `fixed` (see chunk_fixes), filled-in bases (see
+    filled_calls) are no calls. A read takes along what it spans, k - 1 bases on
+    both sides, and the fixed places within, so its calls need no further join.
+    """
+    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
+    begin, span = (F.col("pos") - F.col("chunk_start")).cast("int"), cigar_sum(F.col("cigar"), "MDN=X").cast("int")
+    lead = F.least(begin - 1, F.lit(k - 1))
+    own = ["ref", "pos", "mode", "flag", "cigar", "seq", "qual"]
+    columns = [*own, lead.alias("lead"), F.substring("bases", begin - lead, lead + span + k - 1).alias("span_bases")]
+    if "fixed" in chunks.columns:
+        columns.append(F.filter("fixed", lambda x: (x >= F.col("pos") * 2) & (x < (F.col("pos") + span) * 2)).alias("fixed"))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = dict(zip(batch.schema.names, batch.columns, strict=True))
+            before = column["lead"].to_numpy(zero_copy_only=False).astype(np.int64)
+            x = _Laid(column["mode"], column["cigar"], column["seq"], column["span_bases"], before)
+            start, flag = (column[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("pos", "flag"))
+            qual, qual_at = _bytes(column["qual"], upper=False)
+            place = qual_at[x.of] + x.q
+            known = place < qual_at[x.of + 1]
+            quality = np.where(known, qual[np.minimum(place, len(qual) - 1)].astype(np.int64) - encoding if len(qual) else 0, -1)
+            call = (x.kept | x.turned) & known & (quality >= min_quality)
+            if "fixed" in column:
+                call &= ~_filled(x, column, start, flag)
+            at, of, c = x.at[call], x.of[call], x.c_mode[x.of[call]]
+            letters = np.zeros((len(at), k), np.uint8)
+            for i in range(k):  # along the strand: on, or back and complemented
+                near = np.where(c, at + i, at - i)
+                inside = (near >= x.ref_at[of]) & (near < x.ref_at[of + 1])
+                base = np.where(inside, x.ref[np.clip(near, 0, len(x.ref) - 1)], 0) if len(x.ref) else np.zeros(len(at), np.uint8)
+                letters[:, i] = np.where(c, base, _COMPLEMENT[base])
+            length = (letters > 0).sum(1)
+            text = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.py_buffer(letters[letters > 0].tobytes())])
+            strand = pa.DictionaryArray.from_arrays(pa.array(np.where(c, 0, 1), pa.int32()), pa.array(["+", "-"])).cast(pa.string())
+            out = [column["ref"].take(pa.array(of)), pa.array(start[of] + x.r[call]), strand, text, pa.array(x.kept[call].astype(np.int32)), pa.array(quality[call].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(out, ["ref", "pos", "strand", "context", "meth", "baseq"])
+
+    kind = reads.schema["ref"].dataType.simpleString()
+    return placed.select(*columns).mapInArrow(walk, f"ref {kind}, pos long, strand string, context string, meth int, baseq int")
+
+
+_COMPLEMENT = np.arange(256, dtype=np.uint8)
+_COMPLEMENT[list(b"ACGT")] = list(b"TGCA")
+
+
+def _filled(x: _Laid, column: dict[str, pa.Array], start: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """Which aligned bases were filled in, by the rules of filled_calls."""
+    clips = [np.zeros(x.n, np.int64), np.zeros(x.n, np.int64)]
+    clipped = np.isin(x.code, ["S", "H"])
+    edges = np.r_[True, x.row[1:] != x.row[:-1]] if len(x.row) else np.zeros(0, bool), np.r_[x.row[1:] != x.row[:-1], True] if len(x.row) else np.zeros(0, bool)
+    for clip, edge in zip(clips, edges, strict=True):
+        clip[x.row[edge & clipped]] = x.size[edge & clipped]
+    near = np.where(x.c_mode, clips[1], clips[0]) <= 2
+    length, back = np.diff(x.seq_at), flag & 16 != 0
+    end = np.where(x.c_mode[x.of], x.q >= length[x.of] - 2, x.q < 2) & near[x.of] & (x.mine == np.where(back[x.of], ord("G"), ord("C")))
+    listed = pc.fill_null(column["fixed"], [])
+    fixed = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(x.n), pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64))
+    key = lambda of, place, reverse: of << 40 | (place - start[of]) << 1 | reverse
+    hit = np.zeros(len(x.q), bool)
+    hit[end] = np.isin(key(x.of[end], start[x.of[end]] + x.r[end], back[x.of[end]].astype(np.int64)), key(owner, fixed >> 1, fixed & 1))
+    return hit
 
 
 def palindrome_sites(counts: DataFrame, context: str = "CG") -> DataFrame:

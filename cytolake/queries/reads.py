@@ -210,12 +210,13 @@ FIXES = [("CCGG", "+", 2), ("CCGG", "-", 3)]
 
 def laid(spark, sf):
     d = dna(spark, sf).select(F.col("doc_id").cast("string").alias("ref"), "seq")
-    last = F.length("seq").cast("long") - 36
-    rows = d.select("ref", "seq", F.explode(F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last, F.lit(40).cast("long")))).alias("at"))
-    own, k = F.substring("seq", (F.col("at") + 1).cast("int"), F.lit(36)), F.floor(F.col("at") / 40)
-    rows = rows.select(F.concat_ws(":", "ref", "at").alias("qname"), F.lit(1).alias("mate"), "ref", (F.col("at") + 1).alias("pos"), F.when(k % 2 == 0, "C").otherwise("G").alias("mode"), F.when(k % 3 == 0, 16).otherwise(0).alias("flag"), own.alias("own"))
-    turned = F.transform(F.split("own", ""), lambda b, i: F.when((b == F.col("mode")) & ((F.col("pos") + i + 1) % 2 == 0), F.when(b == "C", "T").otherwise("A")).otherwise(b))
-    return rows.select("qname", "mate", "mode", "flag", "ref", "pos", F.lit("36M").alias("cigar"), F.array_join(turned, "").alias("seq"), F.lit("I" * 36).alias("qual")), d
+    # cut in one pass: a row that took the whole sequence along would make the work grow with the square of its length
+    pieces = d.select("ref", F.posexplode(F.regexp_extract_all("seq", F.lit("(?s).{1,40}"), F.lit(0))).alias("k", "piece")).filter(F.length("piece") >= 36)
+    rows = pieces.select("ref", "k", (F.col("k").cast("long") * 40).alias("at"), F.left("piece", F.lit(36)).alias("own"), (F.col("k") % 2 == 0).alias("even"))
+    # places are odd, so every other base from the first on is turned where it is the mode's
+    turned = F.when(F.col("even"), F.regexp_replace("own", r"\G((?:[^C].)*+)C(.?)", "$1T$2")).otherwise(F.regexp_replace("own", r"\G((?:[^G].)*+)G(.?)", "$1A$2"))
+    mode, flag = F.when(F.col("even"), "C").otherwise("G"), F.when(F.col("k") % 3 == 0, 16).otherwise(0)
+    return rows.select(F.concat_ws(":", "ref", "at").alias("qname"), F.lit(1).alias("mate"), mode.alias("mode"), flag.alias("flag"), "ref", (F.col("at") + 1).alias("pos"), F.lit("36M").alias("cigar"), turned.alias("seq"), F.lit("I" * 36).alias("qual")), d
 
 
 @query("p7_p12_read_calls", f"WITH {SPANS} SELECT qname, mode, count(*) AS n_calls, cast(sum(meth) as bigint) AS m, cast(sum(place) as bigint) AS places FROM called GROUP BY 1, 2")

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Bases of a chunk, bases that it reaches on behind its own, and bases that it reaches back.
-CHUNK, OVERLAP, BEFORE = 10_000, 1000, 16
+#: Bases of a chunk, bases that it reaches on behind its own (reads of 1000 and their margins), and bases that it reaches back.
+CHUNK, OVERLAP, BEFORE = 10_000, 1016, 16
 
 
 def fasta_lines(spark: SparkSession, path: str, full_header: bool = False) -> DataFrame:

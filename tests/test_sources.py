@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cytolake.functions import sequence as sq
 from cytolake.operators import alignment as al
 from cytolake.operators import intervals as iv
+from cytolake.operators import sites as st
 from cytolake.plans.batch import Settings, batch
 from cytolake.sources import catalogs, readers, sequences, writers
 from cytolake.streaming.windows import arriving_sites
@@ -238,6 +239,52 @@ def test_filled_ends_of_reads_with_indels_and_clips(spark):
     assert spans == [None, None, None, 1, 2, 3, 4, None, None, 5, 6, 7, 10, 11, 12, 13, 14, None]
 
 
+def test_calls_in_one_pass_equal_calls_step_by_step(spark):
+    """Indels, clips, low qualities, ends of sequences and chunks, filled-in ends: the pass over the reads counts what the steps count."""
+    rng = random.Random(11)
+    genome = "".join(rng.choice(["CCGG", "A", "C", "G", "T"]) for _ in range(400))
+    reads = []
+    for k in range(400):
+        cigar = rng.choice(["20M", "3S17M", "8M2I10M", "8M3D9M", "6M20N6M", "12M2S", "2H10M"])
+        start, mode, at, seq = rng.choice([0, len(genome) - 40, rng.randrange(len(genome) - 60)]), rng.choice("CG"), 0, ""
+        for n, op in __import__("re").findall(r"(\d+)([MIDNSH])", cigar):
+            part = genome[start + at : start + at + int(n)]
+            seq += "".join(("T" if b == "C" else "A") if b == mode and rng.random() < 0.5 else b for b in part) if op == "M" else "".join(rng.choice("ACGT") for _ in range(int(n))) if op in "IS" else ""
+            at += int(n) if op in "MDN" else 0
+        reads.append((f"r{k}", 1, mode, rng.choice([0, 16]), "c", start + 1, cigar, seq, "".join(rng.choice("+5I") for _ in seq)))
+    table = spark.createDataFrame(reads, "qname string, mate int, mode string, flag int, ref string, pos long, cigar string, seq string, qual string")
+    refs = spark.createDataFrame([("c", genome)], "ref string, seq string")
+    fixes = [("CCGG", "+", 2), ("CCGG", "-", 3)]
+    for rules in (None, fixes):
+        chunks = sequences.as_chunks(refs, 100)
+        calls = al.calls_of(al.rescore(table, chunks, 100), 20)
+        if rules:
+            calls = al.drop_filled_ends(calls, al.filled_calls(table, al.fix_places(refs, rules)))
+        steps = st.pileup(al.call_contexts(calls, chunks, 3, 100), 20, ("ref", "pos", "strand", "context"))
+        found = al.call_methylation(table, refs, rules, 20, 3, 100)
+        assert rows(found) == rows(steps.select(found.columns)) and found.count() > 100
+
+
+def test_laid_reads_take_time_in_proportion_to_their_sequence(spark):
+    """A sequence is cut in one pass; when each read took all of it along, ten times the length took a hundred times as long."""
+    import time
+
+    from cytolake.queries import reads as queries
+
+    def seconds(n):
+        own = queries.dna
+        queries.dna = lambda *_: spark.range(1).select(F.lit("d").alias("doc_id"), F.expr(f"repeat('ACGTTGCA', {n})").alias("seq"))
+        try:
+            began = time.perf_counter()
+            assert queries.laid(spark, "")[0].selectExpr("count(seq)", "sum(length(seq))").first()[0] == n // 5
+            return time.perf_counter() - began
+        finally:
+            queries.dna = own
+
+    seconds(10_000)
+    assert seconds(200_000) < 60
+
+
 def test_nearest_features_equal_brute_force(spark):
     rng = random.Random(2)
     features = [(k, f"c{k % 2}", s, s + rng.randint(1, 400), rng.choice("+-")) for k in range(60) for s in [rng.randrange(0, 5_000_000)]] + [(100, "c0", 1000, 1100, "+"), (101, "c0", 900, 1100, "-"), (102, "c0", 1400, 1500, "+")]
