@@ -44,11 +44,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: For tables whose rows are megabytes: a row group is closed at 16 MB, looked at row by row. By default it is looked at after 100 rows, so a task would hold all that it writes, and all of a group where it is read.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
+
+
+def materialise(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again, which cuts the lineage."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, find_words, hash_words, materialise, mix, text_blocks
+from .common import LARGE_ROWS, U64, find_words, give_back, hash_words, materialise, mix, text_blocks, trimmed
 
 END = U64(0xA0761D6478BD642F)
 GROWTH = 1.5
@@ -280,7 +280,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in lists]], ["chunk", "doc_id", "text", "trained"])
 
         for batch in batches:
-            for a, b, data, _ in text_blocks(batch.column(1), CHUNK):
+            for a, b, data, _ in text_blocks(batch.column(1), CHUNK // 4):
                 held.append(batch.slice(a, b - a))
                 size += len(data)
                 if size >= CHUNK:
@@ -290,7 +290,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             yield whole()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", "trained").mapInArrow(gather, f"chunk long, doc_id array<{kind}>, text array<string>, trained array<boolean>")
+    return docs.select("doc_id", "text", "trained").mapInArrow(trimmed(gather), f"chunk long, doc_id array<{kind}>, text array<string>, trained array<boolean>")
 
 
 def chunk_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -324,7 +324,7 @@ def count_chunks(table: DataFrame, n_buckets: int) -> DataFrame:
                 chunk = pa.array([batch.column(0)[i].as_py()] * len(bucket), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), chunk, pa.array(order, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "chunk", "n", "keys", "counts"])
 
-    return table.select("chunk", "text", "trained").mapInArrow(count, "bucket int, chunk long, n int, keys binary, counts binary")
+    return table.select("chunk", "text", "trained").mapInArrow(trimmed(count), "bucket int, chunk long, n int, keys binary, counts binary")
 
 
 def answer_chunks(counted: DataFrame, bits_per_key: int) -> DataFrame:
@@ -371,6 +371,7 @@ def score_chunks(table: DataFrame, answers: DataFrame, tokens: int, types: int,
         length = np.bincount(row, minlength=n)
         known = np.bincount(row[c > 0], minlength=n)
         base = np.bincount(row, np.log10(c + 1.0), n) - total * length
+        give_back()  # a chunk takes some 50 times its text for a moment
         return pa.table([ids, *map(pa.array, (length, known, base, mine))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     kind = table.schema["doc_id"].dataType.elementType.simpleString()
@@ -387,7 +388,7 @@ def score_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bi
     an empty table gives no row; other columns don't matter.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    table = materialise(chunks(own.withColumn("trained", ~held_out("doc_id"))), "chunks")
+    table = materialise(chunks(own.withColumn("trained", ~held_out("doc_id"))), "chunks", LARGE_ROWS)
     answers = materialise(answer_chunks(count_chunks(table, buckets(own)), bits_per_key), "levels")
     each = answers.groupBy("bucket").agg(*[F.first(c).alias(c) for c in ("tokens", "types", "mass")])
     tokens, types, mass = (x or 0 for x in each.agg(F.sum("tokens"), F.sum("types"), F.sum("mass")).first())

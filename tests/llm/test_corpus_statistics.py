@@ -232,3 +232,19 @@ def test_rows_of_one_id_are_cut_by_their_own_text(spark):
     cut = [(1, passage), (2, "tail"), (2, None), (2, ""), (2, short), (2, own), (2, "tail"), (3, words_of(30, 4) + " " + words_of(30, 5)), (3, "more"), (None, passage), (None, None)]
     assert Counter((i, " ".join(t.split()) if t else t) for i, t in got.elements()) == Counter(cut)
     assert cut_repeats(docs.limit(0)).count() == 0
+
+
+def test_chunk_tables_have_small_row_groups(spark, tmp_path):
+    """A task that writes or reads chunks holds a few of them; by default all that a task wrote was one row group."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from cytolake.llm import common, language_model
+
+    docs = spark.range(8000).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 300), i -> md5(cast(id * 1000 + i as string)))) as text", "true as trained").coalesce(1)
+    table = common.materialise(language_model.chunks(docs), "chunk-groups", common.LARGE_ROWS)
+    files = [pq.ParquetFile(f).metadata for p in table.inputFiles() for f in glob.glob(p.replace("file://", ""))]
+    groups = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) > 70 << 20 and max(groups) < 50 << 20
+    assert table.selectExpr("sum(size(text))").first()[0] == 8000
