@@ -6,10 +6,11 @@ tests run as Arrow-backed kernels over rows that Spark deals out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -219,12 +220,36 @@ def fisher_groups(tests: DataFrame, cut: float = 0.05, least: float = 0.25, rule
 
 
 def contingency(cells: DataFrame, keys: list[str], row: str, col: str, n: str = "n", with_p: bool = True) -> DataFrame:
-    """Chi-squared and G2 of each key's table of counts, degrees of freedom and p; cells that lack are 0 and add nothing to G2."""
-    rows, cols = W.partitionBy(*keys, row), W.partitionBy(*keys, col)
-    every = W.partitionBy(*keys)
-    full = cells.withColumns({"r": F.sum(n).over(rows), "c": F.sum(n).over(cols), "t": F.sum(n).over(every)})
-    o, e = F.col(n), F.try_divide(F.col("r") * F.col("c"), F.col("t"))
-    out = full.groupBy(*keys).agg(F.sum(F.try_divide((o - e) ** 2, e)).alias("chi2"), (2 * F.sum(F.when(o > 0, o * F.log(F.try_divide(o, e))).otherwise(0.0))).alias("g2"), ((F.count_distinct(row) - 1) * (F.count_distinct(col) - 1)).alias("df"))
+    """Chi-squared and G2 of each key's table of counts, degrees of freedom and p; cells that lack are 0 and add nothing to G2.
+
+    A key's cells come together once, as a list; margins are added up a batch of keys at a time.
+    """
+    held = cells.groupBy(*keys).agg(F.collect_list(F.struct(F.col(row).cast("string").alias("r"), F.col(col).cast("string").alias("c"), F.col(n).cast("long").alias("n"))).alias("cells"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, size = batch.column(len(keys)), batch.num_rows
+            key = np.repeat(np.arange(size), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            flat = lists.flatten()
+            given = flat.field("n").is_valid().to_numpy(zero_copy_only=False)
+            o = flat.field("n").fill_null(0).to_numpy(zero_copy_only=False)
+            total = np.bincount(key, o, size)
+            margins, lines = [], []
+            for name in ("r", "c"):
+                codes = flat.field(name).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1  # 0: a line without a name
+                line, which = np.unique(key * (codes.max(initial=0) + 1) + codes, return_inverse=True)
+                margins.append(np.bincount(which, o, len(line))[which])
+                owner, code = np.divmod(line, codes.max(initial=0) + 1)
+                lines.append(np.bincount(owner[code > 0], minlength=size))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                e = margins[0] * margins[1] / total[key]
+                chi2 = np.bincount(key, np.where((e > 0) & given, (o - e) ** 2 / e, 0.0), size)
+                g2 = 2 * np.bincount(key, np.where((o > 0) & (e > 0), o * np.log(np.where(o > 0, o / e, 1.0)), 0.0), size)
+            df = (lines[0] - 1) * (lines[1] - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(chi2, mask=~(total > 0)), pa.array(g2), pa.array(df.astype(np.int64))], [*keys, "chi2", "g2", "df"])
+
+    kinds = ", ".join(f"`{k}` {held.schema[k].dataType.simpleString()}" for k in keys)
+    out = held.mapInArrow(add, f"{kinds}, chi2 double, g2 double, df long")
     return out.withColumn("p", chi2_p(F.col("chi2"), F.col("df").cast("double"))) if with_p else out
 
 

@@ -51,3 +51,16 @@ def test_p_of_large_tables_is_exact():
     own = comb(n, a) * comb(c + d, k - a)
     exact = sum(w for w in ways if w <= own) / comb(whole, k)
     assert np.allclose(ts.two_sided_fisher(*(np.array([x]) for x in (a, b, c, d))), [exact], rtol=1e-7)
+
+
+def test_contingency_by_hand_without_sorting_cells(spark):
+    """Cells of a key meet in one aggregate; before, three windows and a distinct count each held a sorted copy of all cells in a task."""
+    cells = [("a", "x", "m", 3), ("a", "x", "u", 7), ("a", "y", "m", 6), ("a", "y", "u", 4), ("b", "x", "m", 0), ("b", "x", "u", 0), ("c", "x", "m", 5), ("c", "y", "u", None), ("c", "y", "m", 2)]
+    table = spark.createDataFrame(cells, "key string, sample string, kind string, n long").repartition(3)
+    out = ts.contingency(table, ["key"], "sample", "kind", with_p=False)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    found = {r["key"]: r for r in out.collect()}
+    g2 = 2 * sum(o * np.log(o / e) for o, e in ((3, 4.5), (7, 5.5), (6, 4.5), (4, 5.5)))
+    assert np.isclose(found["a"]["chi2"], 2 * 1.5**2 / 4.5 + 2 * 1.5**2 / 5.5) and np.isclose(found["a"]["g2"], g2) and found["a"]["df"] == 1
+    assert found["b"]["chi2"] is None and found["b"]["g2"] == 0 and found["b"]["df"] == 0
+    assert np.isclose(found["c"]["chi2"], 0) and found["c"]["df"] == 1
