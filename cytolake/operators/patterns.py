@@ -26,12 +26,19 @@ def windowed_calls(calls: DataFrame, width: int, step: int | None = None) -> Dat
 
 
 def read_patterns(calls: DataFrame, width: int, step: int | None = None, state: str = "meth") -> DataFrame:
-    """Per window: positions, and reads per pattern (ref, w_start, positions, pattern, n). Repeated calls of a read at a place give the larger state."""
-    rows = windowed_calls(calls, width, step).groupBy(*WINDOW, "read_id", "pos").agg(F.max(state).cast("string").alias("state"))
-    sites = rows.select(*WINDOW, "pos").distinct().groupBy(*WINDOW).agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-    marks = rows.groupBy(*WINDOW, "read_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "state"))).alias("marks"))
+    """Per window: positions, and reads per pattern (ref, w_start, positions, pattern, n). Repeated calls of a read at a place give the larger state.
+
+    Reads alike in all calls of a window are one row with a count before the
+    window's reads meet, so a window is as large as its patterns, not its reads.
+    """
+    calls = windowed_calls(calls, width, step).select(*WINDOW, "read_id", "pos", state).repartition(*WINDOW, "read_id")  # dealt out once for both groupings
+    rows = calls.groupBy(*WINDOW, "read_id", "pos").agg(F.max(state).cast("string").alias("state"))
+    reads = rows.groupBy(*WINDOW, "read_id").agg(F.sort_array(F.collect_list(F.struct("pos", "state"))).alias("marks"))
+    alike = reads.groupBy(*WINDOW, "marks").agg(F.count("*").alias("n"))
+    sites = alike.select(*WINDOW, F.explode("marks.pos").alias("pos")).groupBy(*WINDOW).agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    known = alike.select(*WINDOW, F.map_from_entries("marks").alias("marks"), "n")
     text = F.array_join(F.transform("positions", lambda p: F.coalesce(F.element_at("marks", p), F.lit("-"))), "")
-    return marks.join(sites, WINDOW).groupBy(*WINDOW, "positions", text.alias("pattern")).agg(F.count("*").alias("n"))
+    return known.join(sites, WINDOW).groupBy(*WINDOW, "positions", text.alias("pattern")).agg(F.sum("n").alias("n"))
 
 
 def entropy(patterns: DataFrame, min_sites: int = 1, min_reads: int = 1) -> DataFrame:

@@ -1,5 +1,6 @@
 """Kernels that SQL can't express, against values from tables, enumeration or a plain computation."""
 
+import re
 import itertools
 import math
 import random
@@ -170,3 +171,13 @@ def test_deviance_density(spark):
     density = np.array([r[0] for r in table.select(ts.deviance_density(table["g2"])).collect()])
     assert math.isclose(np.trapezoid(density, x), 1, rel_tol=1e-4)
     assert math.isclose(np.trapezoid(density[x >= 20], x[x >= 20]), float(special.chi2_upper(np.array([20.0]), np.array([15]))[0]), rel_tol=1e-2)
+
+
+def test_reads_alike_meet_their_window_as_one_row(spark):
+    """Below the join of a window's patterns with its positions reads are counted by their calls; before, every read went through it."""
+    from cytolake.operators import patterns as pt
+
+    calls = spark.range(900).selectExpr("id as read_id", "'c' as ref", "explode(array(10L, 30L + id % 2 * 20)) as pos", "cast(id % 3 = 0 as int) as meth")
+    found = pt.read_patterns(calls, 200)
+    assert re.search(r"Aggregate \[ref#\d+, w_start#\d+L, marks#\d+\]", found._jdf.queryExecution().optimizedPlan().toString())
+    assert {(r["pattern"], r["n"]) for r in found.collect()} == {("00-", 300), ("0-0", 300), ("11-", 150), ("1-1", 150)}
