@@ -179,5 +179,5 @@ def test_reads_alike_meet_their_window_as_one_row(spark):
 
     calls = spark.range(900).selectExpr("id as read_id", "'c' as ref", "explode(array(10L, 30L + id % 2 * 20)) as pos", "cast(id % 3 = 0 as int) as meth")
     found = pt.read_patterns(calls, 200)
-    assert re.search(r"Aggregate \[ref#\d+, w_start#\d+L, marks#\d+\]", found._jdf.queryExecution().optimizedPlan().toString())
+    assert re.search(r"Aggregate \[ref#\d+, w_start#\d+L, marks#\d+\]", found._jdf.queryExecution().analyzed().toString())
     assert {(r["pattern"], r["n"]) for r in found.collect()} == {("00-", 300), ("0-0", 300), ("11-", 150), ("1-1", 150)}
