@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import special
+from ..plans.tables import stored
 
 KEYS = ("ref", "start_pos")
 TINY = 1e-10
@@ -44,9 +45,10 @@ def bh_adjust(tests: DataFrame, p: str = "p", missing: str = "one", by: tuple[st
     missing: "one" sets null p to 1 and counts it, "skip" leaves it null and out
     of the count. Ranks are taken in ranges of p: counts within each range, those
     of the ranges before it, and the least of the ranges behind; only a row per
-    range and family meets in one place.
+    range and family meets in one place. The tests are stored first, as bounds,
+    counts and the join each read them.
     """
-    rows = tests.withColumn(p, F.coalesce(F.col(p), F.lit(1.0))) if missing == "one" else tests
+    rows = stored(tests.withColumn(p, F.coalesce(F.col(p), F.lit(1.0))) if missing == "one" else tests, "tests")
     known, sizes = ranges(rows.filter(F.col(p).isNotNull()), p, by=by)
     counts = known.groupBy(*by, "part", F.col(p).alias("bh_p")).agg(F.count("*").alias("n"))
     key = [*by, "part"]

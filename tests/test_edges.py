@@ -75,3 +75,31 @@ def test_figures_on_the_edge_of_six_places(spark):
     con.register("given", pd.DataFrame({"i": range(len(values)), "x": values}))
     expected = [y for (y,) in con.execute(f"SELECT {statistics.signif_sql('x')} FROM given ORDER BY i").fetchall()]
     assert found == expected
+
+
+def counted(spark, frame, column):
+    """frame with `column` through a function, and the number of rows that went through it so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def same(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return frame.mapInArrow(same, frame.schema), seen
+
+
+def test_adjusting_makes_each_test_once(spark):
+    """Bounds, counts and the join each made all tests anew."""
+    rows = [(i, i % 3, (i * 37 % 101) / 101 if i % 10 else None) for i in range(300)]
+    tests, seen = counted(spark, spark.createDataFrame(rows, "i long, family int, p double"), "p")
+    found = {r["i"]: r["q"] for r in ts.bh_adjust(tests, missing="skip", by=("family",)).collect()}
+    assert seen.value == len(rows)
+    for family in range(3):
+        own = sorted((p, i) for i, f, p in rows if f == family and p is not None)
+        least = 1.0
+        for k in range(len(own), 0, -1):
+            last = max(j for j, (p, _) in enumerate(own, 1) if p == own[k - 1][0])
+            least = min(least, own[k - 1][0] * len(own) / last)
+            assert np.isclose(found[own[k - 1][1]], least)
+    assert all(found[i] is None for i, _, p in rows if p is None)
