@@ -114,20 +114,31 @@ def anova(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) ->
     return out.withColumn("p", f_p(F.col("f"), F.col("df1"), F.col("df2")))
 
 
-def tukey(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Honest significant differences between all pairs of groups: diff, studentised range and p."""
-    groups = mean_sd(rows, value, keys)
-    pairs = groups.select(*keys, F.col("grp").alias("g1"), F.col("n").alias("n1"), F.col("mean").alias("m1")).join(groups.select(*keys, F.col("grp").alias("g2"), F.col("n").alias("n2"), F.col("mean").alias("m2")), list(keys)).filter("g1 < g2")
-    n_groups = groups.groupBy(*keys).agg(F.count("*").alias("k"))
-    both = pairs.join(anova(rows, value, keys).select(*keys, "ss_within", "df2"), list(keys)).join(n_groups, list(keys))
-    both = both.withColumns({"diff": F.col("m2") - F.col("m1"), "spread": F.sqrt(F.col("ss_within") / F.col("df2") / 2 * (1 / F.col("n1") + 1 / F.col("n2")))})
-    both = both.filter("spread > 0").withColumn("range", F.abs("diff") / F.col("spread"))
+@F.pandas_udf(DoubleType())
+def tukey_p(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
+    return pd.Series(special.tukey_upper(q.to_numpy(float), k.to_numpy(int), df.to_numpy(float)))
+
+
+def with_pairs(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Every key's analysis of variance (k, df1, df2, ss_between, ss_within; see anova) and `pairs` of its groups (g1, g2, diff, range), from one pass over the rows."""
+    groups = rows.filter(F.col(value).isNotNull()).groupBy(*keys, "grp").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var"))
+    held = groups.groupBy(*keys).agg(F.count("*").alias("k"), F.sum("n").alias("total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"), F.sum(F.col("n") * F.col("var")).alias("ss_within"), F.sort_array(F.collect_list(F.struct("grp", "n", "mean"))).alias("groups"))
+    between = F.aggregate("groups", F.lit(0.0), lambda acc, g: acc + g["n"] * (g["mean"] - F.col("grand")) ** 2)
+    out = held.withColumns({"ss_between": between, "df1": F.col("k") - 1, "df2": F.col("total") - F.col("k")})
+    error = F.when((F.col("k") > 1) & (F.col("df2") > 0), F.col("ss_within") / F.col("df2") / 2)
+
+    def pair(a: Column, b: Column) -> Column:
+        spread, diff = F.sqrt(error * (1 / a["n"] + 1 / b["n"])), b["mean"] - a["mean"]
+        return F.when(spread > 0, F.struct(a["grp"].alias("g1"), b["grp"].alias("g2"), diff.alias("diff"), (F.abs(diff) / spread).alias("range")))
+
+    every = F.flatten(F.transform("groups", lambda a: F.transform(F.filter("groups", lambda b: b["grp"] > a["grp"]), lambda b: pair(a, b))))
+    return out.withColumn("pairs", F.filter(every, lambda x: x.isNotNull())).select(*keys, "k", "df1", "df2", "ss_between", "ss_within", "pairs")
 
-    @F.pandas_udf(DoubleType())
-    def upper(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
-        return pd.Series(special.tukey_upper(q.to_numpy(float), k.to_numpy(int), df.to_numpy(float)))
 
-    return both.withColumn("p", upper(F.col("range"), F.col("k"), F.col("df2").cast("double"))).select(*keys, "g1", "g2", "diff", "range", "p")
+def tukey(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Honest significant differences between all pairs of groups: diff, studentised range and p."""
+    both = with_pairs(rows, value, keys).select(*keys, "k", "df2", F.explode("pairs").alias("pair")).select(*keys, "k", "df2", "pair.*")
+    return both.withColumn("p", tukey_p(F.col("range"), F.col("k"), F.col("df2").cast("double"))).select(*keys, "g1", "g2", "diff", "range", "p")
 
 
 @F.pandas_udf(DoubleType())
@@ -357,10 +368,14 @@ def report_tables(report: DataFrame, p_cut: float = 0.01, q_cut: float = 0.05, l
 
 def anova_report(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The table of an analysis of variance: every key with f, p (1 where there is none) and q over all keys, and a row for each pair of its groups (g1, g2, pair_diff, pair_p; null where there is none)."""
-    every = rows.filter(F.col(value).isNotNull()).select(*keys).distinct()
-    whole = every.join(anova(rows, value, keys).select(*keys, "f", "p"), list(keys), "left").withColumn("p", F.coalesce(F.nanvl("p", F.lit(None).cast("double")), F.lit(1.0)))
-    pairs = tukey(rows, value, keys).select(*keys, "g1", "g2", F.col("diff").alias("pair_diff"), F.col("p").alias("pair_p"))
-    return bh_adjust(whole).join(pairs, list(keys), "left")
+    whole = with_pairs(rows, value, keys)
+    whole = whole.withColumn("f", F.when((F.col("df1") > 0) & (F.col("df2") > 0), F.expr("try_divide(ss_between / df1, ss_within / df2)")))
+    known = f_p(F.coalesce("f", F.lit(0.0)), F.greatest(F.col("df1"), F.lit(1)), F.greatest(F.col("df2"), F.lit(1)))
+    p = F.when(F.col("f").isNotNull(), known).otherwise(1.0)
+    tested = bh_adjust(whole.select(*keys, "f", p.alias("p"), "k", "df2", "pairs"))
+    pairs = tested.select(*keys, "f", "p", "q", "k", "df2", F.explode_outer("pairs").alias("pair")).select(*keys, "f", "p", "q", "k", "df2", "pair.*")
+    own = F.when(F.col("g1").isNotNull(), tukey_p(F.coalesce("range", F.lit(0.0)), F.col("k"), F.greatest(F.col("df2"), F.lit(1)).cast("double")))
+    return pairs.select(*keys, "f", "p", "q", "g1", "g2", F.col("diff").alias("pair_diff"), own.alias("pair_p"))
 
 
 def anova_tables(report: DataFrame, pairs: list[tuple[str, str]], cut: float = 0.05, least: float = 0.25, by: str = "q") -> dict[tuple[str, str], DataFrame]:

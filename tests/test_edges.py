@@ -103,3 +103,21 @@ def test_adjusting_makes_each_test_once(spark):
             least = min(least, own[k - 1][0] * len(own) / last)
             assert np.isclose(found[own[k - 1][1]], least)
     assert all(found[i] is None for i, _, p in rows if p is None)
+
+
+def test_analysis_of_variance_reads_its_rows_once(spark):
+    """Keys, groups, pairs and the test as a whole each read all rows anew; keys without a test or a pair keep a row."""
+    values = [(i, g, float((i * 7 + k * k * 5 + ord(g)) % 11)) for i in range(20) for g in "abc" for k in range(3)] + [(20, "a", 1.0), (20, "b", 2.0), (21, "a", 1.0), (22, "a", 1.0), (22, "a", 1.0), (22, "b", 3.0), (23, "c", None)]
+    rows, seen = counted(spark, spark.createDataFrame(values, "site long, grp string, pct double"), "pct")
+    found = ts.anova_report(rows, keys=("site",)).collect()
+    assert seen.value == len(values)
+    assert {r["site"] for r in found} == set(range(23)) and sum(r["site"] < 20 for r in found) == 60
+    for r in found:
+        if r["site"] >= 20:
+            assert r["f"] is None and r["p"] == 1 and r["g1"] is None and r["pair_p"] is None
+            continue
+        sets = {g: np.array([v for i, h, v in values if i == r["site"] and h == g]) for g in "abc"}
+        whole = np.concatenate(list(sets.values()))
+        within = sum(((x - x.mean()) ** 2).sum() for x in sets.values())
+        between = sum(len(x) * (x.mean() - whole.mean()) ** 2 for x in sets.values())
+        assert np.isclose(r["f"], between / 2 / (within / 6)) and np.isclose(r["pair_diff"], sets[r["g2"]].mean() - sets[r["g1"]].mean(), atol=1e-12) and 0 <= r["pair_p"] <= 1
