@@ -8,6 +8,7 @@ import pandas as pd
 from oracle import difference
 from pyspark.sql import functions as F
 
+from cytolake.operators import multivariate as mv
 from cytolake.operators import stats as ts
 from cytolake.plans import fixtures
 from cytolake.queries import relational_queries, relational_sql, statistics
@@ -121,3 +122,9 @@ def test_analysis_of_variance_reads_its_rows_once(spark):
         within = sum(((x - x.mean()) ** 2).sum() for x in sets.values())
         between = sum(len(x) * (x.mean() - whole.mean()) ** 2 for x in sets.values())
         assert np.isclose(r["f"], between / 2 / (within / 6)) and np.isclose(r["pair_diff"], sets[r["g2"]].mean() - sets[r["g1"]].mean(), atol=1e-12) and 0 <= r["pair_p"] <= 1
+
+
+def test_medoids_read_their_rows_once(spark):
+    """Every step of the search made the whole table anew."""
+    rows, seen = counted(spark, spark.createDataFrame([(f"r{i}", i * 7 % 40 / 40, i * 11 % 40 / 40) for i in range(40)], "id string, a double, b double"), "a")
+    assert mv.medoids(rows, ["a", "b"], 3).count() == 40 and seen.value == 40
