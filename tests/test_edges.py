@@ -128,3 +128,9 @@ def test_medoids_read_their_rows_once(spark):
     """Every step of the search made the whole table anew."""
     rows, seen = counted(spark, spark.createDataFrame([(f"r{i}", i * 7 % 40 / 40, i * 11 % 40 / 40) for i in range(40)], "id string, a double, b double"), "a")
     assert mv.medoids(rows, ["a", "b"], 3).count() == 40 and seen.value == 40
+
+
+def test_kmeans_reads_its_rows_once(spark):
+    """Fitting and assigning each made the whole table anew."""
+    rows, seen = counted(spark, spark.createDataFrame([(f"r{i}", i % 2 + i * 7 % 40 / 400, i * 11 % 40 / 400) for i in range(40)], "id string, a double, b double"), "a")
+    assert [r["n"] for r in mv.cluster_profiles(mv.kmeans_rows(rows, ["a", "b"], 2, ["id"]), ["a", "b"]).collect()] == [20, 20] and seen.value == 40
