@@ -8,7 +8,10 @@ import pandas as pd
 from oracle import difference
 from pyspark.sql import functions as F
 
+from cytolake.operators import annotation as an
+from cytolake.operators import matrix as mx
 from cytolake.operators import multivariate as mv
+from cytolake.operators import patterns as pt
 from cytolake.operators import stats as ts
 from cytolake.plans import fixtures
 from cytolake.queries import relational_queries, relational_sql, statistics
@@ -134,3 +137,12 @@ def test_kmeans_reads_its_rows_once(spark):
     """Fitting and assigning each made the whole table anew."""
     rows, seen = counted(spark, spark.createDataFrame([(f"r{i}", i % 2 + i * 7 % 40 / 400, i * 11 % 40 / 400) for i in range(40)], "id string, a double, b double"), "a")
     assert [r["n"] for r in mv.cluster_profiles(mv.kmeans_rows(rows, ["a", "b"], 2, ["id"]), ["a", "b"]).collect()] == [20, 20] and seen.value == 40
+
+
+def test_group_fraction_brings_rows_together_once(spark):
+    """Keys were counted apart and joined with all rows again; a group without samples asks for one, others don't count."""
+    rows = [("chr1", p, s, g, c) for p, have in enumerate(["af nf ao no", "af ao no", "af nf rf ao", "af nf ao no x", "af nf ao0 no0", "x"]) for s in have.split() for g, c in [("X" if s == "x" else s[1].upper(), 0 if s.endswith("0") else 5)]]
+    table = spark.createDataFrame(rows, "ref string, start_pos long, sample string, grp string, cov long")
+    out = mx.group_fraction(table, spark.createDataFrame([("F", 3), ("O", 3)], "grp string, size int"), 0.6)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["start_pos"], r["sample"]) for r in out.collect()) == sorted((p, s) for _, p, s, _, _ in rows if p in (0, 3)) and out.columns == table.columns
