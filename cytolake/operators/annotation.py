@@ -149,9 +149,11 @@ def gene_lists(hits: DataFrame, score: str = "score") -> DataFrame:
 
 
 def class_statistics(hits: DataFrame, keys: list[str]) -> DataFrame:
-    """Hits per class, whole and as shares of 1 / (number of distinct features of the site)."""
-    n = hits.groupBy(*keys).agg(F.count_distinct("feature_id").alias("n_hits"))
-    return hits.join(n, keys).groupBy("label").agg(F.count("*").alias("n"), F.sum(1.0 / F.col("n_hits")).alias("weight"), F.count_distinct(*keys).alias("n_sites"))
+    """Hits per class, whole and as shares of 1 / (number of distinct features of the site). A site's labels come together once, as a list."""
+    site = hits.groupBy(*keys).agg(F.size(F.collect_set("feature_id")).alias("n_hits"), F.collect_list("label").alias("labels"))
+    each = site.select("n_hits", "labels", F.explode(F.array_distinct("labels")).alias("label"))
+    own = F.size(F.filter("labels", lambda x: x == F.col("label")))
+    return each.groupBy("label").agg(F.sum(own).alias("n"), F.sum(own * (1.0 / F.col("n_hits"))).alias("weight"), F.count("*").alias("n_sites"))
 
 
 def feature_summary(hits: DataFrame, labels: list[str]) -> DataFrame:

@@ -146,3 +146,12 @@ def test_group_fraction_brings_rows_together_once(spark):
     out = mx.group_fraction(table, spark.createDataFrame([("F", 3), ("O", 3)], "grp string, size int"), 0.6)
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r["start_pos"], r["sample"]) for r in out.collect()) == sorted((p, s) for _, p, s, _, _ in rows if p in (0, 3)) and out.columns == table.columns
+
+
+def test_class_statistics_bring_a_site_together_once(spark):
+    """Sites were counted apart and joined with all hits again, and counted once more by class."""
+    rows = [(1, 7, "body"), (1, 7, "upstream"), (1, 8, "body"), (2, 7, "body"), (3, 9, "upstream"), (3, 9, "upstream")]
+    out = an.class_statistics(spark.createDataFrame(rows, "site long, feature_id long, label string"), ["site"])
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["label"]: (r["n"], r["weight"], r["n_sites"]) for r in out.collect()}
+    assert found == {"body": (3, 2.0, 2), "upstream": (3, 2.5, 2)}
