@@ -48,30 +48,37 @@ def location_class(up5: int = 1000, down5: int = 0, up3: int = 0, down3: int = 0
     return F.when(ahead <= -up3, "fardown").when(entered <= -up5, "farup").otherwise(inside)
 
 
+def _met_parts() -> Column:
+    """Parts of a row's feature that its site meets, as an array of part and number (see exon_parts)."""
+    n, minus = F.size("exons"), F.col("strand") == "-"
+    cds_start, cds_end = F.coalesce("cds_start", F.lit(0)), F.coalesce("cds_end", F.lit(0))
+
+    def meets(lo: Column, hi: Column) -> Column:
+        return (F.col("start_pos") < hi) & (lo < F.col("end_pos")) & (lo < hi)
+
+    def of(exon: Column, i: Column) -> Column:
+        s, e, after = exon["s"], exon["e"], F.try_element_at("exons", i + 2)["s"]
+        number = F.when(minus, n - i).otherwise(i + 1)
+        gap = F.when(minus, n - i - 1).otherwise(i + 1)
+        left, right = F.least(e, cds_start), F.greatest(s, cds_end)
+        coding = cds_end > cds_start
+        return F.array(
+            F.when(meets(s, e), F.struct(F.lit("exon").alias("part"), number.alias("number"))),
+            F.when(meets(e, after), F.struct(F.lit("intron").alias("part"), gap.alias("number"))),
+            F.when(coding & meets(F.greatest(s, cds_start), F.least(e, cds_end)), F.struct(F.lit("CDS").alias("part"), number.alias("number"))),
+            F.when(coding & meets(s, left), F.struct(F.when(minus, "3UTR").otherwise("5UTR").alias("part"), number.alias("number"))),
+            F.when(coding & meets(right, e), F.struct(F.when(minus, "5UTR").otherwise("3UTR").alias("part"), number.alias("number"))),
+        )
+
+    return F.filter(F.flatten(F.transform("exons", of)), lambda x: x.isNotNull())
+
+
 def exon_parts(sites: DataFrame) -> DataFrame:
     """Exons, introns, UTRs and coding parts that a site (start_pos, end_pos) meets in its feature (strand, exons array of s, e, cds_start, cds_end).
 
     Exons count along the strand; rows: the site's columns, part, number.
     """
-    n = F.size("exons")
-    rows = sites.select("*", F.posexplode("exons").alias("i", "exon")).withColumns({"s": F.col("exon.s"), "e": F.col("exon.e"), "next": F.try_element_at("exons", F.col("i") + 2)["s"]})
-    minus = F.col("strand") == "-"
-    number = F.when(minus, n - F.col("i")).otherwise(F.col("i") + 1)
-    gap = F.when(minus, n - F.col("i") - 1).otherwise(F.col("i") + 1)
-
-    def meets(lo: Column, hi: Column) -> Column:
-        return (F.col("start_pos") < hi) & (lo < F.col("end_pos")) & (lo < hi)
-
-    left, right = F.least(F.col("e"), F.col("cds_start")), F.greatest(F.col("s"), F.col("cds_end"))
-    coding = F.col("cds_end") > F.col("cds_start")
-    found = F.array(
-        F.when(meets(F.col("s"), F.col("e")), F.struct(F.lit("exon").alias("part"), number.alias("number"))),
-        F.when(meets(F.col("e"), F.col("next")), F.struct(F.lit("intron").alias("part"), gap.alias("number"))),
-        F.when(coding & meets(F.greatest("s", "cds_start"), F.least("e", "cds_end")), F.struct(F.lit("CDS").alias("part"), number.alias("number"))),
-        F.when(coding & meets(F.col("s"), left), F.struct(F.when(minus, "3UTR").otherwise("5UTR").alias("part"), number.alias("number"))),
-        F.when(coding & meets(right, F.col("e")), F.struct(F.when(minus, "5UTR").otherwise("3UTR").alias("part"), number.alias("number"))),
-    )
-    return rows.withColumn("hit", F.explode(F.filter(found, lambda x: x.isNotNull()))).select(*sites.columns, "hit.*")
+    return sites.withColumn("hit", F.explode(_met_parts())).select(*sites.columns, "hit.*")
 
 
 def gene_labels(hits: DataFrame, up5: int = 1000, up3: int = 0, down5: int = 0, down3: int = 0) -> DataFrame:
@@ -94,12 +101,11 @@ def gene_labels(hits: DataFrame, up5: int = 1000, up3: int = 0, down5: int = 0,
         F.when((begin < margin5) & (end > -up5), "upstream") if up5 != -down5 else F.lit(None).cast("string"),
         F.when((begin < size + up3) & (end > size - margin3), "downstream") if up3 != -down3 else F.lit(None).cast("string"),
     )
-    rows = hits.withColumn("far", far)
-    one = rows.withColumn("label", F.explode(F.when(F.col("far").isNotNull(), F.array("far")).otherwise(F.filter(near, lambda x: x.isNotNull()))))
-    if "exons" not in hits.columns:
-        return one.drop("far")
-    parts = exon_parts(rows.filter("far IS NULL AND size(exons) > 0").withColumns({"cds_start": F.coalesce("cds_start", F.lit(0)), "cds_end": F.coalesce("cds_end", F.lit(0))})).withColumnRenamed("part", "label")
-    return one.select(*hits.columns, "label").unionByName(parts.select(*hits.columns, "label").distinct())
+    labels = F.filter(near, lambda x: x.isNotNull())
+    if "exons" in hits.columns:  # a hit's own array, so that no rows are compared to make labels distinct
+        parts = F.transform(_met_parts(), lambda x: x["part"])
+        labels = F.concat(labels, F.coalesce(F.array_distinct(parts), F.array().cast("array<string>")))
+    return hits.withColumn("label", F.explode(F.when(far.isNotNull(), F.array(far)).otherwise(labels)))
 
 
 def near_only(hits: DataFrame, keys: list[str], label: str = "label") -> DataFrame:

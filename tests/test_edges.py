@@ -155,3 +155,18 @@ def test_class_statistics_bring_a_site_together_once(spark):
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
     found = {r["label"]: (r["n"], r["weight"], r["n_sites"]) for r in out.collect()}
     assert found == {"body": (3, 2.0, 2), "upstream": (3, 2.5, 2)}
+
+
+def test_gene_labels_make_their_hits_once(spark):
+    """Labels of exons were made from all hits again and compared as whole rows."""
+    kinds = "start_pos long, end_pos long, f_start long, f_end long, strand string, exons array<struct<s: long, e: long>>, cds_start long, cds_end long"
+    model = (1000, 1300, "+", [(1000, 1100), (1200, 1300)], 1050, 1250)
+    rows = [(p, p + 2, *model) for p in (1049, 1150, 1299, 2000)] + [(1010, 1012, 1000, 1300, "-", [], None, None), (1010, 1012, 1000, 1300, "-", [(1000, 1300)], None, None)]
+    hits, seen = counted(spark, spark.createDataFrame(rows, kinds), "start_pos")
+    out = an.gene_labels(hits, 300, 100)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    found = {}
+    for r in out.collect():
+        found.setdefault((r["start_pos"], r["strand"], len(r["exons"])), []).append(r["label"])
+    assert seen.value == len(rows)
+    assert {k: sorted(v) for k, v in found.items()} == {(1049, "+", 2): ["5UTR", "CDS", "exon"], (1150, "+", 2): ["intron"], (1299, "+", 2): ["3UTR", "downstream", "exon"], (2000, "+", 2): ["fardown"], (1010, "-", 0): ["body"], (1010, "-", 1): ["exon"]}
