@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.tables import stored
+
 WINDOW = ["ref", "w_start"]
 
 
@@ -360,10 +362,10 @@ def differing_regions(tested: DataFrame, cut: float, gap: int = 300, least_sites
     from .intervals import numbered_islands
 
     side = F.when(F.col("t") >= cut, "up").when(F.col("t") <= -cut, "down").otherwise("none")
-    rows = tested.filter("t IS NOT NULL").withColumn("direction", side)
+    rows = stored(tested.filter("t IS NOT NULL").select("ref", "start_pos", side.alias("direction"), "t", "diff"), "directions")
     # a run ends where the direction changes, so a site counts how many of other directions lie before it
     marks = rows.withColumn("end_pos", F.col("start_pos"))
-    runs = numbered_islands(marks, gap).join(marks.select("ref", "start_pos", "direction", "t", "diff"), ["ref", "start_pos"])
+    runs = numbered_islands(marks, gap).join(rows, ["ref", "start_pos"])
     order = W.partitionBy("ref", "island").orderBy("start_pos")
     turned = (F.col("direction") != F.lag("direction").over(order)).cast("int")
     runs = runs.withColumn("turn", F.coalesce(turned, F.lit(0))).withColumn("part", F.sum("turn").over(order)).filter("direction <> 'none'")

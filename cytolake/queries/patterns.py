@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import patterns as pt
 from ..operators import smoothing as sm
 from ..plans.fixtures import calls, sites
-from ..plans.tables import stored
 from .registry import query, r6
 
 #: Patterns of reads per window of 200, as SQL over `calls`.
@@ -205,5 +204,5 @@ def m8_local_t(spark, sf):
 @query("m8_local_regions")
 def m8_local_regions(spark, sf):
     tested = sm.local_t(sm.local_levels(sites(spark, sf), 20, 1000), F_SIDE, O_SIDE, "paired")
-    out = pt.differing_regions(stored(tested, "tested"), 1.0, 2000, 2, 0.02)
+    out = pt.differing_regions(tested, 1.0, 2000, 2, 0.02)
     return out.withColumns({"mean_diff": F.round("mean_diff", 5), "area_t": F.round("area_t", 3)})

@@ -170,3 +170,10 @@ def test_gene_labels_make_their_hits_once(spark):
         found.setdefault((r["start_pos"], r["strand"], len(r["exons"])), []).append(r["label"])
     assert seen.value == len(rows)
     assert {k: sorted(v) for k, v in found.items()} == {(1049, "+", 2): ["5UTR", "CDS", "exon"], (1150, "+", 2): ["intron"], (1299, "+", 2): ["3UTR", "downstream", "exon"], (2000, "+", 2): ["fardown"], (1010, "-", 0): ["body"], (1010, "-", 1): ["exon"]}
+
+
+def test_regions_read_their_tests_once(spark):
+    """The blocks of a reference, their last sites and the join each made the smoothed tests anew."""
+    rows, seen = counted(spark, spark.createDataFrame([("chr1", i * 100, 2.0 if i % 10 < 6 else -2.0, 0.3 if i % 10 < 6 else -0.3) for i in range(20)], "ref string, start_pos long, t double, diff double"), "t")
+    found = sorted((r["start_pos"], r["direction"], r["n_sites"]) for r in pt.differing_regions(rows, 1.0, 300, 2, 0.1).collect())
+    assert seen.value == 20 and found == [(0, "up", 6), (600, "down", 4), (1000, "up", 6), (1600, "down", 4)]
