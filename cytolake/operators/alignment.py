@@ -129,14 +129,30 @@ def _score(modes: pa.Array, cigars: pa.Array, seqs: pa.Array, spans: pa.Array) -
     return [pa.array(errors), *map(pa.array, sums), pa.array(md, pa.string()), *lists]
 
 
+#: Bases of a block in which a chunk is looked up.
+BLOCK = 128
+
+
+def in_blocks(chunks: DataFrame) -> DataFrame:
+    """chunks whose bases are an array of blocks, so that a cut does not count its way through the whole chunk."""
+    return chunks.withColumn("bases", F.regexp_extract_all("bases", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+
+
+def cut(at: Column, length: Column) -> Column:
+    """`length` bases from `at` (from 1) on of a chunk in_blocks, up to its end."""
+    first, skip = F.floor((at - 1) / BLOCK).cast("int"), F.pmod(at - 1, F.lit(BLOCK))
+    held = F.slice("bases", first + 1, F.greatest(F.ceil((skip + length) / BLOCK).cast("int"), F.lit(0)))
+    return F.substring(F.array_join(held, ""), skip + 1, length)
+
+
 def rescore(reads: DataFrame, chunks: DataFrame, size: int = CHUNK) -> DataFrame:
     """reads (with mode, ref, pos, cigar, seq) against unconverted bases: adds errors, clip, skip, md, and ym and yu, offsets (from 1, along the reference) of methylated and converted bases.
 
     Mode C looks at C (read C: methylated, T: converted), mode G at G (G, A); a
     converted base is no error. Each read takes along the bases that it spans alone.
     """
-    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
-    span = F.substring("bases", (F.col("pos") - F.col("chunk_start")).cast("int"), cigar_sum(F.col("cigar"), "MDN=X").cast("int"))
+    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(in_blocks(chunks), ["ref", "chunk"])
+    span = cut((F.col("pos") - F.col("chunk_start")).cast("int"), cigar_sum(F.col("cigar"), "MDN=X").cast("int"))
     rows = placed.select(*reads.columns, span.alias("span_bases"))
     at, names = [rows.columns.index(c) for c in ("mode", "cigar", "seq", "span_bases")], [*reads.columns, "errors", "clip", "skip", "md", "ym", "yu"]
 
@@ -156,23 +172,24 @@ def best_conversions(scored: DataFrame, unique: bool = False) -> DataFrame:
 
 def calls_of(scored: DataFrame, min_quality: int = 0, encoding: int = 33) -> DataFrame:
     """A row per call: qname, mate, mode, flag, ref, pos (from 1), offset (in the read's span, from 1), meth, and baseq if the reads have `qual`; calls of less than `min_quality` go."""
-    both = F.concat(F.transform("ym", lambda o: F.struct(o.alias("offset"), F.lit(1).alias("meth"))), F.transform("yu", lambda o: F.struct(o.alias("offset"), F.lit(0).alias("meth"))))
     quality = "qual" in scored.columns
-    rows = scored.select(*scored.columns, F.col("cigar").rlike("^[0-9]+[M=X]$").alias("in_one"), F.explode(both).alias("call"))
+    # places in the read are found before calls are dealt out; a read aligned in one piece has them already
+    rows = scored.withColumn("in_one", F.col("cigar").rlike("^[0-9]+[M=X]$")) if quality else scored
     columns = ["qname", "mate", "mode", "flag", "ref", (F.col("pos") + F.col("call.offset") - 1).alias("pos"), F.col("pos").alias("read_pos"), F.col("call.offset").alias("offset"), F.col("call.meth").alias("meth")]
+    places = lambda c: F.when(F.col("in_one"), F.col(c)).otherwise(F.transform(c, lambda o: read_offset(F.col("cigar"), o)))
+    sides = [F.arrays_zip(F.col(c).alias("offset"), F.array_repeat(F.lit(meth), F.size(c)).alias("meth"), *([places(c).alias("place")] if quality else [])) for c, meth in (("ym", 1), ("yu", 0))]
     if quality:
-        place = F.when(F.col("in_one"), F.col("call.offset")).otherwise(read_offset(F.col("cigar"), F.col("call.offset")))  # aligned in one piece, nothing adds
-        columns.append(base_quality(F.col("qual"), place.cast("int"), encoding).alias("baseq"))
-    out = rows.select(*columns)
+        columns.append(base_quality(F.col("qual"), F.col("call.place").cast("int"), encoding).alias("baseq"))
+    out = rows.select(*rows.columns, F.explode(F.concat(*sides)).alias("call")).select(*columns)
     return out.filter(F.col("baseq") >= min_quality) if quality else out
 
 
 def call_contexts(calls: DataFrame, chunks: DataFrame, k: int = 3, size: int = CHUNK) -> DataFrame:
     """calls with the strand of their base (C: +, G: -) and the k bases from it, read along that strand."""
-    placed = calls.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
+    placed = calls.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(in_blocks(chunks), ["ref", "chunk"])
     at = (F.col("pos") - F.col("chunk_start")).cast("int")
-    base = F.upper(F.substring("bases", at, F.lit(1)))
-    ahead, back = F.upper(F.substring("bases", at, F.lit(k))), F.upper(F.substring("bases", F.greatest(at - k + 1, F.lit(1)), F.least(at, F.lit(k))))
+    base = F.upper(cut(at, F.lit(1)))
+    ahead, back = F.upper(cut(at, F.lit(k))), F.upper(cut(F.greatest(at - k + 1, F.lit(1)), F.least(at, F.lit(k))))
     rows = placed.withColumns({"strand": F.when(base == "C", "+").when(base == "G", "-"), "context": F.when(base == "C", ahead).when(base == "G", reverse_complement(back))})
     return rows.filter("strand IS NOT NULL").select(*calls.columns, "strand", "context")
 
@@ -283,11 +300,11 @@ def context_calls(reads: DataFrame, chunks: DataFrame, min_quality: int = 0, k:
     filled_calls) are no calls. A read takes along what it spans, k - 1 bases on
     both sides, and the fixed places within, so its calls need no further join.
     """
-    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks, ["ref", "chunk"])
+    placed = reads.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(in_blocks(chunks), ["ref", "chunk"])
     begin, span = (F.col("pos") - F.col("chunk_start")).cast("int"), cigar_sum(F.col("cigar"), "MDN=X").cast("int")
     lead = F.least(begin - 1, F.lit(k - 1))
     own = ["ref", "pos", "mode", "flag", "cigar", "seq", "qual"]
-    columns = [*own, lead.alias("lead"), F.substring("bases", begin - lead, lead + span + k - 1).alias("span_bases")]
+    columns = [*own, lead.alias("lead"), cut(begin - lead, lead + span + k - 1).alias("span_bases")]
     if "fixed" in chunks.columns:
         columns.append(F.filter("fixed", lambda x: (x >= F.col("pos") * 2) & (x < (F.col("pos") + span) * 2)).alias("fixed"))
 
