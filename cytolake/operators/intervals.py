@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.tables import dealt_out
+
 BIN = 10_000
 #: Positions of a reference that are put in order together.
 BLOCK = 1 << 20
@@ -29,11 +31,12 @@ def interval_join(points: DataFrame, intervals: DataFrame, inclusive: bool = Tru
 
     Intervals are laid out over bins and meet the points on (ref, bin), so the
     join stays an equi-join on a key that spreads large chromosomes; a point is
-    in one bin alone, so no pair comes twice.
+    in one bin alone, so no pair comes twice. Parts are as many as the points'
+    files ask for (see dealt_out), as a part is put in order in one task.
     """
     spread = intervals.withColumn("bin", F.explode(F.sequence(F.floor(F.col("f_start") / size), F.floor(F.col("f_end") / size))))
     inside = (F.col("start_pos") <= F.col("f_end")) if inclusive else (F.col("start_pos") < F.col("f_end"))
-    binned = points.withColumn("bin", F.floor(F.col("start_pos") / size))
+    binned = dealt_out(points.withColumn("bin", F.floor(F.col("start_pos") / size)), "ref", "bin")
     return binned.join(spread, ["ref", "bin"]).filter((F.col("start_pos") >= F.col("f_start")) & inside).drop("bin")
 
 
