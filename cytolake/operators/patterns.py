@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..plans.tables import stored
+from ..plans.tables import dealt_out, stored
 
 WINDOW = ["ref", "w_start"]
 
@@ -124,7 +124,7 @@ def interval_patterns(calls: DataFrame, read_length: int, min_sites: int = 4, de
     keys, state = list(by), F.max("meth")
     if quality:
         state = F.max(F.when(F.col("baseq") >= quality, F.col("meth")))
-    marks = calls.groupBy(*keys, "read_id", "pos").agg(state.cast("string").alias("state"))
+    marks = dealt_out(calls, *keys, "read_id").groupBy(*keys, "read_id", "pos").agg(state.cast("string").alias("state"))
     reads = marks.groupBy(*keys, "read_id").agg(F.sort_array(F.collect_list(F.struct("pos", "state"))).alias("marks"))
     alike = reads.groupBy(*keys, "marks").agg(F.count("*").alias("n"))
 

@@ -29,10 +29,25 @@ def test_parts_follow_the_files(spark, tmp_path):
     assert iv.interval_join(rows, features).count() == 2
 
 
-@pytest.mark.parametrize("name", ["a7_feature_summary"])
+@pytest.mark.parametrize("name", ["a7_feature_summary", "e7_interval_patterns"])
 def test_dealt_out_rows_are_the_same(spark, small_shares, name):
     from oracle import connection, difference
 
     frame = relational_queries()[name](spark, SF_DIR)
     assert parts_of(frame) > 0
     assert not difference(frame, connection(SF_DIR), relational_sql()[name])
+
+
+def test_smoothed_levels_are_the_same(spark, monkeypatch):
+    from cytolake.operators import smoothing as sm
+    from cytolake.plans.fixtures import sites
+
+    def levels() -> tuple[int, list]:
+        frame = sm.local_levels(sites(spark, SF_DIR), 20, 1000)
+        return parts_of(frame), sorted((r["sample"], r["ref"], r["start_pos"], r["smoothed"]) for r in frame.collect())
+
+    whole = levels()
+    monkeypatch.setattr(tables.dealt_out, "__kwdefaults__", {"share": 8 << 10})
+    dealt = levels()
+    assert whole[0] == 0 and dealt[0] == 2  # rows that are numbered, and chunks
+    assert whole[1] == dealt[1]
