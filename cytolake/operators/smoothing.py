@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..plans.tables import stored
+from ..plans.tables import dealt_out, stored
 from .intervals import BLOCK
 
 #: Sites of a chunk, and sites that are fitted together.
@@ -34,11 +34,11 @@ def with_neighbours(rows: DataFrame, by: list[str], at: str, reach: int, size: i
     counts = counts.withColumns({"before": before, "total": F.sum("n").over(W.partitionBy(*by))}).drop("n")
     number = F.col("before") + F.row_number().over(W.partitionBy(*by, "block").orderBy(at)) - 1
     size = max(size, reach)
-    numbered = placed.join(counts, [*by, "block"]).withColumn("i", number).withColumn("home", F.floor(F.col("i") / size))
+    numbered = dealt_out(placed, *by, "block").join(counts, [*by, "block"]).withColumn("i", number).withColumn("home", F.floor(F.col("i") / size))
     inside = F.col("i") % size
     chunks = F.array("home", F.when(inside < reach, F.col("home") - 1), F.when(inside >= size - reach, F.col("home") + 1))
     spread = numbered.withColumn("chunk", F.explode(F.filter(chunks, lambda c: c >= 0)))
-    return spread.withColumn("own", F.col("chunk") == F.col("home")).select(*rows.columns, "chunk", "own", "total")
+    return dealt_out(spread.withColumn("own", F.col("chunk") == F.col("home")).select(*rows.columns, "chunk", "own", "total"), *by, "chunk")
 
 
 def nearest_reach(x: np.ndarray, at: np.ndarray, ns: int) -> np.ndarray:
