@@ -69,13 +69,14 @@ def mean_sd(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -
     return rows.filter(F.col(value).isNotNull()).groupBy(*keys, "grp").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))
 
 
-def two_groups(rows: DataFrame, a: str, b: str, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Per key: sizes, means and sample variances of groups a (1) and b (2)."""
+def two_groups(rows: DataFrame, a: str, b: str, value: str = "pct", keys: tuple[str, ...] = KEYS, **others: Column) -> DataFrame:
+    """Per key: sizes, means and sample variances of groups a (1) and b (2), and `others`, aggregates of all rows of the key, those of further groups included."""
     aggs = []
     for i, g in ((1, a), (2, b)):
         own = F.when(F.col("grp") == g, F.col(value))
         aggs += [F.count(own).alias(f"n{i}"), F.avg(own).alias(f"mean{i}"), F.var_samp(own).alias(f"var{i}")]
-    return rows.filter(F.col("grp").isin(a, b)).groupBy(*keys).agg(*aggs)
+    known = rows if others else rows.filter(F.col("grp").isin(a, b))
+    return known.groupBy(*keys).agg(*aggs, *[c.alias(n) for n, c in others.items()])
 
 
 def welch(rows: DataFrame, a: str, b: str, value: str = "pct", keys: tuple[str, ...] = KEYS, with_p: bool = True) -> DataFrame:
@@ -352,18 +353,32 @@ def significant(tests: DataFrame, cut: float, least: float, by: str = "p") -> Da
     return tests.filter((F.coalesce(F.col(by), F.lit(1.0)) < cut) & (F.abs(F.coalesce("diff", F.lit(0.0))) > least))
 
 
-def two_group_report(rows: DataFrame, a: str, b: str, tests: DataFrame, keys: tuple[str, ...] = KEYS, value: str = "pct") -> DataFrame:
-    """The table of a test between two groups: every key of rows with mean1, mean2, diff (0 where a group has no value), p (1 where there is no test) and q over all keys, those without a test included."""
-    means = two_groups(rows, a, b, value, keys).select(*keys, "mean1", "mean2", F.coalesce(F.col("mean1") - F.col("mean2"), F.lit(0.0)).alias("diff"))
-    p = F.coalesce(F.nanvl("p", F.lit(None).cast("double")), F.lit(1.0))
-    return bh_adjust(means.join(tests.select(*keys, "p"), list(keys), "left").withColumn("p", p))
+def two_group_report(rows: DataFrame, a: str, b: str, tests: DataFrame | Column, keys: tuple[str, ...] = KEYS, value: str = "pct", where: Column | None = None, adjust: bool = True) -> DataFrame:
+    """The table of a test between two groups: every key of rows with mean1, mean2, diff (0 where a group has no value), p (1 where there is no test) and q over all keys, those without a test included.
+
+    tests is a table with p, or p as an aggregate of a key's rows; means and p
+    then come from one pass, in which p is of all rows, and keys and means are of
+    those `where` holds (all). Without `adjust` there is no q.
+    """
+    diff = F.coalesce(F.col("mean1") - F.col("mean2"), F.lit(0.0)).alias("diff")
+    if isinstance(tests, Column):
+        where = F.lit(True) if where is None else where
+        means = two_groups(rows.withColumn(value, F.when(where, F.col(value))), a, b, value, keys, p=tests, known=F.count_if(where))
+        both = means.filter("known > 0").select(*keys, "mean1", "mean2", diff, "p")
+    else:
+        both = two_groups(rows, a, b, value, keys).select(*keys, "mean1", "mean2", diff).join(tests.select(*keys, "p"), list(keys), "left")
+    report = both.withColumn("p", F.coalesce(F.nanvl("p", F.lit(None).cast("double")), F.lit(1.0)))
+    return bh_adjust(report) if adjust else report
 
 
 def report_tables(report: DataFrame, p_cut: float = 0.01, q_cut: float = 0.05, least: float = 0.25, top: int = 500) -> dict[str, DataFrame]:
-    """A report's tables: all of it, the significant keys by p and by q, and the `top` largest differences of the latter (all of them up to twice as many)."""
+    """A report's tables: all of it, the significant keys by p and, where it has q, by q, and the `top` largest differences of the latter (all of them up to twice as many)."""
+    tables = {"all": report, "by_p": significant(report, p_cut, least)}
+    if "q" not in report.columns:
+        return tables
     by_q = significant(report, q_cut, least, "q")
     far = by_q.orderBy(F.desc(F.abs("diff")), *[c for c in report.columns if c not in ("mean1", "mean2", "diff", "p", "q")])
-    return {"all": report, "by_p": significant(report, p_cut, least), "by_q": by_q, "top": far.limit(top) if by_q.limit(2 * top + 1).count() > 2 * top else by_q}
+    return tables | {"by_q": by_q, "top": far.limit(top) if by_q.limit(2 * top + 1).count() > 2 * top else by_q}
 
 
 def anova_report(rows: DataFrame, value: str = "pct", keys: tuple[str, ...] = KEYS) -> DataFrame:
